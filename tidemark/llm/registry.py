@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, simhash
+from . import exact_dedup, simhash, substring_dedup
 
 
 def queries():
     return {
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
+        "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     }
 
 
