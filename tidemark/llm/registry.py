@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, simhash, substring_dedup
+from . import exact_dedup, packing, simhash, substring_dedup, token_files
 
 
 def queries():
     return {
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+        "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
+        "op9_token_files": token_files.op9_token_files,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     }
 
