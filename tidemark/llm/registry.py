@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, simhash, substring_dedup, token_files
+from . import exact_dedup, packing, quality_rules, simhash, substring_dedup, token_files
 
 
 def queries():
     return {
+        "op2_quality_rules": quality_rules.op2_quality_rules,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
@@ -16,4 +17,7 @@ def queries():
 
 
 def oracle_sql():
-    return {"op3_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {
+        "op2_quality_rules": quality_rules.ORACLE_SQL,
+        "op3_exact_dedup": exact_dedup.ORACLE_SQL,
+    }
