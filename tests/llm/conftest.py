@@ -1,8 +1,5 @@
-from pathlib import Path
-
 import pytest
 
-SF = Path("/root/testdata/sf0.001")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, quality_rules, simhash, substring_dedup, token_files
+from . import exact_dedup, language_id, packing, quality_rules, simhash, substring_dedup, token_files
 
 
 def queries():
     return {
         "op2_quality_rules": quality_rules.op2_quality_rules,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+        "op4_language_id": language_id.op4_language_id,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
         "op9_token_files": token_files.op9_token_files,
