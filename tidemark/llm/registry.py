@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, packing, quality_rules, simhash, substring_dedup, token_files
+from . import exact_dedup, language_id, packing, quality_rules, sentence_pieces, simhash, substring_dedup, token_files
 
 
 def queries():
     return {
+        "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
         "op2_quality_rules": quality_rules.op2_quality_rules,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_language_id": language_id.op4_language_id,
