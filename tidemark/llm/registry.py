@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, packing, quality_rules, sentence_pieces, simhash, substring_dedup, token_files
+from . import exact_dedup, language_id, packing, quality_classifier, quality_rules, sentence_pieces, simhash, substring_dedup, token_files
 
 
 def queries():
@@ -12,6 +12,7 @@ def queries():
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_language_id": language_id.op4_language_id,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
+        "op6_quality_classifier": quality_classifier.op6_quality_classifier,
         "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
         "op9_token_files": token_files.op9_token_files,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
