@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, packing, quality_classifier, quality_rules, sentence_pieces, simhash, substring_dedup, token_files
+from . import exact_dedup, language_id, license_scan, packing, quality_classifier, quality_rules, sentence_pieces, simhash, substring_dedup, token_files
 
 
 def queries():
@@ -14,6 +14,7 @@ def queries():
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op6_quality_classifier": quality_classifier.op6_quality_classifier,
         "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
+        "op8_license_scan": license_scan.op8_license_scan,
         "op9_token_files": token_files.op9_token_files,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     }
@@ -23,4 +24,5 @@ def oracle_sql():
     return {
         "op2_quality_rules": quality_rules.ORACLE_SQL,
         "op3_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op8_license_scan": license_scan.ORACLE_SQL,
     }
