@@ -11,7 +11,7 @@ from tidemark.llm import tokens
 from tidemark.llm.packing import fit_counts, pack_documents, plan_sequences
 from tidemark.llm.tokens import Encoder, tokenizer_json
 
-ODD = ["", " ", "  a", "a  b", "x\n\ny", "a \n b", "end ", "\tq", "it's   we'll don't", "<|endoftext|> a <|endoftext|>", "é ü  z", "a\x1c b \x1dc", "1 234  5", "word.\nNext word", "日本 語 "]
+ODD = ["", " ", "  a", "a  b", "x\n\ny", "a \n b", "end ", "\tq", "it's   we'll don't", "<|endoftext|> a <|endoftext|>", "é ü  z", "a\x1c b \x1dc", "1 234  5", "word.\nNext word", "a then, they'll (now) ×2÷ª º¹ x's.\nIt", "a \x85b \xa0c b\x1fc", "日本 語 "]
 
 
 @pytest.fixture(scope="module")
@@ -23,13 +23,14 @@ def tokenizer():
 
 def test_encoder_equals_the_library(tokenizer):
     rng = random.Random(2)
-    texts = ODD + ["".join(rng.choice("ab' \n\t.é1") for _ in range(rng.randint(0, 60))) for _ in range(500)]
+    texts = ODD + ["".join(rng.choice("abs' \n\t.é1,") for _ in range(rng.randint(0, 60))) for _ in range(500)]
     got = [np.frombuffer(x, dtype="<u4").tolist() for x in Encoder(tokenizer_json()).encode(texts)]
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_encoder_with_a_full_cache(tokenizer, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 5)
+    monkeypatch.setattr(tokens, "STRETCHES", 5)
+    monkeypatch.setattr(tokens, "PARTS", 3)
     e = Encoder(tokenizer_json())
     for text in ["a b c", "a b c d e f g h i", "h i j a"]:
         assert np.frombuffer(e.encode([text])[0], dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids

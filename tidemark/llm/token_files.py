@@ -30,13 +30,13 @@ def encode_levels(ids: np.ndarray) -> tuple[list[bytes], list[bytes], list[bytes
     levels, bitmaps, ranks = [], [], []
     rest = ids.astype(np.uint32)
     while True:
-        levels.append((rest & 255).astype(np.uint8).tobytes())
-        rest = rest >> CHUNK
+        levels.append(rest.astype(np.uint8).tobytes())
+        rest = rest >> np.uint32(CHUNK)
         on = rest > 0
         bits = np.packbits(on, bitorder="little")
         bitmaps.append(bits.tobytes())
-        ones = np.add.reduceat(on, np.arange(0, len(on), BLOCK), dtype=np.int64) if len(on) else np.empty(0, np.int64)
-        ranks.append(np.r_[0, np.cumsum(ones)].astype("<u4").tobytes())
+        blocks = np.pad(bits, (0, -len(bits) % (BLOCK // 8))).reshape(-1, BLOCK // 8)
+        ranks.append(np.r_[0, np.cumsum(np.bitwise_count(blocks).sum(axis=1, dtype=np.int64))].astype("<u4").tobytes())
         rest = rest[on]
         if not len(rest):
             return levels, bitmaps, ranks

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-#: Distinct stretches whose ids a task keeps at a time.
-CACHE_ENTRIES = 500_000
+#: Distinct stretches and split parts whose ids a task keeps at a time.
+STRETCHES, PARTS = 400_000, 800_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"\A\s|\s\Z|\s |\s\s")
-_BREAK = re.compile(r"\s")
+_RARE = re.compile(r"[^\S \n]")
+_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+#: Stretches whose split parts the pattern below gives: of these characters it knows the letters and the digits.
+_PLAIN = re.compile("[\x21-\x7e\xc0-\xff\n]+")
+_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
 
 
 def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
@@ -24,60 +29,79 @@ def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
         return file.read()
 
 
+class _Parts(dict):
+    """Ids of split parts, each asked of the library once."""
+
+    def __init__(self, tokenizer):
+        self._encode = tokenizer.encode
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self[part] = array("I", self._encode(part, add_special_tokens=False).ids).tobytes()
+        return ids
+
+
+class _Stretches(dict):
+    """Ids of stretches that follow a space."""
+
+    def __init__(self, parts: _Parts, added: list[str]):
+        self._part, self._plain, self._split = parts.__getitem__, _PLAIN.fullmatch, _SPLIT.findall
+        self._added = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
+
+    def __missing__(self, stretch: str) -> bytes:
+        whole = stretch if stretch[:1] == "\n" else " " + stretch
+        if stretch.isalpha():
+            ids = self._part(whole)
+        elif stretch[-1:] in (",", ".") and stretch[:-1].isalpha():
+            ids = self._part(whole[:-1]) + self._part(stretch[-1])
+        elif self._plain(stretch) and not self._added(stretch):
+            ids = b"".join(map(self._part, self._split(whole)))
+        else:
+            ids = self._part(whole)
+        self[stretch] = ids
+        return ids
+
+
+def stretches(text: str) -> list[str]:
+    """The text up to its first cut, then stretches that follow a space or begin with a single line feed.
+
+    It is cut at spaces and before line feeds that stand alone between two other characters.
+    """
+    if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or _RARE.search(text):
+        return _CUT.split(text)
+    return text.replace("\n", " \n").split(" ")
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE tokenizer of the tokenizers library, as little-endian 32-bit bytes.
 
     Such a tokenizer splits a text before it merges, and no split part holds a space that stands between two other
-    characters except as its first character. So a text can be cut before each such space; the ids of every distinct
-    stretch come from the library once and are joined.
+    characters except as its first character. So a text can be cut before each such space, and a stretch of Latin
+    characters into its split parts. The ids of every distinct part come from the library once and are joined.
     """
 
     def __init__(self, json_text: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_str(json_text)
-        self._inner: dict[str, bytes] = {}
-        self._first: dict[str, bytes] = {}
-        newline = self._ids(["\n"])[0]
-        self._newline = int(np.frombuffer(newline, dtype="<u4")[0]) if len(newline) == 4 else None
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, stretches: list[str]) -> None:
-        """Ids of stretches that follow a space; those without white space go to the library line by line."""
-        if len(self._inner) + len(stretches) > CACHE_ENTRIES:
-            self._inner.clear()
-        plain = [s for s in stretches if not _BREAK.search(s)] if self._newline is not None else []
-        known = set(plain)
-        rest = [s for s in stretches if s not in known]
-        for at in range(0, len(plain), 2000):
-            part = plain[at : at + 2000]
-            ids = self._ids(["".join(f" {s}\n" for s in part)])[0]
-            ends = np.flatnonzero(np.frombuffer(ids, dtype="<u4") == self._newline) * 4
-            if len(ends) != len(part):
-                rest += part
-                continue
-            start = 0
-            for s, end in zip(part, ends.tolist()):
-                self._inner[s] = ids[start:end]
-                start = end + 4
-        self._inner.update(zip(rest, self._ids([" " + s for s in rest])))
+        spec = json.loads(json_text)
+        split = spec.get("pre_tokenizer") or {}
+        if split.get("type") != "ByteLevel" or not split.get("use_regex", True) or split.get("add_prefix_space") or spec.get("normalizer"):
+            raise ValueError("a byte-level tokenizer without a normalizer or a prefix space is needed")
+        self._parts = _Parts(Tokenizer.from_str(json_text))
+        self._inner = _Stretches(self._parts, [t["content"] for t in spec.get("added_tokens", [])])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        pieces = [_CUT.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-        need: set[str] = set()
-        for p in pieces:
-            need.update(p[1:])
-        missing = need.difference(self._inner)
-        if len(self._inner) + len(missing) > CACHE_ENTRIES:
-            missing = need
-        self._learn(list(missing))
-        heads = self._ids([p[0] for p in pieces])
-        get = self._inner.__getitem__
-        return [h + b"".join(map(get, p[1:])) for h, p in zip(heads, pieces)]
+        get, out = self._inner.__getitem__, []
+        for text in texts:
+            if len(self._inner) > STRETCHES:
+                self._inner.clear()
+            if len(self._parts) > PARTS:
+                self._parts.clear()
+            pieces = stretches(text)
+            head = self._parts[pieces[0]]
+            out.append(head + b"".join(map(get, pieces[1:])))
+        return out
 
 
 _encoders: dict[int, Encoder] = {}
