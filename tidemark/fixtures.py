@@ -5,9 +5,10 @@ One text serves Spark and the SQL oracle: ``{S}`` stands for the engine's text t
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings")
 #: In the order in which they build on each other.
 VIEWS = {
     "recordings": """SELECT source AS namespace, CAST(doc_id AS {S}) AS value,
@@ -25,18 +26,18 @@ VIEWS = {
     "runs": """SELECT s_suppkey AS run_id, concat('actor', CAST(s_nationkey % 3 AS {S})) AS submitted_by,
   CASE WHEN s_suppkey % 11 = 10 THEN 'preparing' ELSE 'ready' END AS state,
   (s_suppkey % 13 = 12) AS cancelled, (s_suppkey % 7 = 6) AS withdrawn,
-  concat('cfg', CAST(s_suppkey % 4 AS {S})) AS configuration_digest, 1 + s_suppkey % 3 AS owl_version FROM supplier""",
+  concat('cfg', CAST(s_suppkey % 4 AS {S})) AS configuration_digest, 1 + s_suppkey % 3 AS model_version FROM supplier""",
     "run_recordings": """SELECT DISTINCT l_suppkey AS run_id, 'survey' AS namespace, CAST(l_partkey AS {S}) AS value FROM lineitem""",
-    "wanted": """SELECT l.l_suppkey AS run_id, 'survey' AS namespace, CAST(l.l_partkey AS {S}) AS value, r.configuration_digest, r.owl_version,
+    "wanted": """SELECT l.l_suppkey AS run_id, 'survey' AS namespace, CAST(l.l_partkey AS {S}) AS value, r.configuration_digest, r.model_version,
   CASE WHEN min(l.l_linenumber) = 4 THEN 'failed' WHEN min(l.l_linenumber) > 5 THEN 'released'
        WHEN r.withdrawn THEN 'withdrawn' WHEN min(l.l_linenumber) = 5 THEN 'pending' ELSE 'covered' END AS state
-  FROM lineitem l JOIN runs r ON r.run_id = l.l_suppkey GROUP BY l.l_suppkey, l.l_partkey, r.configuration_digest, r.owl_version, r.withdrawn""",
-    "recording_outcomes": """SELECT run_id, namespace, value, configuration_digest, owl_version,
+  FROM lineitem l JOIN runs r ON r.run_id = l.l_suppkey GROUP BY l.l_suppkey, l.l_partkey, r.configuration_digest, r.model_version, r.withdrawn""",
+    "recording_outcomes": """SELECT run_id, namespace, value, configuration_digest, model_version,
   CASE WHEN live AND rn > 1 THEN 'skipped' ELSE state END AS state,
   CASE WHEN live AND rn > 1 THEN CASE WHEN holder = 'covered' THEN 'already_covered' ELSE 'in_progress' END END AS skip_reason
   FROM (SELECT w.*, row_number() OVER p AS rn, first_value(state) OVER p AS holder
       FROM (SELECT *, state IN ('covered', 'pending') AS live FROM wanted) w
-      WINDOW p AS (PARTITION BY namespace, value, configuration_digest, owl_version, live ORDER BY run_id)) x""",
+      WINDOW p AS (PARTITION BY namespace, value, configuration_digest, model_version, live ORDER BY run_id)) x""",
     "output_files": """SELECT o.run_id, o.namespace, o.value, k.kind, concat(k.kind, '.parquet/1') AS contract_id,
   concat('s3://out/', CAST(o.run_id AS {S}), '/', o.value, '.', k.kind, '.parquet') AS uri
   FROM recording_outcomes o CROSS JOIN (SELECT 'scores' AS kind UNION ALL SELECT 'embeddings' AS kind) k WHERE o.state IN ('covered', 'withdrawn')""",
@@ -68,16 +69,26 @@ VIEWS = {
 }
 
 
-def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All tables and views as DataFrames; their plans do not change when they are loaded again from elsewhere."""
-    frames = {}
-    for name in TABLES:
-        frames[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        frames[name].createOrReplaceTempView(name)
-    for name, text in VIEWS.items():
-        frames[name] = spark.sql(text.format(S="STRING"))
-        frames[name].createOrReplaceTempView(name)
-    return frames
+class Views(dict):
+    """Tables and views as DataFrames, made when first asked for; their plans do not change when others are loaded."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name in VIEWS:
+            for other in re.findall(r"\b(?:FROM|JOIN) (\w+)", VIEWS[name]):
+                self[other].createOrReplaceTempView(other)
+            frame = self._spark.sql(VIEWS[name].format(S="STRING"))
+        else:
+            frame = self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+        frame.createOrReplaceTempView(name)
+        self[name] = frame
+        return frame
+
+
+def load(spark: SparkSession, sf_dir: str) -> Views:
+    return Views(spark, sf_dir)
 
 
 def ctes(*more: str) -> str:

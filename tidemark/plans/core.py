@@ -300,25 +300,25 @@ def _(spark, f, d):
 
 def _outcomes(f: dict[str, DataFrame]) -> DataFrame:
     # one more id in the versions of cfg3, so that maps of two sizes are compared
-    versions = F.expr("CASE WHEN configuration_digest = 'cfg3' AND owl_version > 1 THEN map('model:a/v4', owl_version, 'head_runtime:b', 1L) ELSE map('model:a/v4', owl_version) END")
-    return f["recording_outcomes"].withColumn("owl_version", F.col("owl_version").cast("long")).withColumn("output_versions", versions)
+    versions = F.expr("CASE WHEN configuration_digest = 'cfg3' AND model_version > 1 THEN map('model:a/v4', model_version, 'head_runtime:b', 1L) ELSE map('model:a/v4', model_version) END")
+    return f["recording_outcomes"].withColumn("model_version", F.col("model_version").cast("long")).withColumn("output_versions", versions)
 
 
-CURRENT_SQL = "current AS (SELECT * FROM (SELECT o.*, row_number() OVER (PARTITION BY o.namespace, o.value, o.configuration_digest ORDER BY CASE WHEN o.configuration_digest = 'cfg3' AND o.owl_version > 1 THEN 2 ELSE 1 END DESC, o.owl_version DESC, o.run_id) AS rn FROM recording_outcomes o JOIN runs r ON r.run_id = o.run_id AND NOT r.withdrawn WHERE o.state = 'covered') x WHERE rn = 1)"
-HIGHEST_SQL = "highest AS (SELECT max(owl_version) AS highest FROM recording_outcomes WHERE state IN ('covered', 'withdrawn'))"
+CURRENT_SQL = "current AS (SELECT * FROM (SELECT o.*, row_number() OVER (PARTITION BY o.namespace, o.value, o.configuration_digest ORDER BY CASE WHEN o.configuration_digest = 'cfg3' AND o.model_version > 1 THEN 2 ELSE 1 END DESC, o.model_version DESC, o.run_id) AS rn FROM recording_outcomes o JOIN runs r ON r.run_id = o.run_id AND NOT r.withdrawn WHERE o.state = 'covered') x WHERE rn = 1)"
+HIGHEST_SQL = "highest AS (SELECT max(model_version) AS highest FROM recording_outcomes WHERE state IN ('covered', 'withdrawn'))"
 
 
-@query("current_files", "SELECT c.run_id, c.namespace, c.value, c.configuration_digest, c.owl_version >= (SELECT highest FROM highest) AS up_to_date, o.kind, o.uri FROM current c JOIN output_files o ON o.run_id = c.run_id AND o.namespace = c.namespace AND o.value = c.value", CURRENT_SQL, HIGHEST_SQL)
+@query("current_files", "SELECT c.run_id, c.namespace, c.value, c.configuration_digest, c.model_version >= (SELECT highest FROM highest) AS up_to_date, o.kind, o.uri FROM current c JOIN output_files o ON o.run_id = c.run_id AND o.namespace = c.namespace AND o.value = c.value", CURRENT_SQL, HIGHEST_SQL)
 def _(spark, f, d):
     return L.current_files(_outcomes(f), f["runs"], f["output_files"]).select("run_id", "namespace", "value", "configuration_digest", "up_to_date", "kind", "uri")
 
 
-@query("highest_versions", "SELECT 'model:a/v4' AS version_id, CAST(highest AS BIGINT) AS highest FROM highest UNION ALL SELECT 'head_runtime:b', 1 WHERE EXISTS (SELECT 1 FROM recording_outcomes WHERE state IN ('covered', 'withdrawn') AND configuration_digest = 'cfg3' AND owl_version > 1)", HIGHEST_SQL)
+@query("highest_versions", "SELECT 'model:a/v4' AS version_id, CAST(highest AS BIGINT) AS highest FROM highest UNION ALL SELECT 'head_runtime:b', 1 WHERE EXISTS (SELECT 1 FROM recording_outcomes WHERE state IN ('covered', 'withdrawn') AND configuration_digest = 'cfg3' AND model_version > 1)", HIGHEST_SQL)
 def _(spark, f, d):
     return L.highest_versions(_outcomes(f))
 
 
-@query("up_to_date", "SELECT run_id, namespace, value, owl_version >= (SELECT highest FROM highest) AS up_to_date FROM recording_outcomes WHERE state = 'covered'", HIGHEST_SQL)
+@query("up_to_date", "SELECT run_id, namespace, value, model_version >= (SELECT highest FROM highest) AS up_to_date FROM recording_outcomes WHERE state = 'covered'", HIGHEST_SQL)
 def _(spark, f, d):
     outcomes = _outcomes(f)
     return L.up_to_date(outcomes.where("state = 'covered'"), L.highest_versions(outcomes)).select("run_id", "namespace", "value", "up_to_date")
@@ -328,29 +328,29 @@ CLAIM_SQL = "requests AS (SELECT w.* FROM wanted w), held AS (SELECT * FROM reco
 
 
 def _claims(f):
-    key = lambda df: df.withColumn("versions_key", F.col("owl_version"))
+    key = lambda df: df.withColumn("versions_key", F.col("model_version"))
     requests = key(f["wanted"]).select("run_id", "namespace", "value", "configuration_digest", "versions_key", F.col("run_id").alias("created_at"))
     return requests, key(f["recording_outcomes"].where("state in ('pending', 'covered') and cast(value as bigint) % 3 = 0"))
 
 
-@query("claim_recordings", """SELECT run_id, namespace, value FROM (SELECT r.*, row_number() OVER (PARTITION BY r.namespace, r.value, r.configuration_digest, r.owl_version ORDER BY r.run_id) AS rn FROM requests r
+@query("claim_recordings", """SELECT run_id, namespace, value FROM (SELECT r.*, row_number() OVER (PARTITION BY r.namespace, r.value, r.configuration_digest, r.model_version ORDER BY r.run_id) AS rn FROM requests r
   WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.run_id = r.run_id AND h.namespace = r.namespace AND h.value = r.value)
-  AND NOT EXISTS (SELECT 1 FROM held h WHERE h.namespace = r.namespace AND h.value = r.value AND h.configuration_digest = r.configuration_digest AND h.owl_version = r.owl_version)) x WHERE rn = 1""", CLAIM_SQL)
+  AND NOT EXISTS (SELECT 1 FROM held h WHERE h.namespace = r.namespace AND h.value = r.value AND h.configuration_digest = r.configuration_digest AND h.model_version = r.model_version)) x WHERE rn = 1""", CLAIM_SQL)
 def _(spark, f, d):
     return L.claims(*_claims(f)).select("run_id", "namespace", "value")
 
 
-@query("skip_reasons", "SELECT r.run_id, r.namespace, r.value, CASE WHEN h.state = 'covered' THEN 'already_covered' ELSE 'in_progress' END AS skip_reason FROM requests r JOIN held h ON h.namespace = r.namespace AND h.value = r.value AND h.configuration_digest = r.configuration_digest AND h.owl_version = r.owl_version WHERE h.run_id <> r.run_id", CLAIM_SQL)
+@query("skip_reasons", "SELECT r.run_id, r.namespace, r.value, CASE WHEN h.state = 'covered' THEN 'already_covered' ELSE 'in_progress' END AS skip_reason FROM requests r JOIN held h ON h.namespace = r.namespace AND h.value = r.value AND h.configuration_digest = r.configuration_digest AND h.model_version = r.model_version WHERE h.run_id <> r.run_id", CLAIM_SQL)
 def _(spark, f, d):
     return L.skip_reasons(*_claims(f))
 
 
 @query("backbone_inputs", """SELECT q.run_id, q.namespace, q.value, CASE WHEN c.run_id IS NULL THEN 'input_not_available' WHEN o.uri IS NULL THEN 'input_has_no_windows' WHEN o.run_id % 5 = 0 THEN 'input_location_unsupported' END AS skip_reason,
   CASE WHEN o.run_id % 5 <> 0 THEN o.uri END AS uri FROM (SELECT * FROM run_recordings WHERE run_id % 4 = 3) q
-  LEFT JOIN (SELECT o.* FROM recording_outcomes o JOIN runs r ON r.run_id = o.run_id AND NOT r.withdrawn WHERE o.state = 'covered' AND o.configuration_digest = 'cfg0' AND o.owl_version = 3) c ON c.namespace = q.namespace AND c.value = q.value
+  LEFT JOIN (SELECT o.* FROM recording_outcomes o JOIN runs r ON r.run_id = o.run_id AND NOT r.withdrawn WHERE o.state = 'covered' AND o.configuration_digest = 'cfg0' AND o.model_version = 3) c ON c.namespace = q.namespace AND c.value = q.value
   LEFT JOIN (SELECT * FROM output_files WHERE kind = 'embeddings' AND CAST(value AS BIGINT) % 7 > 0) o ON o.run_id = c.run_id AND o.namespace = c.namespace AND o.value = c.value""")
 def _(spark, f, d):
-    backbone = f["recording_outcomes"].where("configuration_digest = 'cfg0' and owl_version = 3")
+    backbone = f["recording_outcomes"].where("configuration_digest = 'cfg0' and model_version = 3")
     accepted = (T.location_form(F.col("uri")) == "s3") & (F.col("backbone_run") % 5 != 0)
     return L.backbone_inputs(f["run_recordings"].where("run_id % 4 = 3"), backbone, f["runs"], f["output_files"].where("cast(value as bigint) % 7 > 0"), accepted)
 
@@ -372,9 +372,9 @@ def _(spark, f, d):
     return L.first_writers(entries)
 
 
-@query("outdated_versions", "SELECT run_id, 'model:a/v4' AS version_id, CAST(owl_version AS BIGINT) AS version, CAST(2 AS BIGINT) AS released FROM runs WHERE owl_version <> 2 UNION ALL SELECT run_id, 'gone', 1, NULL FROM runs WHERE run_id % 9 = 0")
+@query("outdated_versions", "SELECT run_id, 'model:a/v4' AS version_id, CAST(model_version AS BIGINT) AS version, CAST(2 AS BIGINT) AS released FROM runs WHERE model_version <> 2 UNION ALL SELECT run_id, 'gone', 1, NULL FROM runs WHERE run_id % 9 = 0")
 def _(spark, f, d):
-    runs = f["runs"].withColumn("output_versions", F.expr("CASE WHEN run_id % 9 = 0 THEN map('model:a/v4', cast(owl_version as bigint), 'gone', 1L) ELSE map('model:a/v4', cast(owl_version as bigint)) END"))
+    runs = f["runs"].withColumn("output_versions", F.expr("CASE WHEN run_id % 9 = 0 THEN map('model:a/v4', cast(model_version as bigint), 'gone', 1L) ELSE map('model:a/v4', cast(model_version as bigint)) END"))
     release = f["region"].where("r_regionkey = 0").select(F.lit("model:a/v4").alias("version_id"), F.lit(2).cast("long").alias("released"))
     return L.outdated_versions(runs, release)
 
@@ -516,11 +516,11 @@ def _(spark, f, d):
     return f["recordings"].select("namespace", "value", T.sha256_v1(work).alias("digest"))
 
 
-@query("config_digests", """SELECT run_id, 'sha256:v1:' || sha256('{"model":"a/v4","outputs":[{"kind":"detections","min_score":0.5},{"kind":"scores","min_score":0.1}],"settings":{"version":' || owl_version || ',"window_overlap":0.0}}') AS digest FROM runs""")
+@query("config_digests", """SELECT run_id, 'sha256:v1:' || sha256('{"model":"a/v4","outputs":[{"kind":"detections","min_score":0.5},{"kind":"scores","min_score":0.1}],"settings":{"version":' || model_version || ',"window_overlap":0.0}}') AS digest FROM runs""")
 def _(spark, f, d):
     kinds = F.array_sort(F.array(F.struct(F.lit("scores").alias("kind"), F.lit(0.1).alias("min_score")), F.struct(F.lit("detections").alias("kind"), F.lit(0.5).alias("min_score"))))
     outputs = F.concat(F.lit("["), F.array_join(F.transform(kinds, lambda k: F.concat(F.lit('{"kind":"'), k["kind"], F.lit('","min_score":'), T.double_text(k["min_score"]), F.lit("}"))), ","), F.lit("]"))
-    settings = T.canonical_json({"version": F.col("owl_version").cast("string"), "window_overlap": T.double_text(F.lit(0.0))})
+    settings = T.canonical_json({"version": F.col("model_version").cast("string"), "window_overlap": T.double_text(F.lit(0.0))})
     return f["runs"].select("run_id", T.sha256_v1(T.canonical_json({"model": F.lit('"a/v4"'), "outputs": outputs, "settings": settings})).alias("digest"))
 
 
@@ -579,7 +579,7 @@ def _(spark, f, d):
 def _mean(batches):
     for batch in batches:
         out = batch[["namespace", "value", "arrival", "window_start_s", "window_end_s"]].copy()
-        out["scores"] = [[float(1 / (1 + 2.718281828459045 ** -float(sum(e))))] for e in batch["embedding"]]
+        out["scores"] = [[float(1 / (1 + 2.718281828459045 ** -sum(map(float, e))))] for e in batch["embedding"]]
         yield out
 
 

@@ -227,8 +227,8 @@ INDEX_SQL = "facts AS (SELECT run_id, kind, namespace, value, length(uri) AS siz
 
 
 @query("current_files_index", f"""SELECT c.namespace, c.value, 'a/v4' AS model_id, coalesce(p.presets, '') AS presets, c.configuration_digest, o.kind, o.contract_id, o.uri, sha256(o.uri) AS checksum, length(o.uri) AS size_bytes, CAST(7 AS BIGINT) AS rows,
-  CASE WHEN c.configuration_digest = 'cfg3' AND c.owl_version > 1 THEN '{{"head_runtime:b":1,"model:a/v4":' || c.owl_version || '}}' ELSE '{{"model:a/v4":' || c.owl_version || '}}' END AS output_versions,
-  c.owl_version >= (SELECT highest FROM highest) AS up_to_date, CAST(c.run_id AS VARCHAR) AS run_id
+  CASE WHEN c.configuration_digest = 'cfg3' AND c.model_version > 1 THEN '{{"head_runtime:b":1,"model:a/v4":' || c.model_version || '}}' ELSE '{{"model:a/v4":' || c.model_version || '}}' END AS output_versions,
+  c.model_version >= (SELECT highest FROM highest) AS up_to_date, CAST(c.run_id AS VARCHAR) AS run_id
   FROM current c JOIN output_files o ON o.run_id = c.run_id AND o.namespace = c.namespace AND o.value = c.value
   LEFT JOIN (SELECT configuration_digest, string_agg(name, ',' ORDER BY name) AS presets FROM presets GROUP BY configuration_digest) p ON p.configuration_digest = c.configuration_digest""", core.CURRENT_SQL, core.HIGHEST_SQL)
 def _(spark, f, d):
