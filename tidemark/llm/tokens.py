@@ -6,13 +6,14 @@ import json
 import os
 import re
 from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
 #: Distinct stretches and split parts whose ids a task keeps at a time.
-STRETCHES, PARTS = 400_000, 800_000
+STRETCHES, PARTS = 600_000, 1_000_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _RARE = re.compile(r"[^\S \n]")
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -29,6 +30,13 @@ def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
         return file.read()
 
 
+def _trim(known: dict, most: int) -> None:
+    """Of too many entries drop the later half: what is frequent came early."""
+    if len(known) > most:
+        for key in list(islice(reversed(known), len(known) // 2)):
+            del known[key]
+
+
 class _Parts(dict):
     """Ids of split parts, each asked of the library once."""
 
@@ -94,10 +102,8 @@ class Encoder:
         """Ids of each text."""
         get, out = self._inner.__getitem__, []
         for text in texts:
-            if len(self._inner) > STRETCHES:
-                self._inner.clear()
-            if len(self._parts) > PARTS:
-                self._parts.clear()
+            _trim(self._inner, STRETCHES)
+            _trim(self._parts, PARTS)
             pieces = stretches(text)
             head = self._parts[pieces[0]]
             out.append(head + b"".join(map(get, pieces[1:])))
