@@ -14,7 +14,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ._scratch import Scratch, shuffle_partitions
 from .tokens import encoder, share_tokenizer, text_groups
@@ -22,7 +22,7 @@ from .tokens import encoder, share_tokenizer, text_groups
 END_ID = 2
 CHUNK, BLOCK = 8, 512
 SEGMENT_TOKENS = 1 << 18
-FILE_SCHEMA = "part int, segment int, doc_ids array<long>, lengths array<long>, n_tokens long, levels array<binary>, bitmaps array<binary>, ranks array<binary>"
+FILE_SCHEMA = "part int, segment int, part_start long, doc_ids array<long>, lengths array<long>, n_tokens long, levels array<binary>, bitmaps array<binary>, ranks array<binary>"
 
 
 def encode_levels(ids: np.ndarray) -> tuple[list[bytes], list[bytes], list[bytes]]:
@@ -67,17 +67,17 @@ def read_tokens(levels: list[bytes], bitmaps: list[bytes], ranks: list[bytes], s
     return out
 
 
-def _write_segments(batches, tokenizer, end_id):
+def _write_segments(batches, tokenizer, end_id, segment_tokens):
     part = TaskContext.get().partitionId()
     end = np.array([end_id], dtype="<u4").tobytes()
     names = [f.split()[0] for f in FILE_SCHEMA.split(", ")]
-    ids, lengths, held, size, segment = [], [], [], 0, 0
+    ids, lengths, held, size, segment, start_here = [], [], [], 0, 0, 0
 
     def flush():
         tokens = np.frombuffer(b"".join(held), dtype="<u4")
         levels, bitmaps, ranks = encode_levels(tokens)
-        types = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), *[pa.list_(pa.binary())] * 3]
-        values = [part, segment, ids, lengths, len(tokens), levels, bitmaps, ranks]
+        types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), *[pa.list_(pa.binary())] * 3]
+        values = [part, segment, start_here, ids, lengths, len(tokens), levels, bitmaps, ranks]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=names)
 
     for batch in batches:
@@ -89,9 +89,9 @@ def _write_segments(batches, tokenizer, end_id):
                 held.append(tokens + end)
                 lengths.append(len(held[-1]) // 4)
                 size += lengths[-1]
-                if size >= SEGMENT_TOKENS:
+                if size >= segment_tokens:
                     yield flush()
-                    ids, lengths, held, size, segment = [], [], [], 0, segment + 1
+                    ids, lengths, held, size, segment, start_here = [], [], [], 0, segment + 1, start_here + size
     if held:
         yield flush()
 
@@ -110,7 +110,7 @@ def _read_segments(batches):
             )
 
 
-def write_token_files(docs: DataFrame, scratch: Scratch, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
+def write_token_files(docs: DataFrame, scratch: Scratch, tokenizer: str | None = None, end_id: int = END_ID, segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
     """Write the segments of all documents in ascending doc_id order and return them as read back.
 
     A null text is empty and has the end id alone. Rows without doc_id come first; rows with the same doc_id are
@@ -120,7 +120,7 @@ def write_token_files(docs: DataFrame, scratch: Scratch, tokenizer: str | None =
     shared = share_tokenizer(spark, tokenizer)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     dealt = rows.repartitionByRange(4 * shuffle_partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    return scratch.save("tokens", dealt.mapInArrow(lambda it: _write_segments(it, shared, end_id), FILE_SCHEMA))
+    return scratch.save("tokens", dealt.mapInArrow(lambda it: _write_segments(it, shared, end_id, segment_tokens), FILE_SCHEMA))
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
@@ -132,10 +132,8 @@ def read_token_files(files: DataFrame) -> DataFrame:
         rows.append((part, first))
         first += totals[part]
     bases = spark.createDataFrame(rows, "part int, base long")
-    before = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = files.select("part", "segment", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("before"))
-    firsts = sizes.join(F.broadcast(bases), "part").select("part", "segment", (F.col("base") + F.col("before")).alias("first"))
-    return files.join(firsts, ["part", "segment"]).mapInArrow(_read_segments, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    placed = files.join(F.broadcast(bases), "part").withColumn("first", F.col("base") + F.col("part_start"))
+    return placed.drop("base").mapInArrow(_read_segments, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
