@@ -22,9 +22,11 @@ from ._words import Words
 
 #: Labelled documents that the classifier is fitted on, at most; those with the least hash of their id.
 SAMPLE_ROWS = 20_000
-MIN_DOCS, MIN_Z, SMOOTH = 10, 6.0, 0.5
+MIN_DOCS, MIN_Z, MIN_WORD_SHARE, SMOOTH = 10, 6.0, 0.08, 0.5
 TARGETS = ("quality", "toxic")
 BINS = 400
+#: Ids of shape features; words are 64-bit hashes.
+SHAPE_IDS = 256
 _FOLD = np.full(256, 0x20, dtype=np.uint8)
 _FOLD[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _FOLD[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -122,7 +124,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> C
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     sample = scratch.save("sample", sample.withColumn("holdout", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # at most ``sample_rows`` rows
-    fitting = texts.where("not holdout")
+    # copies of a text count once
+    firsts = scratch.save("firsts", texts.where("not holdout").groupBy(F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
+    fitting = texts.where("not holdout").join(F.broadcast(firsts), "doc_id", "left_semi")
     totals = fitting.agg(F.count(F.lit(1)).alias("n"), *(F.coalesce(F.sum((F.col(t) == 1).cast("long")), F.lit(0)).alias(t) for t in TARGETS)).first()
     features = fitting.select("doc_id", "text").mapInArrow(_count, "doc_id long, feature long").join(F.broadcast(sample), "doc_id")
     counts = features.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), *(F.sum((F.col(t) == 1).cast("long")).alias(t) for t in TARGETS)).where(F.col("n") >= MIN_DOCS)
@@ -132,9 +136,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> C
         p, q = F.col(t) / yes, (F.col("n") - F.col(t)) / no
         pooled = F.col("n") / max(totals["n"], 1)
         z = F.abs(p - q) / F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(1e-9)) * (1 / yes + 1 / no))
-        clear.append(z >= MIN_Z)
         ratio = F.log((F.col(t) + SMOOTH) / (yes + 2 * SMOOTH)) - F.log((F.col("n") - F.col(t) + SMOOTH) / (no + 2 * SMOOTH))
-        weight.append(F.when(z >= MIN_Z, ratio).otherwise(F.lit(0.0)).alias(f"w_{t}"))
+        # words speak only for the rarer class: a long text has many words of either, and their sum would drown its shape
+        rarer = ratio if yes <= no else -ratio
+        common = F.when(F.lit(yes <= no), p).otherwise(q) >= MIN_WORD_SHARE
+        counts_for = (z >= MIN_Z) & (F.col("feature").between(0, SHAPE_IDS - 1) | ((rarer > 0) & common))
+        clear.append(counts_for)
+        weight.append(F.when(counts_for, ratio).otherwise(F.lit(0.0)).alias(f"w_{t}"))
     chosen = counts.where(clear[0] | clear[1]).select("feature", *weight).toPandas()  # bounded by the sample
     model = Classifier(chosen["feature"].to_numpy(dtype=np.int64), chosen[[f"w_{t}" for t in TARGETS]].to_numpy(dtype=float), [(0.0, 1.0)] * 2, [0.5, 0.5])
     shared = docs.sparkSession.sparkContext.broadcast(model)
