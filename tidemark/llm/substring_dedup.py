@@ -141,7 +141,9 @@ def repeated_spans(source: DataFrame, scratch: Scratch) -> tuple[DataFrame, Data
     known = source.where(F.col("doc_id").isNotNull())
     words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", " "))
     shas = scratch.save("shas", known.select("doc_id", "rid", F.sha2(words, 256).alias("sha")))
+    # saved, so that the join below has exchanges of its own and a text with very many copies can be split
     firsts = shas.groupBy("sha").agg(F.min("doc_id").alias("src"), F.max("doc_id").alias("last")).where("src < last").select("sha", "src")
+    firsts = scratch.save("firsts", firsts)
     copies = scratch.save("copies", shas.join(firsts, "sha").where("doc_id > src").select("rid").distinct())
 
     by_text = known.select("rid", "text").mapInArrow(lambda it: _minimizer_rows(it, True), "m long, owner long")
