@@ -15,8 +15,13 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line, text) with lines counted from 1 in each file; a trailing carriage return is dropped."""
     lines = spark.read.option("lineSep", "\n").text(path)
     placed = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
-    order = Window.partitionBy("file").orderBy("block", "id")
-    return placed.select("file", F.row_number().over(order).cast("long").alias("line"), F.regexp_replace("value", "\r$", "").alias("text"))
+    # lines are numbered within their block, and blocks by the lines before them, so a large file is not one task
+    nth = F.row_number().over(Window.partitionBy("file", "block").orderBy("id"))
+    counts = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")).groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    numbered = placed.withColumn("nth", nth).join(starts, ["file", "block"])
+    return numbered.select("file", (F.col("before") + F.col("nth")).cast("long").alias("line"), F.regexp_replace("value", "\r$", "").alias("text"))
 
 
 def line_problem(text: Column, parsed: Column) -> Column:
