@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 
 #: Distinct stretches and split parts whose ids a task keeps at a time.
-STRETCHES, PARTS = 600_000, 1_000_000
+STRETCHES, PARTS = 450_000, 700_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _RARE = re.compile(r"[^\S \n]")
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
