@@ -82,3 +82,21 @@ def test_no_labels_and_no_documents(spark, docs_of):
     got = classify(docs_of([(1, "a b"), (2, None)]), none).collect()
     assert len(got) == 2 and len({round(r.quality, 9) for r in got}) == 1
     assert classify(docs_of([]), none).count() == 0
+
+
+def test_toxic_words_of_every_language(spark, docs_of):
+    rng = random.Random(5)
+    rows, labels = [], []
+    for lang, n, word in (("en", 900, "scum"), ("de", 120, "miststück"), ("fr", 60, "ordure")):
+        for i in range(n):
+            bad = rng.random() < 0.15
+            words = [f"{lang}{rng.randint(0, 300)}" for _ in range(39 - bad)] + [word] * bad
+            rng.shuffle(words)
+            labels.append((len(rows), 1, int(bad)))
+            rows.append((len(rows), " ".join(words), lang, "s"))
+    got = {r.doc_id: (r.kept, r.lang) for r in classify(docs_of(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).join(docs_of(rows).select("doc_id", "lang"), "doc_id").collect()}
+    for lang in ("en", "de", "fr"):
+        own = [(got[i][0], bad) for i, _, bad in labels if got[i][1] == lang]
+        toxic = [kept for kept, bad in own if bad]
+        assert len(toxic) > 3 and sum(not k for k in toxic) / len(toxic) > 0.9
+        assert sum(kept for kept, bad in own if not bad) / sum(not bad for _, bad in own) > 0.97

@@ -2,7 +2,8 @@
 
 A document classifier gives evidence from words and from the shape of a text: log likelihood ratios of the features
 that differ clearly between labelled classes, summed and calibrated by a logistic curve on labelled documents that
-the ratios were not counted on. Sites give evidence too: grouped aggregation over all documents sums the calibrated
+the ratios were not counted on. Words are judged over all labelled documents and over those of each language, so the
+words of a small language count as much as those of the largest. Sites give evidence too: grouped aggregation over all documents sums the calibrated
 probabilities of each host and of each path on it. Rates of hosts shrink towards the global rate and rates of paths
 towards their host's, the more the fewer documents a site has; the strength of shrinking comes from the spread of the
 rates themselves (method of moments). A document's posterior adds its own evidence to the log odds of its site, which
@@ -11,6 +12,7 @@ are taken without the document itself.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -18,13 +20,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ._scratch import Scratch
-from ._words import Words
+from ._words import Words, mix
 
 #: Labelled documents that the classifier is fitted on, at most; those with the least hash of their id.
 SAMPLE_ROWS = 20_000
-MIN_DOCS, MIN_Z, MIN_WORD_SHARE, SMOOTH = 10, 6.0, 0.08, 0.5
+MIN_DOCS, MIN_Z, SMOOTH = 10, 6.0, 0.5
+#: A word counts if most documents with it are of the rarer class, by the lower Wilson bound of so many deviations.
+PURITY_Z, MIN_PURITY = 2.0, 0.5
 TARGETS = ("quality", "toxic")
-BINS = 400
+#: Sums beyond this are as good as it; bins of the sums, and the pull of a language's curve to that of all.
+MOST, BINS, LANG_PULL = 20.0, 400, 0.01
 #: Ids of shape features; words are 64-bit hashes.
 SHAPE_IDS = 256
 _FOLD = np.full(256, 0x20, dtype=np.uint8)
@@ -64,29 +69,45 @@ def _features(texts: pa.Array, size: int = 1 << 19):
         at = to
 
 
+def _salts(langs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """For each row a number of its language, and whether it has one."""
+    salt_of = {lang: int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little") for lang in set(langs.to_pylist()) if lang is not None}
+    return np.array([salt_of.get(lang, 0) for lang in langs.to_pylist()], dtype=np.uint64), ~np.asarray(langs.is_null())
+
+
 def _count(batches):
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
+        langs = batch.column(2)
         for at, to, words, shape in _features(batch.column(1)):
             key = np.stack([words.row.astype(np.uint64), words.hash], axis=1)
             key = np.unique(key, axis=0) if len(key) else key
             rows = np.concatenate([key[:, 0].astype(np.int64), np.repeat(np.arange(to - at), shape.shape[1])])
-            yield pa.RecordBatch.from_arrays([pa.array(ids[at + rows]), pa.array(np.concatenate([key[:, 1].view(np.int64) if len(key) else np.empty(0, np.int64), shape.ravel()]))], names=["doc_id", "feature"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at + rows]), pa.array(np.concatenate([key[:, 1].view(np.int64) if len(key) else np.empty(0, np.int64), shape.ravel()])), langs.take(pa.array(at + rows))], names=["doc_id", "feature", "lang"])
 
 
 class Classifier:
-    """Weights of features (sorted) for each target, and the logistic curve of each sum."""
+    """Weights of features (sorted) for each target, and the logistic curve of each sum.
+
+    A word of a single language is the feature ``mix(hash ^ salt)`` with the salt of the language.
+    """
 
     def __init__(self, features: np.ndarray, weights: np.ndarray, curves: list[tuple[float, float]], rates: list[float]):
         order = np.argsort(features.view(np.uint64))
         self.features, self.weights, self.curves, self.rates = features.view(np.uint64)[order], weights[order], curves, rates
+        #: Curves of single languages by their salt; other languages have those above.
+        self.own_curves: dict[int, list[tuple[float, float]]] = {}
 
-    def sums(self, words: Words, shape: np.ndarray) -> np.ndarray:
+    def sums(self, words: Words, shape: np.ndarray, salts: np.ndarray | None = None, known: np.ndarray | None = None) -> np.ndarray:
         out = np.zeros((len(shape), len(TARGETS)))
         if not len(self.features):
             return out
         rows, found = [], []
-        for row, feature in ((words.row, words.hash), (np.repeat(np.arange(len(shape)), shape.shape[1]), shape.ravel().astype(np.uint64))):
+        features = [(words.row, words.hash), (np.repeat(np.arange(len(shape)), shape.shape[1]), shape.ravel().astype(np.uint64))]
+        if salts is not None:
+            own = known[words.row]
+            features.append((words.row[own], mix(words.hash[own] ^ salts[words.row[own]])))
+        for row, feature in features:
             place = np.minimum(np.searchsorted(self.features, feature), len(self.features) - 1)
             hit = self.features[place] == feature
             rows.append(row[hit])
@@ -95,27 +116,67 @@ class Classifier:
         np.add.at(out, key // len(self.features), self.weights[key % len(self.features)])
         return out
 
-    def log_odds(self, sums: np.ndarray) -> np.ndarray:
-        return np.stack([np.clip(a + b * sums[:, k], -30, 30) for k, (a, b) in enumerate(self.curves)], axis=1)
+    def log_odds(self, sums: np.ndarray, salts: np.ndarray | None = None, known: np.ndarray | None = None) -> np.ndarray:
+        a, b = (np.tile(x, (len(sums), 1)).astype(float) for x in zip(*self.curves))
+        for salt, curves in self.own_curves.items() if salts is not None else ():
+            own = known & (salts == np.uint64(salt))
+            a[own], b[own] = zip(*curves)
+        return np.clip(a + b * np.clip(sums, -MOST, MOST), -30, 30)
+
 
+def _curve(value: np.ndarray, yes: np.ndarray, n: np.ndarray, to: tuple[float, float] = (0.0, 1.0), pull: tuple[float, float] = (0.01, 1.0)) -> tuple[float, float]:
+    """Logistic curve (intercept, slope) through binned counts, with a weak pull towards ``to`` (Newton's method)."""
+    def loss(a: float, b: float) -> float:
+        z = a + b * value
+        return float((n * np.logaddexp(0, z) - yes * z).sum() + pull[0] / 2 * (a - to[0]) ** 2 + pull[1] / 2 * (b - to[1]) ** 2)
 
-def _curve(value: np.ndarray, yes: np.ndarray, n: np.ndarray) -> tuple[float, float]:
-    """Logistic curve (intercept, slope) through binned counts, with a weak pull towards slope 1 (Newton's method)."""
-    a, b = 0.0, 1.0
-    for _ in range(50):
+    a, b = to
+    least = loss(a, b)
+    for _ in range(100):
         z = np.clip(a + b * value, -30, 30)
         p = 1 / (1 + np.exp(-z))
         w = n * p * (1 - p) + 1e-9
-        g = np.array([(yes - n * p).sum() - 0.01 * a, ((yes - n * p) * value).sum() - 1.0 * (b - 1)])
-        h = np.array([[w.sum() + 0.01, (w * value).sum()], [(w * value).sum(), (w * value * value).sum() + 1.0]])
+        g = np.array([(yes - n * p).sum() - pull[0] * (a - to[0]), ((yes - n * p) * value).sum() - pull[1] * (b - to[1])])
+        h = np.array([[w.sum() + pull[0], (w * value).sum()], [(w * value).sum(), (w * value * value).sum() + pull[1]]])
         step = np.linalg.solve(h, g)
-        scale = min(1.0, 5 / max(1e-12, np.abs(step).max()))
+        scale = 1.0
+        while scale > 1e-9 and loss(a + scale * step[0], b + scale * step[1]) > least:
+            scale /= 2
         a, b = a + scale * step[0], b + scale * step[1]
-        if np.abs(step).max() < 1e-8:
+        least = loss(a, b)
+        if scale * np.abs(step).max() < 1e-8:
             break
     return float(a), float(b)
 
 
+def _lang(docs: DataFrame) -> Column:
+    return (docs["lang"] if "lang" in docs.columns else F.lit(None)).cast("string").alias("lang")
+
+
+def _chosen(counts: DataFrame, shapes: bool) -> DataFrame:
+    """(lang, feature, w_quality, w_toxic) of the features that tell the classes of their stratum apart.
+
+    ``counts`` has n documents with the feature out of ``docs``, and of both those of each target. Shape features count
+    over all documents only (``shapes``).
+    """
+    weight, clear = [], []
+    shape = F.col("feature").between(0, SHAPE_IDS - 1)
+    for t in TARGETS:
+        of, n = F.col(f"docs_{t}"), F.col("n")
+        yes, no = F.greatest(of, F.lit(1)), F.greatest(F.col("docs") - of, F.lit(1))
+        pooled = n / F.greatest("docs", F.lit(1))
+        z = F.abs(F.col(t) / yes - (n - F.col(t)) / no) / F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(1e-9)) * (1 / yes + 1 / no))
+        ratio = F.log((F.col(t) + SMOOTH) / (yes + 2 * SMOOTH)) - F.log((n - F.col(t) + SMOOTH) / (no + 2 * SMOOTH))
+        # words speak only for the rarer class: a long text has many words of either, and their sum would drown its shape
+        share = F.when(yes <= no, F.col(t)).otherwise(n - F.col(t)) / n
+        bound = (share + PURITY_Z**2 / (2 * n) - PURITY_Z * F.sqrt(share * (1 - share) / n + PURITY_Z**2 / (4 * n * n))) / (1 + PURITY_Z**2 / n)
+        rarer = F.when(yes <= no, ratio).otherwise(-ratio)
+        counts_for = (z >= MIN_Z) & F.when(shape, (n >= MIN_DOCS) & F.lit(shapes)).otherwise((rarer > 0) & (bound >= MIN_PURITY))
+        clear.append(counts_for)
+        weight.append(F.when(counts_for, ratio).otherwise(F.lit(0.0)).alias(f"w_{t}"))
+    return counts.where(clear[0] | clear[1]).select("lang", "feature", *weight)
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Classifier:
     """Fit on at most ``sample_rows`` labelled documents; four fifths give the weights, the others the curves."""
     scratch = Scratch(docs.sparkSession, "classifier")
@@ -123,49 +184,60 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> C
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     sample = scratch.save("sample", sample.withColumn("holdout", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # at most ``sample_rows`` rows
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _lang(docs)).join(F.broadcast(sample), "doc_id")  # at most ``sample_rows`` rows
     # copies of a text count once
     firsts = scratch.save("firsts", texts.where("not holdout").groupBy(F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
     fitting = texts.where("not holdout").join(F.broadcast(firsts), "doc_id", "left_semi")
-    totals = fitting.agg(F.count(F.lit(1)).alias("n"), *(F.coalesce(F.sum((F.col(t) == 1).cast("long")), F.lit(0)).alias(t) for t in TARGETS)).first()
-    features = fitting.select("doc_id", "text").mapInArrow(_count, "doc_id long, feature long").join(F.broadcast(sample), "doc_id")
-    counts = features.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), *(F.sum((F.col(t) == 1).cast("long")).alias(t) for t in TARGETS)).where(F.col("n") >= MIN_DOCS)
-    weight, clear = [], []
-    for t in TARGETS:
-        yes, no = max(totals[t], 1), max(totals["n"] - totals[t], 1)
-        p, q = F.col(t) / yes, (F.col("n") - F.col(t)) / no
-        pooled = F.col("n") / max(totals["n"], 1)
-        z = F.abs(p - q) / F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(1e-9)) * (1 / yes + 1 / no))
-        ratio = F.log((F.col(t) + SMOOTH) / (yes + 2 * SMOOTH)) - F.log((F.col("n") - F.col(t) + SMOOTH) / (no + 2 * SMOOTH))
-        # words speak only for the rarer class: a long text has many words of either, and their sum would drown its shape
-        rarer = ratio if yes <= no else -ratio
-        common = F.when(F.lit(yes <= no), p).otherwise(q) >= MIN_WORD_SHARE
-        counts_for = (z >= MIN_Z) & (F.col("feature").between(0, SHAPE_IDS - 1) | ((rarer > 0) & common))
-        clear.append(counts_for)
-        weight.append(F.when(counts_for, ratio).otherwise(F.lit(0.0)).alias(f"w_{t}"))
-    chosen = counts.where(clear[0] | clear[1]).select("feature", *weight).toPandas()  # bounded by the sample
-    model = Classifier(chosen["feature"].to_numpy(dtype=np.int64), chosen[[f"w_{t}" for t in TARGETS]].to_numpy(dtype=float), [(0.0, 1.0)] * 2, [0.5, 0.5])
+    sizes = [F.count(F.lit(1)).alias("docs"), *(F.coalesce(F.sum((F.col(t) == 1).cast("long")), F.lit(0)).alias(f"docs_{t}") for t in TARGETS)]
+    strata = scratch.save("strata", fitting.groupBy("lang").agg(*sizes))  # one row for each language
+    whole = strata.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("docs", *(f"docs_{t}" for t in TARGETS))))
+    totals = whole.first()
+    features = fitting.select("doc_id", "text", "lang").mapInArrow(_count, "doc_id long, feature long, lang string").join(F.broadcast(sample), "doc_id")
+    by_lang = features.groupBy("lang", "feature").agg(F.count(F.lit(1)).alias("n"), *(F.sum((F.col(t) == 1).cast("long")).alias(t) for t in TARGETS))
+    by_lang = scratch.save("counts", by_lang)  # bounded by the sample
+    pooled = by_lang.groupBy("feature").agg(*(F.sum(c).alias(c) for c in ("n", *TARGETS)))
+    chosen = _chosen(pooled.crossJoin(F.broadcast(whole)).withColumn("lang", F.lit(None).cast("string")), True)
+    chosen = chosen.unionByName(_chosen(by_lang.where(F.col("lang").isNotNull()).join(F.broadcast(strata), "lang"), False)).toPandas()
+    weights = chosen[[f"w_{t}" for t in TARGETS]].to_numpy(dtype=float)
+    keys, of_all = chosen["feature"].to_numpy(dtype=np.int64).view(np.uint64), chosen["lang"].isna().to_numpy()
+    # a word that counts in every language counts once
+    place = {feature: i for i, feature in enumerate(keys.tolist()) if of_all[i]}
+    for i in np.flatnonzero(~of_all):
+        if keys[i].item() in place:
+            weights[i, weights[place[keys[i].item()]] != 0] = 0
+    salts, _ = _salts(pa.array(chosen["lang"].where(~of_all, None).tolist(), pa.string()))
+    keys = np.where(of_all, keys, mix(keys ^ salts))
+    some = (weights != 0).any(axis=1)
+    model = Classifier(keys[some].view(np.int64), weights[some], [(0.0, 1.0)] * 2, [0.5, 0.5])
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    sums = texts.where("holdout").select("doc_id", "text").mapInArrow(lambda it: _sums(it, shared), "doc_id long, quality_sum double, toxic_sum double").join(F.broadcast(sample), "doc_id")
-    model.curves, model.rates = [], []
+    sums = texts.where("holdout").select("doc_id", "text", "lang").mapInArrow(lambda it: _sums(it, shared), "doc_id long, lang string, quality_sum double, toxic_sum double").join(F.broadcast(sample), "doc_id")
+    model.curves, model.rates, own = [], [], {}
     for t in TARGETS:
-        binned = sums.groupBy(F.round(F.greatest(F.least(F.col(f"{t}_sum"), F.lit(20.0)), F.lit(-20.0)) * (BINS / 40)).alias("bin")).agg(F.sum((F.col(t) == 1).cast("long")).alias("yes"), F.count(F.lit(1)).alias("n")).toPandas()
-        model.curves.append(_curve(binned["bin"].to_numpy(dtype=float) * (40 / BINS), binned["yes"].to_numpy(dtype=float), binned["n"].to_numpy(dtype=float)) if len(binned) else (0.0, 1.0))
-        model.rates.append((totals[t] + 1) / (totals["n"] + 2))
+        place = F.round(F.greatest(F.least(F.col(f"{t}_sum"), F.lit(MOST)), F.lit(-MOST)) * (BINS / (2 * MOST)))
+        binned = sums.groupBy("lang", place.alias("bin")).agg(F.sum((F.col(t) == 1).cast("long")).alias("yes"), F.count(F.lit(1)).alias("n")).toPandas()
+        points = lambda part: (part["bin"].to_numpy(dtype=float) * (2 * MOST / BINS), part["yes"].to_numpy(dtype=float), part["n"].to_numpy(dtype=float))
+        model.curves.append(_curve(*points(binned)) if len(binned) else (0.0, 1.0))
+        for lang, part in binned.groupby("lang"):
+            own.setdefault(lang, []).append(_curve(*points(part), model.curves[-1], (LANG_PULL, 1.0)))
+        model.rates.append((totals[f"docs_{t}"] + 1) / (totals["docs"] + 2))
+    salts, _ = _salts(pa.array(list(own), pa.string()))
+    model.own_curves = dict(zip(salts.tolist(), own.values()))
     return model
 
 
 def _sums(batches, shared):
     for batch in batches:
+        salts, known = _salts(batch.column(2))
         for at, to, words, shape in _features(batch.column(1)):
-            sums = shared.value.sums(words, shape)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(sums[:, 0]), pa.array(sums[:, 1])], names=["doc_id", "quality_sum", "toxic_sum"])
+            sums = shared.value.sums(words, shape, salts[at:to], known[at:to])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), batch.column(2).slice(at, to - at), pa.array(sums[:, 0]), pa.array(sums[:, 1])], names=["doc_id", "lang", "quality_sum", "toxic_sum"])
 
 
 def _evidence(batches, shared):
     for batch in batches:
+        salts, known = _salts(batch.column(4))
         for at, to, words, shape in _features(batch.column(1)):
-            odds = shared.value.log_odds(shared.value.sums(words, shape))
+            odds = shared.value.log_odds(shared.value.sums(words, shape, salts[at:to], known[at:to]), salts[at:to], known[at:to])
             columns = [batch.column(i).slice(at, to - at) for i in (0, 2, 3)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(odds[:, 0]), pa.array(odds[:, 1])], names=["doc_id", "host", "path", "quality_odds", "toxic_odds"])
 
@@ -196,7 +268,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
     scratch = Scratch(spark, "bayes")
     model = model or fit(docs, labels)
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (docs["source"] if host is None else host).alias("host"), (docs["lang"] if path is None else path).alias("path"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (docs["source"] if host is None else host).alias("host"), (docs["lang"] if path is None else path).alias("path"), _lang(docs))
     rows = rows.withColumns({"host": F.coalesce("host", F.lit("")), "path": F.coalesce("path", F.lit(""))})
     scored = scratch.save("evidence", rows.mapInArrow(lambda it: _evidence(it, shared), "doc_id long, host string, path string, quality_odds double, toxic_odds double"))
     probability = lambda odds: 1 / (1 + F.exp(-F.col(odds)))
