@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.llm import tokens
+from tidemark.llm import packing, tokens
 from tidemark.llm.packing import fit_counts, pack_documents, plan_sequences
 from tidemark.llm.tokens import Encoder, tokenizer_json
 
@@ -89,3 +89,18 @@ def test_documents(docs_of, tokenizer):
         spaces.append(min(fits, default=2048) - length)
     assert len(by) <= len(spaces)
     assert pack_documents(docs_of([])).count() == 0
+
+
+def test_sequences_hold_the_ids(docs_of, tokenizer):
+    rows = [(i, "alpha of Zq9 " * n) for i, n in enumerate([1, 40, 300, 900, 2500])] + [(9, None), (None, "x y"), (None, "x y")]
+    packed = pack_documents(docs_of(rows))
+    got = packing.sequences(packed).collect()
+    docs = defaultdict(list)
+    for r in got:
+        ids = np.frombuffer(r.ids, dtype="<u4").tolist()
+        assert len(ids) == sum(p.length for p in r.pieces) <= 2048
+        for p in r.pieces:
+            docs[p.doc_id].append((p.piece, ids[p.offset : p.offset + p.length]))
+    whole = {i: [x for _, part in sorted(parts) for x in part] for i, parts in docs.items()}
+    assert whole.pop(None) == 2 * (tokenizer.encode("x y", add_special_tokens=False).ids + [0])
+    assert whole == {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for i, t in rows if i is not None}

@@ -5,7 +5,7 @@ enumerates patterns of two to four lengths that fill a sequence, fits their repe
 non-negative least squares (coordinate descent), rounds them down to what the histogram can give, and packs what is
 left best fit first, many equal sequences at a time. The plan says which ranks of each length go to which sequences;
 Spark ranks the pieces of each length (in salted parts, so that a frequent length is not one group) and each task
-looks its pieces up in the plan.
+looks its pieces up in the plan. The pieces carry their token ids, so the packed table holds the sequences themselves.
 """
 
 from __future__ import annotations
@@ -156,25 +156,28 @@ def _place(batches, shared):
         yield pa.RecordBatch.from_arrays([*columns, pa.array(sequences[at] + wanted - keys[at]), pa.array(offsets[at])], names=[*names, "sequence_id", "offset"])
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (with a column ``length`` from 1 to ``capacity``) with sequence_id and offset.
+def pack(pieces: DataFrame, capacity: int = CAPACITY, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``pieces`` (with a column ``length`` from 1 to ``capacity``) with sequence_id and offset, then ``carried`` columns.
 
+    The order of pieces of one length follows from the columns that are not ``carried``.
     ``pieces`` is read several times and must be stable: a written table. An empty table gives an empty result.
     """
     spark = pieces.sparkSession
+    own = [c for c in pieces.columns if c not in carried]
     salts = 16 * shuffle_partitions(spark)
-    keyed = pieces.withColumn("salt", F.pmod(F.xxhash64(*pieces.columns), F.lit(salts)))
+    keyed = pieces.withColumn("salt", F.pmod(F.xxhash64(*own), F.lit(salts)))
     counts = keyed.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     counts = Scratch(spark, "packing").save("counts", counts)
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
     shared = spark.sparkContext.broadcast(_segments(plan_sequences(histogram, capacity)))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("length", "salt").orderBy(*pieces.columns)
+    within = Window.partitionBy("length", "salt").orderBy(*own)
     ranked = keyed.withColumn("nth", F.row_number().over(within)).join(first, ["length", "salt"])
     ranked = ranked.select(*pieces.columns, (F.col("before") + F.col("nth") - 1).alias("rank"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    return ranked.mapInArrow(lambda it: _place(it, shared), schema)
+    placed = ranked.mapInArrow(lambda it: _place(it, shared), schema)
+    return placed.select(*own, "sequence_id", "offset", *carried)
 
 
 def _pieces(batches, tokenizer, capacity):
@@ -187,16 +190,17 @@ def _pieces(batches, tokenizer, capacity):
                 ids += end
                 n = len(ids) // 4
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
-                out += [(start + i, k, a, b - a, zlib.crc32(memoryview(ids)[4 * a : 4 * b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-            row, piece, begin, length, crc = zip(*out)
+                parts = (ids[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:]))
+                out += [(start + i, k, a, len(part) // 4, zlib.crc32(part), part) for k, (a, part) in enumerate(zip(cuts, parts))]
+            row, piece, begin, length, crc, part = zip(*out)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (begin, length, crc))],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (begin, length, crc)), pa.array(part, pa.binary())],
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"],
             )
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, ids (little-endian, 32 bits each).
 
     A document is its token ids and the end id 0; one longer than ``capacity`` is cut into pieces of that length, the
     first of which may be shorter. A null text is empty and has the end id alone. Rows without doc_id and repeated
@@ -206,12 +210,24 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
     spark = docs.sparkSession
     shared = share_tokenizer(spark, tokenizer)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = rows.mapInArrow(lambda it: _pieces(it, shared, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long")
-    return pack(Scratch(spark, "pieces").save("pieces", pieces), capacity)
+    pieces = rows.mapInArrow(lambda it: _pieces(it, shared, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
+    return pack(Scratch(spark, "pieces").save("pieces", pieces), capacity, ("ids",))
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """One row per sequence of ``packed``: sequence_id, pieces (offset, doc_id, piece, start, length) in order, ids.
+
+    A sequence has at most as many pieces as it has ids, so a group is bounded by the capacity.
+    """
+    place = F.struct("offset", "doc_id", "piece", "start", "length", "ids")
+    groups = packed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(place)).alias("pieces"))
+    ids = F.aggregate("pieces", F.lit(b""), lambda joined, p: F.concat(joined, p["ids"]))
+    return groups.select("sequence_id", F.transform("pieces", lambda p: p.dropFields("ids")).alias("pieces"), ids.alias("ids"))
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    packed = pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
