@@ -4,11 +4,13 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import substring_dedup
-from tidemark.llm._words import chunks
-from tidemark.llm.substring_dedup import dedup_substrings
+from tidemark.llm._scratch import Scratch
+from tidemark.llm._words import Words, chunks, word_hashes
+from tidemark.llm.substring_dedup import dedup_substrings, repeated_spans
 
 
 def plain(rows):
@@ -68,19 +70,69 @@ def test_periodic_and_long(docs_of):
     assert digest(dedup_substrings(docs_of(rows))) == plain(rows)
 
 
-def test_colliding_neighbour_hashes_take_the_exact_way(docs_of, monkeypatch):
+def thue_morse(n, a, b):
+    """Two words of 2**n letters that collide under every odd base modulo 2**64 once n is 11."""
+    x, y = a, b
+    for _ in range(n):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_words_with_colliding_polynomials(docs_of):
+    t, u = thue_morse(11, "a", "b")
+    w, p = [f"w{i}" for i in range(12)], [f"p{i}" for i in range(20)]
+    rows = [(1, " ".join([*w, t, "x1"])), (2, " ".join([*w, u, "y2", "z3"])), (3, " ".join([*p, t])), (4, " ".join([*p, u]))]
+    assert digest(dedup_substrings(docs_of(rows))) == plain(rows)
+    t, u = (" ".join(x) for x in thue_morse(11, ["a"], ["b"]))
+    rows = [(1, " ".join(p) + " " + t), (2, " ".join(p) + " " + u), (3, "q " + t)]
+    assert digest(dedup_substrings(docs_of(rows))) == plain(rows)
+
+
+def weak(bits):
+    real = Words.windows
+    return lambda self, size: real(self, size) & np.uint64((1 << bits) - 1)
+
+
+@pytest.mark.parametrize("bits", (6,))
+def test_colliding_windows_are_told_apart_by_their_words(docs_of, monkeypatch, bits):
+    monkeypatch.setattr(Words, "windows", weak(bits))
     rows = make(random.Random(9), 120)
-    real = substring_dedup._edge_rows
+    assert digest(dedup_substrings(docs_of(rows))) == plain(rows)
+
 
-    def blunt(batches):
-        for batch in real(batches):
-            zero = pa.array(np.zeros(batch.num_rows, dtype=np.int32))
-            yield batch.set_column(4, "next", zero).set_column(5, "prev", zero)
+def test_window_of_an_unrelated_earlier_document_hides_no_repeat(docs_of, monkeypatch):
+    real = Words.windows
 
-    monkeypatch.setattr(substring_dedup, "_edge_rows", blunt)
+    def collide(self, size):
+        found = real(self, size)
+        if size == 13:
+            found[np.isin(self.hash[: len(found)], word_hashes(np.frombuffer(b"AB", np.uint8), np.array([0, 1]), np.array([1, 2])))] = 7
+        return found
+
+    monkeypatch.setattr(Words, "windows", collide)
+    tail = " ".join(f"t{i}" for i in range(12))
+    rows = [(1, "A " + tail), (2, "B " + tail), (3, "x B " + tail + " y"), (4, "B " + tail), (5, "A " + tail + " end")]
     assert digest(dedup_substrings(docs_of(rows))) == plain(rows)
 
 
+def test_hot_passage(docs_of):
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, f"a{i} b{i} {passage if i % 3 else ''} c{i}") for i in range(900)]
+    assert digest(dedup_substrings(docs_of(rows, 12))) == plain(rows)
+
+
+def test_paths_follow_unbranched_nodes(docs_of, spark):
+    """One passage in two documents is one path, across blocks; a fork in the graph ends it."""
+    text = [f"w{i}" for i in range(300)]
+    rows = [(1, " ".join(text)), (2, "x " + " ".join(text)), (3, " ".join(text[100:140]) + " fork " + " ".join(f"f{i}" for i in range(20))), (4, " ".join(text[120:140]) + " fork " + " ".join(f"f{i}" for i in range(20)))]
+    docs = docs_of(rows).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rid"))
+    spans, copies = repeated_spans(docs, Scratch(spark, "test"))
+    found = sorted((r.doc_id, r.start, r.stop, r.src, r.shift) for r in spans.collect())
+    assert copies.count() == 0
+    assert [f for f in found if f[0] == 2] == [(2, 1, 141, 1, -1), (2, 129, 301, 1, -1)]
+    assert [f for f in found if f[0] == 3] == [(3, 0, 40, 1, 100)]
+
+
 def test_empty_table(docs_of):
     assert dedup_substrings(docs_of([])).count() == 0
 
@@ -92,6 +144,21 @@ def test_stage_keeps_untouched_texts(docs_of):
     assert got == {1: text, 3: "own\n\ntext", 4: "new start"}
 
 
+def test_stage_keeps_columns_of_any_name(docs_of):
+    text = " ".join(f"w{i}" for i in range(20))
+    docs = docs_of([(1, text), (2, "new " + text)]).withColumns({c: F.lit(f"own {c}") for c in ("n_words", "n_removed", "kept_text", "row", "rid", "spans", "copied", "src")})
+    out = substring_dedup.stage(None, docs, "")
+    assert out.columns == docs.columns
+    assert {(r.doc_id, r.text, r.n_words, r.row, r.kept_text) for r in out.collect()} == {(1, text, "own n_words", "own row", "own kept_text"), (2, "new", "own n_words", "own row", "own kept_text")}
+
+
+def test_word_hashes_differ():
+    words = [b"a" * n for n in range(1, 200)] + [bytes([65 + i % 26]) * 8 + b"x" * j for i in range(26) for j in range(3)] + [f"w{i}".encode() for i in range(20_000)]
+    data = b" ".join(words)
+    ((_, _, found),) = list(chunks(pa.array([data.decode()])))
+    assert len(found.hash) == len(words) and len(set(found.hash.tolist())) == len(set(words))
+
+
 def test_window_hashes_follow_the_words():
     texts = pa.array(["a b  c d", None, "b c d", "", "x a\tb c"])
     ((_, _, words),) = list(chunks(texts))

@@ -1,7 +1,9 @@
 """Hashes of words and word windows of whole Arrow batches with numpy, without an object for each word.
 
-A prefix sum of ``table[byte] * base**place`` modulo 2**64 gives the hash of any stretch of bytes by one subtraction
-and one product with the inverse power, and a second prefix sum over the word hashes does so for any word window.
+A word is read as blocks of eight bytes, each of which is mixed into the hash by a bijection of 64-bit integers, so no
+algebra over the bytes makes words collide. A prefix sum of ``hash * base**place`` modulo 2**64 then gives the hash of
+any short window of words by one subtraction and one product with the inverse power. Equal windows have equal hashes;
+whoever acts on equal hashes must compare the words.
 """
 
 from __future__ import annotations
@@ -10,10 +12,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _U = np.uint64
+#: The low 0 to 8 bytes of a block.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+#: Longer words are hashed one by one.
+LONG_WORD = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -23,9 +30,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_TABLE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
-
-
 class _Powers:
     """base**i and its inverse for i from 0, grown as needed."""
 
@@ -35,14 +39,32 @@ class _Powers:
 
     def grow(self, n: int) -> None:
         if len(self.up) < n:
-            n = max(n, 1 << 20)
+            n = max(n, 1 << 18)
             for name, base in (("up", self.base), ("down", self.inverse)):
                 x = np.full(n, base, dtype=np.uint64)
                 x[0] = 1
                 setattr(self, name, np.multiply.accumulate(x))
 
 
-_BYTES, _WORDS = _Powers(0xD6E8FEB86659FD93), _Powers(0xA0761D6478BD642F)
+_WORDS = _Powers(0xA0761D6478BD642F)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word ``data[start:end]``."""
+    lengths = ends - starts
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    blocks = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    found = mix((lengths.astype(np.uint64) * _U(0x9E3779B97F4A7C15)) ^ (blocks[starts] & _LOW[np.minimum(lengths, 8)]))
+    more = np.flatnonzero((lengths > 8) & (lengths <= LONG_WORD))
+    at = 8
+    while len(more):
+        block = blocks[starts[more] + at] & _LOW[np.minimum(lengths[more] - at, 8)]
+        found[more] = mix((found[more] + _U(0xD6E8FEB86659FD93)) ^ block)
+        at += 8
+        more = more[lengths[more] > at]
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        found[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]], 1)
+    return found
 
 
 class Words:
@@ -58,19 +80,16 @@ class Words:
             opens[1:], closes[:-1] = space[:-1], space[1:]
             opens[begin[begin < end]] = True
             closes[end[begin < end] - 1] = True
-        starts = np.flatnonzero(opens & ~space)
-        ends = np.flatnonzero(closes & ~space) + 1
-        self.first = np.searchsorted(starts, begin)
-        self.count = np.searchsorted(starts, end) - self.first
+        self.data, self.offsets = data, offsets
+        self.starts = np.flatnonzero(opens & ~space)
+        self.ends = np.flatnonzero(closes & ~space) + 1
+        self.first = np.searchsorted(self.starts, begin)
+        self.count = np.searchsorted(self.starts, end) - self.first
         self.row = np.repeat(np.arange(len(begin)), self.count)
-        self.starts, self.ends = starts, ends
-        _BYTES.grow(n + 1)
-        _WORDS.grow(len(starts) + 1)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_TABLE[data] * _BYTES.up[:n], out=sums[1:])
-        self.hash = mix((sums[ends] - sums[starts]) * _BYTES.down[starts])
-        self._sums = np.zeros(len(starts) + 1, dtype=np.uint64)
-        np.cumsum(self.hash * _WORDS.up[: len(starts)], out=self._sums[1:])
+        self.hash = word_hashes(data, self.starts, self.ends)
+        _WORDS.grow(len(self.starts) + 1)
+        self._sums = np.zeros(len(self.starts) + 1, dtype=np.uint64)
+        np.cumsum(self.hash * _WORDS.up[: len(self.starts)], out=self._sums[1:])
 
     def windows(self, size: int) -> np.ndarray:
         """Hash of the ``size`` words from each word on, as far as the chunk goes (also across rows)."""
@@ -84,10 +103,13 @@ class Words:
         n = len(self.row) - size + 1
         return self.row[:n] == self.row[size - 1 :] if n > 0 else np.empty(0, dtype=bool)
 
-    def whole(self) -> np.ndarray:
-        """Hash of each row's whole word sequence."""
-        last = self.first + self.count
-        return mix((self._sums[last] - self._sums[self.first]) * _WORDS.down[self.first] + self.count.astype(np.uint64))
+    def joined(self) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """(all words joined by one space, first and last place of each word in it)."""
+        length = self.ends - self.starts
+        ends = np.cumsum(length + 1) - 1
+        raw, cuts = self.data.tobytes(), self.offsets.tolist()
+        words = (word for a, b in zip(cuts, cuts[1:]) for word in raw[a:b].split())
+        return b" ".join(words), ends - length, ends
 
 
 def chunks(texts: pa.Array, size: int = 1 << 19) -> Iterator[tuple[int, int, Words]]:

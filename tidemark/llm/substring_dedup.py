@@ -1,30 +1,42 @@
 """Removal of passages that an earlier document has, by compacting the repeated part of a De Bruijn graph.
 
 Edges of the graph are windows of 13 words; its nodes are the 12 words that two successive windows share. Only edges
-that occur in documents with different texts matter, so they are found in three passes whose tables stay small:
+that occur in documents with different ids matter, so they are found in passes whose tables stay small:
 
 1. Each window has a minimizer, the least hash of its 6-word pieces. Equal windows have equal minimizers, and a
-   minimizer that only equal texts have cannot belong to a repeated edge. Whole texts that an earlier document has are
+   minimizer that only one text has cannot belong to a repeated edge. Whole texts that an earlier document has are
    set aside by their SHA-256.
-2. Windows whose minimizer is left are the edge table: hash, document, place, and hashes of the words before and
-   after. Grouping it gives the repeated edges with their source (the earliest document and the place there) and
-   tells where the graph branches.
-3. Edges that follow each other in their source without a branch between are one path. Joining the edge table with
-   the paths gives, for each document, spans that run along a path; a span is taken if its places and those in its
-   source agree one for one, else its edges are taken singly.
+2. Windows whose minimizer is left are the edge table: hash, document, place, and the hashes of both nodes. Grouping it
+   gives the repeated edges with their source (the earliest document and a place there).
+3. The node table tells how many repeated edges enter and leave each node. Where one enters and one leaves, and they
+   follow each other in their source, they are linked. Links compact into paths by joins: first within blocks of
+   places, then from block to block by pointer jumping.
+4. Joining the edge table with the paths gives, for each document, spans that run along a path.
+5. The words of every span are compared with those at its source place, in pieces that end at the same places of the
+   source for all documents, by SHA-256. Where one differs, two windows share a hash: all windows with the hashes of
+   that span are then told apart by the SHA-256 of their words.
 """
 
 from __future__ import annotations
 
+import hashlib
+import operator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ._scratch import Scratch
+from ._skew import join_counted
 from ._words import Words, chunks
 
 WINDOW = 13
 PIECE = 6
+#: Places of a source that are compacted, or compared, as one group.
+BLOCK = 64
+ROW = ["doc_id", "rid"]
+SOURCE = ["src", "srid"]
 
 
 def _minimizers(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -51,14 +63,28 @@ def _changes(least: np.ndarray, inside: np.ndarray, row: np.ndarray) -> np.ndarr
     return at[new]
 
 
-def _minimizer_rows(batches, by_sequence: bool):
+def _minimizers_of_texts(batches):
+    """The minimizers of each row with 128 bits of the SHA-256 of its words."""
+    for batch in batches:
+        for _, _, words in chunks(batch.column(0)):
+            least, inside = _minimizers(words)
+            at = _changes(least, inside, words.row)
+            if not len(at):
+                continue
+            joined, begin, end = words.joined()
+            spans = [(joined[begin[f] : end[f + n - 1]] if n else b"") for f, n in zip(words.first.tolist(), words.count.tolist())]
+            text = np.frombuffer(b"".join(hashlib.sha256(s).digest()[:16] for s in spans), dtype="<i8").reshape(-1, 2)[words.row[at]]
+            yield pa.RecordBatch.from_arrays([pa.array(least[at].view(np.int64)), pa.array(text[:, 0]), pa.array(text[:, 1])], names=["m", "t1", "t2"])
+
+
+def _minimizers_of_rows(batches):
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for start, to, words in chunks(batch.column(1)):
+        ids, rids = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        for start, _, words in chunks(batch.column(2)):
             least, inside = _minimizers(words)
             at = _changes(least, inside, words.row)
-            owner = words.whole().view(np.int64) if by_sequence else ids[start:to]
-            yield pa.RecordBatch.from_arrays([pa.array(least[at].view(np.int64)), pa.array(owner[words.row[at]])], names=["m", "owner"])
+            row = start + words.row[at]
+            yield pa.RecordBatch.from_arrays([pa.array(least[at].view(np.int64)), pa.array(ids[row]), pa.array(rids[row])], names=["m", *ROW])
 
 
 def _edge_rows(batches):
@@ -72,7 +98,6 @@ def _edge_rows(batches):
             wanted = marks.slice(start, to - start)
             flat = wanted.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             rows = np.repeat(np.arange(to - start), wanted.value_lengths().to_numpy(zero_copy_only=False))
-            # a window is kept if (row, minimizer) is among the wanted ones: compared by their joint hash and exactly below
             order = np.lexsort((flat, rows))
             flat, rows = flat[order], rows[order]
             keep = np.zeros(len(least), dtype=bool)
@@ -86,25 +111,39 @@ def _edge_rows(batches):
                     keep[first : first + len(mine)] = have[place] == mine
             at = np.flatnonzero(keep & inside)
             row = words.row[at]
-            short = (words.hash >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            after, before = at + WINDOW, at - 1
-            has_after, has_before = after < words.first[row] + words.count[row], before >= words.first[row]
+            nodes = words.windows(WINDOW - 1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(words.windows(WINDOW)[at].view(np.int64)),
                     pa.array(ids[start + row]),
                     pa.array(rids[start + row]),
                     pa.array((at - words.first[row]).astype(np.int32)),
-                    pa.array(np.where(has_after, short[np.where(has_after, after, 0)], 0)),
-                    pa.array(np.where(has_before, short[np.where(has_before, before, 0)], 0)),
+                    pa.array(nodes[at]),
+                    pa.array(nodes[at + 1]),
                 ],
-                names=["h", "doc_id", "rid", "pos", "next", "prev"],
+                names=["h", *ROW, "pos", "left", "right"],
             )
 
 
+def _digests(batches):
+    """128 bits of the SHA-256 of the words ``start`` to ``start + len`` of a row, for each of its ``asked`` stretches."""
+    for batch in batches:
+        asked = batch.column(1).to_pylist()
+        for start, to, words in chunks(batch.column(0)):
+            joined, begin, end = words.joined()
+            keys, found = [], []
+            for first, stretches in zip(words.first.tolist(), asked[start:to]):
+                for s in stretches:
+                    a = first + s["start"]
+                    keys.append(s["key"])
+                    found.append(hashlib.sha256(joined[begin[a] : end[a + s["len"] - 1]]).digest()[:16])
+            halves = np.frombuffer(b"".join(found), dtype="<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.column(1).type.value_type.field("key").type), pa.array(halves[:, 0]), pa.array(halves[:, 1])], names=["key", "d1", "d2"])
+
+
 def _cut(batches):
     for batch in batches:
-        columns = batch.to_pydict()
+        columns = batch.select(["text", "copied", "spans"]).to_pydict()
         n_words, n_removed, kept = [], [], []
         for text, copy, spans in zip(columns["text"], columns["copied"], columns["spans"]):
             words = (text or "").encode("utf-8", "surrogatepass").split()
@@ -123,95 +162,162 @@ def _cut(batches):
             else:
                 n_removed.append(0)
             kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
+        carried = [batch.column(i) for i in range(4, batch.num_columns)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
-            names=["doc_id", "rid", "n_words", "n_removed", "kept_text"],
+            [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()), *carried],
+            names=["doc_id", "n_words", "n_removed", "kept_text", *batch.schema.names[4:]],
         )
 
 
-def compact_paths(edges: DataFrame) -> DataFrame:
-    """Edges (h, src, srcpos, forks, joins) with the number of the unbranched path in their source that they lie on."""
-    along = Window.partitionBy("src").orderBy("srcpos", "h")
-    begins = F.coalesce((F.lag("srcpos").over(along) != F.col("srcpos") - 1) | F.lag("forks").over(along) | F.col("joins"), F.lit(True))
-    return edges.withColumn("begins", begins).withColumn("path", F.sum(F.col("begins").cast("int")).over(along)).drop("begins")
+def compact_paths(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """Repeated edges (h, src, srid, srcpos, left, right, n) with ``path``, the place in the source where their path begins.
+
+    Two edges are linked at a node that one repeated edge enters and one leaves, if they follow each other in the
+    source; places there rise along a path, so it has a beginning.
+    """
+    into = edges.groupBy(F.col("right").alias("node")).agg(F.count(F.lit(1)).alias("n_in"), *(F.min(c).alias(f"a_{c}") for c in (*SOURCE, "srcpos")))
+    out = edges.groupBy(F.col("left").alias("node")).agg(F.count(F.lit(1)).alias("n_out"), F.min("h").alias("h"), *(F.min(c).alias(c) for c in (*SOURCE, "srcpos")))
+    alone = into.where("n_in = 1").join(out.where("n_out = 1"), "node")
+    links = alone.where("a_src = src and a_srid = srid and a_srcpos + 1 = srcpos").select("h", F.lit(True).alias("linked"))
+    linked = edges.join(links, "h", "left").select("h", *SOURCE, "srcpos", "n", F.coalesce("linked", F.lit(False)).alias("linked"))
+    # within a block: the part of a path that lies in it, named by its first place
+    block = Window.partitionBy(*SOURCE, F.floor(F.col("srcpos") / BLOCK)).orderBy("srcpos", "h")
+    begins = ~F.col("linked") | (F.col("srcpos") % BLOCK == 0)
+    placed = scratch.save("placed", linked.withColumn("part", F.max(F.when(begins, F.col("srcpos"))).over(block)))
+    parts = placed.groupBy(*SOURCE, "part").agg(F.max("srcpos").alias("last"), F.max(F.when(F.col("srcpos") == F.col("part"), F.col("linked"))).alias("goes_on"))
+    parts = scratch.save("parts", parts)
+    # from block to block: a part that goes on points to the part that ends just before it
+    ends = parts.select(*SOURCE, F.col("part").alias("head"), (F.col("last") + 1).alias("part"))
+    heads = scratch.save("heads-0", parts.where("goes_on").join(ends, [*SOURCE, "part"]).select(*SOURCE, "part", "head"))
+    n = 0
+    while True:
+        further = heads.select(*SOURCE, F.col("part").alias("head"), F.col("head").alias("next"))
+        joined = heads.join(further, [*SOURCE, "head"], "left")
+        n += 1
+        heads = scratch.save(f"heads-{n}", joined.select(*SOURCE, "part", F.coalesce("next", "head").alias("head"), F.col("next").isNotNull().alias("moved")))
+        scratch.drop(f"heads-{n - 1}")
+        if heads.where("moved").limit(1).isEmpty():
+            break
+        heads = heads.drop("moved")
+    heads = heads.select(*SOURCE, "part", "head")
+    return placed.join(heads, [*SOURCE, "part"], "left").select("h", *SOURCE, "srcpos", F.coalesce("head", "part").alias("path"), "n")
+
+
+def _along(later: DataFrame) -> DataFrame:
+    """Spans of occurrences that run along a path: (doc_id, rid, start, last, src, srid, shift, path, n)."""
+    return later.groupBy(*ROW, *SOURCE, "path", (F.col("srcpos") - F.col("pos")).alias("shift")).agg(
+        F.min("pos").alias("start"), F.max("pos").alias("last"), F.count(F.lit(1)).alias("n")
+    )
 
 
-def repeated_spans(source: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Of rows (doc_id, text, rid): spans (rid, start, stop, src, src_start) and the rids of whole copies."""
-    known = source.where(F.col("doc_id").isNotNull())
+def _pieces(spans: DataFrame) -> DataFrame:
+    """Spans cut where a block of their source ends: those of the document and those of the source, with one key."""
+    a, b = F.col("start") + F.col("shift"), F.col("stop") + F.col("shift")
+    at = F.explode(F.sequence(F.floor(a / BLOCK), F.floor((b - 1) / BLOCK)))
+    cut = spans.select(*ROW, *SOURCE, "start", "stop", "shift", at.alias("block"))
+    cut = cut.withColumns({"a": F.greatest(F.col("start") + F.col("shift"), F.col("block") * BLOCK), "b": F.least(F.col("stop") + F.col("shift"), (F.col("block") + 1) * BLOCK)})
+    return cut.withColumns({"at": F.col("a").cast("int"), "len": (F.col("b") - F.col("a")).cast("int")}).drop("a", "b", "block")
+
+
+def _compare(known: DataFrame, asked: DataFrame) -> DataFrame:
+    """(key, d1, d2) of the stretches ``asked`` (doc_id, rid, start, len, key) for."""
+    rows = asked.groupBy(*ROW).agg(F.collect_list(F.struct("start", "len", "key")).alias("asked"))
+    key = asked.schema["key"].dataType.simpleString()
+    return known.join(rows, ROW).select("text", "asked").mapInArrow(_digests, f"key {key}, d1 long, d2 long")
+
+
+def _verified(known: DataFrame, spans: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """``spans`` (doc_id, rid, start, stop, src, srid, shift) whose words are those of the source, and what is right instead of the others."""
+    key = F.struct(*SOURCE, "at", "len")
+    cut = _pieces(spans)
+    own = cut.select(*ROW, (F.col("at") - F.col("shift")).alias("start"), "len", key.alias("key"))
+    # few stretches of a block of the source differ, so this is bounded by the text of the source, whatever the number of spans
+    there = cut.select(F.col("src").alias("doc_id"), F.col("srid").alias("rid"), F.col("at").alias("start"), "len", key.alias("key")).distinct()
+    seen = _compare(known, own.unionByName(there)).select("key.*", "d1", "d2").groupBy(*SOURCE, "at", "len")
+    differ = seen.agg(*(f(c).alias(f"{n}_{c}") for c in ("d1", "d2") for n, f in (("min", F.min), ("max", F.max)))).where("min_d1 <> max_d1 or min_d2 <> max_d2")
+    differ = scratch.save("differ", differ.select(*SOURCE, "at", "len"))
+    if differ.isEmpty():
+        return spans
+    span = [*ROW, *SOURCE, "start", "stop", "shift"]
+    wrong = scratch.save("wrong", _pieces(spans).join(differ, [*SOURCE, "at", "len"], "left_semi").select(span).distinct())
+    places = wrong.select(*ROW, F.explode(F.sequence("start", F.col("stop") - WINDOW)).alias("pos"))
+    hashes = edges.join(places, [*ROW, "pos"], "left_semi").select("h").distinct()
+    windows = edges.join(hashes, "h", "left_semi").select(*ROW, F.col("pos").alias("start"), F.lit(WINDOW).alias("len"), F.struct("h", *ROW, "pos").alias("key"))
+    told = scratch.save("told", _compare(known, windows).select("key.*", "d1", "d2"))
+    first = told.groupBy("h", "d1", "d2").agg(F.min("doc_id").alias("src"), F.min_by("rid", "doc_id").alias("srid"), F.min_by("pos", "doc_id").alias("at"))
+    singly = told.join(first, ["h", "d1", "d2"]).where("doc_id > src")
+    singly = singly.select(*ROW, *SOURCE, F.col("pos").alias("start"), (F.col("pos") + WINDOW).alias("stop"), (F.col("at") - F.col("pos")).alias("shift"))
+    return spans.join(wrong, span, "left_anti").select(span).unionByName(singly)
+
+
+def repeated_spans(known: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Of rows (doc_id, text, rid): spans (doc_id, rid, start, stop, src, srid, shift) and the rows (doc_id, rid) of whole copies."""
     words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", " "))
-    shas = scratch.save("shas", known.select("doc_id", "rid", F.sha2(words, 256).alias("sha")))
-    # saved, so that the join below has exchanges of its own and a text with very many copies can be split
-    firsts = shas.groupBy("sha").agg(F.min("doc_id").alias("src"), F.max("doc_id").alias("last")).where("src < last").select("sha", "src")
+    shas = scratch.save("shas", known.select(*ROW, F.sha2(words, 256).alias("sha")))
+    firsts = shas.groupBy("sha").agg(F.min("doc_id").alias("src"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")).where("src < last").drop("last")
     firsts = scratch.save("firsts", firsts)
-    copies = scratch.save("copies", shas.join(firsts, "sha").where("doc_id > src").select("rid").distinct())
+    copies = join_counted(shas, firsts, ["sha"], shas.count(), ROW).where("doc_id > src").select(ROW).distinct()
+    copies = scratch.save("copies", copies)
+    scratch.drop("shas", "firsts")
 
-    by_text = known.select("rid", "text").mapInArrow(lambda it: _minimizer_rows(it, True), "m long, owner long")
-    shared = by_text.groupBy("m").agg(F.min("owner").alias("a"), F.max("owner").alias("b")).where("a <> b").select("m")
+    by_text = known.select("text").mapInArrow(_minimizers_of_texts, "m long, t1 long, t2 long")
+    several = [F.min("t1") != F.max("t1"), F.min("t2") != F.max("t2")]
+    shared = by_text.groupBy("m").agg(reduce(operator.or_, several).alias("several"), F.count(F.lit(1)).alias("n")).where("several").select("m", "n")
     shared = scratch.save("shared", shared)
-    by_row = known.select("rid", "text").mapInArrow(lambda it: _minimizer_rows(it, False), "m long, owner long")
-    marks = by_row.join(shared, "m", "left_semi").groupBy(F.col("owner").alias("rid")).agg(F.collect_list("m").alias("marks"))
-    marks = scratch.save("marks", marks.join(copies, "rid", "left_anti"))
-
-    marked = known.join(marks, "rid").select("doc_id", "rid", "text", "marks")
-    edges = scratch.save("edges", marked.mapInArrow(_edge_rows, "h long, doc_id long, rid long, pos int, next int, prev int"))
+    by_row = scratch.save("minimizers", known.select(*ROW, "text").mapInArrow(_minimizers_of_rows, "m long, doc_id long, rid long"))
+    marks = join_counted(by_row, shared, ["m"], by_row.count(), ROW).groupBy(*ROW).agg(F.collect_list("m").alias("marks"))
+    marks = scratch.save("marks", marks.join(copies, ROW, "left_anti"))
+    scratch.drop("minimizers", "shared")
+
+    marked = known.join(marks, ROW).select(*ROW, "text", "marks")
+    edges = scratch.save("edges", marked.mapInArrow(_edge_rows, "h long, doc_id long, rid long, pos int, left long, right long"))
+    scratch.drop("marks")
     repeated = (
         edges.groupBy("h")
         .agg(
-            F.min("doc_id").alias("src"), F.max("doc_id").alias("last"), F.min_by("pos", "doc_id").alias("srcpos"),
-            F.min("next").alias("n1"), F.max("next").alias("n2"), F.min("prev").alias("p1"), F.max("prev").alias("p2"),
+            F.min("doc_id").alias("src"), F.max("doc_id").alias("last"), F.min_by("rid", "doc_id").alias("srid"), F.min_by("pos", "doc_id").alias("srcpos"),
+            F.min("left").alias("left"), F.min("right").alias("right"), F.count(F.lit(1)).alias("n"),
         )
         .where("src < last")
-        .select("h", "src", "srcpos", (F.col("n1") != F.col("n2")).alias("forks"), (F.col("p1") != F.col("p2")).alias("joins"))
+        .drop("last")
     )
-    paths = scratch.save("paths", compact_paths(repeated).select("h", "src", "srcpos", "path"))
-
-    later = edges.select("h", "doc_id", "rid", "pos").join(paths, "h").where("doc_id > src")
-    along = (
-        later.groupBy("rid", "src", "path", (F.col("srcpos") - F.col("pos")).alias("shift"))
-        .agg(F.min("pos").alias("start"), F.max("pos").alias("last"), F.count(F.lit(1)).alias("n"))
-        .withColumn("agrees", F.col("n") == F.col("last") - F.col("start") + 1)
-    )
-    along = scratch.save("along", along)
-    spans = along.where("agrees").select("rid", "start", "last", "src", (F.col("start") + F.col("shift")).alias("src_start"))
-    odd = along.where("not agrees").select("rid", "src", "path", "shift")
-    if not odd.isEmpty():
-        singly = later.withColumn("shift", F.col("srcpos") - F.col("pos")).join(odd.distinct(), ["rid", "src", "path", "shift"])
-        spans = spans.unionByName(singly.select("rid", F.col("pos").alias("start"), F.col("pos").alias("last"), "src", F.col("srcpos").alias("src_start")))
-    spans = scratch.save("spans", spans.select("rid", "start", (F.col("last") + WINDOW).alias("stop"), "src", "src_start"))
-    scratch.drop("edges", "paths", "along", "marks", "shared")
+    repeated = scratch.save("repeated", repeated)
+    paths = scratch.save("paths", compact_paths(repeated, scratch))
+    scratch.drop("repeated", "placed", "parts")
+
+    later = join_counted(edges.select("h", *ROW, "pos"), paths, ["h"], edges.count(), [*ROW, "pos"]).where("doc_id > src")
+    along = scratch.save("along", _along(later))
+    whole = F.col("n") == F.col("last") - F.col("start") + 1
+    spans = along.where(whole).select(*ROW, *SOURCE, "start", (F.col("last") + WINDOW).alias("stop"), "shift")
+    group = [*ROW, *SOURCE, "path", "shift"]
+    odd = along.where(~whole).select(group)
+    if not odd.isEmpty():  # a path of which an occurrence lacks an edge: its edges are taken singly
+        singly = later.withColumn("shift", F.col("srcpos") - F.col("pos")).join(odd, group, "left_semi")
+        spans = spans.unionByName(singly.select(*ROW, *SOURCE, F.col("pos").alias("start"), (F.col("pos") + WINDOW).alias("stop"), "shift"))
+    spans = scratch.save("spans", spans)
+    scratch.drop("along", "paths")
+    spans = scratch.save("verified", _verified(known, spans, edges, scratch))
+    scratch.drop("edges", "spans")
     return spans, copies
 
 
-def dedup_substrings(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: doc_id, n_words, n_removed, kept_text (kept words joined by one space), and ``keep``.
+def dedup_substrings(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_words, n_removed, kept_text (kept words joined by one space).
 
     Each word is removed that lies in a window of 13 words which also starts in a document with a smaller doc_id. Null
     and empty texts have no words; texts under 13 words lose nothing. A row without doc_id has no place in the order:
     it loses nothing and takes nothing from others. Rows that repeat a doc_id lose nothing to each other. Very long
-    texts are treated whole. Columns not in ``keep`` are ignored; an empty table gives an empty result.
+    texts are treated whole. Other columns are ignored, whatever their names, or with ``carry`` come along in a struct
+    ``row`` with all input columns; an empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "substrings")
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("rid"))
-    spans, copies = repeated_spans(source, scratch)
-    marks = (
-        spans.groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).join(copies.withColumn("copied", F.lit(True)), "rid", "full")
-    )
-    extra = [docs[c].alias(f"_{c}") for c in keep]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("rid"), *extra)
-    ready = rows.join(marks, "rid", "left")
-    if not keep:
-        return ready.select("doc_id", "rid", "text", "copied", "spans").mapInArrow(_cut, "doc_id long, rid long, n_words long, n_removed long, kept_text string").drop("rid")
-    return ready.select("doc_id", "rid", "text", "copied", "spans", *(f"_{c}" for c in keep)).mapInArrow(
-        lambda it: _cut_with(it, keep), "doc_id long, n_words long, n_removed long, kept_text string, " + ", ".join(f"_{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
-    ).withColumnsRenamed({f"_{c}": c for c in keep})
-
-
-def _cut_with(batches, keep):
-    for batch in batches:
-        (cut,) = _cut([batch])
-        columns = [cut.column(i) for i in (0, 2, 3, 4)] + [batch.column(batch.schema.get_field_index(f"_{c}")) for c in keep]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept_text", *(f"_{c}" for c in keep)])
+    carried = [F.struct("*").alias("row")] if carry else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("rid"), *carried)
+    spans, copies = repeated_spans(rows.where(F.col("doc_id").isNotNull()).select("doc_id", "text", "rid"), scratch)
+    marks = spans.groupBy(*ROW).agg(F.collect_list(F.struct("start", "stop")).alias("spans")).join(copies.withColumn("copied", F.lit(True)), ROW, "full")
+    ready = rows.join(marks, ROW, "left").select("doc_id", "text", "copied", "spans", *(["row"] if carry else []))
+    schema = "doc_id long, n_words long, n_removed long, kept_text string"
+    return ready.mapInArrow(_cut, f"{schema}, row {ready.schema['row'].dataType.simpleString()}" if carry else schema)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,11 +326,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All columns of ``docs``; a text that loses words becomes its kept words, and a row that loses all goes."""
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    found = dedup_substrings(docs, others).where("n_words = 0 or n_removed < n_words")
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    found = found.withColumn("text", text)
-    if "n_chars" in others:
-        found = found.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+    """All columns of ``docs``; a text that loses words becomes its kept words (and n_chars their length), and a row that loses all goes.
+
+    Null, empty and short texts stay as they are. Columns of any name are kept; an empty table gives an empty result.
+    """
+    found = dedup_substrings(docs, carry=True).where("n_words = 0 or n_removed < n_words")
+    cut = F.col("n_removed") > 0
+    fields = {c: F.col("row").getField(c) for c in docs.columns}
+    changed = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return found.select(*(F.when(cut, changed[c]).otherwise(v).alias(c) if c in changed else v.alias(c) for c, v in fields.items()))
