@@ -3,12 +3,20 @@
 Rows are addressed by a 64-bit hash of the normalised text. The index directory maps the top bits of that hash to
 buckets: it starts with one bucket and doubles, splitting every overfull bucket by its next bit, until each bucket
 is within its capacity or the directory is at its full depth of 16 bits (a bucket that is still overfull there is
-kept whole, with its rows in sorted order, as an overflow chain). Owner tasks then take ranges of buckets, walk the
-rows of each key, chain texts that differ under one key and compare the bytes of every text with those in the chain.
+kept whole, with its rows in sorted order, as an overflow chain). Buckets in key order are dealt to owners, each with
+a range of keys. An owner task walks the rows of each key, compares the bytes of every text with those in the key's
+chain and puts a text that differs at its end; the chains say which rows are equal, which row stays and how many there
+are. Owners write the index: a folder for each owner, whose rows hold their bucket, key, place in the chain and ids,
+and the text at the head of each chain.
+
+A key with much of the table is dealt over several tasks, and a key with more ids than a task should hold is not
+resolved at once: the heads of their chains then meet once more, are compared by bytes, and give the rest its groups.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,9 +25,13 @@ from ._scratch import Scratch, shuffle_partitions
 
 SPACES = "[\\x20\\x09-\\x0D]+"
 DIRECTORY_BITS = 16
-#: Rows of one key above this share of all index rows make the key hot; at most 1/HOT_SHARE keys can be hot.
+#: Rows of one key above this share of all rows make the key hot; fewer than 1/HOT_SHARE keys can be hot.
 HOT_SHARE = 0.001
 HOT_SALTS = 64
+#: Ids of one key that an owner holds before it writes them without their group.
+HELD_IDS = 65_536
+INDEX = "owner int, bucket int, key long, salt int, place int, text string, sha string, min_id long, rows long, ids array<long>, keep_id long, group_size long"
+NAMES = [f.split()[0] for f in INDEX.split(", ")]
 
 
 def normalised(text: Column) -> Column:
@@ -74,74 +86,183 @@ def _fold(batches):
             )
 
 
-def _own(batches):
-    """Chain the texts of each key of sorted rows; a row's ``text_no`` tells which text of the chain it has.
+def owners_of(directory: np.ndarray, histogram: dict[int, int], n: int) -> np.ndarray:
+    """Owner of each hash prefix: consecutive buckets, so that each of ``n`` owners has about as many rows."""
+    counts = np.zeros(len(directory), dtype=np.int64)
+    for prefix, rows in histogram.items():
+        counts[prefix] = rows
+    whole = np.bincount(directory, weights=counts, minlength=len(directory))
+    before = np.cumsum(whole) - whole
+    return (before[directory] * n // max(1, counts.sum())).astype(np.int64)
 
-    Only the chain of the current key is held. Texts that differ under one key get their own place in the chain; the
-    place is named by the text's SHA-256, so that the salted parts of a hot key agree on it.
+
+def _chains(rows, resolve: bool):
+    """Tuples of INDEX from tuples (owner, bucket, key, salt, sha, min_id, rows, ids, text) with equal keys together.
+
+    The chain of the current key is held, and of its ids ``HELD_IDS`` and those of one row more. Groups of salted keys
+    and of keys beyond that come out without keep_id and group_size.
     """
-    current, chain = None, {}
+
+    def least(a, b):
+        return b if a is None else a if b is None else min(a, b)
+
+    def close():
+        whole = resolve and not spilled and current is not None and current[3] == 0
+        groups = {place: (head[4], head[5]) for place, head in enumerate(chain.values())}
+        for place, (text, head) in enumerate(zip(chain, chain.values())):
+            ids, keep, size = head[6], *(groups[place] if whole else (None, None))
+            yield (*current, place, text, head[3], head[4], head[5], ids, keep, size)
+
+    current, chain, held, spilled = None, {}, 0, False
+    for owner, bucket, key, salt, sha, min_id, n, ids, text in rows:
+        if current is None or key != current[2] or salt != current[3]:
+            yield from close()
+            current, chain, held, spilled = (owner, bucket, key, salt), {}, 0, False
+        head = chain.get(text)  # compares the bytes with those of the chain
+        if head is None:
+            head = chain[text] = [owner, bucket, key, sha, None, 0, [], len(chain)]
+        head[4], head[5] = least(head[4], min_id), head[5] + n
+        head[6] += ids
+        held += len(ids)
+        if held > HELD_IDS:
+            for other in chain.values():
+                if other[6]:
+                    yield (*current, other[7], None, other[3], None, 0, other[6], None, None)
+                    other[6] = []
+            held, spilled = 0, True
+    yield from close()
+
+
+def _own(batches):
+    """The index rows of an owner's key ranges; its rows come sorted by owner, bucket, key and salt."""
+
+    def rows():
+        for batch in batches:
+            columns = {c: batch.column(batch.schema.get_field_index(c)) for c in ("owner", "bucket", "key", "salt", "sha", "min_id", "rows", "ids", "norm")}
+            texts = columns.pop("norm")
+            for *row, i in zip(*(c.to_pylist() for c in columns.values()), range(batch.num_rows)):
+                yield *row, texts[i].as_buffer().to_pybytes()
+
+    held, size = [], 0
+    for row in _chains(rows(), True):
+        held.append(row)
+        size += len(row[5] or b"") + 8 * len(row[9])
+        if size > 1 << 20 or len(held) == 10_000:
+            yield _batch(held)
+            held, size = [], 0
+    if held:
+        yield _batch(held)
+
+
+def _batch(rows) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+    columns[5] = columns[5].cast(pa.string())
+    return pa.RecordBatch.from_arrays(columns, names=NAMES)
+
+
+def _meet(batches):
+    """Groups of the heads of unresolved chains: (key, salt, place, keep_id, group_size); heads come sorted by key and text."""
+    waiting: list[tuple] = []
+    last = None
+    found: list[tuple] = []
+
+    def close():
+        keep = min((w[3] for w in waiting if w[3] is not None), default=None)
+        size = sum(w[4] for w in waiting)
+        found.extend((*w[:3], keep, size) for w in waiting)
+
     for batch in batches:
-        keys, shas, norms = (batch.column(batch.schema.get_field_index(c)) for c in ("key", "sha", "norm"))
-        keys, shas = keys.to_pylist(), shas.to_pylist()
-        for i, (key, sha) in enumerate(zip(keys, shas)):
-            if key != current:
-                current, chain = key, {}
-            raw = norms[i].as_buffer().to_pybytes()
-            if chain.setdefault(sha, raw) != raw:
-                raise ValueError(f"two texts with SHA-256 {sha}")
-        yield batch.select(["key", "sha", "min_id", "rows", "ids"])
+        columns = [batch.column(batch.schema.get_field_index(c)) for c in ("key", "salt", "place", "min_id", "rows")]
+        texts = batch.column(batch.schema.get_field_index("text"))
+        for *row, i in zip(*(c.to_pylist() for c in columns), range(batch.num_rows)):
+            this = (row[0], texts[i].as_buffer().to_pybytes())
+            if this != last:  # the bytes differ from those before
+                close()
+                waiting, last = [], this
+            waiting.append(tuple(row))
+        if len(found) > 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), _MET)], names=["key", "salt", "place", "keep_id", "group_size"])
+            found.clear()
+    close()
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), _MET)], names=["key", "salt", "place", "keep_id", "group_size"])
 
 
-def dedup_exact(docs: DataFrame, key: Column | None = None, capacity: int | None = None) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+_MET = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
 
-    Texts are equal when identical after each run of ASCII white space is replaced by one space; a null text counts
-    as empty. Of equal texts the smallest doc_id stays. A row without doc_id belongs to its group and its size but is
-    kept only if no row of the group has an id, and then keep_id is null; repeated rows with the kept doc_id are kept
-    all alike. Other columns are ignored; an empty table gives an empty result. ``key`` replaces the 64-bit hash of
-    the column ``norm`` (tests use a weak one to force chains); ``capacity`` is the rows a bucket may hold.
-    """
+
+@dataclass
+class ExactIndex:
+    """A directory (bucket and owner of each hash prefix) and the index rows in a folder for each owner."""
+
+    directory: np.ndarray
+    owners: np.ndarray
+    rows: DataFrame
+
+    def lookup(self, text: str | None) -> DataFrame:
+        """doc_id of the rows with an equal text: reads the bucket that the directory names, in its owner's folder only."""
+        spark = self.rows.sparkSession
+        wanted = spark.range(1).select(normalised(F.lit(text)).alias("norm")).select("norm", F.xxhash64("norm").alias("key")).first()
+        prefix = (wanted.key >> (64 - DIRECTORY_BITS)) & ((1 << DIRECTORY_BITS) - 1)
+        bucket = self.rows.where((F.col("owner") == int(self.owners[prefix])) & (F.col("bucket") == int(self.directory[prefix])) & (F.col("key") == wanted.key))
+        heads = bucket.where(F.col("text") == wanted.norm).select("key", "salt", "place")
+        return bucket.join(heads, ["key", "salt", "place"], "left_semi").select(F.explode("ids").alias("doc_id"))
+
+
+def build_index(docs: DataFrame, scratch: Scratch, key: Column | None = None, capacity: int | None = None) -> ExactIndex:
+    """Write the index of all rows of ``docs`` (doc_id, text). ``key`` and ``capacity`` as in ``dedup_exact``."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "exact")
     norm = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised(docs["text"]).alias("norm"))
-    hashed = norm.select("doc_id", (F.xxhash64("norm") if key is None else key).alias("key"), "norm", F.sha2("norm", 256).alias("sha"))
-    entries = scratch.save("entries", hashed.mapInArrow(_fold, "key long, norm string, sha string, min_id long, rows long, ids array<long>"))
-
+    keyed = norm.select("doc_id", (F.xxhash64("norm") if key is None else key).alias("key"), "norm")
     prefix = F.shiftrightunsigned("key", 64 - DIRECTORY_BITS).cast("int")
-    histogram = {r["p"]: r["n"] for r in entries.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    keys = scratch.save("keys", keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    histogram = {r["p"]: r["n"] for r in keys.groupBy(prefix.alias("p")).agg(F.sum("n").alias("n")).collect()}  # at most 2**DIRECTORY_BITS rows
     total = sum(histogram.values())
     parts = shuffle_partitions(spark)
-    # no fewer than 16 buckets for a partition, so that whole buckets spread evenly
+    # no fewer than 16 buckets and 4 owners for a partition, so that whole key ranges spread evenly
     directory = build_directory(histogram, capacity or max(1, total // (16 * parts)))
-    lookup = spark.createDataFrame(
-        [(int(p), int(directory[p])) for p in histogram], "prefix int, bucket long"
-    )  # at most 2**DIRECTORY_BITS rows
-    hot = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(1, int(total * HOT_SHARE))).select("key", F.lit(True).alias("hot"))
+    owners = owners_of(directory, histogram, 4 * parts)
+    lookup = spark.createDataFrame([(int(p), int(directory[p]), int(owners[p])) for p in histogram], "prefix int, bucket int, owner int")
+    hot = keys.where(F.col("n") > max(1, int(total * HOT_SHARE))).select("key", F.lit(True).alias("hot"))
+    entries = keyed.select("doc_id", "key", "norm", F.sha2("norm", 256).alias("sha")).mapInArrow(_fold, "key long, norm string, sha string, min_id long, rows long, ids array<long>")
+    salt = F.when(F.col("hot"), 1 + F.pmod(F.xxhash64("min_id", "rows", "sha"), F.lit(HOT_SALTS))).otherwise(F.lit(0)).cast("int")
     placed = (
         entries.withColumn("prefix", prefix)
-        .join(F.broadcast(lookup), "prefix")
+        .join(F.broadcast(lookup), "prefix")  # at most 2**DIRECTORY_BITS rows
         .join(F.broadcast(hot), "key", "left")  # fewer than 1/HOT_SHARE rows
-        .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("min_id", "rows", F.monotonically_increasing_id()), F.lit(HOT_SALTS))).otherwise(F.lit(0)))
+        .withColumn("salt", salt)
     )
-    owned = (
-        placed.repartition(parts, "bucket", "salt")
-        .sortWithinPartitions("bucket", "key", "sha")
-        .select("key", "sha", "min_id", "rows", "ids", "norm")
-        .mapInArrow(_own, "key long, sha string, min_id long, rows long, ids array<long>")
-    )
-    owned = scratch.save("index", owned)
-    scratch.drop("entries")
+    owned = placed.repartition(parts, "owner", "salt").sortWithinPartitions("owner", "bucket", "key", "salt")
+    rows = owned.select("owner", "bucket", "key", "salt", "sha", "min_id", "rows", "ids", "norm").mapInArrow(_own, INDEX)
+    return ExactIndex(directory, owners, scratch.save("index", rows, ("owner",)))
+
+
+def groups_of(index: ExactIndex, scratch: Scratch) -> DataFrame:
+    """(doc_id, keep_id, group_size, sha) of all rows of an index."""
+    rows = index.rows
+    open_ = rows.where("group_size is null")
+    heads = open_.where("text is not null").select("key", "salt", "place", "text", "min_id", "rows")
+    # one row for each task and text of a key that is hot or oversized
+    met = heads.repartition(shuffle_partitions(rows.sparkSession), "key").sortWithinPartitions("key", "text").mapInArrow(_meet, "key long, salt int, place int, keep_id long, group_size long")
+    met = scratch.save("met", met)
+    rest = open_.where(F.size("ids") > 0).select("key", "salt", "place", "ids", "sha").join(met, ["key", "salt", "place"])
+    columns = ["ids", "keep_id", "group_size", "sha"]
+    return rows.where("group_size is not null").select(columns).unionByName(rest.select(columns)).select(F.explode("ids").alias("doc_id"), "keep_id", "group_size", "sha")
 
-    groups = owned.groupBy("key", "sha").agg(F.min("min_id").alias("keep_id"), F.sum("rows").alias("group_size"), F.count(F.lit(1)).alias("parts"))
-    groups = scratch.save("groups", groups)
-    heavy = groups.where(F.col("parts") > max(1, int(total * HOT_SHARE)))  # fewer than 1/HOT_SHARE rows
-    light = groups.where(F.col("parts") <= max(1, int(total * HOT_SHARE)))
-    rows = owned.select("key", "sha", "ids")
-    by_heavy = rows.join(F.broadcast(heavy), ["key", "sha"])
-    by_light = rows.join(F.broadcast(heavy.select("key", "sha")), ["key", "sha"], "left_anti").join(light, ["key", "sha"])
-    members = by_heavy.unionByName(by_light).select(F.explode("ids").alias("doc_id"), "keep_id", F.col("group_size").cast("long").alias("group_size"), F.col("sha").alias("text_sha256"))
-    return members.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+
+def dedup_exact(docs: DataFrame, key: Column | None = None, capacity: int | None = None) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Texts are equal when identical after each run of ASCII white space is replaced by one space; a null text counts
+    as empty. Of equal texts the smallest doc_id stays. A row without doc_id belongs to its group and its size but is
+    kept only if no row of the group has an id, and then keep_id is null; repeated rows with the kept doc_id are kept
+    all alike. Other columns are ignored; an empty table gives an empty result. ``key`` replaces the 64-bit hash of
+    the column ``norm`` (tests use a weak one to force chains); ``capacity`` is the rows a bucket may hold.
+    """
+    scratch = Scratch(docs.sparkSession, "exact")
+    found = groups_of(build_index(docs, scratch, key, capacity), scratch)
+    return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,13 +270,15 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row of each group that stays, with all its columns; of repeated rows (same doc_id and text) one."""
+    """The row of each group that stays, with all its columns; of repeated rows (same doc_id and text) one.
+
+    Null texts count as empty. Columns of any name are kept; an empty table gives an empty result.
+    """
     result = dedup_exact(docs)
-    alone = F.col("kept") | (F.col("doc_id").isNull() & F.col("keep_id").isNull())
-    row = F.xxhash64("doc_id", "_sha")  # a null doc_id leaves the hash of the text
-    kept = result.where(alone).select("doc_id", F.col("text_sha256").alias("_sha")).distinct().select("_sha", row.alias("_row"))
-    marked = docs.withColumn("_sha", F.sha2(normalised(docs["text"]), 256)).withColumn("_row", row)
-    return marked.join(kept, ["_row", "_sha"], "left_semi").dropDuplicates(["_row", "_sha"]).drop("_row", "_sha")
+    same = [F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none")]
+    kept = result.where(F.col("kept")).select(*same, F.col("text_sha256").alias("sha")).distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(normalised(docs["text"]), 256).alias("sha"), F.struct("*").alias("row")).select(*same, "sha", "row")
+    return rows.join(kept, ["id", "none", "sha"], "left_semi").dropDuplicates(["id", "none", "sha"]).select("row.*")
 
 
 ORACLE_SQL = """
