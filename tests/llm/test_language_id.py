@@ -1,18 +1,18 @@
 import math
 from collections import Counter, defaultdict
+from functools import cache
 from pathlib import Path
 from zlib import crc32
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id
-from tidemark.llm.language_id import Model, identify, op4_language_id, train
+from tidemark.llm.language_id import _model, identify, learn_counts, op4_language_id, train
 
 SF = Path("/root/testdata/sf0.001")
 
 
-def plain_bits(training, text, alphabet):
+def plain_bits(training, text):
     """Method C with exclusion by recursion over contexts."""
     counts = defaultdict(Counter)
     for t in training:
@@ -22,37 +22,74 @@ def plain_bits(training, text, alphabet):
                 counts[raw[i - k : i]][raw[i]] += 1
 
     def p(context, byte):
-        shorter = (lambda b: p(context[1:], b)) if context else (lambda b: 1 / (len(alphabet) + 1))
+        shorter = (lambda b: p(context[1:], b)) if context else (lambda b: 1 / 256)
         seen = counts.get(context)
         if not seen:
             return shorter(byte)
-        left = sum(shorter(b) for b in [*alphabet, None] if b not in seen)
+        left = sum(shorter(b) for b in range(256) if b not in seen)
         total = sum(seen.values()) + (len(seen) if left > 0 else 0)
         return seen[byte] / total if byte in seen else len(seen) / total * shorter(byte) / left
 
+    p = cache(p)
     raw = b"\n\n\n" + text.encode()
-    symbol = lambda b: b if b in alphabet else None
-    return sum(-math.log2(p(raw[i - 3 : i], symbol(raw[i]))) for i in range(3, len(raw)))
-
-
-def test_code_lengths_against_recursion(spark, monkeypatch):
-    monkeypatch.setattr(language_id, "MIN_SHARE", 0.0)
-    training = {"a": ["aba bab\nabba", "ab"], "b": ["bcb cc b", "é c"]}
-    docs = spark.createDataFrame([(k, t) for k, ts in training.items() for t in ts], "lang string, text string")
-    model = train(docs)
-    alphabet = sorted({b for ts in training.values() for t in ts for b in t.encode()})
-    assert model.languages == ["a", "b"]
-    for text in ["abab", "cb", "é", "xyz ab", "b"]:
-        got = model.code_lengths([b"\n\n\n", text.encode()])[0]
-        want = [plain_bits(training[k], text, alphabet) for k in model.languages]
-        assert np.allclose(got, want, rtol=1e-4)
-
-
-def test_every_context_is_a_distribution(spark):
-    docs = spark.read.parquet(str(SF / "documents.parquet")).limit(50)
-    model = train(docs)
-    mass = np.exp2(-model.table.astype(float)).reshape(-1, model.classes, len(model.languages)).sum(axis=1)
-    assert np.allclose(mass, 1, atol=1e-3)
+    return sum(-math.log2(p(raw[i - 3 : i], raw[i])) for i in range(3, len(raw)))
+
+
+def model_of(tables):
+    return _model(tables, [r.lang for r in tables.select("lang").distinct().collect()])
+
+
+TRAINING = {"a": ["aba bab\nabba", "ab"], "b": ["bcb cc b", "é c"], "c": ["".join(map(chr, range(1, 128))), "漢字 ½"]}
+
+
+def test_code_lengths_against_recursion(spark, docs_of):
+    docs = docs_of([(1, t, k) for k, ts in TRAINING.items() for t in ts])
+    model = model_of(train(docs))
+    assert model.languages == ["a", "b", "c"]
+    texts = ["abab", "cb", "é", "xyz ab", "b", "漢字 字漢", "\x01\x02", "aba bab\nabba é c", "日本"]
+    got = model.code_lengths([p for t in texts for p in (b"\n\n\n", t.encode())])
+    want = [[plain_bits(TRAINING[k], t) for k in model.languages] for t in texts]
+    assert np.allclose(got, want, rtol=1e-4)
+
+
+def test_predictions_against_recursion(spark, docs_of):
+    docs = spark.read.parquet(str(SF / "documents.parquet")).orderBy("doc_id").select("doc_id", "lang", F.substring("text", 1, 300).alias("text")).collect()
+    training, rows = defaultdict(list), []
+    for r in docs[:40]:
+        training[r.lang].append(r.text)
+    asked = [(r.doc_id, r.text) for r in docs[40:60]]
+    tables = train(docs_of([(r.doc_id, r.text, r.lang) for r in docs[:40]]))
+    languages = sorted(training)
+    for doc_id, text in asked:
+        bits = [plain_bits(training[k], text) for k in languages]
+        rows.append((doc_id, languages[int(np.argmin(bits))], 1 / sum(2 ** max(min(bits) - b, -1000) for b in bits)))
+    for cells in (1 << 24, 1):  # one block, and a block for each language
+        got = sorted((r.doc_id, r.lang_pred, r.score) for r in identify(docs_of(asked), tables, cells).collect())
+        assert [g[:2] for g in got] == [r[:2] for r in sorted(rows)] and np.allclose([g[2] for g in got], [r[2] for r in sorted(rows)], rtol=1e-2)
+
+
+def test_every_context_is_a_distribution(docs_of):
+    model = model_of(train(docs_of([(1, t, k) for k, ts in TRAINING.items() for t in ts])))
+    for context in (b"aba", b"xab", b"xyb", b"xyz", "漢".encode(), b"\x01\x02\x03"):
+        code = int.from_bytes(context) * 256 + np.arange(256)
+        place = model.strings.of(code)
+        bits = np.where((place >= 0)[:, None], model.after_3[place], model._escaped(code))
+        assert np.allclose(np.exp2(-bits.astype(float)).sum(axis=0), 1, atol=1e-3)
+
+
+def test_seventy_languages_and_ties(docs_of):
+    syllables = [a + b for a in "bdfgklmnprst" for b in "aeiouy"][:70]
+    text = lambda i, n: " ".join(syllables[i] + syllables[(i + k) % 70][0] for k in range(1, n))
+    tables = train(docs_of([(i, text(i, 20), f"l{i:02}") for i in range(70)] + [(100, text(3, 20), "same as l03")]))
+    for cells in (1 << 24, 20_000):
+        got = identify(docs_of([(i, text(i, 12)) for i in range(70)] + [(0, "12 ½ ²"), (3, text(3, 12))]), tables, cells).collect()
+        assert sorted((r.doc_id, r.lang_pred) for r in got) == sorted([(i, f"l{i:02}") for i in range(70)] + [(0, "und"), (3, "l03")])
+
+
+def test_sample_is_bounded_by_language(docs_of):
+    docs = docs_of([(i, f"wort {i} " * 50, "de") for i in range(400)] + [(1000 + i, f"mot {i} " * 5, "fr") for i in range(10)])
+    total = {r.lang: r.n for r in learn_counts(docs, 20_000).groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    assert 10_000 < total["de"] < 30_000 and total["fr"] == sum(len(f"mot {i} " * 5) for i in range(10))
 
 
 def test_odd_rows(spark, docs_of):

@@ -3,26 +3,31 @@
 For each language a byte context tree of order 3 is learned: how often each byte follows each context of up to three
 bytes. A byte's code length under a language uses the longest context that the language has; a byte that was not seen
 there costs an escape and is coded by the next shorter context among the bytes that the longer one does not have
-(method C with exclusion), down to a uniform code. Statistics are frozen, so the code length of a byte depends on the
-last three bytes alone: the driver tabulates it for every context of the joint tree, and a task sums table entries
-over all bytes of a text, for all languages at once. The language with the shortest code wins.
+(method C with exclusion), down to a uniform code over all 256 bytes. Statistics are frozen, so the code length of a
+byte depends on the last three bytes alone: a task per language tabulates it for every string that the language has,
+with the cost of the escape for every context, and scoring sums table entries over all bytes of a text. The language
+with the shortest code wins.
+
+No context, byte or language is left out of the trees. What is bounded is the training text: ``SAMPLE_BYTES`` of each
+language, whole texts drawn by a hash, so the tables of a language have at most that many entries. Languages are scored
+in blocks whose joint table has at most ``MAX_CELLS`` cells (or one language), and the blocks' results are merged.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ._scratch import Scratch
 
 ORDER = 3
-#: Bounds of the model: a followed context is kept if it makes up this share of its language (so at most 1/MIN_SHARE
-#: are), contexts of order 3 in the joint tree, byte classes (the rarest bytes share one), languages.
-MIN_SHARE, MAX_CONTEXTS, MAX_CLASSES, MAX_LANGUAGES = 2e-6, 20_000, 128, 64
-_LETTER = re.compile(r"[^\W\d_]")
+#: Bytes of training text expected of each language, and cells of a joint table.
+SAMPLE_BYTES, MAX_CELLS = 32 << 20, 1 << 24
 _PAD = b"\n" * ORDER
+#: Kinds of table rows: code lengths after one, two and three bytes, costs of the escape from two and three bytes.
+AFTER_1, AFTER_2, AFTER_3, ESCAPE_2, ESCAPE_3 = range(5)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -30,7 +35,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _runs(texts: pa.Array, size: int = 1 << 18):
-    """(rows, bytes of their texts, each after a pad, starts) in runs of about ``size`` bytes; empty texts are left out."""
+    """(rows, bytes of their texts, each after a pad) in runs of about ``size`` bytes; empty texts are left out."""
     rows, parts, n = [], [], 0
     for row, text in enumerate(texts):
         raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
@@ -45,15 +50,19 @@ def _runs(texts: pa.Array, size: int = 1 << 18):
         yield rows, parts
 
 
-def _grams(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, places that hold a byte of a text and no pad, first of these places for each text)."""
+def _grams(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(each byte of the texts with the three before it as one number, first place of each text)."""
     data = np.frombuffer(b"".join(parts), dtype=np.uint8)
     lengths = np.array([len(p) for p in parts[1::2]])
     begins = np.cumsum(lengths + ORDER) - lengths
     real = np.ones(len(data), dtype=bool)
     for k in range(1, ORDER + 1):
         real[begins - k] = False
-    return data, np.flatnonzero(real), np.cumsum(lengths) - lengths
+    wide = data.astype(np.uint32)
+    code = wide.copy()
+    for k in range(1, ORDER + 1):
+        code[k:] |= wide[:-k] << np.uint32(8 * k)
+    return code[real], np.cumsum(lengths) - lengths
 
 
 def _count(batches):
@@ -62,115 +71,245 @@ def _count(batches):
         for lang in set(langs.tolist()):
             texts = batch.column(1).take(pa.array(np.flatnonzero(langs == lang)))
             for _, parts in _runs(texts, 1 << 20):
-                data, at, _ = _grams(parts)
-                wide = data.astype(np.uint32)
-                code = (wide[at - 3] << 24) | (wide[at - 2] << 16) | (wide[at - 1] << 8) | wide[at]
-                gram, n = np.unique(code, return_counts=True)
+                gram, n = np.unique(_grams(parts)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
 
-def learn_counts(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n): the frequent four-byte strings of each language over all texts of ``docs`` (lang, text)."""
-    counts = docs.where("lang is not null and text is not null").select("lang", "text").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES)
-    return counts.join(totals, "lang").where(F.col("n") >= F.col("total") * MIN_SHARE).select("lang", "gram", "n")
+def learn_counts(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """(lang, gram, n): the four-byte strings of each language over a sample of ``docs`` (doc_id, lang, text).
+
+    A text is drawn if its hash is below the share of its language's bytes that ``sample_bytes`` makes up.
+    """
+    known = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
+    sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    drawn = known.join(sizes, "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) * F.col("bytes") < F.lit(float(sample_bytes) * (1 << 30)))
+    return drawn.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def _mixed(counts: np.ndarray, shorter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(P(byte), its factor to ``shorter`` for a byte that was not seen) for contexts with ``counts``; unseen ones have that of ``shorter``."""
+    seen = counts > 0
+    total, kinds = counts.sum(axis=1, keepdims=True), seen.sum(axis=1, keepdims=True)
+    left = np.where(seen, 0, shorter).sum(axis=1, keepdims=True)
+    kinds = np.where(left > 0, kinds, 0)
+    factor = np.where(total > 0, kinds / np.maximum(total + kinds, 1) / np.where(left > 0, left, 1), 1.0)
+    return np.where(seen, counts / np.maximum(total + kinds, 1), factor * shorter), factor[:, 0]
+
+
+def _bits(p: np.ndarray) -> np.ndarray:
+    return np.where(p > 0, -np.log2(np.where(p > 0, p, 1)), 0.0)
+
+
+def _sum_by(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found, place = np.unique(keys, return_inverse=True)
+    return found, np.bincount(place, weights=n, minlength=len(found))
+
+
+def tabulate(gram: np.ndarray, n: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(kind, codes, bits) of one language from its four-byte strings and their counts."""
+    dense = lambda keys, weights, rows: np.bincount(keys, weights=weights, minlength=256 * rows).reshape(rows, 256)
+    p0, _ = _mixed(dense(gram & 0xFF, n, 1), np.full((1, 256), 1 / 256))
+    p1, _ = _mixed(dense(gram & 0xFFFF, n, 256), np.repeat(p0, 256, axis=0))
+    out = [(AFTER_1, np.arange(1 << 16), _bits(p1).ravel())]
+
+    def order(codes, counts, shorter_of, after, escape, keep):
+        """Contexts in chunks, so that their dense rows take little memory; ``keep`` holds those of the next order."""
+        contexts, place = np.unique(codes >> 8, return_inverse=True)
+        bits, costs = np.empty(len(codes)), np.empty(len(contexts))
+        by_context = np.argsort(place, kind="stable")
+        bounds = np.searchsorted(place[by_context], np.arange(0, len(contexts) + 4096, 4096))
+        for k, first in enumerate(range(0, len(contexts), 4096)):
+            at = by_context[bounds[k] : bounds[k + 1]]
+            rows = min(4096, len(contexts) - first)
+            key = (place[at] - first) * 256 + (codes[at] & 0xFF)
+            p, factor = _mixed(dense(key, counts[at], rows), shorter_of(contexts[first : first + rows]))
+            bits[at], costs[first : first + rows] = _bits(p.ravel()[key]), _bits(factor)
+            if keep is not None:
+                keep.append(p)
+        out.extend([(after, codes, bits), (escape, contexts, costs)])
+        return contexts
+
+    kept: list[np.ndarray] = []
+    pairs = order(*_sum_by(gram & 0xFFFFFF, n), lambda c: p1[c & 0xFF], AFTER_2, ESCAPE_2, kept)
+    p2 = np.concatenate(kept) if kept else np.empty((0, 256))
+    order(gram, n, lambda c: p2[np.searchsorted(pairs, c & 0xFFFF)], AFTER_3, ESCAPE_3, None)
+    return out
+
+
+def _tabulate(key, counts: pd.DataFrame) -> pd.DataFrame:
+    tables = tabulate(counts["gram"].to_numpy(np.int64), counts["n"].to_numpy(np.float64))
+    kind = np.repeat([k for k, _, _ in tables], [len(c) for _, c, _ in tables])
+    return pd.DataFrame({"lang": key[0], "kind": kind.astype(np.int32), "code": np.concatenate([c for _, c, _ in tables]), "bits": np.concatenate([b for _, _, b in tables]).astype(np.float32)})
+
+
+class _Places:
+    """Place of each of some 32-bit codes in an array of distinct ones, by open addressing."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes = codes.astype(np.uint32)
+        self.shift = np.uint32(32 - max(4, int(2 * len(codes)).bit_length()))
+        self.slots = np.full(1 << (32 - int(self.shift)), -1, dtype=np.int32)
+        rest = np.arange(len(codes), dtype=np.int32)
+        slot = self._slot(self.codes)
+        while len(rest):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = rest[free]
+            missed = self.slots[slot] != rest
+            rest, slot = rest[missed], (slot[missed] + 1) % len(self.slots)
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes * np.uint32(2654435761)) >> self.shift).astype(np.int64)
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        """-1 for a code that is not there."""
+        codes = codes.astype(np.uint32)
+        slot = self._slot(codes)
+        found = self.slots[slot]
+        if not len(self.codes):
+            return found
+        rest = np.flatnonzero((found >= 0) & (self.codes[found] != codes))
+        while len(rest):
+            slot[rest] = (slot[rest] + 1) % len(self.slots)
+            found[rest] = self.slots[slot[rest]]
+            rest = rest[(found[rest] >= 0) & (self.codes[found[rest]] != codes[rest])]
+        return found
 
 
 class Model:
-    """Code lengths in bits, ``table[row * classes + byte class, language]``, with the row of each context."""
+    """Code lengths in bits under some languages, from rows (lang, kind, code, bits)."""
 
-    def __init__(self, lang: np.ndarray, gram: np.ndarray, n: np.ndarray):
+    def __init__(self, lang: np.ndarray, kind: np.ndarray, code: np.ndarray, bits: np.ndarray):
         self.languages = sorted(set(lang.tolist()))
         which = np.searchsorted(np.array(self.languages, dtype=object), lang) if len(lang) else np.empty(0, np.int64)
-        by_byte = np.bincount((gram & 255).astype(np.int64), weights=n, minlength=256)
-        frequent = [b for b in np.argsort(-by_byte, kind="stable") if by_byte[b] > 0][: MAX_CLASSES - 1]
-        self.byte_class = np.zeros(256, dtype=np.int64)  # class 0: all other bytes
-        self.byte_class[frequent] = np.arange(1, len(frequent) + 1)
-        size = self.classes = len(frequent) + 1
-        last = self.byte_class[gram & 255]
-        before = [self.byte_class[gram >> shift & 255] for shift in (8, 16, 24)]
-        codes = [np.zeros(len(gram), dtype=np.int64)]
-        for k in range(ORDER):
-            codes.append(codes[-1] + before[k] * size**k)
-        # rows of the joint tree: the empty context, then those of orders 1 to 3
-        contexts = [np.zeros(1, dtype=np.int64)]
-        for order in range(1, ORDER + 1):
-            code, place = np.unique(codes[order], return_inverse=True)
-            if order == ORDER and len(code) > MAX_CONTEXTS:
-                total = np.bincount(place, weights=n)
-                code = np.sort(code[np.argsort(-total, kind="stable")[:MAX_CONTEXTS]])
-            contexts.append(code)
-        self.row = np.zeros(size**ORDER, dtype=np.int32)
-        tables, base, lower_row = [], 0, np.zeros(1, dtype=np.int32)
-        for order in range(ORDER + 1):
-            code = contexts[order]
-            counts = np.zeros((len(code), size, len(self.languages)))
-            place = np.searchsorted(code, codes[order])
-            place[place == len(code)] = 0
-            hit = code[place] == codes[order] if len(code) else np.empty(0, bool)
-            np.add.at(counts, (place[hit], last[hit], which[hit]), n[hit])
-            shorter = np.full_like(counts, 1 / size) if order == 0 else np.concatenate(tables)[lower_row[code % size ** (order - 1)]]
-            tables.append(self._mixed(counts, shorter))
-            longer = np.tile(lower_row, size) if order else lower_row.copy()
-            longer[code] = base + np.arange(len(code))
-            lower_row, base = longer, base + len(code)
-        self.row = lower_row.astype(np.int32)
-        bits = -np.log2(np.maximum(np.concatenate(tables), 1e-30))
-        self.table = bits.reshape(base * size, len(self.languages)).astype(np.float32)
-
-    @staticmethod
-    def _mixed(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        seen = counts > 0
-        total, kinds = counts.sum(axis=1, keepdims=True), seen.sum(axis=1, keepdims=True)
-        left = np.where(seen, 0, shorter).sum(axis=1, keepdims=True)
-        escape = np.where(left > 0, kinds, 0) / np.maximum(total + np.where(left > 0, kinds, 0), 1)
-        known = counts / np.maximum(total + np.where(left > 0, kinds, 0), 1)
-        return np.where(total > 0, np.where(seen, known, escape * shorter / np.maximum(left, 1e-300)), shorter)
+        shape = lambda n: np.zeros((n, len(self.languages)), dtype=np.float32)
+
+        def put(table, of_kind, places):
+            mine = kind == of_kind
+            table[places(code[mine]), which[mine]] = bits[mine]
+
+        self.after_1, self.escape_2 = shape(1 << 16), shape(1 << 16)
+        put(self.after_1, AFTER_1, lambda c: c)
+        put(self.escape_2, ESCAPE_2, lambda c: c)
+        self.triples = _Places(np.unique(code[kind == AFTER_2]))
+        self.after_2 = self._shorter(self.triples.codes.astype(np.int64))
+        put(self.after_2, AFTER_2, self.triples.of)
+        self.contexts = _Places(np.unique(code[kind == ESCAPE_3]))
+        self.escape_3 = np.concatenate([shape(len(self.contexts.codes)), shape(1)])  # the last row is for contexts that no language has
+        put(self.escape_3, ESCAPE_3, self.contexts.of)
+        self.strings = _Places(np.unique(code[kind == AFTER_3]))
+        self.after_3 = self._escaped(self.strings.codes.astype(np.int64))
+        put(self.after_3, AFTER_3, self.strings.of)
+
+    def _shorter(self, triple: np.ndarray) -> np.ndarray:
+        return self.escape_2[triple >> 8] + self.after_1[triple & 0xFFFF]
+
+    def _escaped(self, code: np.ndarray) -> np.ndarray:
+        """Code lengths after three bytes where the string is in no language's table."""
+        triple = code & 0xFFFFFF
+        place = self.triples.of(triple)
+        rest = np.where((place >= 0)[:, None], self.after_2[place], self._shorter(triple)) if len(self.after_2) else self._shorter(triple)
+        return self.escape_3[self.contexts.of(code >> 8)] + rest
 
     def code_lengths(self, parts: list[bytes]) -> np.ndarray:
         """Bits of each text under each language."""
-        data, at, first = _grams(parts)
-        symbol = self.byte_class[data]
-        context = symbol[at - 1] + symbol[at - 2] * self.classes + symbol[at - 3] * self.classes**2
-        entries = self.table[self.row[context].astype(np.int64) * self.classes + symbol[at]]
+        code, first = _grams(parts)
+        place = self.strings.of(code)
+        entries = self.after_3[place] if len(self.after_3) else np.zeros((len(code), len(self.languages)), np.float32)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            entries[new] = self._escaped(code[new].astype(np.int64))
         return np.add.reduceat(entries, first, axis=0, dtype=np.float64)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character has one of the Unicode categories L*."""
+    return any(map(str.isalpha, text))
+
+
 def _predict(batches, shared):
+    """The columns of a batch before its last, the text, with lang_pred, bits, and ``mass``: the sum of 2**(bits - bits of a language)."""
     for batch in batches:
         model = shared.value
-        lang = np.full(batch.num_rows, "und", dtype=object)
-        score = np.zeros(batch.num_rows)
-        if model.languages:
-            for rows, parts in _runs(batch.column(1)):
-                bits = model.code_lengths(parts)
-                best = bits.argmin(axis=1)
-                share = 1 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
-                for row, raw, b, s in zip(rows, parts[1::2], best.tolist(), share.tolist()):
-                    if _LETTER.search(raw.decode("utf-8", "surrogatepass")):
-                        lang[row], score[row] = model.languages[b], s
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
-
-
-def train(docs: DataFrame) -> Model:
-    """A model of the languages of ``docs`` (lang, text); what reaches the driver is bounded by the constants above."""
-    counts = learn_counts(docs).toPandas()
-    return Model(counts["lang"].to_numpy(dtype=object), counts["gram"].to_numpy(dtype=np.int64), counts["n"].to_numpy(dtype=np.float64))
-
-
-def identify(docs: DataFrame, model: Model) -> DataFrame:
+        lang = np.full(batch.num_rows, None, dtype=object)
+        least, mass = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
+        for rows, parts in _runs(batch.column(batch.num_columns - 1)):
+            letters = [has_letter(raw.decode("utf-8", "surrogatepass")) for raw in parts[1::2]]
+            rows, parts = [r for r, ok in zip(rows, letters) if ok], [p for raw, ok in zip(parts[1::2], letters) if ok for p in (_PAD, raw)]
+            if not rows:
+                continue
+            bits = model.code_lengths(parts)
+            best = bits.argmin(axis=1)
+            least[rows] = bits.min(axis=1)
+            mass[rows] = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
+            lang[rows] = [model.languages[b] for b in best.tolist()]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(least), pa.array(mass)], names=[*batch.schema.names[:-1], "lang_pred", "bits", "mass"]
+        )
+
+
+def train(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """The tables (lang, kind, code, bits) of the languages of ``docs`` (doc_id, lang, text), written to the shared folder.
+
+    A task tabulates one language, whose distinct strings ``sample_bytes`` bounds.
+    """
+    counts = learn_counts(docs, sample_bytes)
+    return Scratch(docs.sparkSession, "languages").save("tables", counts.groupBy("lang").applyInPandas(_tabulate, "lang string, kind int, code long, bits float"))
+
+
+def blocks_of(tables: DataFrame, max_cells: int = MAX_CELLS) -> list[list[str]]:
+    """Languages in blocks: strings of a block's languages times their number is at most ``max_cells``, or it has one language."""
+    sizes = {r["lang"]: r["count"] for r in tables.where(F.col("kind") == AFTER_3).groupBy("lang").count().collect()}  # a row for each language
+    blocks, strings = [], 0
+    for lang in sorted(sizes):
+        if blocks and (strings + sizes[lang]) * (len(blocks[-1]) + 1) <= max_cells:
+            blocks[-1].append(lang)
+            strings += sizes[lang]
+        else:
+            blocks.append([lang])
+            strings = sizes[lang]
+    return blocks
+
+
+def _model(tables: DataFrame, languages: list[str]) -> Model:
+    found = tables.where(F.col("lang").isin(languages)).toPandas()  # one block
+    return Model(found["lang"].to_numpy(dtype=object), found["kind"].to_numpy(), found["code"].to_numpy(dtype=np.int64), found["bits"].to_numpy())
+
+
+def identify(docs: DataFrame, tables: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
     """One row per input row: doc_id, lang_pred, score (the posterior share of that language, all equally likely before).
 
-    ``und`` with score 0 for a null or empty text, one without a letter, or a model without languages. Ties go to the
-    first language by name. Whole texts are scored. Repeated rows and rows without doc_id are predicted like others;
-    other columns are ignored; an empty table gives an empty result.
+    ``und`` with score 0 for a null or empty text, one without a letter (Unicode categories L*), or tables without
+    languages. Ties go to the first language by name. Whole texts are scored. Repeated rows and rows without doc_id are
+    predicted like others; other columns are ignored; an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    spark = docs.sparkSession
+    blocks = blocks_of(tables, max_cells)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(lambda it: _predict(it, shared), "doc_id long, lang_pred string, score double")
+    lang, score = F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"), F.when(F.col("lang_pred").isNotNull(), 1 / F.col("mass")).otherwise(0.0).alias("score")
+    if not blocks:
+        return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+
+    def scored(block, known):
+        shared = spark.sparkContext.broadcast(_model(tables, block))
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in known.schema if f.name != "text")
+        return known.mapInArrow(lambda it: _predict(it, shared), f"{schema}, lang_pred string, bits double, mass double")
+
+    if len(blocks) == 1:
+        return scored(blocks[0], rows).select("doc_id", lang, score)
+    # each distinct text against each block; what a text has in another block weighs by the difference of the code lengths
+    scratch = Scratch(spark, "identify")
+    texts = docs.select(F.sha2("text", 256).alias("sha"), "text")
+    found = None
+    for i, block in enumerate(blocks):
+        part = scratch.save(f"block-{i}", scored(block, texts).where("lang_pred is not null").dropDuplicates(["sha"]))
+        found = part if found is None else found.unionByName(part)
+    best = found.groupBy("sha").agg(F.min(F.struct("bits", "lang_pred")).alias("best"), F.collect_list(F.struct("bits", "mass")).alias("blocks"))  # an entry for each block
+    mass = F.aggregate("blocks", F.lit(0.0), lambda total, b: total + b["mass"] * F.pow(F.lit(2.0), F.greatest(F.col("best.bits") - b["bits"], F.lit(-1000.0))))
+    best = best.select("sha", F.col("best.lang_pred").alias("lang_pred"), mass.alias("mass"))
+    return rows.select("doc_id", F.sha2("text", 256).alias("sha")).join(best, "sha", "left").select("doc_id", lang, score)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = train(docs.where("doc_id is not null").where(~held_out(F.col("doc_id"))))
-    return identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    tables = train(docs.where("doc_id is not null").where(~held_out(F.col("doc_id"))))
+    return identify(docs, tables).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
