@@ -80,7 +80,6 @@ class Words:
             opens[1:], closes[:-1] = space[:-1], space[1:]
             opens[begin[begin < end]] = True
             closes[end[begin < end] - 1] = True
-        self.data, self.offsets = data, offsets
         self.starts = np.flatnonzero(opens & ~space)
         self.ends = np.flatnonzero(closes & ~space) + 1
         self.first = np.searchsorted(self.starts, begin)
@@ -103,13 +102,16 @@ class Words:
         n = len(self.row) - size + 1
         return self.row[:n] == self.row[size - 1 :] if n > 0 else np.empty(0, dtype=bool)
 
-    def joined(self) -> tuple[bytes, np.ndarray, np.ndarray]:
-        """(all words joined by one space, first and last place of each word in it)."""
-        length = self.ends - self.starts
-        ends = np.cumsum(length + 1) - 1
-        raw, cuts = self.data.tobytes(), self.offsets.tolist()
-        words = (word for a, b in zip(cuts, cuts[1:]) for word in raw[a:b].split())
-        return b" ".join(words), ends - length, ends
+
+def raw_texts(texts: pa.Array) -> list[bytes]:
+    """The bytes of each text; null is empty."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    _, offsets, data = texts.buffers()
+    if data is None:
+        return [b""] * len(texts)
+    cuts = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1].tolist()
+    data = memoryview(data)
+    return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
 def chunks(texts: pa.Array, size: int = 1 << 19) -> Iterator[tuple[int, int, Words]]:

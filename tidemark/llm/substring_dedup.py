@@ -3,9 +3,9 @@
 Edges of the graph are windows of 13 words; its nodes are the 12 words that two successive windows share. Only edges
 that occur in documents with different ids matter, so they are found in passes whose tables stay small:
 
-1. Each window has a minimizer, the least hash of its 6-word pieces. Equal windows have equal minimizers, and a
-   minimizer that only one text has cannot belong to a repeated edge. Whole texts that an earlier document has are
-   set aside by their SHA-256.
+1. Whole texts that an earlier document has are set aside by their SHA-256. Each window of the others has a minimizer,
+   the least hash of its 6-word pieces. Equal windows have equal minimizers, and a minimizer that only one document has
+   cannot belong to a repeated edge.
 2. Windows whose minimizer is left are the edge table: hash, document, place, and the hashes of both nodes. Grouping it
    gives the repeated edges with their source (the earliest document and a place there).
 3. The node table tells how many repeated edges enter and leave each node. Where one enters and one leaves, and they
@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ._scratch import Scratch
 from ._skew import join_counted
-from ._words import Words, chunks
+from ._words import Words, chunks, raw_texts
 
 WINDOW = 13
 PIECE = 6
-#: Places of a source that are compacted, or compared, as one group.
-BLOCK = 64
+#: Places of a source that are compacted as one group, and those that are compared as one stretch.
+BLOCK, STRETCH = 64, 256
 ROW = ["doc_id", "rid"]
 SOURCE = ["src", "srid"]
 
@@ -63,18 +63,11 @@ def _changes(least: np.ndarray, inside: np.ndarray, row: np.ndarray) -> np.ndarr
     return at[new]
 
 
-def _minimizers_of_texts(batches):
-    """The minimizers of each row with 128 bits of the SHA-256 of its words."""
+def _shas(batches):
+    """SHA-256 of the words of each row, joined by one space."""
     for batch in batches:
-        for _, _, words in chunks(batch.column(0)):
-            least, inside = _minimizers(words)
-            at = _changes(least, inside, words.row)
-            if not len(at):
-                continue
-            joined, begin, end = words.joined()
-            spans = [(joined[begin[f] : end[f + n - 1]] if n else b"") for f, n in zip(words.first.tolist(), words.count.tolist())]
-            text = np.frombuffer(b"".join(hashlib.sha256(s).digest()[:16] for s in spans), dtype="<i8").reshape(-1, 2)[words.row[at]]
-            yield pa.RecordBatch.from_arrays([pa.array(least[at].view(np.int64)), pa.array(text[:, 0]), pa.array(text[:, 1])], names=["m", "t1", "t2"])
+        found = [hashlib.sha256(b" ".join(raw.split())).digest() for raw in raw_texts(batch.column(2))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=[*ROW, "sha"])
 
 
 def _minimizers_of_rows(batches):
@@ -128,17 +121,19 @@ def _edge_rows(batches):
 def _digests(batches):
     """128 bits of the SHA-256 of the words ``start`` to ``start + len`` of a row, for each of its ``asked`` stretches."""
     for batch in batches:
-        asked = batch.column(1).to_pylist()
-        for start, to, words in chunks(batch.column(0)):
-            joined, begin, end = words.joined()
-            keys, found = [], []
-            for first, stretches in zip(words.first.tolist(), asked[start:to]):
-                for s in stretches:
-                    a = first + s["start"]
-                    keys.append(s["key"])
-                    found.append(hashlib.sha256(joined[begin[a] : end[a + s["len"] - 1]]).digest()[:16])
-            halves = np.frombuffer(b"".join(found), dtype="<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.column(1).type.value_type.field("key").type), pa.array(halves[:, 0]), pa.array(halves[:, 1])], names=["key", "d1", "d2"])
+        asked = batch.column(1)
+        flat, counts = asked.flatten(), asked.value_lengths().to_pylist()
+        starts, lengths = (flat.field(i).to_numpy(zero_copy_only=False).tolist() for i in (0, 1))
+        found, at = [], 0
+        for raw, n in zip(raw_texts(batch.column(0)), counts):
+            joined = b" ".join(raw.split())
+            ends = np.append(np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 0x20), len(joined)).tolist()
+            for i in range(at, at + n):
+                a = starts[i]
+                found.append(hashlib.sha256(joined[ends[a - 1] + 1 if a else 0 : ends[a + lengths[i] - 1]]).digest()[:16])
+            at += n
+        halves = np.frombuffer(b"".join(found), dtype="<i8").reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([flat.field(2), pa.array(halves[:, 0]), pa.array(halves[:, 1])], names=["key", "d1", "d2"])
 
 
 def _cut(batches):
@@ -204,19 +199,20 @@ def compact_paths(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _along(later: DataFrame) -> DataFrame:
-    """Spans of occurrences that run along a path: (doc_id, rid, start, last, src, srid, shift, path, n)."""
-    return later.groupBy(*ROW, *SOURCE, "path", (F.col("srcpos") - F.col("pos")).alias("shift")).agg(
-        F.min("pos").alias("start"), F.max("pos").alias("last"), F.count(F.lit(1)).alias("n")
-    )
+    """Spans (doc_id, rid, start, stop, src, srid, shift) of occurrences that follow each other and run along one path."""
+    row = Window.partitionBy(*ROW).orderBy("pos")  # bounded by the words of a row
+    same = [F.lag(c).over(row) == F.col(c) for c in (*SOURCE, "path", "shift")]
+    goes_on = reduce(operator.and_, same, F.col("pos") - F.lag("pos").over(row) <= 1)  # a repeated row has each place twice
+    runs = later.withColumn("shift", F.col("srcpos") - F.col("pos")).withColumn("run", F.sum(F.when(goes_on, 0).otherwise(1)).over(row))
+    return runs.groupBy(*ROW, "run", *SOURCE, "shift").agg(F.min("pos").alias("start"), (F.max("pos") + WINDOW).alias("stop")).drop("run")
 
 
 def _pieces(spans: DataFrame) -> DataFrame:
-    """Spans cut where a block of their source ends: those of the document and those of the source, with one key."""
+    """Spans with the stretches of their source, which end at the same places for all spans: ``at`` and ``len``."""
     a, b = F.col("start") + F.col("shift"), F.col("stop") + F.col("shift")
-    at = F.explode(F.sequence(F.floor(a / BLOCK), F.floor((b - 1) / BLOCK)))
-    cut = spans.select(*ROW, *SOURCE, "start", "stop", "shift", at.alias("block"))
-    cut = cut.withColumns({"a": F.greatest(F.col("start") + F.col("shift"), F.col("block") * BLOCK), "b": F.least(F.col("stop") + F.col("shift"), (F.col("block") + 1) * BLOCK)})
-    return cut.withColumns({"at": F.col("a").cast("int"), "len": (F.col("b") - F.col("a")).cast("int")}).drop("a", "b", "block")
+    cut = spans.select("*", F.explode(F.sequence(F.floor(a / STRETCH), F.floor((b - 1) / STRETCH))).alias("nth"))
+    begin, end = F.greatest(a, F.col("nth") * STRETCH), F.least(b, (F.col("nth") + 1) * STRETCH)
+    return cut.select(*ROW, *SOURCE, "start", "stop", "shift", begin.cast("int").alias("at"), (end - begin).cast("int").alias("len"))
 
 
 def _compare(known: DataFrame, asked: DataFrame) -> DataFrame:
@@ -231,7 +227,7 @@ def _verified(known: DataFrame, spans: DataFrame, edges: DataFrame, scratch: Scr
     key = F.struct(*SOURCE, "at", "len")
     cut = _pieces(spans)
     own = cut.select(*ROW, (F.col("at") - F.col("shift")).alias("start"), "len", key.alias("key"))
-    # few stretches of a block of the source differ, so this is bounded by the text of the source, whatever the number of spans
+    # the stretches within STRETCH places bound what is asked of a source by its length, whatever the number of spans
     there = cut.select(F.col("src").alias("doc_id"), F.col("srid").alias("rid"), F.col("at").alias("start"), "len", key.alias("key")).distinct()
     seen = _compare(known, own.unionByName(there)).select("key.*", "d1", "d2").groupBy(*SOURCE, "at", "len")
     differ = seen.agg(*(f(c).alias(f"{n}_{c}") for c in ("d1", "d2") for n, f in (("min", F.min), ("max", F.max)))).where("min_d1 <> max_d1 or min_d2 <> max_d2")
@@ -252,21 +248,19 @@ def _verified(known: DataFrame, spans: DataFrame, edges: DataFrame, scratch: Scr
 
 def repeated_spans(known: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Of rows (doc_id, text, rid): spans (doc_id, rid, start, stop, src, srid, shift) and the rows (doc_id, rid) of whole copies."""
-    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", " "))
-    shas = scratch.save("shas", known.select(*ROW, F.sha2(words, 256).alias("sha")))
+    shas = scratch.save("shas", known.select(*ROW, "text").mapInArrow(_shas, "doc_id long, rid long, sha binary"))
     firsts = shas.groupBy("sha").agg(F.min("doc_id").alias("src"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")).where("src < last").drop("last")
     firsts = scratch.save("firsts", firsts)
     copies = join_counted(shas, firsts, ["sha"], shas.count(), ROW).where("doc_id > src").select(ROW).distinct()
     copies = scratch.save("copies", copies)
     scratch.drop("shas", "firsts")
 
-    by_text = known.select("text").mapInArrow(_minimizers_of_texts, "m long, t1 long, t2 long")
-    several = [F.min("t1") != F.max("t1"), F.min("t2") != F.max("t2")]
-    shared = by_text.groupBy("m").agg(reduce(operator.or_, several).alias("several"), F.count(F.lit(1)).alias("n")).where("several").select("m", "n")
+    single = known.join(copies, ROW, "left_anti").select(*ROW, "text")
+    minimizers = scratch.save("minimizers", single.mapInArrow(_minimizers_of_rows, "m long, doc_id long, rid long"))
+    shared = minimizers.groupBy("m").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")).where("first < last").select("m", "n")
     shared = scratch.save("shared", shared)
-    by_row = scratch.save("minimizers", known.select(*ROW, "text").mapInArrow(_minimizers_of_rows, "m long, doc_id long, rid long"))
-    marks = join_counted(by_row, shared, ["m"], by_row.count(), ROW).groupBy(*ROW).agg(F.collect_list("m").alias("marks"))
-    marks = scratch.save("marks", marks.join(copies, ROW, "left_anti"))
+    marks = join_counted(minimizers, shared, ["m"], minimizers.count(), ROW).groupBy(*ROW).agg(F.collect_list("m").alias("marks"))
+    marks = scratch.save("marks", marks)
     scratch.drop("minimizers", "shared")
 
     marked = known.join(marks, ROW).select(*ROW, "text", "marks")
@@ -286,16 +280,8 @@ def repeated_spans(known: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
     scratch.drop("repeated", "placed", "parts")
 
     later = join_counted(edges.select("h", *ROW, "pos"), paths, ["h"], edges.count(), [*ROW, "pos"]).where("doc_id > src")
-    along = scratch.save("along", _along(later))
-    whole = F.col("n") == F.col("last") - F.col("start") + 1
-    spans = along.where(whole).select(*ROW, *SOURCE, "start", (F.col("last") + WINDOW).alias("stop"), "shift")
-    group = [*ROW, *SOURCE, "path", "shift"]
-    odd = along.where(~whole).select(group)
-    if not odd.isEmpty():  # a path of which an occurrence lacks an edge: its edges are taken singly
-        singly = later.withColumn("shift", F.col("srcpos") - F.col("pos")).join(odd, group, "left_semi")
-        spans = spans.unionByName(singly.select(*ROW, *SOURCE, F.col("pos").alias("start"), (F.col("pos") + WINDOW).alias("stop"), "shift"))
-    spans = scratch.save("spans", spans)
-    scratch.drop("along", "paths")
+    spans = scratch.save("spans", _along(later))
+    scratch.drop("paths")
     spans = scratch.save("verified", _verified(known, spans, edges, scratch))
     scratch.drop("edges", "spans")
     return spans, copies
