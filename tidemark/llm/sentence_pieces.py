@@ -1,7 +1,12 @@
-"""SentencePiece encoding and decoding with the pieces and log scores of a model file.
+"""SentencePiece encoding and decoding with the pieces of a model file and their log scores.
 
-Pieces stand in a double-array trie over bytes. The best segmentation has the greatest sum of scores (Viterbi); a
-character that no piece covers alone may be left unknown at a penalty and is then written as byte pieces. White space
+A file of the Unigram kind holds log scores. One of the BPE kind holds merge ranks, which are no logarithms of anything;
+their log scores follow from the ranks by the law of Zipf and Mandelbrot, P(piece) = c / (rank + 2.7), with c such that
+the probabilities of all pieces sum to one. Nothing is trained.
+
+Pieces stand in a double-array trie over bytes. The best segmentation has the greatest sum of log scores (Viterbi, in
+32-bit floats as the library has them); a character that no piece covers alone may be left unknown at a penalty and is
+then written as byte pieces. White space
 is the marker U+2581, also before the text. If no piece has a marker after another character, no piece crosses the
 start of a marked word, so words are segmented one by one and each distinct word of a task only once; distinct words
 of one length are segmented together, one numpy step for all.
@@ -9,8 +14,8 @@ of one length are segmented together, one numpy step for all.
 
 from __future__ import annotations
 
+import math
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +25,8 @@ from .tokens import text_groups
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+#: The constant of Mandelbrot's form of the law.
+RANK_SHIFT = 2.7
 #: Distinct words whose ids a task keeps at a time; longer words (in bytes) are segmented one by one.
 CACHE_ENTRIES, LONG_WORD = 500_000, 64
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -73,6 +80,12 @@ class DoubleArray:
         self.base, self.check, self.value = (x[: top + 256].copy() for x in (self.base, self.check, self.value))
 
 
+def rank_scores(pieces: list[tuple[str, float, str]]) -> list[tuple[str, float, str]]:
+    """``pieces`` with log probabilities instead of the merge ranks of normal ones; the others keep theirs."""
+    mass = math.log(sum(1 / (RANK_SHIFT - score) for _, score, kind in pieces if kind == "normal"))
+    return [(text, -math.log(RANK_SHIFT - score) - mass if kind == "normal" else score, kind) for text, score, kind in pieces]
+
+
 class PieceModel:
     """What encoding and decoding need of a model file; its size is that of the vocabulary."""
 
@@ -80,7 +93,7 @@ class PieceModel:
         """``pieces``: (text, score, kind) by id; kinds are normal, byte, control and unknown."""
         normal = [(text.encode(), i) for i, (text, _, kind) in enumerate(pieces) if kind == "normal" and text]
         self.trie = DoubleArray(normal)
-        self.score = np.array([score for _, score, _ in pieces])
+        self.score = np.array([score for _, score, _ in pieces], dtype=np.float32)
         self.byte_id = [-1] * 256
         self.surface: list[bytes] = []
         for i, (text, _, kind) in enumerate(pieces):
@@ -88,7 +101,7 @@ class PieceModel:
                 self.byte_id[int(text[3:5], 16)] = i
             self.surface.append(bytes([int(text[3:5], 16)]) if kind == "byte" else text.replace(MARK, " ").encode() if kind == "normal" else b"")
         self.unknown_id = next((i for i, p in enumerate(pieces) if p[2] == "unknown"), 0)
-        self.unknown_score = min((pieces[i][1] for _, i in normal), default=0.0) - UNKNOWN_PENALTY
+        self.unknown_score = np.float32(min((self.score[i] for _, i in normal), default=0.0)) - np.float32(UNKNOWN_PENALTY)
         self.by_word = not any(MARK in pieces[i][0].lstrip(MARK) for _, i in normal)
         self._cache: dict[str, bytes] = {}
 
@@ -96,12 +109,14 @@ class PieceModel:
         return self.__dict__ | {"_cache": {}}
 
     @staticmethod
-    def read(path: str) -> PieceModel:
+    def read(path: str, ranked: bool = True) -> PieceModel:
+        """``ranked``: the file's scores are merge ranks (0, -1, -2, ...), as those of a BPE model."""
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         kind = lambda i: "byte" if model.is_byte(i) else "control" if model.is_control(i) else "unknown" if model.is_unknown(i) else "normal"
-        return PieceModel([(model.id_to_piece(i), model.get_score(i), kind(i)) for i in range(model.get_piece_size())])
+        pieces = [(model.id_to_piece(i), model.get_score(i), kind(i)) for i in range(model.get_piece_size())]
+        return PieceModel(rank_scores(pieces) if ranked else pieces)
 
     def _ids(self, raw: bytes, cuts: list[tuple[int, int, int]]) -> bytes:
         out = []
@@ -118,8 +133,8 @@ class PieceModel:
         """Ids of one stretch by Viterbi; of equal sums the one whose last piece starts first wins."""
         base, check, value, score = self.trie.base, self.trie.check, self.trie.value, self.score
         n = len(raw)
-        best, back = [float("-inf")] * (n + 1), [(0, -1)] * (n + 1)
-        best[0] = 0.0
+        best, back = np.full(n + 1, -np.inf, dtype=np.float32), [(0, -1)] * (n + 1)
+        best[0] = 0
         for i in range(n):
             if best[i] == float("-inf"):
                 continue
@@ -150,7 +165,7 @@ class PieceModel:
         base, check, value = self.trie.base, self.trie.check, self.trie.value
         n, length = len(words), len(words[0])
         text = np.frombuffer(b"".join(words), dtype=np.uint8).reshape(n, length).astype(np.int32)
-        best = np.full((n, length + 1), -np.inf)
+        best = np.full((n, length + 1), -np.inf, dtype=np.float32)
         start = np.zeros((n, length + 1), dtype=np.int32)
         piece = np.full((n, length + 1), -1, dtype=np.int32)
         best[:, 0] = 0
@@ -246,10 +261,12 @@ def _encode(batches, shared):
         for start, texts in text_groups(batch.column(1)):
             ids = model.encode(texts)
             decoded = [model.decode(x) for x in ids]
+            offsets = np.r_[0, np.cumsum([len(x) // 4 for x in ids])].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(start, len(texts)), pa.array([np.frombuffer(x, dtype="<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array(decoded, pa.string()), pa.array([a == b for a, b in zip(texts, decoded)])],
+                [batch.column(0).slice(start, len(texts)), lists, pa.array(decoded, pa.string()), pa.array([a == b for a, b in zip(texts, decoded)])],
                 names=["doc_id", "ids", "decoded", "round_trip"],
-            )
+            )
 
 
 def encode_pieces(docs: DataFrame, model: PieceModel | None = None) -> DataFrame:
@@ -276,25 +293,5 @@ def decode_pieces(encoded: DataFrame, model: PieceModel | None = None) -> DataFr
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def _digest(batches, shared):
-    model = shared.value
-    for batch in batches:
-        for start, texts in text_groups(batch.column(1)):
-            ids = model.encode(texts)
-            decoded = [model.decode(x) for x in ids]
-            columns = [[len(x) // 4 for x in ids], [zlib.crc32(x) for x in ids], [len(x) for x in decoded]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(start, len(texts)), *(pa.array(c, pa.int64()) for c in columns), pa.array([a == b for a, b in zip(texts, decoded)])],
-                names=["doc_id", "n_pieces", "ids_crc32", "n_decoded_chars", "round_trip"],
-            )
-
-
-def piece_digests(docs: DataFrame, model: PieceModel | None = None) -> DataFrame:
-    """As ``encode_pieces``, with the ids and the decoded text reduced to n_pieces, ids_crc32 and n_decoded_chars."""
-    shared = docs.sparkSession.sparkContext.broadcast(model or PieceModel.read(model_path()))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(lambda it: _digest(it, shared), "doc_id long, n_pieces long, ids_crc32 long, n_decoded_chars long, round_trip boolean")
-
-
 def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return encode_pieces(spark.read.parquet(f"{sf_dir}/documents.parquet"))
