@@ -11,10 +11,12 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a new local folder only where that is unset (tests)."""
+    """The session's ``spark.checkpoint.dir``; where that is unset a new local folder, but only under a local master (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not getattr(shared_dir, "own", None):
         shared_dir.own = tempfile.mkdtemp(prefix="tidemark-")
     return shared_dir.own

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ._scratch import Scratch, shuffle_partitions
-from .tokens import encoder, share_tokenizer, text_groups
+from .tokens import encoder, largest_id, share_tokenizer, text_groups
 
 CAPACITY = 2048
 END_ID = 0
@@ -145,20 +145,32 @@ def _segments(plan: list[tuple[tuple[int, ...], int]]):
     return tuple(np.array(column, dtype=np.int64) for column in zip(*rows)) if rows else (np.empty(0, np.int64),) * 3
 
 
-def _place(batches, shared):
+def _widened(ids: pa.Array, width: int) -> pa.Array:
+    """Ids of ``width`` bytes each as ids of four."""
+    if width == 4:
+        return ids
+    _, offsets, data = ids.buffers()
+    cuts = np.frombuffer(offsets, dtype=np.int32)[ids.offset : ids.offset + len(ids) + 1]
+    narrow = np.frombuffer(data, dtype="<u2")[cuts[0] // 2 : cuts[-1] // 2] if data is not None else np.empty(0, "<u2")
+    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(((cuts - cuts[0]) * 2).astype(np.int32)), pa.py_buffer(narrow.astype("<u4"))])
+
+
+def _place(batches, shared, width):
     for batch in batches:
         keys, sequences, offsets = shared.value
         length, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
         wanted = length << 44 | rank
         at = np.searchsorted(keys, wanted, side="right") - 1
-        columns = [c for i, c in enumerate(batch.columns) if batch.schema.names[i] != "rank"]
+        columns = [_widened(c, width) if name == "ids" else c for name, c in zip(batch.schema.names, batch.columns) if name != "rank"]
         names = [c for c in batch.schema.names if c != "rank"]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(sequences[at] + wanted - keys[at]), pa.array(offsets[at])], names=[*names, "sequence_id", "offset"])
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, carried: tuple[str, ...] = ()) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, carried: tuple[str, ...] = (), width: int = 4) -> DataFrame:
     """``pieces`` (with a column ``length`` from 1 to ``capacity``) with sequence_id and offset, then ``carried`` columns.
 
+    A carried column ``ids`` has ids of ``width`` bytes and gets ids of four.
+
     The order of pieces of one length follows from the columns that are not ``carried``.
     ``pieces`` is read several times and must be stable: a written table. An empty table gives an empty result.
     """
@@ -176,11 +188,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, carried: tuple[str, ...] =
     ranked = keyed.withColumn("nth", F.row_number().over(within)).join(first, ["length", "salt"])
     ranked = ranked.select(*pieces.columns, (F.col("before") + F.col("nth") - 1).alias("rank"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    placed = ranked.mapInArrow(lambda it: _place(it, shared), schema)
+    placed = ranked.mapInArrow(lambda it: _place(it, shared, width), schema)
     return placed.select(*own, "sequence_id", "offset", *carried)
 
 
-def _pieces(batches, tokenizer, capacity):
+def _pieces(batches, tokenizer, capacity, width):
     end = np.array([END_ID], dtype="<u4").tobytes()
     for batch in batches:
         ids_of = encoder(tokenizer.value).encode
@@ -193,6 +205,8 @@ def _pieces(batches, tokenizer, capacity):
                 parts = (ids[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:]))
                 out += [(start + i, k, a, len(part) // 4, zlib.crc32(part), part) for k, (a, part) in enumerate(zip(cuts, parts))]
             row, piece, begin, length, crc, part = zip(*out)
+            if width == 2:
+                part = [np.frombuffer(p, dtype="<u4").astype("<u2").tobytes() for p in part]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (begin, length, crc)), pa.array(part, pa.binary())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"],
@@ -205,13 +219,14 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
     A document is its token ids and the end id 0; one longer than ``capacity`` is cut into pieces of that length, the
     first of which may be shorter. A null text is empty and has the end id alone. Rows without doc_id and repeated
     rows are packed like others; other columns are ignored; an empty table gives an empty result. ``tokenizer`` is the
-    JSON text of a tokenizer file.
+    JSON text of a tokenizer file. Until they are placed, ids take two bytes if all of the vocabulary fit.
     """
     spark = docs.sparkSession
     shared = share_tokenizer(spark, tokenizer)
+    width = 2 if largest_id(shared.value) < 1 << 16 else 4
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = rows.mapInArrow(lambda it: _pieces(it, shared, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
-    return pack(Scratch(spark, "pieces").save("pieces", pieces), capacity, ("ids",))
+    pieces = rows.mapInArrow(lambda it: _pieces(it, shared, capacity, width), "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
+    return pack(Scratch(spark, "pieces").save("pieces", pieces), capacity, ("ids",), width)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -231,4 +246,8 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows of ``docs`` with their places and ids, as ``pack_documents`` has them.
+
+    Null and empty texts have the end id alone; columns of any name are ignored; an empty table gives an empty result.
+    """
     return pack_documents(docs)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
 from . import exact_dedup, language_id, license_scan, packing, quality_classifier, quality_rules, sentence_pieces, simhash, substring_dedup, token_files
 
 
@@ -18,7 +16,6 @@ def queries():
         "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
         "op8_license_scan": license_scan.op8_license_scan,
         "op9_token_files": token_files.op9_token_files,
-        "pipeline": corpus_pipeline.run,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     }
 

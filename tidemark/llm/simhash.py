@@ -196,9 +196,13 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays, the one with the smallest doc_id; a row without doc_id stays if its component has no id."""
+    """One document of each component stays, the one with the smallest doc_id; a row without doc_id stays if its component has no id.
+
+    Null and empty texts have one fingerprint, so one of them stays. Columns of any name are kept; an empty table gives
+    an empty result.
+    """
     found = near_duplicates(docs)
-    stays = F.col("component_id").eqNullSafe(F.col("doc_id"))
-    kept = found.where(stays).select(F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.col("doc_id").isNull().alias("_none")).distinct()
-    marked = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(-1)), "_none": F.col("doc_id").isNull()})
-    return marked.join(kept, ["_id", "_none"], "left_semi").drop("_id", "_none")
+    same = [F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none")]
+    kept = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(*same).distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct("*").alias("row")).select(*same, "row")
+    return rows.join(kept, ["id", "none"], "left_semi").select("row.*")

@@ -10,10 +10,13 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 #: Distinct stretches and split parts whose ids a task keeps at a time.
-STRETCHES, PARTS = 600_000, 1_000_000
+STRETCHES, PARTS = 600_000, 600_000
+#: Ids that the operators put at the end of a document are at most this.
+END_IDS = 2
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _RARE = re.compile(r"[^\S \n]")
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -30,6 +33,11 @@ def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
         return file.read()
 
 
+def largest_id(json_text: str) -> int:
+    spec = json.loads(json_text)
+    return max([END_IDS, *spec["model"]["vocab"].values(), *(t["id"] for t in spec.get("added_tokens", []))])
+
+
 def _trim(known: dict, most: int) -> None:
     """Of too many entries drop the later half: what is frequent came early."""
     if len(known) > most:
@@ -69,14 +77,37 @@ class _Stretches(dict):
         return ids
 
 
-def stretches(text: str) -> list[str]:
-    """The text up to its first cut, then stretches that follow a space or begin with a single line feed.
+def _even(text: str) -> bool:
+    """Whether every space, and every line feed, is white space that stands alone between two other characters."""
+    return not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or _RARE.search(text))
+
 
-    It is cut at spaces and before line feeds that stand alone between two other characters.
+def stretches(texts: list[str]) -> tuple[list[str], pa.Array, np.ndarray]:
+    """(each text up to its first cut, the stretches after the cuts of all texts, how many of them each text has).
+
+    A text is cut at spaces and before line feeds that stand alone between two other characters; a stretch follows a
+    space or begins with a line feed.
     """
-    if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or _RARE.search(text):
-        return _CUT.split(text)
-    return text.replace("\n", " \n").split(" ")
+    heads, rests, odd = [], [], {}
+    for i, text in enumerate(texts):
+        if _even(text):
+            head, _, rest = text.replace("\n", " \n").partition(" ")
+            rests.append(rest or None)
+        else:
+            head, *odd[i] = _CUT.split(text)
+            rests.append(None)
+        heads.append(head)
+    lists = pc.split_pattern(pa.array(rests, pa.string()), " ")
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    flat = lists.flatten()
+    if odd:  # texts with other white space: their stretches go in between
+        parts, at, last = [], 0, 0
+        for i, found in odd.items():
+            n = int(counts[last:i].sum())
+            parts += [flat.slice(at, n), pa.array(found, pa.string())]
+            at, last, counts[i] = at + n, i + 1, len(found)
+        flat = pa.concat_arrays([*parts, flat.slice(at)])
+    return heads, flat, counts
 
 
 class Encoder:
@@ -99,15 +130,21 @@ class Encoder:
         self._inner = _Stretches(self._parts, [t["content"] for t in spec.get("added_tokens", [])])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text."""
-        get, out = self._inner.__getitem__, []
-        for text in texts:
-            _trim(self._inner, STRETCHES)
-            _trim(self._parts, PARTS)
-            pieces = stretches(text)
-            head = self._parts[pieces[0]]
-            out.append(head + b"".join(map(get, pieces[1:])))
-        return out
+        """Ids of each text; each distinct stretch of ``texts`` is looked up once."""
+        _trim(self._inner, STRETCHES)
+        _trim(self._parts, PARTS)
+        heads, flat, counts = stretches(texts)
+        coded = flat.dictionary_encode()
+        ids = list(map(self._inner.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        index = coded.indices.to_numpy()
+        lengths = np.fromiter((len(x) // 4 for x in ids), dtype=np.int64, count=len(ids))
+        known = np.frombuffer(b"".join(ids), dtype="<u4")
+        n = lengths[index]
+        ends = np.cumsum(n)
+        first = (np.cumsum(lengths) - lengths)[index]
+        tokens = known[np.arange(int(n.sum())) + np.repeat(first - (ends - n), n)]
+        cuts = np.r_[0, ends][np.r_[0, np.cumsum(counts)]].tolist()
+        return [self._parts[head] + tokens[a:b].tobytes() for head, a, b in zip(heads, cuts, cuts[1:])]
 
 
 _encoders: dict[int, Encoder] = {}
