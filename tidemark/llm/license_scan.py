@@ -5,15 +5,18 @@ windows of ``2 * c`` words that start every ``c`` words. Windows retrieve templa
 the number of bands follows from the least Jaccard similarity that a window with 0.8 of a template's shingles can
 have, so that such a window fails to collide with probability ``MISS`` at most. A band collides only where a window
 holds the template's own minimal shingle, so texts and windows without any template shingle are left out before
-signatures are computed; that loses no collision. Retrieved pairs are verified by exact containment.
+signatures are computed; that loses no collision. Retrieved pairs are verified by exact containment of the shingles' words.
 
-Templates are configuration: a list on the driver, not a table that grows with the corpus.
+Templates are configuration: short notices and the full texts of the folder ``licenses``, on the driver, not a table that
+grows with the corpus. Results depend on the text alone, so they are kept by its SHA-256.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from functools import cache
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -21,20 +24,33 @@ from ._scratch import Scratch
 
 SHINGLE, CONTAINMENT, MISS = 5, 0.8, 1e-6
 #: Public notices by the licenses' short names.
-TEMPLATES = [
+NOTICES = [
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0-header", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("BSD", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
     ("MIT", "Released under the MIT License."),
-    ("MIT-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+@cache
+def known_templates() -> tuple[tuple[str, str], ...]:
+    """The notices, then the full texts of the folder ``licenses``, whose names end in ``-text``."""
+    files = sorted(resources.files(__package__).joinpath("licenses").iterdir(), key=lambda f: f.name)
+    return (*NOTICES, *((f.name.removesuffix(".txt") + "-text", f.read_text(encoding="utf-8")) for f in files if f.name.endswith(".txt")))
+
+
 def template_words(text: str) -> list[str]:
     return re.findall("[a-z0-9]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
 
@@ -58,6 +74,13 @@ def _words(text: Column) -> Column:
 
 _SHINGLES = "CASE WHEN size(w) >= 5 THEN transform(sequence(0, size(w) - 5), i -> xxhash64(w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4])) ELSE array() END"
 _SIGNATURE = "transform(sequence(0, bands - 1), b -> array_min(transform(part, x -> xxhash64(x, b))))"
+_SIGNED_BY = "transform(sequence(0, bands - 1), b -> array_min(transform(part, x -> named_struct('value', xxhash64(x, b), 'shingle', x))))"
+#: Distinct shingles as words.
+_SPELLED = "array_distinct(transform(sequence(0, size(w) - 5), i -> concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4])))"
+
+
+def _longs(values) -> Column:
+    return F.array(*map(F.lit, sorted(values))) if values else F.array().cast("array<bigint>")
 
 
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -70,7 +93,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     """
     spark = docs.sparkSession
     rows = []
-    for name, text in TEMPLATES if templates is None else templates:
+    for name, text in known_templates() if templates is None else templates:
         words = template_words(text)
         if len(words) < SHINGLE:
             raise ValueError(f"template {name} is shorter than {SHINGLE} words")
@@ -78,31 +101,36 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
         shingles = len({tuple(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)})
         rows.append((name, words, step, bands_for(shingles, step)))
     known = spark.createDataFrame(rows, "license string, w array<string>, step int, bands int")
-    known = known.select("license", "step", F.max("bands").over(Window.partitionBy("step")).alias("bands"), F.array_distinct(F.expr(_SHINGLES)).alias("part"))
-    known = known.select("license", "step", "bands", "part", F.expr(_SIGNATURE).alias("signature"))
-    found = known.select("license", "step", "bands", "part").collect()  # a row for each template
-    wanted = F.array(*(F.lit(x) for x in sorted({s for r in found for s in r["part"]}))) if found else F.array().cast("array<bigint>")
+    known = known.select("license", "step", F.max("bands").over(Window.partitionBy("step")).alias("bands"), F.array_distinct(F.expr(_SHINGLES)).alias("part"), F.expr(_SPELLED).alias("template"))
+    known = known.select("license", "step", "bands", "template", F.expr(_SIGNED_BY).alias("signature"))
+    found = known.select("step", "bands", "signature").collect()  # a row for each template
+    minimal = _longs({x["shingle"] for r in found for x in r["signature"]})
+    values = _longs({x["value"] for r in found for x in r["signature"]})
     steps = sorted({(r["step"], r["bands"]) for r in found})
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("rid"), "text")
+    sha = F.sha2("text", 256).alias("sha")
     # each step comes out of a generator, so that no later step or filter computes it anew for every element
-    worded = source.select("rid", F.explode(F.array(_words(F.col("text")))).alias("w"))
-    shingled = worded.select("rid", F.explode(F.array(F.expr(_SHINGLES))).alias("s"))
-    near = shingled.where(F.arrays_overlap("s", wanted))
+    worded = docs.select("text").select(sha, F.explode(F.array(_words(F.col("text")))).alias("w"))
+    shingled = worded.select("sha", "w", F.explode(F.array(F.expr(_SHINGLES))).alias("s"))
+    near = shingled.where(F.arrays_overlap("s", minimal))
     classes = F.array(*(F.struct(F.lit(step).alias("step"), F.lit(bands).alias("bands")) for step, bands in steps)) if steps else F.array().cast("array<struct<step:int,bands:int>>")
     cut = F.expr(f"transform(sequence(0, (size(s) - 1) div step), k -> slice(s, cast(k * step + 1 as int), 2 * step - {SHINGLE - 1}))")
-    windows = near.select("rid", "s", F.inline(classes)).select("rid", "step", "bands", F.posexplode(cut).alias("window", "part"))
-    signed = windows.where(F.arrays_overlap("part", wanted)).withColumn("signature", F.expr(_SIGNATURE))
-    template_bands = known.select("license", "step", F.col("part").alias("template"), F.posexplode("signature").alias("band", "value"))
-    bands = signed.select("rid", "step", "window", "part", F.posexplode("signature").alias("band", "value"))
+    windows = near.select("sha", "w", "s", F.inline(classes)).select("sha", "step", "bands", "w", F.posexplode(cut).alias("window", "part"))
+    spoken = F.expr("slice(w, cast(window * step + 1 as int), 2 * step)").alias("w")
+    signed = windows.where(F.arrays_overlap("part", minimal)).select("sha", "step", "window", spoken, F.explode(F.array(F.expr(_SIGNATURE))).alias("signature"))
+    met = F.filter(F.transform("signature", lambda v, b: F.struct(b.alias("band"), v.alias("value"))), lambda x: F.array_contains(values, x["value"]))
+    bands = signed.select("sha", "step", "window", "w", F.inline(met))
+    template_bands = known.select("license", "step", "template", F.posexplode("signature").alias("band", "of")).select("license", "step", "template", "band", F.col("of.value").alias("value"))
     retrieved = bands.join(F.broadcast(template_bands), ["step", "band", "value"])  # bounded by the list of templates
-    verified = retrieved.select("rid", "license", (F.size(F.array_intersect("template", "part")) / F.size("template")).alias("containment")).where(F.col("containment") >= CONTAINMENT)
-    best = verified.groupBy("rid", "license").agg(F.max("containment").alias("containment"))
-    by_row = best.groupBy("rid").agg(
+    retrieved = retrieved.dropDuplicates(["sha", "step", "window", "license"])
+    spelled = retrieved.select("sha", "license", "template", F.explode(F.array(F.expr(_SPELLED))).alias("part"))
+    containment = F.size(F.array_intersect("template", "part")) / F.size("template")
+    best = spelled.select("sha", "license", containment.alias("containment")).where(F.col("containment") >= CONTAINMENT).groupBy("sha", "license").agg(F.max("containment").alias("containment"))
+    by_text = best.groupBy("sha").agg(
         F.count(F.lit(1)).alias("n_licenses"), F.array_join(F.array_sort(F.collect_list("license")), ",").alias("licenses"), F.max("containment").alias("containment")
     )
-    by_row = Scratch(spark, "licenses").save("matches", by_row)
-    return source.select("doc_id", "rid").join(by_row, "rid", "left").select(
+    by_text = Scratch(spark, "licenses").save("matches", by_text)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), sha).join(by_text, "sha", "left").select(
         "doc_id", F.coalesce("n_licenses", F.lit(0)).cast("long").alias("n_licenses"), F.coalesce("licenses", F.lit("")).alias("licenses"), F.coalesce("containment", F.lit(0.0)).alias("containment")
     )
 
@@ -113,12 +141,14 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     rows = []
-    for name, text in TEMPLATES:
+    for name, text in known_templates():
         words = template_words(text)
-        shingles = sorted({" ".join(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)})
-        rows += [f"('{name}', {template_class(len(words))}, {len(shingles)}, '{s}')" for s in shingles]
+        rows.append(f"('{name}', {template_class(len(words))}, '{' '.join(words)}')")
     return f"""
-WITH t(license, step, n, g) AS (VALUES {", ".join(rows)}),
+WITH known(license, step, words) AS (VALUES {", ".join(rows)}),
+spelled AS (SELECT license, step, string_split(words, ' ') AS w FROM known),
+t AS (SELECT *, count(*) OVER (PARTITION BY license) AS n FROM (SELECT DISTINCT license, step, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4] || ' ' || w[i + 5] AS g
+  FROM (SELECT license, step, w, unnest(range(0, len(w) - 4)) AS i FROM spelled) x) y),
 d AS (SELECT row_number() OVER () AS rid, doc_id,
   list_filter(regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents),
 s AS (SELECT rid, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4] || ' ' || w[i + 5] AS g
