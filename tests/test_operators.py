@@ -1,3 +1,4 @@
+import datetime
 import math
 import random
 
@@ -78,6 +79,12 @@ def test_pages_are_stable_and_cursors_are_bound(spark):
     for list_name, filters, given in (("rows", {"x": 2}, cursor), ("other", {"x": 1}, cursor), ("rows", {"x": 1}, "%%%"), ("rows", {"x": 1}, "é")):
         with pytest.raises(paging.PageRefused):
             paging.next_page(rows, ["k", "id"], list_name, filters, 7, given)
+    place = paging.Cursor("rows", {})
+    key = [None, -5, 0.1, "é|", datetime.datetime(2024, 1, 2, 3, 4, 5, 6), datetime.date(2024, 1, 2)]
+    assert place.read(place.write(key), 6) == key
+    for broken in (place.write(key)[:-2], place.write(key)[:-1] + "x", "02" + place.write(key)[2:], ""):
+        with pytest.raises(paging.PageRefused):
+            place.read(broken, 6)
     for limit in (0, 1001):
         with pytest.raises(paging.PageRefused):
             paging.keyset_page(rows, ["id"], limit)
@@ -85,6 +92,75 @@ def test_pages_are_stable_and_cursors_are_bound(spark):
         paging.recordings_filter(rows, state="unknown")
 
 
+def test_times_need_a_zone(spark):
+    for kind in ("timestamp_ntz", "timestamp"):
+        runs = spark.createDataFrame([("2024-01-01T00:30:00",), ("2023-12-31T22:59:59",)], "t string").select((F.col("t") if kind == "timestamp_ntz" else F.concat("t", F.lit("Z"))).cast(kind).alias("created_at"))
+        assert paging.runs_filter(runs, created_after="2024-01-01T01:00:00+02:00").count() == 1
+        for text in ("2024-01-01T01:00:00", "yesterday"):
+            with pytest.raises(paging.PageRefused):
+                paging.runs_filter(runs, created_after=text)
+
+
+def test_head_takes_any_vector(spark):
+    rows = spark.createDataFrame([(0, [1.0, 2.0]), (1, None), (2, [1.0]), (3, [0.0, None]), (4, [])], "i int, embedding array<float>")
+    got = {r.i: (r.logits, r.code) for r in embeddings.linear_head(rows, [[1.0], [10.0]], [0.5], ["i"]).collect()}
+    assert got[0] == ([21.5], None) and got[3] == ([None], None)
+    assert got[1] == (None, "embedding_missing") and got[2] == got[4] == (None, "head_input_width_mismatch")
+
+
+def test_strict_lines(spark, tmp_path):
+    good = '"namespace":"n","value":"v","audio_uri":"s3://a/b"'
+    lines = {
+        "{%s}" % good: None, "{%s,\"duration_seconds\":2}" % good: None, "{%s,\"duration_seconds\":null}" % good: None, " {%s} " % good: None, '{"namespace":"\\ud83d\\ude00","value":"v","audio_uri":"s3://a/b"}': None,
+        '{"namespace":5,"value":"v","audio_uri":"s3://a/b"}': "not_text", '{"namespace":"n","value":["x"],"audio_uri":"s3://a/b"}': "not_text", '{"namespace":"n","value":null,"audio_uri":"s3://a/b"}': "missing_text",
+        "{%s} tail" % good: "not_an_object", "{%s}{}" % good: "not_an_object", "{%s},{}" % good: "not_an_object", "{%s}] {}" % good: "not_an_object", "{%s}} {" % good: "not_an_object", "[{%s}]" % good: "not_an_object",
+        "{%s,\"duration_seconds\":\"60\"}" % good: "bad_duration", "{%s,\"duration_seconds\":true}" % good: "bad_duration", "{%s,\"duration_seconds\":1e400}" % good: "bad_duration", "{%s,\"duration_seconds\":0}" % good: "bad_duration",
+        '{"namespace":"\\ud800","value":"v","audio_uri":"s3://a/b"}': "lone_surrogate", '{"namespace":"\\u0000","value":"v","audio_uri":"s3://a/b"}': "missing_text", "   ": "blank_line", "{%s,\"embeddings\":1}" % good: "unknown_key",
+    }
+    raw = "\n".join(lines).encode() + b"\n\xff\xfe{}\n"
+    (tmp_path / "list.jsonl").write_bytes(raw)
+    got = {r.line: r.problem for r in manifests.recordings_jsonl(spark, str(tmp_path / "list.jsonl")).collect()}
+    assert got == {**dict(enumerate(lines.values(), 1)), len(lines) + 1: "not_utf8"}
+    (tmp_path / "bom.jsonl").write_bytes(b"\xef\xbb\xbf{%s}" % good.encode())
+    assert [r.problem for r in manifests.recordings_jsonl(spark, str(tmp_path / "bom.jsonl")).collect()] == ["byte_order_mark"]
+
+
+def test_wrong_files_are_refused(spark, tmp_path):
+    rows = spark.createDataFrame([("n", "v", 0.0, 3.0, "a", 0.5)], artifacts.SCORES)
+    artifacts.write_scores(rows, f"{tmp_path}/s")
+    assert artifacts.read_scores(spark, f"{tmp_path}/s").count() == 1
+    sums = catalogs.file_checksums(spark, f"{tmp_path}/s").where("path like '%.parquet'").select("path", "checksum").cache()
+    assert artifacts.read_scores(spark, f"{tmp_path}/s", sums).count() == 1
+    for wrong, code in ((sums.withColumn("checksum", F.lit("sha256:0")), "artifact_checksum_mismatch"), (sums.unionByName(sums.withColumn("path", F.concat("path", F.lit("x")))), "artifact_unavailable")):
+        with pytest.raises(artifacts.ArtifactRefused, match=code):
+            artifacts.read_scores(spark, f"{tmp_path}/s", wrong)
+    rows.drop("score").write.parquet(f"{tmp_path}/t")
+    with pytest.raises(artifacts.ArtifactRefused, match="artifact_schema_invalid"):
+        artifacts.read_scores(spark, f"{tmp_path}/t")
+    assert artifacts.read_scores(spark, f"{tmp_path}/t", refuse=False).count() == 0
+
+
+def test_empty_registries_are_refused(spark, tmp_path):
+    for name, text in (("a", "class_index,label,label_kind\n"), ("b", "class_index,label,label,label_kind\n0,x,y,unresolved\n"), ("c", "label\nx\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+        with pytest.raises(catalogs.CatalogRefused):
+            catalogs.registry_csv(spark, str(tmp_path / f"{name}.csv"))
+
+
+def test_versions_meet_in_a_map_or_in_a_join(spark, monkeypatch):
+    results = spark.createDataFrame([(1, "n", "a", {"m": 1, "h": 2}), (2, "n", "b", {"m": 2}), (3, "n", "c", {})], "run_id long, namespace string, value string, output_versions map<string,bigint>")
+    highest = spark.createDataFrame([("m", 2)], "version_id string, highest bigint")
+    for most in (1000, 0):
+        monkeypatch.setattr(lineage, "MOST_IDS", most)
+        assert {r.run_id: r.up_to_date for r in lineage.up_to_date(results, highest).collect()} == {1: False, 2: True, 3: True}
+
+
+def test_chunks_number_a_run_over_parts(spark):
+    rows = spark.range(1000).select((F.col("id") % 2).alias("run_id"), F.lit("n").alias("namespace"), F.lpad(F.col("id").cast("string"), 5, "0").alias("value"))
+    got = sorted((r.run_id, r.value, r.task) for r in lineage.task_chunks(rows, 7).collect())
+    assert [g[2] for g in got] == [i // 7 for i in range(500)] * 2
+
+
 def test_text_functions(spark):
     assert one(spark, T.percent_encode(F.lit("a b/~*é+%"))) == "a%20b%2F~%2A%C3%A9%2B%25"
     for given, uri in (("/a b", "file:///a%20b"), ("file:///a%20b", "file:///a%20b"), ("file:///a b", None), ("S3://x", "S3://x"), ("rel", None)):
@@ -106,7 +182,11 @@ def test_half_precision(spark):
     rows = spark.createDataFrame([([1.0, 65519.0],), ([65520.0],), ([float("inf")],), ([1e-9],)], "e array<double>")
     codes = [r[0] for r in rows.select(embeddings.narrow_code(F.col("e"), half=True)).collect()]
     assert [c is not None for c in codes] == [False, True, False, False]
-    assert [r[0] for r in rows.select(embeddings.narrow_half("e")).collect()][0] == [1.0, 65504.0]
+    assert [r[0] for r in rows.select(embeddings.narrow_half(F.col("e"))).collect()] == [[1.0, 65504.0], [math.inf], [math.inf], [0.0]]
+    rng = np.random.default_rng(0)
+    wide = np.r_[rng.normal(size=300), rng.normal(size=100) * 1e-6, rng.normal(size=100) * 2e4, 0.0, -0.0, 2.0**-24, 2.0**-25, 3 * 2.0**-25, 65504.0]
+    (got,) = spark.createDataFrame([(wide.tolist(),)], "e array<double>").select(embeddings.narrow_half(F.col("e"))).first()
+    assert np.array_equal(np.array(got), wide.astype(np.float16).astype(np.float64))
     assert [r[0] is not None for r in spark.createDataFrame([([1e39],), ([1e38],)], "e array<double>").select(embeddings.narrow_code(F.col("e"), half=False)).collect()] == [True, False]
 
 

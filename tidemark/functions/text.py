@@ -35,7 +35,7 @@ def audio_uri(location: Column, folder: Column | None = None) -> Column:
     """The stored URI: other schemes as written, paths as percent-encoded ``file:///`` URIs; null if refused."""
     is_path = location.startswith("/")
     is_file = F.lower(location).startswith("file:")
-    inner = F.try_url_decode(F.regexp_replace(F.substring(location, 8, 1_000_000), "[+]", "%2B"))
+    inner = F.try_url_decode(F.regexp_replace(F.substr(location, F.lit(8)), "[+]", "%2B"))
     same = F.concat(F.lit("file://"), _encoded_path(inner))
     uri = F.when(is_path, F.concat(F.lit("file://"), _encoded_path(location))).when(is_file, F.when(location == same, location)).when(location.rlike(SCHEME), location)
     if folder is not None:

@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, FloatType
 
 #: From here on a value rounds to infinity in half precision.
 HALF_LIMIT = 65_520.0
@@ -27,10 +26,17 @@ def narrow_float(embedding: Column) -> Column:
     return embedding.cast("array<float>")
 
 
-@F.pandas_udf(ArrayType(FloatType()))
-def narrow_half(vectors: pd.Series) -> pd.Series:
-    """Values rounded to half precision, held as single precision."""
-    return vectors.map(lambda v: None if v is None else np.asarray(v, dtype=np.float64).astype(np.float16).astype(np.float32))
+def narrow_half(embedding: Column) -> Column:
+    """Values rounded to half precision (11 significant bits, half to even), held as single precision."""
+
+    def rounded(x: Column) -> Column:
+        wide = x.cast("double")
+        step = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(F.abs(wide))), F.lit(-14)) - 10)  # no finer than 2**-24
+        inexact = F.bround(wide / step) * step
+        endless = F.when(wide > 0, float("inf")).otherwise(float("-inf"))
+        return F.when((wide == 0) | F.isnan(wide), wide).when(F.abs(wide) >= HALF_LIMIT, endless).otherwise(inexact).cast("float")
+
+    return F.transform(embedding, rounded)
 
 
 def head_input_code(backbone: Column, card: Column, dim: Column, recipe: Column, namespace: Column, value: Column, want: dict[str, Column]) -> Column:
@@ -56,24 +62,31 @@ def sigmoid(logits: Column, clip: float | None = None) -> Column:
 
 
 def linear_head(windows: DataFrame, kernel: np.ndarray, bias: np.ndarray, key_columns: list[str], activate: bool = False) -> DataFrame:
-    """``logits`` (or scores, if ``activate``) of rows with an ``embedding``, one matrix product per Arrow batch.
+    """``logits`` (or scores, if ``activate``) and ``code`` of rows with an ``embedding``, one matrix product per Arrow batch.
 
-    The kernel (dim, labels) is a model's weights; it is broadcast once to each executor.
+    A row without a vector has the code ``embedding_missing`` and one of another width ``head_input_width_mismatch``;
+    both have null logits, and the other rows get theirs. A null in a vector gives null logits. The kernel (dim, labels) is a model's weights; it is broadcast once to each executor.
     """
     shared = windows.sparkSession.sparkContext.broadcast((np.asarray(kernel, dtype=np.float64), np.asarray(bias, dtype=np.float64)))
-    schema = ", ".join(f"{c} {windows.schema[c].dataType.simpleString()}" for c in key_columns) + ", logits array<double>"
+    schema = ", ".join(f"{c} {windows.schema[c].dataType.simpleString()}" for c in key_columns) + ", logits array<double>, code string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights, offset = shared.value
         for batch in batches:
             out = batch[key_columns].copy()
-            if len(batch):
-                logits = np.stack(batch["embedding"].to_numpy()).astype(np.float64) @ weights + offset
+            vectors = batch["embedding"]
+            missing = vectors.isna().to_numpy()
+            wrong = ~missing & (vectors.str.len().to_numpy() != len(weights))
+            fine = np.flatnonzero(~missing & ~wrong)
+            found = np.full(len(batch), None, dtype=object)
+            if len(fine):
+                logits = np.stack(vectors.to_numpy()[fine]).astype(np.float64) @ weights + offset
                 if activate:
                     logits = 1 / (1 + np.exp(-np.clip(logits, -700, 700)))
-                out["logits"] = list(logits)
-            else:
-                out["logits"] = pd.Series([], dtype=object)
+                for at, row in zip(fine.tolist(), logits):
+                    found[at] = row
+            out["logits"] = found
+            out["code"] = np.where(missing, "embedding_missing", np.where(wrong, "head_input_width_mismatch", None))
             yield out
 
     return windows.select(*key_columns, "embedding").mapInPandas(run, schema)

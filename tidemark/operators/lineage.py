@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.shared import shared_folder
+
 KEY = ["namespace", "value"]
 CLAIM = [*KEY, "configuration_digest", "versions_key"]
+#: Model ids whose versions are held in one map, and rows of a table that is broadcast.
+MOST_IDS, MOST_BROADCAST = 1_000, 100_000
 
 
 def versions_key(versions: Column) -> Column:
@@ -27,8 +31,23 @@ def highest_versions(outcomes: DataFrame) -> DataFrame:
     return pairs.groupBy("version_id").agg(F.max("version").alias("highest"))
 
 
+def small(rows: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
+    """``rows`` to be broadcast if a count shows at most ``most`` of them, else as they are."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
 def up_to_date(results: DataFrame, highest: DataFrame) -> DataFrame:
-    """``up_to_date``: no version of the result is below the highest of its id."""
+    """``up_to_date``: no version of the result is below the highest of its id.
+
+    Ids are those of models, so their highest versions are one map, looked up in place; only with more than MOST_IDS of
+    them the results meet them in a join.
+    """
+    known = highest.limit(MOST_IDS + 1).collect()
+    if len(known) <= MOST_IDS:
+        pairs = [F.lit(x) for row in known for x in (row["version_id"], row["highest"])]
+        best = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,bigint>")
+        fine = F.forall(F.map_entries("output_versions"), lambda e: e["value"] >= F.coalesce(F.try_element_at(best, e["key"]), e["value"]))
+        return results.withColumn("up_to_date", fine)
     keys = ["run_id", *KEY]
     low = results.select(*keys, F.explode("output_versions").alias("version_id", "version")).join(highest, "version_id").where("version < highest").select(*keys).distinct()
     return results.join(low.withColumn("low", F.lit(True)), keys, "left").withColumn("up_to_date", F.col("low").isNull()).drop("low")
@@ -73,14 +92,25 @@ def backbone_inputs(requests: DataFrame, outcomes: DataFrame, runs: DataFrame, f
 
 
 def task_chunks(pending: DataFrame, size: int) -> DataFrame:
-    """The task of each pending recording: ``size`` recordings each, in order of the recordings of a run."""
-    order = Window.partitionBy("run_id").orderBy(*KEY)
-    return pending.withColumn("task", F.floor((F.row_number().over(order) - 1) / F.lit(size)).cast("long"))
+    """The task of each pending recording: ``size`` recordings each, in order of the recordings of a run.
+
+    Recordings are sorted over range partitions and numbered within each, after the run's recordings in those before,
+    so a large run is not one group. The sorted rows are written, since they are read twice.
+    """
+    path = shared_folder(pending.sparkSession, "chunks")
+    pending.repartitionByRange("run_id", *KEY).withColumn("part", F.spark_partition_id()).write.parquet(path)
+    rows = pending.sparkSession.read.parquet(path)
+    counts = rows.groupBy("run_id", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("run_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    starts = counts.select("run_id", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("run_id", "part").orderBy(*KEY)) - 1
+    numbered = rows.withColumn("nth", nth).join(starts, ["run_id", "part"])
+    return numbered.select(*pending.columns, F.floor((F.col("before") + F.col("nth")) / F.lit(size)).cast("long").alias("task"))
 
 
 def presets_of(configurations: DataFrame, presets: DataFrame) -> DataFrame:
     names = presets.groupBy("configuration_digest").agg(F.array_sort(F.collect_list("name")).alias("presets"))
-    return configurations.join(names, "configuration_digest", "left").withColumn("presets", F.coalesce("presets", F.array().cast("array<string>")))
+    return configurations.join(small(names), "configuration_digest", "left").withColumn("presets", F.coalesce("presets", F.array().cast("array<string>")))
 
 
 def first_writers(entries: DataFrame) -> DataFrame:
@@ -94,4 +124,4 @@ def first_writers(entries: DataFrame) -> DataFrame:
 def outdated_versions(runs: DataFrame, release: DataFrame) -> DataFrame:
     """Versions of runs that the release changed or lacks."""
     pairs = runs.select("run_id", F.explode("output_versions").alias("version_id", "version"))
-    return pairs.join(release, "version_id", "left").where(~F.col("version").eqNullSafe(F.col("released"))).select("run_id", "version_id", "version", "released")
+    return pairs.join(small(release), "version_id", "left").where(~F.col("version").eqNullSafe(F.col("released"))).select("run_id", "version_id", "version", "released")

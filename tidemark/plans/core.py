@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixtures
@@ -346,13 +349,13 @@ def _(spark, f, d):
 
 
 @query("backbone_inputs", """SELECT q.run_id, q.namespace, q.value, CASE WHEN c.run_id IS NULL THEN 'input_not_available' WHEN o.uri IS NULL THEN 'input_has_no_windows' WHEN o.run_id % 5 = 0 THEN 'input_location_unsupported' END AS skip_reason,
-  CASE WHEN o.run_id % 5 <> 0 THEN o.uri END AS uri FROM (SELECT * FROM run_recordings WHERE run_id % 4 = 3) q
+  CASE WHEN o.run_id % 5 <> 0 THEN o.uri END AS uri FROM run_recordings q
   LEFT JOIN (SELECT o.* FROM recording_outcomes o JOIN runs r ON r.run_id = o.run_id AND NOT r.withdrawn WHERE o.state = 'covered' AND o.configuration_digest = 'cfg0' AND o.model_version = 3) c ON c.namespace = q.namespace AND c.value = q.value
   LEFT JOIN (SELECT * FROM output_files WHERE kind = 'embeddings' AND CAST(value AS BIGINT) % 7 > 0) o ON o.run_id = c.run_id AND o.namespace = c.namespace AND o.value = c.value""")
 def _(spark, f, d):
     backbone = f["recording_outcomes"].where("configuration_digest = 'cfg0' and model_version = 3")
     accepted = (T.location_form(F.col("uri")) == "s3") & (F.col("backbone_run") % 5 != 0)
-    return L.backbone_inputs(f["run_recordings"].where("run_id % 4 = 3"), backbone, f["runs"], f["output_files"].where("cast(value as bigint) % 7 > 0"), accepted)
+    return L.backbone_inputs(f["run_recordings"], backbone, f["runs"], f["output_files"].where("cast(value as bigint) % 7 > 0"), accepted)
 
 
 @query("task_chunks", "SELECT run_id, namespace, value, (row_number() OVER (PARTITION BY run_id ORDER BY namespace, value) - 1) // 25 AS task FROM recording_outcomes WHERE state = 'pending'")
@@ -392,7 +395,8 @@ def _(spark, f, d):
 def _(spark, f, d):
     runs = f["events"].select(F.col("event_id").alias("run_id"), F.col("user_id"), F.col("ts").alias("created_at")).withColumn("submitted_by", (F.col("user_id") % 3).cast("string"))
     after = runs.agg(F.min("created_at") + F.expr("INTERVAL 10 DAYS")).first()[0]
-    return P.runs_filter(runs, "1", str(after)).select("run_id", F.col("user_id").alias("submitted_by"), "created_at")
+    # the same time two hours further east
+    return P.runs_filter(runs, "1", (after + timedelta(hours=2)).isoformat() + "+02:00").select("run_id", F.col("user_id").alias("submitted_by"), "created_at")
 
 
 @query("recordings_filter", "SELECT run_id, namespace, value, state, skip_reason FROM recording_outcomes WHERE state = 'skipped' AND skip_reason = 'in_progress'")
@@ -405,7 +409,7 @@ def _(spark, f, d):
     keys = ["ts", "event_id"]
     events = f["events"].select("event_id", "ts", "event_type")
     _, cursor = P.next_page(events, keys, "events", {}, 100)
-    return P.keyset_page(events, keys, 100, P.read_cursor(cursor, P.scope_of("events", {}), 2))
+    return P.keyset_page(events, keys, 100, P.Cursor("events", {}).read(cursor, 2))
 
 
 @query("newest_runs_page", "SELECT run_id, submitted_by FROM runs WHERE submitted_by < 'actor2' OR (submitted_by = 'actor2' AND run_id < 40) ORDER BY submitted_by DESC, run_id DESC LIMIT 21")
@@ -429,11 +433,14 @@ def _(spark, f, d):
 # embeddings and heads
 
 
-@query("narrow_embedding", "SELECT vec_id, CASE WHEN vec_id % 10 = 0 THEN 'embedding_value_out_of_storage_dtype_range' END AS code FROM windows")
+@query("narrow_embedding", """SELECT vec_id, code, CASE WHEN code IS NULL THEN CASE WHEN x = 0 THEN 0 ELSE round_even(x / s, 0) * s END END AS half FROM
+  (SELECT *, pow(2.0::DOUBLE, greatest(floor(log2(abs(nullif(x, 0)))), -14) - 10) AS s FROM
+  (SELECT vec_id, embedding[1]::DOUBLE * CASE WHEN vec_id % 3 = 0 THEN 1e-5::DOUBLE ELSE 1::DOUBLE END AS x, CASE WHEN vec_id % 10 = 0 THEN 'embedding_value_out_of_storage_dtype_range' END AS code FROM windows) a) b""")
 def _(spark, f, d):
-    scaled = F.transform("embedding", lambda x: F.when(F.col("vec_id") % 10 == 0, F.lit(70_000.0)).otherwise(x.cast("double")))
+    scaled = F.transform("embedding", lambda x: F.when(F.col("vec_id") % 10 == 0, F.lit(70_000.0)).otherwise(x.cast("double") * F.when(F.col("vec_id") % 3 == 0, 1e-5).otherwise(1.0)))
     rows = f["windows"].withColumn("wide", scaled)
-    return rows.select("vec_id", I.narrow_code(F.col("wide"), half=True).alias("code"))
+    code = I.narrow_code(F.col("wide"), half=True)
+    return rows.select("vec_id", code.alias("code"), F.when(code.isNull(), I.narrow_half(F.col("wide"))[0].cast("double")).alias("half"))
 
 
 @query("verify_head_input", "SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN 'head_input_backbone_mismatch' WHEN vec_id % 7 = 0 THEN 'head_input_width_mismatch' WHEN vec_id % 11 = 0 THEN 'head_input_recipe_differs' WHEN vec_id % 13 = 0 THEN 'head_input_recording_mismatch' END AS code FROM windows")
@@ -579,7 +586,8 @@ def _(spark, f, d):
 def _mean(batches):
     for batch in batches:
         out = batch[["namespace", "value", "arrival", "window_start_s", "window_end_s"]].copy()
-        out["scores"] = [[float(1 / (1 + 2.718281828459045 ** -sum(map(float, e))))] for e in batch["embedding"]]
+        sums = np.stack(batch["embedding"].to_numpy()).astype(np.float64).sum(axis=1) if len(batch) else np.empty(0)
+        out["scores"] = list((1 / (1 + np.exp(-sums)))[:, None])
         yield out
 
 

@@ -26,6 +26,14 @@ def _lines(f: dict[str, DataFrame]) -> DataFrame:
         .when(v % 50 == 7, F.concat(F.lit('{"duration_seconds":2.5,'), F.substring(good, 2, 10_000)))
         .when(v % 50 == 8, F.concat(good, F.lit("\r")))
         .when(v % 50 == 9, F.lit('{"audio_uri":"s3://a/b","namespace":"same","value":"same"}'))
+        .when(v % 50 == 10, F.lit('{"audio_uri":"s3://a/b","namespace":5,"value":"x"}'))
+        .when(v % 50 == 11, F.lit('{"audio_uri":"s3://a/b","namespace":"x","value":["x"]}'))
+        .when(v % 50 == 12, F.concat(good, F.lit(" tail")))
+        .when(v % 50 == 13, F.concat(good, F.lit("] {}")))
+        .when(v % 50 == 14, F.concat(F.lit('{"duration_seconds":true,'), F.substring(good, 2, 10_000)))
+        .when(v % 50 == 15, F.concat(F.lit('{"duration_seconds":null,'), F.substring(good, 2, 10_000)))
+        .when(v % 50 == 16, F.lit('{"audio_uri":"s3://a/b","namespace":"x","value":"\\ud800"}'))
+        .when(v % 50 == 17, F.concat(F.lit("\ufeff"), good))
         .otherwise(good)
     )
     return f["recordings"].select(v.alias("id"), text.alias("value"))
@@ -33,12 +41,12 @@ def _lines(f: dict[str, DataFrame]) -> DataFrame:
 
 def _write_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
     path = shared_folder(spark, name)
-    lines.orderBy("id").coalesce(1).select("value").write.text(path)  # one list is one file
+    lines.repartitionByRange("id").sortWithinPartitions("id").select("value").write.text(path)  # files in order of the ids
     return path
 
 
 JSONL_SQL = """jsonl AS (SELECT row_number() OVER (ORDER BY CAST(value AS BIGINT)) AS line, CAST(value AS BIGINT) % 50 AS k, * FROM recordings),
-checked AS (SELECT line, k, CASE k WHEN 1 THEN 'blank_line' WHEN 2 THEN 'not_an_object' WHEN 3 THEN 'repeated_key' WHEN 4 THEN 'unknown_key' WHEN 5 THEN 'bad_duration' WHEN 6 THEN 'bad_duration' END AS problem, namespace, value, audio_uri FROM jsonl)"""
+checked AS (SELECT line, k, CASE k WHEN 1 THEN 'blank_line' WHEN 2 THEN 'not_an_object' WHEN 3 THEN 'repeated_key' WHEN 4 THEN 'unknown_key' WHEN 5 THEN 'bad_duration' WHEN 6 THEN 'bad_duration' WHEN 10 THEN 'not_text' WHEN 11 THEN 'not_text' WHEN 12 THEN 'not_an_object' WHEN 13 THEN 'not_an_object' WHEN 14 THEN 'bad_duration' WHEN 16 THEN 'lone_surrogate' WHEN 17 THEN 'byte_order_mark' END AS problem, namespace, value, audio_uri FROM jsonl)"""
 
 
 @query("recordings_jsonl", """SELECT line, CASE WHEN problem IS NULL THEN CASE WHEN k = 9 THEN 'same' ELSE namespace END END AS namespace, CASE WHEN problem IS NULL THEN CASE WHEN k = 9 THEN 'same' ELSE value END END AS value,
@@ -88,28 +96,35 @@ def _(spark, f, d):
 
 
 def _write_tree(spark: SparkSession, f: dict[str, DataFrame], name: str) -> str:
+    """All recordings, 200 ids of a site in one file."""
     path = shared_folder(spark, name)
-    f["recordings"].where("cast(value as bigint) % 50 = 0").select(F.col("namespace").alias("site"), F.col("value").alias("day"), F.concat("value", F.lit(" "), "audio_uri").alias("value")).write.partitionBy("site", "day").text(path)
+    id_ = F.col("value").cast("long")
+    rows = f["recordings"].select(F.col("namespace").alias("site"), F.floor(id_ / 200).alias("day"), id_.alias("id"), F.concat("value", F.lit(" "), "audio_uri").alias("value"))
+    rows.repartition("site", "day").sortWithinPartitions("site", "day", "id").drop("id").write.partitionBy("site", "day").text(path)
     return path
 
 
-@query("folder_catalog", "SELECT 'tree' AS namespace, namespace || '/' || value AS value, namespace AS site, value AS day FROM recordings WHERE CAST(value AS BIGINT) % 50 = 0")
+TREE_SQL = "tree AS (SELECT namespace AS site, CAST(CAST(value AS BIGINT) // 200 AS VARCHAR) AS day, string_agg(value || ' ' || audio_uri || chr(10), '' ORDER BY CAST(value AS BIGINT)) AS content FROM recordings GROUP BY ALL)"
+
+
+@query("folder_catalog", "SELECT 'tree' AS namespace, site || '/' || day AS value, site, day FROM tree", TREE_SQL)
 def _(spark, f, d):
     path = _write_tree(spark, f, "tree")
     return C.folder_catalog(spark, path, "tree", "site={site}/day={day}/{file}.txt", "{site}/{day}").select("namespace", "value", "site", "day")
 
 
-@query("file_checksum", "SELECT namespace AS site, value AS day, CAST(length(value || ' ' || audio_uri) + 1 AS BIGINT) AS length, 'sha256:' || sha256(value || ' ' || audio_uri || chr(10)) AS checksum FROM recordings WHERE CAST(value AS BIGINT) % 50 = 0")
+@query("file_checksum", "SELECT site, day, CAST(strlen(content) AS BIGINT) AS length, 'sha256:' || sha256(content) AS checksum FROM tree", TREE_SQL)
 def _(spark, f, d):
     found = C.file_checksums(spark, _write_tree(spark, f, "sums"))
     return found.select(F.regexp_extract("path", "site=([^/]+)/", 1).alias("site"), F.regexp_extract("path", "day=([^/]+)/", 1).alias("day"), "length", "checksum")
 
 
-@query("verify_pinned_files", "SELECT value AS role, CASE WHEN CAST(value AS BIGINT) % 100 = 0 THEN 'model_file_digest_mismatch' END AS code FROM recordings WHERE CAST(value AS BIGINT) % 50 = 0 UNION ALL SELECT 'gone' || value, 'model_file_unavailable' FROM recordings WHERE CAST(value AS BIGINT) % 50 = 0")
+@query("verify_pinned_files", "SELECT site || '/' || day AS role, CASE WHEN CAST(day AS BIGINT) % 2 = 0 THEN 'model_file_digest_mismatch' END AS code FROM tree UNION ALL SELECT 'gone' || site || '/' || day, 'model_file_unavailable' FROM tree", TREE_SQL)
 def _(spark, f, d):
     found = C.file_checksums(spark, _write_tree(spark, f, "pins"))
-    role = F.regexp_extract("path", "day=([^/]+)/", 1)
-    pins = found.select(role.alias("role"), "path", F.col("length").alias("size_bytes"), F.when(role.cast("long") % 100 == 0, "sha256:0").otherwise(F.col("checksum")).alias("digest"))
+    day = F.regexp_extract("path", "day=([^/]+)/", 1)
+    role = F.concat(F.regexp_extract("path", "site=([^/]+)/", 1), F.lit("/"), day)
+    pins = found.select(role.alias("role"), "path", F.col("length").alias("size_bytes"), F.when(day.cast("long") % 2 == 0, "sha256:0").otherwise(F.col("checksum")).alias("digest"))
     gone = pins.select(F.concat(F.lit("gone"), "role").alias("role"), F.concat("path", F.lit(".gone")).alias("path"), "size_bytes", "digest")
     return C.verify_pinned(pins.unionByName(gone), found).select("role", "code")
 
@@ -137,7 +152,14 @@ def _(spark, f, d):
     # extra and reordered columns are matched by name
     path = shared_folder(spark, "scores")
     f["scores"].select("score", F.lit(1).alias("extra"), "label", "window_end_s", "window_start_s", "value", "namespace").write.parquet(path)
-    return S.read_scores(spark, path)
+    # left out: files that lack a column, have one of another type or are no Parquet, and one with other bytes than expected
+    f["scores"].drop("score").write.mode("append").parquet(path)
+    f["scores"].withColumn("label", F.col("class_index")).write.mode("append").parquet(path)
+    f["registry"].select("label").write.text(f"{path}/text.parquet")
+    f["scores"].write.parquet(f"{path}/late")
+    sums = C.file_checksums(spark, path).where("path like '%.parquet'")
+    expected = sums.select("path", F.when(F.col("path").contains("/late/"), "sha256:0").otherwise(F.col("checksum")).alias("checksum"))
+    return S.read_scores(spark, path, expected, refuse=False)
 
 
 @query("write_embeddings", "SELECT namespace, value, window_start_s, round(embedding[1]::DOUBLE, 6) AS first FROM windows WHERE vec_id % 5 > 0")

@@ -70,11 +70,20 @@ REGISTRY_COLUMNS = ("class_index", "label", "label_kind", "scientific_name", "co
 
 
 def registry_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A label registry with a ``problem`` per row: kind obligations, repeated labels, class indexes that are not dense."""
+    """A label registry with a ``problem`` per row: kind obligations, repeated labels, class indexes that are not dense.
+
+    A registry without rows, with a repeated column or without a required one is refused.
+    """
+    header = _header(spark, path)
+    repeated = [c for c in REGISTRY_COLUMNS if header.count(c) > 1]
+    if repeated:
+        raise CatalogRefused(f"the registry repeats {repeated}")
     rows = spark.read.option("header", True).option("inferSchema", False).csv(path)
     missing = [c for c in REGISTRY_COLUMNS[:3] if c not in rows.columns]
     if missing:
         raise CatalogRefused(f"the registry lacks {missing}")
+    if rows.isEmpty():
+        raise CatalogRefused("the registry has no rows")
     text = {c: F.nullif(F.col(c), F.lit("")) if c in rows.columns else F.lit(None).cast("string") for c in REGISTRY_COLUMNS}
     rows = rows.select(
         text["class_index"].try_cast("int").alias("class_index"), text["label"].alias("label"), text["label_kind"].alias("label_kind"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -26,14 +27,19 @@ class AcceptInOrder(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last, accepted, code, failed_at = self._state.get() if self._state.exists() else (None, 0, None, None)
         if code is None:
-            for row in pd.concat(rows).sort_values("arrival").itertuples():
-                order = None if last is None or row.window_start_s > last else "duplicate_window" if row.window_start_s == last else "window_out_of_order"
-                bounds = row.row_code if row.row_code == "window_bounds_invalid" else None
-                code = bounds or order or (None if pd.isna(row.row_code) else row.row_code)
-                if code is not None:
-                    failed_at = float(row.window_start_s)
-                    break
-                last, accepted = float(row.window_start_s), accepted + 1
+            arrived = pd.concat(rows).sort_values("arrival", kind="stable")
+            start = arrived["window_start_s"].to_numpy(np.float64)
+            own = arrived["row_code"].to_numpy(object)
+            # until the first failure every window before was accepted, so the one before is the last accepted
+            before = np.r_[np.nan if last is None else last, start[:-1]]
+            order = np.where(start == before, "duplicate_window", np.where(start < before, "window_out_of_order", None))
+            bounds = own == "window_bounds_invalid"
+            failed = np.flatnonzero(bounds | (order != None) | ~pd.isna(own))  # noqa: E711
+            n = int(failed[0]) if len(failed) else len(start)
+            if len(failed):
+                code, failed_at = own[n] if bounds[n] or order[n] is None else order[n], float(start[n])
+            if n:
+                last, accepted = float(start[n - 1]), accepted + n
         self._state.update((last, accepted, code, failed_at))
         yield pd.DataFrame({"namespace": [key[0]], "value": [key[1]], "accepted": [accepted], "code": [code], "window_start_s": [failed_at]})
 
