@@ -147,6 +147,17 @@ class _Places:
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes.astype(np.uint32)
+        self._deal()
+
+    def __getstate__(self):
+        return self.codes
+
+    def __setstate__(self, codes: np.ndarray):
+        self.codes = codes
+        self._deal()
+
+    def _deal(self) -> None:
+        codes = self.codes
         self.shift = np.uint32(32 - max(4, int(2 * len(codes)).bit_length()))
         self.slots = np.full(1 << (32 - int(self.shift)), -1, dtype=np.int32)
         rest = np.arange(len(codes), dtype=np.int32)
@@ -176,28 +187,35 @@ class _Places:
 
 
 class Model:
-    """Code lengths in bits under some languages, from rows (lang, kind, code, bits)."""
+    """Code lengths in bits under some languages, from the tables of each: kind -> (codes, bits)."""
 
-    def __init__(self, lang: np.ndarray, kind: np.ndarray, code: np.ndarray, bits: np.ndarray):
-        self.languages = sorted(set(lang.tolist()))
-        which = np.searchsorted(np.array(self.languages, dtype=object), lang) if len(lang) else np.empty(0, np.int64)
+    def __init__(self, tables: dict[str, dict[int, tuple[np.ndarray, np.ndarray]]]):
+        self.languages = sorted(tables)
         shape = lambda n: np.zeros((n, len(self.languages)), dtype=np.float32)
+        joint = lambda kind: _Places(np.unique(np.concatenate([t[kind][0] for t in tables.values()])) if tables else np.empty(0, np.uint32))
+
+        def put(table, kind, places):
+            for i, lang in enumerate(self.languages):
+                codes, bits = tables[lang][kind]
+                table[places(codes), i] = bits
 
-        def put(table, of_kind, places):
-            mine = kind == of_kind
-            table[places(code[mine]), which[mine]] = bits[mine]
+        def filled(places, of):
+            table = shape(len(places.codes))
+            for at in range(0, len(table), 1 << 16):
+                table[at : at + (1 << 16)] = of(places.codes[at : at + (1 << 16)].astype(np.int64))
+            return table
 
         self.after_1, self.escape_2 = shape(1 << 16), shape(1 << 16)
         put(self.after_1, AFTER_1, lambda c: c)
         put(self.escape_2, ESCAPE_2, lambda c: c)
-        self.triples = _Places(np.unique(code[kind == AFTER_2]))
-        self.after_2 = self._shorter(self.triples.codes.astype(np.int64))
+        self.triples = joint(AFTER_2)
+        self.after_2 = filled(self.triples, self._shorter)
         put(self.after_2, AFTER_2, self.triples.of)
-        self.contexts = _Places(np.unique(code[kind == ESCAPE_3]))
-        self.escape_3 = np.concatenate([shape(len(self.contexts.codes)), shape(1)])  # the last row is for contexts that no language has
+        self.contexts = joint(ESCAPE_3)
+        self.escape_3 = shape(len(self.contexts.codes) + 1)  # the last row is for contexts that no language has
         put(self.escape_3, ESCAPE_3, self.contexts.of)
-        self.strings = _Places(np.unique(code[kind == AFTER_3]))
-        self.after_3 = self._escaped(self.strings.codes.astype(np.int64))
+        self.strings = joint(AFTER_3)
+        self.after_3 = filled(self.strings, self._escaped)
         put(self.after_3, AFTER_3, self.strings.of)
 
     def _shorter(self, triple: np.ndarray) -> np.ndarray:
@@ -271,8 +289,13 @@ def blocks_of(tables: DataFrame, max_cells: int = MAX_CELLS) -> list[list[str]]:
 
 
 def _model(tables: DataFrame, languages: list[str]) -> Model:
-    found = tables.where(F.col("lang").isin(languages)).toPandas()  # one block
-    return Model(found["lang"].to_numpy(dtype=object), found["kind"].to_numpy(), found["code"].to_numpy(dtype=np.int64), found["bits"].to_numpy())
+    """The model of one block of languages, read one after the other."""
+    found = {}
+    for lang in languages:
+        rows = tables.where(F.col("lang") == lang).select("kind", "code", "bits").toArrow()
+        kind, code, bits = (rows.column(i).to_numpy() for i in range(3))
+        found[lang] = {k: (code[kind == k].astype(np.uint32), bits[kind == k]) for k in range(ESCAPE_3 + 1)}
+    return Model(found)
 
 
 def identify(docs: DataFrame, tables: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
