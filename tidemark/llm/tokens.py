@@ -14,10 +14,13 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 #: Distinct stretches and split parts whose ids a task keeps at a time.
-STRETCHES, PARTS = 600_000, 600_000
+STRETCHES, PARTS = 600_000, 100_000
+#: New words that are encoded as one text.
+TOGETHER = 200
 #: Ids that the operators put at the end of a document are at most this.
 END_IDS = 2
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_STEM = re.compile(r"\n?[^\W\d_]+")
 _RARE = re.compile(r"[^\S \n]")
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 #: Stretches whose split parts the pattern below gives: of these characters it knows the letters and the digits.
@@ -57,22 +60,47 @@ class _Parts(dict):
 
 
 class _Stretches(dict):
-    """Ids of stretches that follow a space."""
+    """Ids of stretches that follow a space; words among them are held here and nowhere else."""
 
-    def __init__(self, parts: _Parts, added: list[str]):
-        self._part, self._plain, self._split = parts.__getitem__, _PLAIN.fullmatch, _SPLIT.findall
+    def __init__(self, tokenizer, parts: _Parts, added: list[str]):
+        self._parts = parts
+        self._encode, self._part, self._plain, self._split = tokenizer.encode, parts.__getitem__, _PLAIN.fullmatch, _SPLIT.findall
         self._added = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
 
+    def learn(self, stretches: list[str]) -> None:
+        """Ask the library for the new words that ``stretches`` begin with, many in one text.
+
+        A word of letters after a space is one split part, and so is one after a line feed, so the words of the text come
+        back by the number of their part.
+        """
+        stems = dict.fromkeys(m.group() for s in stretches if s not in self and (m := _STEM.match(s)))
+        self._ask([w for w in stems if w[0] != "\n" and w not in self], " ", self)
+        parts = self._parts
+        self._ask([w[1:] for w in stems if w[0] == "\n" and w[1:] not in parts], "\n", parts)
+
+    def _ask(self, words: list[str], before: str, known: dict) -> None:
+        each = 1 if before == " " else 2  # the line feed is a part of its own
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            found = self._encode(before + before.join(some), add_special_tokens=False)
+            numbers = found.word_ids
+            # if the parts are not as many as the words, which an added token may cause, they are asked one by one
+            if None not in numbers and numbers[-1] + 1 == each * len(some):
+                cuts = (4 * np.searchsorted(np.array(numbers), np.arange(each * len(some) + 1))).tolist()
+                raw = array("I", found.ids).tobytes()
+                known.update(zip(some, [raw[a:b] for a, b in zip(cuts[each - 1 :: each], cuts[each::each])]))
+
     def __missing__(self, stretch: str) -> bytes:
-        whole = stretch if stretch[:1] == "\n" else " " + stretch
         if stretch.isalpha():
-            ids = self._part(whole)
+            ids = array("I", self._encode(" " + stretch, add_special_tokens=False).ids).tobytes()
         elif stretch[-1:] in (",", ".") and stretch[:-1].isalpha():
-            ids = self._part(whole[:-1]) + self._part(stretch[-1])
-        elif self._plain(stretch) and not self._added(stretch):
-            ids = b"".join(map(self._part, self._split(whole)))
+            ids = self[stretch[:-1]] + self._part(stretch[-1])
         else:
-            ids = self._part(whole)
+            whole = stretch if stretch[:1] == "\n" else " " + stretch
+            if self._plain(stretch) and not self._added(stretch):
+                ids = b"".join([self[p[1:]] if p[:1] == " " and p[1:].isalpha() else self._part(p) for p in self._split(whole)])
+            else:
+                ids = self._part(whole)
         self[stretch] = ids
         return ids
 
@@ -126,8 +154,9 @@ class Encoder:
         split = spec.get("pre_tokenizer") or {}
         if split.get("type") != "ByteLevel" or not split.get("use_regex", True) or split.get("add_prefix_space") or spec.get("normalizer"):
             raise ValueError("a byte-level tokenizer without a normalizer or a prefix space is needed")
-        self._parts = _Parts(Tokenizer.from_str(json_text))
-        self._inner = _Stretches(self._parts, [t["content"] for t in spec.get("added_tokens", [])])
+        tokenizer = Tokenizer.from_str(json_text)
+        self._parts = _Parts(tokenizer)
+        self._inner = _Stretches(tokenizer, self._parts, [t["content"] for t in spec.get("added_tokens", [])])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; each distinct stretch of ``texts`` is looked up once."""
@@ -135,7 +164,9 @@ class Encoder:
         _trim(self._parts, PARTS)
         heads, flat, counts = stretches(texts)
         coded = flat.dictionary_encode()
-        ids = list(map(self._inner.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        found = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._inner.learn(found)
+        ids = list(map(self._inner.__getitem__, found))
         index = coded.indices.to_numpy()
         lengths = np.fromiter((len(x) // 4 for x in ids), dtype=np.int64, count=len(ids))
         known = np.frombuffer(b"".join(ids), dtype="<u4")
