@@ -1,11 +1,16 @@
 import random
+import zlib
 
 import corpus_pipeline
+import numpy as np
 from test_quality_rules import plain_counts, plain_rules
 from test_simhash import plain_components, plain_fingerprint
-from test_substring_dedup import plain as plain_substrings
+from test_substring_dedup import kept_words
+
+from tokenizers import Tokenizer
 
 from tidemark.llm import quality_rules
+from tidemark.llm.tokens import tokenizer_json
 
 
 def make():
@@ -41,7 +46,8 @@ def plain_run(rows, labels):
     for i, t in docs:
         one.setdefault(roots[fps[i]], (i, t))
     docs = sorted(one.values())
-    return {i: (n, gone) for i, n, gone, _ in plain_substrings(docs) if n == 0 or gone < n}
+    texts = {i: t for i, t in docs}
+    return {i: " ".join(x for p, x in enumerate(w) if p not in gone) if gone else texts[i] for i, w, gone in kept_words(docs) if not w or len(gone) < len(w)}
 
 
 def test_run_against_plain_stages(spark, tmp_path):
@@ -54,6 +60,14 @@ def test_run_against_plain_stages(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in got} == set(want)
     assert all(plain_counts(t)[0] >= 50 for i, t in rows if i in want)
+    # the ids of each document are those of its text after the stages, and the sequences hold them
+    tokenizer = Tokenizer.from_str(tokenizer_json())
+    pieces = {}
+    for r in sorted(got, key=lambda r: (r.doc_id, r.piece)):
+        assert r.start == len(pieces.get(r.doc_id, ())) and r.length * 4 == len(r.ids) and r.ids_crc32 == zlib.crc32(r.ids)
+        pieces[r.doc_id] = [*pieces.get(r.doc_id, ()), *np.frombuffer(r.ids, dtype="<u4").tolist()]
+    assert pieces == {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in want.items()}
+    assert any(t != dict(rows)[i] for i, t in want.items())
     by = {}
     for r in got:
         by.setdefault(r.sequence_id, []).append((r.offset, r.length))

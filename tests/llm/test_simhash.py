@@ -53,14 +53,39 @@ def test_golay_covers():
 
 
 def test_every_close_pair_shares_an_anchor():
+    """All ways to spread 0 to 4 differing bits over the three blocks, 60 random pairs each."""
     rng = random.Random(1)
-    for _ in range(300):
-        x = rng.getrandbits(64)
-        y = x
-        for b in rng.sample(range(64), rng.randint(0, 4)):
-            y ^= 1 << b
-        keys, index = anchor_keys(np.array([x, y], dtype=np.uint64))
-        assert set(keys[index == 0]) & set(keys[index == 1])
+    pairs = []
+    for split in [(i, j, k) for i in range(5) for j in range(5) for k in range(5) if i + j + k <= 4]:
+        for _ in range(60):
+            x = y = rng.getrandbits(64)
+            for n, (shift, bits) in zip(split, simhash.BLOCKS):
+                for b in rng.sample(range(shift, shift + bits), n):
+                    y ^= 1 << b
+            pairs.append((x, y))
+    keys, index = anchor_keys(np.array(pairs, dtype=np.uint64).ravel())
+    met = [set() for _ in range(2 * len(pairs))]
+    for key, i in zip(keys.tolist(), index.tolist()):
+        met[i].add(key)
+    assert len(pairs) == 35 * 60 and all(met[2 * i] & met[2 * i + 1] for i in range(len(pairs)))
+
+
+def test_stage_keeps_columns_of_any_name(spark, docs_of):
+    docs = docs_of([(2, "a b c d e"), (1, "a b c d e"), (3, None), (4, ""), (None, "x y z w v")]).withColumns({c: F.lit(f"own {c}") for c in ("fp", "id", "none", "row", "_id", "_none", "component_id", "fingerprint")})
+    out = simhash.stage(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text, r.fp, r._id) for r in out.collect()), key=str) == [(1, "a b c d e", "own fp", "own _id"), (3, None, "own fp", "own _id"), (None, "x y z w v", "own fp", "own _id")]
+
+
+def test_one_giant_component(spark):
+    """A chain of fingerprints, each a bit from the next: one root for all nodes."""
+    fps, x = [], 0
+    for i in range(400):
+        x ^= 1 << (i * 7 % 63)
+        fps.append(x)
+    edges = spark.createDataFrame([(min(a, b), max(a, b)) for a, b in zip(fps, fps[1:]) if a != b], "a long, b long")
+    got = {r.node: r.root for r in connected_components(edges, Scratch(spark, "t")).collect()}
+    assert got == {f: min(fps) for f in set(fps)}
 
 
 def test_fingerprint_against_plain():

@@ -13,7 +13,8 @@ from tidemark.llm._words import Words, chunks, word_hashes
 from tidemark.llm.substring_dedup import dedup_substrings, repeated_spans
 
 
-def plain(rows):
+def kept_words(rows):
+    """(doc_id, words, places that go) of each row."""
     words = [(i, re.findall("[^\x20\x09-\x0d]+", t or "")) for i, t in rows]
     first = {}
     for i, w in words:
@@ -27,6 +28,13 @@ def plain(rows):
         for p in range(len(w) - 12):
             if i is not None and first[tuple(w[p : p + 13])] < i:
                 gone |= set(range(p, p + 13))
+        out.append((i, w, gone))
+    return out
+
+
+def plain(rows):
+    out = []
+    for i, w, gone in kept_words(rows):
         kept = " ".join(x for p, x in enumerate(w) if p not in gone)
         out.append((i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return sorted(out, key=str)

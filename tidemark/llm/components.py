@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ._scratch import Scratch
+from ._skew import join_counted
 
 
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -23,13 +24,13 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             f"near-{n}",
             labels.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("root")),
         )
-        jumps = lowered.select(F.col("node").alias("root"), F.col("root").alias("jump"))
-        labels = scratch.save(
-            f"labels-{n}",
-            lowered.join(jumps, "root").select("node", "was", F.col("jump").alias("root")),
-        )
+        # a giant component has one root for very many nodes
+        sizes = lowered.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+        jumps = scratch.save(f"jumps-{n}", lowered.select(F.col("node").alias("root"), F.col("root").alias("jump")).join(sizes, "root"))
+        jumped = join_counted(lowered, jumps, ["root"], lowered.count(), ["node"])
+        labels = scratch.save(f"labels-{n}", jumped.select("node", "was", F.col("jump").alias("root")))
         changed = labels.where("root != was").limit(1).count()
         labels = labels.select("node", "root")
-        scratch.drop(f"near-{n}", *([f"labels-{n - 1}"]))
+        scratch.drop(f"near-{n}", f"jumps-{n}", f"labels-{n - 1}")
         if not changed:
             return labels

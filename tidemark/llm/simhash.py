@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import _golay
 from ._scratch import Scratch, shuffle_partitions
+from ._skew import join_counted
 from .components import connected_components
 
 SHINGLE = 4
@@ -182,11 +183,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     distinct = scratch.save("fps", rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
     roots = connected_components(link_fingerprints(distinct, scratch), scratch).withColumnRenamed("node", "fp")
     linked = distinct.join(roots, "fp", "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
-    linked = scratch.save("linked", linked.where("linked or n > 1"))
-    firsts = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = linked.join(firsts, "root").select("fp", "component_id")
+    linked = scratch.save("linked", linked.where("linked or n > 1").drop("linked"))
+    firsts = scratch.save("firsts", linked.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n")))
+    ids = join_counted(linked.withColumnRenamed("n", "copies"), firsts, ["root"], linked.count(), ["fp"])
+    ids = scratch.save("ids", ids.select("fp", "component_id", F.col("copies").alias("n")))
     # a fingerprint of one unlinked row needs no lookup
-    return rows.join(ids, "fp", "left").select(
+    return join_counted(rows, ids, ["fp"], rows.count(), ["doc_id"], "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
