@@ -7,6 +7,7 @@ from zlib import crc32
 import numpy as np
 from pyspark.sql import functions as F
 
+from tidemark.llm import language_id
 from tidemark.llm.language_id import _model, identify, learn_counts, op4_language_id, train
 
 SF = Path("/root/testdata/sf0.001")
@@ -86,10 +87,14 @@ def test_seventy_languages_and_ties(docs_of):
         assert sorted((r.doc_id, r.lang_pred) for r in got) == sorted([(i, f"l{i:02}") for i in range(70)] + [(0, "und"), (3, "l03")])
 
 
-def test_sample_is_bounded_by_language(docs_of):
+def test_sample_is_bounded_by_language(docs_of, monkeypatch):
     docs = docs_of([(i, f"wort {i} " * 50, "de") for i in range(400)] + [(1000 + i, f"mot {i} " * 5, "fr") for i in range(10)])
-    total = {r.lang: r.n for r in learn_counts(docs, 20_000).groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    assert 10_000 < total["de"] < 30_000 and total["fr"] == sum(len(f"mot {i} " * 5) for i in range(10))
+    totals = []
+    for most in (10_000, 0):  # sizes broadcast, and joined with salted keys
+        monkeypatch.setattr(language_id, "MOST_BROADCAST", most)
+        totals.append({r.lang: r.n for r in learn_counts(docs, 20_000).groupBy("lang").agg(F.sum("n").alias("n")).collect()})
+    total = totals[0]
+    assert totals[1] == total and 10_000 < total["de"] < 30_000 and total["fr"] == sum(len(f"mot {i} " * 5) for i in range(10))
 
 
 def test_odd_rows(spark, docs_of):

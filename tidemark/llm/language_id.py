@@ -21,10 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ._scratch import Scratch
+from ._skew import join_counted
 
 ORDER = 3
 #: Bytes of training text expected of each language, and cells of a joint table.
 SAMPLE_BYTES, MAX_CELLS = 32 << 20, 1 << 24
+#: Languages whose sizes are broadcast.
+MOST_BROADCAST = 10_000
 _PAD = b"\n" * ORDER
 #: Kinds of table rows: code lengths after one, two and three bytes, costs of the escape from two and three bytes.
 AFTER_1, AFTER_2, AFTER_3, ESCAPE_2, ESCAPE_3 = range(5)
@@ -81,8 +84,12 @@ def learn_counts(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> DataFrame
     A text is drawn if its hash is below the share of its language's bytes that ``sample_bytes`` makes up.
     """
     known = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
-    drawn = known.join(sizes, "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) * F.col("bytes") < F.lit(float(sample_bytes) * (1 << 30)))
+    sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("n"))
+    sizes = Scratch(docs.sparkSession, "languages").save("sizes", sizes)  # a row for each language
+    n_languages, n_rows = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    # texts never meet by their language: there are few, and one may have most of the rows
+    sized = known.join(F.broadcast(sizes.drop("n")), "lang") if n_languages <= MOST_BROADCAST else join_counted(known, sizes, ["lang"], n_rows, ["doc_id"])
+    drawn = sized.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) * F.col("bytes") < F.lit(float(sample_bytes) * (1 << 30)))
     return drawn.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
