@@ -71,13 +71,6 @@ def test_against_brute_force(docs_of):
     assert digest(dedup_substrings(extra)) == plain(rows)
 
 
-def test_periodic_and_long(docs_of):
-    cycle = " ".join(f"w{i % 7}" for i in range(100))
-    long = " ".join(f"u{i}" for i in range(30_000))
-    rows = [(1, cycle), (2, cycle + " end"), (3, "a " + cycle), (4, "z " * 40), (5, "y " + "z " * 20), (6, long), (7, long + " " + cycle), (8, "k " + long)]
-    assert digest(dedup_substrings(docs_of(rows))) == plain(rows)
-
-
 def thue_morse(n, a, b):
     """Two words of 2**n letters that collide under every odd base modulo 2**64 once n is 11."""
     x, y = a, b
@@ -86,14 +79,18 @@ def thue_morse(n, a, b):
     return x, y
 
 
-def test_words_with_colliding_polynomials(docs_of):
+def test_colliding_words_hot_passages_periods_and_long_texts(docs_of):
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, f"a{i} b{i} {passage if i % 3 else ''} c{i}") for i in range(900)]
+    cycle = " ".join(f"w{i % 7}" for i in range(100))
+    long = " ".join(f"u{i}" for i in range(30_000))
+    rows += [(1001, cycle), (1002, cycle + " end"), (1003, "a " + cycle), (1004, "z " * 40), (1005, "y " + "z " * 20), (1006, long), (1007, long + " " + cycle), (1008, "k " + long)]
     t, u = thue_morse(11, "a", "b")
-    w, p = [f"w{i}" for i in range(12)], [f"p{i}" for i in range(20)]
-    rows = [(1, " ".join([*w, t, "x1"])), (2, " ".join([*w, u, "y2", "z3"])), (3, " ".join([*p, t])), (4, " ".join([*p, u]))]
-    assert digest(dedup_substrings(docs_of(rows))) == plain(rows)
+    w, p = [f"w{i}" for i in range(12)], [f"q{i}" for i in range(20)]
+    rows += [(2001, " ".join([*w, t, "x1"])), (2002, " ".join([*w, u, "y2", "z3"])), (2003, " ".join([*p, t])), (2004, " ".join([*p, u]))]
     t, u = (" ".join(x) for x in thue_morse(11, ["a"], ["b"]))
-    rows = [(1, " ".join(p) + " " + t), (2, " ".join(p) + " " + u), (3, "q " + t)]
-    assert digest(dedup_substrings(docs_of(rows))) == plain(rows)
+    rows += [(3001, " ".join(p) + " " + t), (3002, " ".join(p) + " " + u), (3003, "q " + t)]
+    assert digest(dedup_substrings(docs_of(rows, 12))) == plain(rows)
 
 
 def weak(bits):
@@ -123,12 +120,6 @@ def test_window_of_an_unrelated_earlier_document_hides_no_repeat(docs_of, monkey
     assert digest(dedup_substrings(docs_of(rows))) == plain(rows)
 
 
-def test_hot_passage(docs_of):
-    passage = " ".join(f"p{i}" for i in range(40))
-    rows = [(i, f"a{i} b{i} {passage if i % 3 else ''} c{i}") for i in range(900)]
-    assert digest(dedup_substrings(docs_of(rows, 12))) == plain(rows)
-
-
 def test_paths_follow_unbranched_nodes(docs_of, spark):
     """One passage in two documents is one path, across blocks; a fork in the graph ends it."""
     text = [f"w{i}" for i in range(300)]

@@ -22,6 +22,7 @@ END_IDS = 2
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _STEM = re.compile(r"\n?[^\W\d_]+")
 _RARE = re.compile(r"[^\S \n]")
+_RARE_LATIN = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 #: Stretches whose split parts the pattern below gives: of these characters it knows the letters and the digits.
 _PLAIN = re.compile("[\x21-\x7e\xc0-\xff\n]+")
@@ -64,14 +65,18 @@ class _Stretches(dict):
 
     def __init__(self, tokenizer, parts: _Parts, added: list[str]):
         self._parts = parts
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        self._bytes = np.zeros(1 + max(tokenizer.get_vocab().values(), default=0), dtype=np.int64)
+        self._bytes[list(vocabulary.values())] = list(map(len, vocabulary))  # a character of a piece stands for a byte
+        self._batch = tokenizer.encode_batch_fast
         self._encode, self._part, self._plain, self._split = tokenizer.encode, parts.__getitem__, _PLAIN.fullmatch, _SPLIT.findall
         self._added = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
 
     def learn(self, stretches: list[str]) -> None:
         """Ask the library for the new words that ``stretches`` begin with, many in one text.
 
-        A word of letters after a space is one split part, and so is one after a line feed, so the words of the text come
-        back by the number of their part.
+        A word of letters after a space is one split part, and so is one after a line feed, so each word of the text has
+        tokens of its own, which the bytes of the tokens tell.
         """
         stems = dict.fromkeys(m.group() for s in stretches if s not in self and (m := _STEM.match(s)))
         self._ask([w for w in stems if w[0] != "\n" and w not in self], " ", self)
@@ -79,16 +84,19 @@ class _Stretches(dict):
         self._ask([w[1:] for w in stems if w[0] == "\n" and w[1:] not in parts], "\n", parts)
 
     def _ask(self, words: list[str], before: str, known: dict) -> None:
-        each = 1 if before == " " else 2  # the line feed is a part of its own
+        skipped = len(before.lstrip(" "))  # a line feed is a part of its own, a space belongs to its word
         for at in range(0, len(words), TOGETHER):
             some = words[at : at + TOGETHER]
-            found = self._encode(before + before.join(some), add_special_tokens=False)
-            numbers = found.word_ids
-            # if the parts are not as many as the words, which an added token may cause, they are asked one by one
-            if None not in numbers and numbers[-1] + 1 == each * len(some):
-                cuts = (4 * np.searchsorted(np.array(numbers), np.arange(each * len(some) + 1))).tolist()
-                raw = array("I", found.ids).tobytes()
-                known.update(zip(some, [raw[a:b] for a, b in zip(cuts[each - 1 :: each], cuts[each::each])]))
+            ids = self._batch([before + before.join(some)], add_special_tokens=False)[0].ids
+            raw = array("I", ids).tobytes()
+            ends = np.cumsum(self._bytes[np.frombuffer(raw, dtype="<u4")])
+            stops = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in some), dtype=np.int64, count=len(some)))
+            starts = np.r_[0, stops[:-1]] + skipped
+            first, last = (np.searchsorted(ends, x, side="right") for x in (starts, stops))
+            whole = np.r_[0, ends]
+            # where words do not begin and end with a token, which an added token may cause, they are asked one by one
+            if np.array_equal(whole[first], starts) and np.array_equal(whole[last], stops):
+                known.update(zip(some, [raw[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist())]))
 
     def __missing__(self, stretch: str) -> bytes:
         if stretch.isalpha():
@@ -105,9 +113,18 @@ class _Stretches(dict):
         return ids
 
 
+def _rare(text: str) -> bool:
+    """Whether a text has white space other than spaces and line feeds."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _RARE.search(text) is not None
+    return any(c in text for c in _RARE_LATIN)  # much faster than the regular expression
+
+
 def _even(text: str) -> bool:
     """Whether every space, and every line feed, is white space that stands alone between two other characters."""
-    return not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or _RARE.search(text))
+    return not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or _rare(text))
 
 
 def stretches(texts: list[str]) -> tuple[list[str], pa.Array, np.ndarray]:
