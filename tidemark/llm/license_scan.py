@@ -104,20 +104,25 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     known = known.select("license", "step", F.max("bands").over(Window.partitionBy("step")).alias("bands"), F.array_distinct(F.expr(_SHINGLES)).alias("part"), F.expr(_SPELLED).alias("template"))
     known = known.select("license", "step", "bands", "template", F.expr(_SIGNED_BY).alias("signature"))
     found = known.select("step", "bands", "signature").collect()  # a row for each template
-    minimal = _longs({x["shingle"] for r in found for x in r["signature"]})
     values = _longs({x["value"] for r in found for x in r["signature"]})
-    steps = sorted({(r["step"], r["bands"]) for r in found})
+    # of each class of templates the shingles that can collide
+    minimal = {(r["step"], r["bands"]): set() for r in found}
+    for r in found:
+        minimal[r["step"], r["bands"]] |= {x["shingle"] for x in r["signature"]}
+    any_class = _longs(set().union(*minimal.values()))
 
     sha = F.sha2("text", 256).alias("sha")
     # each step comes out of a generator, so that no later step or filter computes it anew for every element
     worded = docs.select("text").select(sha, F.explode(F.array(_words(F.col("text")))).alias("w"))
     shingled = worded.select("sha", "w", F.explode(F.array(F.expr(_SHINGLES))).alias("s"))
-    near = shingled.where(F.arrays_overlap("s", minimal))
-    classes = F.array(*(F.struct(F.lit(step).alias("step"), F.lit(bands).alias("bands")) for step, bands in steps)) if steps else F.array().cast("array<struct<step:int,bands:int>>")
+    near = shingled.where(F.arrays_overlap("s", any_class))
+    classes = [F.struct(F.lit(step).alias("step"), F.lit(bands).alias("bands"), _longs(found).alias("minimal")) for (step, bands), found in sorted(minimal.items())]
+    classes = F.array(*classes) if classes else F.array().cast("array<struct<step:int,bands:int,minimal:array<bigint>>>")
     cut = F.expr(f"transform(sequence(0, (size(s) - 1) div step), k -> slice(s, cast(k * step + 1 as int), 2 * step - {SHINGLE - 1}))")
-    windows = near.select("sha", "w", "s", F.inline(classes)).select("sha", "step", "bands", "w", F.posexplode(cut).alias("window", "part"))
+    by_class = near.select("sha", "w", "s", F.inline(classes)).where(F.arrays_overlap("s", "minimal"))
+    windows = by_class.select("sha", "step", "bands", "minimal", "w", F.posexplode(cut).alias("window", "part"))
     spoken = F.expr("slice(w, cast(window * step + 1 as int), 2 * step)").alias("w")
-    signed = windows.where(F.arrays_overlap("part", minimal)).select("sha", "step", "window", spoken, F.explode(F.array(F.expr(_SIGNATURE))).alias("signature"))
+    signed = windows.where(F.arrays_overlap("part", "minimal")).select("sha", "step", "window", spoken, F.explode(F.array(F.expr(_SIGNATURE))).alias("signature"))
     met = F.filter(F.transform("signature", lambda v, b: F.struct(b.alias("band"), v.alias("value"))), lambda x: F.array_contains(values, x["value"]))
     bands = signed.select("sha", "step", "window", "w", F.inline(met))
     template_bands = known.select("license", "step", "template", F.posexplode("signature").alias("band", "of")).select("license", "step", "template", "band", F.col("of.value").alias("value"))
