@@ -103,15 +103,18 @@ class Words:
         return self.row[:n] == self.row[size - 1 :] if n > 0 else np.empty(0, dtype=bool)
 
 
-def raw_texts(texts: pa.Array) -> list[bytes]:
-    """The bytes of each text; null is empty."""
+def raw_slices(texts: pa.Array) -> Iterator[memoryview]:
+    """A view of the bytes of each text; null is empty."""
     texts = texts.cast(pa.large_string()).fill_null("")
     _, offsets, data = texts.buffers()
-    if data is None:
-        return [b""] * len(texts)
     cuts = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1].tolist()
-    data = memoryview(data)
-    return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
+    data = memoryview(b"" if data is None else data)
+    return (data[a:b] for a, b in zip(cuts, cuts[1:]))
+
+
+def raw_texts(texts: pa.Array) -> list[bytes]:
+    """The bytes of each text; null is empty."""
+    return list(map(bytes, raw_slices(texts)))
 
 
 def chunks(texts: pa.Array, size: int = 1 << 19) -> Iterator[tuple[int, int, Words]]:

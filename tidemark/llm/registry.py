@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, license_scan, packing, quality_classifier, quality_rules, sentence_pieces, simhash, substring_dedup, token_files
+from . import exact_dedup, fill_in_middle, language_id, license_scan, packing, quality_classifier, quality_rules, sentence_pieces, simhash, substring_dedup, token_files, vector_codes
 
 
 def queries():
@@ -17,6 +17,8 @@ def queries():
         "op8_license_scan": license_scan.op8_license_scan,
         "op9_token_files": token_files.op9_token_files,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+        "op11_vector_codes": vector_codes.op11_vector_codes,
+        "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
     }
 
 
@@ -25,4 +27,6 @@ def oracle_sql():
         "op2_quality_rules": quality_rules.ORACLE_SQL,
         "op3_exact_dedup": exact_dedup.ORACLE_SQL,
         "op8_license_scan": license_scan.ORACLE_SQL,
+        "op11_vector_codes": vector_codes.ORACLE_SQL,
+        "op13_fill_in_middle": fill_in_middle.ORACLE_SQL,
     }
