@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, fill_in_middle, language_id, license_scan, packing, quality_classifier, quality_rules, sentence_pieces, simhash, substring_dedup, token_files, vector_codes
+from . import exact_dedup, fill_in_middle, language_id, license_scan, packing, quality_classifier, quality_rules, sentence_pieces, simhash, substring_dedup, token_files, toxicity, vector_codes
 
 
 def queries():
@@ -18,6 +18,7 @@ def queries():
         "op9_token_files": token_files.op9_token_files,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
         "op11_vector_codes": vector_codes.op11_vector_codes,
+        "op12_toxicity": toxicity.op12_toxicity,
         "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
     }
 
