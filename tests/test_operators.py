@@ -125,19 +125,23 @@ def test_strict_lines(spark, tmp_path):
     assert [r.problem for r in manifests.recordings_jsonl(spark, str(tmp_path / "bom.jsonl")).collect()] == ["byte_order_mark"]
 
 
-def test_wrong_files_are_refused(spark, tmp_path):
+def test_wrong_tables_are_refused(spark, tmp_path):
     rows = spark.createDataFrame([("n", "v", 0.0, 3.0, "a", 0.5)], artifacts.SCORES)
+    read = lambda *a, **k: artifacts.read_scores(spark, *a, form="table", **k)
     artifacts.write_scores(rows, f"{tmp_path}/s")
-    assert artifacts.read_scores(spark, f"{tmp_path}/s").count() == 1
-    sums = catalogs.file_checksums(spark, f"{tmp_path}/s").where("path like '%.parquet'").select("path", "checksum").cache()
-    assert artifacts.read_scores(spark, f"{tmp_path}/s", sums).count() == 1
-    for wrong, code in ((sums.withColumn("checksum", F.lit("sha256:0")), "artifact_checksum_mismatch"), (sums.unionByName(sums.withColumn("path", F.concat("path", F.lit("x")))), "artifact_unavailable")):
+    assert read(f"{tmp_path}/s").count() == 1
+    sums = catalogs.file_checksums(spark, f"{tmp_path}/s", "*.parquet").select("path", "checksum").cache()
+    assert read(f"{tmp_path}/s", sums).count() == 1
+    for wrong, code in ((sums.withColumn("checksum", F.lit("sha256:0")), "artifact_checksum_mismatch"), (sums.unionByName(sums.withColumn("path", F.concat("path", F.lit("x")))), "artifact_unreadable")):
         with pytest.raises(artifacts.ArtifactRefused, match=code):
-            artifacts.read_scores(spark, f"{tmp_path}/s", wrong)
+            read(f"{tmp_path}/s", wrong)
     rows.drop("score").write.parquet(f"{tmp_path}/t")
     with pytest.raises(artifacts.ArtifactRefused, match="artifact_schema_invalid"):
-        artifacts.read_scores(spark, f"{tmp_path}/t")
-    assert artifacts.read_scores(spark, f"{tmp_path}/t", refuse=False).count() == 0
+        read(f"{tmp_path}/t")
+    assert read(f"{tmp_path}/t", refuse=False).count() == 0
+    rows.withColumn("score", F.lit(None).cast("double")).write.parquet(f"{tmp_path}/u")
+    with pytest.raises(artifacts.ArtifactRefused, match="artifact_malformed: nulls in score"):
+        read(f"{tmp_path}/u")
 
 
 def test_empty_registries_are_refused(spark, tmp_path):

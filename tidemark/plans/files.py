@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text as T
 from ..operators import accept as A, lineage as L, retention as R
-from ..sources import artifacts as S, catalogs as C, manifests as M
+from ..sources import artifact_files as AF, artifacts as S, catalogs as C, manifests as M
 from ..sources.shared import shared_folder
 from ..streaming import windows as W
 from . import core
@@ -19,19 +21,19 @@ def _lines(f: dict[str, DataFrame]) -> DataFrame:
     text = (
         F.when(v % 50 == 1, "   ")
         .when(v % 50 == 2, "not json")
-        .when(v % 50 == 3, F.concat(F.lit('{"value":"a",'), F.substring(good, 2, 10_000)))
-        .when(v % 50 == 4, F.concat(F.lit('{"embeddings":"x",'), F.substring(good, 2, 10_000)))
-        .when(v % 50 == 5, F.concat(F.lit('{"duration_seconds":"60",'), F.substring(good, 2, 10_000)))
-        .when(v % 50 == 6, F.concat(F.lit('{"duration_seconds":-1,'), F.substring(good, 2, 10_000)))
-        .when(v % 50 == 7, F.concat(F.lit('{"duration_seconds":2.5,'), F.substring(good, 2, 10_000)))
+        .when(v % 50 == 3, F.concat(F.lit('{"value":"a",'), F.substr(good, F.lit(2))))
+        .when(v % 50 == 4, F.concat(F.lit('{"embeddings":"x",'), F.substr(good, F.lit(2))))
+        .when(v % 50 == 5, F.concat(F.lit('{"duration_seconds":"60",'), F.substr(good, F.lit(2))))
+        .when(v % 50 == 6, F.concat(F.lit('{"duration_seconds":-1,'), F.substr(good, F.lit(2))))
+        .when(v % 50 == 7, F.concat(F.lit('{"duration_seconds":2.5,'), F.substr(good, F.lit(2))))
         .when(v % 50 == 8, F.concat(good, F.lit("\r")))
         .when(v % 50 == 9, F.lit('{"audio_uri":"s3://a/b","namespace":"same","value":"same"}'))
         .when(v % 50 == 10, F.lit('{"audio_uri":"s3://a/b","namespace":5,"value":"x"}'))
         .when(v % 50 == 11, F.lit('{"audio_uri":"s3://a/b","namespace":"x","value":["x"]}'))
         .when(v % 50 == 12, F.concat(good, F.lit(" tail")))
         .when(v % 50 == 13, F.concat(good, F.lit("] {}")))
-        .when(v % 50 == 14, F.concat(F.lit('{"duration_seconds":true,'), F.substring(good, 2, 10_000)))
-        .when(v % 50 == 15, F.concat(F.lit('{"duration_seconds":null,'), F.substring(good, 2, 10_000)))
+        .when(v % 50 == 14, F.concat(F.lit('{"duration_seconds":true,'), F.substr(good, F.lit(2))))
+        .when(v % 50 == 15, F.concat(F.lit('{"duration_seconds":null,'), F.substr(good, F.lit(2))))
         .when(v % 50 == 16, F.lit('{"audio_uri":"s3://a/b","namespace":"x","value":"\\ud800"}'))
         .when(v % 50 == 17, F.concat(F.lit("\ufeff"), good))
         .otherwise(good)
@@ -140,47 +142,102 @@ def _(spark, f, d):
 # files of scores, embeddings and detections
 
 
+def _file_headers(recordings: DataFrame, kind: str, **more) -> DataFrame:
+    """Whole headers of a kind of file; entries of ``more`` replace or, where null, drop others."""
+    digest = F.concat(F.lit("sha256:"), F.sha2(F.concat_ws("/", "namespace", "value"), 256))
+    keys = AF.FILE_KEYS + {"scores": AF.REGISTRY_KEYS + AF.SCORE_KEYS, "embeddings": AF.EMBEDDING_KEYS, "detections": AF.REGISTRY_KEYS + AF.DETECTION_KEYS}[kind]
+    own = {"contract": F.lit(AF.CONTRACTS[kind].id), "recording_namespace": F.col("namespace"), "recording_value": F.col("value"), "recording_work_digest": digest, "score_retention": F.lit("full")}
+    return S.provenance_header(recordings, {k: own.get(k, F.lit(f"the {k}")) for k in keys} | more)
+
+
+def _number():
+    return F.col("value").cast("long")
+
+
 @query("write_scores", "SELECT namespace, value, window_start_s, window_end_s, label, score FROM scores WHERE score >= 0.5e0")
 def _(spark, f, d):
     path = shared_folder(spark, "scores")
-    S.write_scores(R.score_floor(f["scores"], 0.5), path)
+    headers = _file_headers(f["window_recordings"], "scores", score_retention=F.lit("thresholded"), score_floor=F.lit("0.5"))
+    AF.write_artifacts(R.score_floor(f["scores"], 0.5), headers, path, "scores")
     return S.read_scores(spark, path)
 
 
-@query("read_scores", "SELECT namespace, value, window_start_s, window_end_s, label, score FROM scores")
+@query("read_scores", """SELECT 'table' AS form, namespace, value, window_start_s, window_end_s, label, score, NULL AS code FROM scores
+  UNION ALL SELECT 'file', namespace, value, window_start_s, window_end_s, label, score, NULL FROM scores WHERE CAST(value AS BIGINT) % 10 NOT IN (3, 4, 7, 9)
+  UNION ALL SELECT 'file', namespace, value, NULL, NULL, NULL, NULL, CASE CAST(value AS BIGINT) % 10 WHEN 4 THEN 'artifact_checksum_mismatch' WHEN 3 THEN 'artifact_schema_invalid' ELSE 'artifact_metadata_incomplete' END FROM window_recordings WHERE CAST(value AS BIGINT) % 10 IN (3, 4, 7, 9)""")
 def _(spark, f, d):
-    # extra and reordered columns are matched by name
+    # tables: extra and reordered columns are matched by name
     path = shared_folder(spark, "scores")
     f["scores"].select("score", F.lit(1).alias("extra"), "label", "window_end_s", "window_start_s", "value", "namespace").write.parquet(path)
-    # left out: files that lack a column, have one of another type or are no Parquet, and one with other bytes than expected
+    # left out: files that lack a column, have one of another type or with nulls, or are no Parquet, and one with other bytes than expected
     f["scores"].drop("score").write.mode("append").parquet(path)
     f["scores"].withColumn("label", F.col("class_index")).write.mode("append").parquet(path)
+    f["scores"].withColumn("score", F.when(F.col("class_index") > 0, F.col("score"))).write.mode("append").parquet(path)
     f["registry"].select("label").write.text(f"{path}/text.parquet")
     f["scores"].write.parquet(f"{path}/late")
-    sums = C.file_checksums(spark, path).where("path like '%.parquet'")
+    sums = C.file_checksums(spark, path, "*.parquet")
     expected = sums.select("path", F.when(F.col("path").contains("/late/"), "sha256:0").otherwise(F.col("checksum")).alias("checksum"))
-    return S.read_scores(spark, path, expected, refuse=False)
+    columns = ["namespace", "value", "window_start_s", "window_end_s", "label", "score"]
+    table = S.read_scores(spark, path, expected, refuse=False, form="table").select(F.lit("table").alias("form"), *columns, F.lit(None).cast("string").alias("code"))
+    # files with headers by retention: a floor or a number is missing, a retention is unknown, bytes are not those expected
+    kind = _number() % 10
+    retention = F.when(kind == 3, "some").when(kind.isin(7, 8), "thresholded").when(kind.isin(9, 0), "top_k").otherwise("full")
+    headers = _file_headers(f["window_recordings"], "scores", score_retention=retention, score_floor=F.when(kind.isin(8, 9, 0), "0.0"), score_top_k=F.when(kind == 0, "25"))
+    path = shared_folder(spark, "scores")
+    AF.write_artifacts(f["scores"], headers, path, "scores", checked=False)
+    expected = C.file_checksums(spark, path, "*.parquet").select("path", F.when(F.col("path").rlike("recording_value=[0-9]*4/"), "sha256:0").otherwise(F.col("checksum")).alias("checksum"))
+    verdicts = S.verified_files(spark, path, "scores", expected)
+    bad = verdicts.where("code is not null").withColumn("value", F.regexp_extract("path", "recording_value=([^/]+)/", 1))
+    rows = AF.read_files(spark, verdicts, "scores").select(F.lit("file").alias("form"), *columns, F.lit(None).cast("string").alias("code"))
+    return table.unionByName(rows).unionByName(bad.select(F.lit("file").alias("form"), F.lit("emb").alias("namespace"), "value", "code"), allowMissingColumns=True)
+
+
+def _vectors(f: dict[str, DataFrame]) -> DataFrame:
+    """Windows with vectors that either storage type holds exactly."""
+    return f["windows"].withColumn("embedding", F.transform("embedding", lambda x: (F.floor(x * 64) / 64).cast("float")))
+
 
+def _storage():
+    return F.when(_number() % 2 == 0, "float16").otherwise("float32")
 
-@query("write_embeddings", "SELECT namespace, value, window_start_s, round(embedding[1]::DOUBLE, 6) AS first FROM windows WHERE vec_id % 5 > 0")
+
+@query("write_embeddings", "SELECT namespace, value, window_start_s, floor(embedding[1]::DOUBLE * 64) / 64.0e0 AS first, floor(embedding[64]::DOUBLE * 64) / 64.0e0 AS last FROM windows WHERE vec_id % 5 > 0")
 def _(spark, f, d):
     path = shared_folder(spark, "embeddings")
-    S.write_embeddings(f["windows"].withColumn("embedding", F.when(F.col("vec_id") % 5 > 0, F.col("embedding"))), path)
-    return S.read_embeddings(spark, path, 64).select("namespace", "value", "window_start_s", F.round(F.col("embedding")[0].cast("double"), 6).alias("first"))
+    headers = _file_headers(f["window_recordings"], "embeddings", embedding_dim=F.lit("64"), embedding_storage_dtype=_storage())
+    AF.write_artifacts(_vectors(f).where("vec_id % 5 > 0"), headers, path, "embeddings")
+    vector = F.col("embedding")
+    return S.read_embeddings(spark, path).select("namespace", "value", "window_start_s", vector[0].cast("double").alias("first"), vector[63].cast("double").alias("last"))
 
 
-@query("read_embeddings", "SELECT namespace, value, window_start_s, CASE WHEN vec_id % 6 = 0 THEN 'embedding_width_differs' END AS code FROM windows")
+@query("read_embeddings", """SELECT namespace, value, window_start_s, CASE WHEN CAST(value AS BIGINT) % 2 = 0 THEN 'float16' ELSE 'float32' END AS storage_dtype, list_sum(list_transform(embedding, lambda x: floor(x::DOUBLE * 64) / 64.0e0)) AS total, NULL AS code FROM windows WHERE CAST(value AS BIGINT) % 5 NOT IN (2, 4)
+  UNION ALL SELECT namespace, value, NULL, NULL, NULL, CASE CAST(value AS BIGINT) % 5 WHEN 2 THEN 'artifact_schema_invalid' ELSE 'artifact_contract_unexpected' END FROM window_recordings WHERE CAST(value AS BIGINT) % 5 IN (2, 4)
+  UNION ALL SELECT 'table', value, window_start_s, 'float32', NULL, CASE WHEN vec_id % 6 = 0 THEN 'embedding_width_differs' END FROM windows""")
 def _(spark, f, d):
+    path = shared_folder(spark, "embeddings")
+    # what is written follows entries below "w."; what is read below our own prefix, which says another width for some, and nothing for others
+    own = _file_headers(f["window_recordings"], "embeddings", embedding_dim=F.when(_number() % 5 == 2, "60").otherwise("64"), embedding_storage_dtype=_storage())
+    wide = _file_headers(f["window_recordings"], "embeddings", embedding_dim=F.lit("64"), embedding_storage_dtype=_storage())
+    other = F.transform_keys(wide["header"], lambda k, v: F.replace(k, F.lit(S.PREFIX), F.lit("w.")))
+    both = wide.select("namespace", "value", other.alias("w")).join(own, ["namespace", "value"])
+    headers = both.select("namespace", "value", F.when(_number() % 5 == 4, F.col("w")).otherwise(F.map_concat("w", "header")).alias("header"))
+    AF.write_artifacts(_vectors(f), headers, path, "embeddings", prefix="w.")
+    verdicts = S.verified_files(spark, path, "embeddings")
+    bad = verdicts.where("code is not null").select(F.lit("emb").alias("namespace"), F.regexp_extract("path", "recording_value=([^/]+)/", 1).alias("value"), "code")
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    rows = AF.read_files(spark, verdicts, "embeddings").select("namespace", "value", "window_start_s", "storage_dtype", total.alias("total"), F.lit(None).cast("string").alias("code"))
+    # vectors that Spark wrote as lists
     path = shared_folder(spark, "embeddings")
     S.write_embeddings(f["windows"].withColumn("embedding", F.when(F.col("vec_id") % 6 == 0, F.slice("embedding", 1, 60)).otherwise(F.col("embedding"))), path)
-    return S.read_embeddings(spark, path, 64).select("namespace", "value", "window_start_s", "code")
+    table = S.read_embeddings(spark, path, 64, form="table").select(F.lit("table").alias("namespace"), "value", "window_start_s", F.lit("float32").alias("storage_dtype"), F.lit(None).cast("double").alias("total"), "code")
+    return rows.unionByName(bad, allowMissingColumns=True).unionByName(table)
 
 
 @query("write_detections", f"SELECT {core.DETECTION} FROM (SELECT *, {core.RANK} AS rank FROM scores WHERE score >= 0.6e0) s JOIN registry r ON r.label = s.label WHERE rank <= 4")
 def _(spark, f, d):
     path = shared_folder(spark, "detections")
-    S.write_detections(R.detections(f["scores"], f["registry"], 0.6, 4), path)
-    return S.read_detections(spark, path)
+    AF.write_artifacts(R.detections(f["scores"], f["registry"], 0.6, 4), _file_headers(f["window_recordings"], "detections"), path, "detections")
+    return AF.read_artifacts(spark, path, "detections")
 
 
 @query("null_check", "SELECT 'label' AS column, count(*) FILTER (WHERE class_index % 9 = 0) AS nulls FROM scores UNION ALL SELECT 'score', count(*) FILTER (WHERE class_index % 8 = 0) FROM scores UNION ALL SELECT 'window_start_s', 0")
@@ -188,40 +245,72 @@ def _(spark, f, d):
     rows = f["scores"].withColumns({"label": F.when(F.col("class_index") % 9 != 0, F.col("label")), "score": F.when(F.col("class_index") % 8 != 0, F.col("score"))})
     path = shared_folder(spark, "nulls")
     S.write_scores(rows, path)
-    return S.null_counts(S.read_scores(spark, path), ["label", "score", "window_start_s"])
+    return S.null_counts(spark.read.schema(S.SCORES).parquet(path), ["label", "score", "window_start_s"])
 
 
-@query("artifact_records", "SELECT 'scores' AS kind, 'scores.parquet/1' AS contract_id, namespace, value, count(*) AS rows FROM scores WHERE score >= 0.9e0 GROUP BY namespace, value")
+@query("artifact_records", """SELECT 'scores' AS kind, 'scores.parquet/1' AS contract_id, namespace, value, 'scores/recording_namespace=emb/recording_value=' || value || '/scores.parquet' AS place, TRUE AS same_checksum, TRUE AS same_size,
+  (SELECT count(*) FROM scores s WHERE s.namespace = r.namespace AND s.value = r.value AND s.score >= 0.9e0) AS rows FROM window_recordings r""")
 def _(spark, f, d):
-    return S.artifact_records(R.score_floor(f["scores"], 0.9), "scores")
+    path = shared_folder(spark, "records")
+    AF.write_artifacts(R.score_floor(f["scores"], 0.9), _file_headers(f["window_recordings"], "scores"), path, "scores")
+    # what the records say against the bytes as Spark's own reader has them
+    bytes_ = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("path").alias("uri"), F.col("length").alias("size"), T.checksum(F.col("content")).alias("sum"))
+    found = S.artifact_records(spark, path, "scores").join(bytes_, "uri", "full")
+    place = F.substring_index("uri", path.rpartition("/")[2] + "/", -1)
+    return found.select("kind", "contract_id", "namespace", "value", place.alias("place"), (F.col("sum") == F.col("checksum")).alias("same_checksum"), (F.col("size") == F.col("size_bytes")).alias("same_size"), "rows")
 
 
-def _headers(f):
+def _headers(recordings):
     v = F.col("value").cast("long")
     fields = {
         "contract": F.lit("scores.parquet/1"), "recipe_fingerprint": F.when(v % 9 != 0, F.lit("r")), "recording_namespace": F.col("namespace"), "recording_value": F.col("value"),
         "registry_uri": F.when(v % 4 != 0, F.lit("u")), "registry_fingerprint": F.when(v % 6 != 0, F.lit("g")),
     }
-    return S.provenance_header(f["recordings"], fields)
+    return S.provenance_header(recordings, fields)
+
+
+def _in_footers(spark: SparkSession, f: dict[str, DataFrame]) -> DataFrame:
+    """The headers of score files, written into their footers and read from there."""
+    path = shared_folder(spark, "headers")
+    AF.write_artifacts(f["scores"], _headers(f["window_recordings"]), path, "scores", checked=False)
+    return AF.footer_headers(S.verified_files(spark, path, "scores"))
+
+
+HEADED_SQL = "headed AS (SELECT 'table' AS form, namespace, value, CAST(value AS BIGINT) AS v FROM recordings UNION ALL SELECT 'footer', namespace, value, CAST(value AS BIGINT) FROM window_recordings)"
+
+
+def _both_forms(spark, f):
+    return _headers(f["recordings"]).withColumn("form", F.lit("table")).unionByName(_in_footers(spark, f).withColumn("form", F.lit("footer")))
 
 
-@query("provenance_header", """SELECT namespace, value, 'contract=scores.parquet/1' || CASE WHEN CAST(value AS BIGINT) % 9 <> 0 THEN ',recipe_fingerprint=r' ELSE '' END || ',recording_namespace=' || namespace || ',recording_value=' || value
-  || CASE WHEN CAST(value AS BIGINT) % 6 <> 0 THEN ',registry_fingerprint=g' ELSE '' END || CASE WHEN CAST(value AS BIGINT) % 4 <> 0 THEN ',registry_uri=u' ELSE '' END AS header FROM recordings""")
+@query("provenance_header", """SELECT form, namespace, value, 'contract=scores.parquet/1' || CASE WHEN v % 9 <> 0 THEN ',recipe_fingerprint=r' ELSE '' END || ',recording_namespace=' || namespace || ',recording_value=' || value
+  || CASE WHEN v % 6 <> 0 THEN ',registry_fingerprint=g' ELSE '' END || CASE WHEN v % 4 <> 0 THEN ',registry_uri=u' ELSE '' END AS header FROM headed""", HEADED_SQL)
 def _(spark, f, d):
     text = F.array_join(F.transform(F.array_sort(F.map_entries("header")), lambda e: F.concat(F.replace(e["key"], F.lit(S.PREFIX), F.lit("")), F.lit("="), e["value"])), ",")
-    return _headers(f).select("namespace", "value", text.alias("header"))
+    return _both_forms(spark, f).select("form", "namespace", "value", text.alias("header"))
 
 
-@query("require_header_keys", f"SELECT namespace, value, 'missing {S.PREFIX}recipe_fingerprint' AS problem FROM recordings WHERE CAST(value AS BIGINT) % 9 = 0 UNION ALL SELECT namespace, value, 'half registry binding' FROM recordings WHERE (CAST(value AS BIGINT) % 4 = 0) <> (CAST(value AS BIGINT) % 6 = 0)")
+@query("require_header_keys", f"SELECT form, namespace, value, 'missing {S.PREFIX}recipe_fingerprint' AS problem FROM headed WHERE v % 9 = 0 UNION ALL SELECT form, namespace, value, 'half registry binding' FROM headed WHERE (v % 4 = 0) <> (v % 6 = 0)", HEADED_SQL)
 def _(spark, f, d):
-    return S.header_problems(_headers(f))
+    forms = {"table": _headers(f["recordings"]), "footer": _in_footers(spark, f)}
+    return reduce(DataFrame.unionByName, (S.header_problems(headers).withColumn("form", F.lit(form)) for form, headers in forms.items()))
 
 
-@query("publish_or_replay", "SELECT kind, namespace, value, 'c' || CAST(rows AS VARCHAR) AS checksum, CASE WHEN rows % 3 = 0 THEN 'new' WHEN rows % 3 = 1 THEN 'replay' ELSE 'conflict' END AS outcome FROM (SELECT kind, namespace, value, max(rows) AS rows FROM artifact_rows GROUP BY ALL) x")
+@query("publish_or_replay", """SELECT 'catalog' AS form, kind, namespace, value, CASE WHEN rows % 3 = 0 THEN 'new' WHEN rows % 3 = 1 THEN 'replay' ELSE 'conflict' END AS outcome FROM (SELECT kind, namespace, value, max(rows) AS rows FROM artifact_rows GROUP BY ALL) x
+  UNION ALL SELECT 'files', 'scores', namespace, value, CASE CAST(value AS BIGINT) % 3 WHEN 0 THEN 'new' WHEN 1 THEN 'replay' ELSE 'conflict' END FROM window_recordings""")
 def _(spark, f, d):
     rows = f["artifact_rows"].groupBy("kind", "namespace", "value").agg(F.max("rows").alias("rows")).withColumn("checksum", F.concat(F.lit("c"), "rows"))
     published = rows.where("rows % 3 > 0").withColumn("checksum", F.when(F.col("rows") % 3 == 1, F.col("checksum")).otherwise("other"))
-    return S.publish_or_replay(rows, published)
+    catalog = S.publish_or_replay(rows, published).withColumn("form", F.lit("catalog"))
+    # files: some are published before, some of those with other rows; publishing the replays again changes nothing
+    before, after = shared_folder(spark, "published"), shared_folder(spark, "incoming")
+    headers = _file_headers(f["window_recordings"], "scores")
+    AF.write_artifacts(f["scores"].where(_number() % 3 == 1), headers.where(_number() % 3 == 1), before, "scores")
+    AF.write_artifacts(f["scores"].where((_number() % 3 == 2) & (F.col("window_start_s") > 0)), headers.where(_number() % 3 == 2), before, "scores")
+    AF.write_artifacts(f["scores"].where(_number() % 3 == 1), headers.where(_number() % 3 == 1), before, "scores")
+    AF.write_artifacts(f["scores"], headers, after, "scores")
+    files = S.publish_or_replay(S.artifact_records(spark, after, "scores"), S.artifact_records(spark, before, "scores")).withColumn("form", F.lit("files"))
+    return catalog.unionByName(files).select("form", "kind", "namespace", "value", "outcome")
 
 
 @query("ingest_results", """SELECT run_id, namespace, value, CASE WHEN state <> 'pending' THEN state WHEN run_id % 5 = 0 THEN 'failed' WHEN CAST(value AS BIGINT) % 4 = 0 THEN 'failed' ELSE 'covered' END AS state,

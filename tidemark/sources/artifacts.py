@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.lineage import small
+from .artifact_files import KEY, PREFIX, ArtifactRefused, file_records, read_artifacts, refuse_bad, verified_files  # noqa: F401
 
-KEY = ["namespace", "value"]
 SCORES = "namespace string, value string, window_start_s double, window_end_s double, label string, score double"
 EMBEDDINGS = "namespace string, value string, window_start_s double, window_end_s double, embedding array<float>"
 DETECTIONS = (
     "namespace string, value string, window_start_s double, window_end_s double, label string, label_kind string, score double, rank int, "
     "scientific_name string, common_name string, gbif_taxon_key bigint"
 )
-#: Key prefix of header entries, and the entries that every file needs.
-PREFIX = "tidemark."
+#: Header entries that every file needs.
 REQUIRED = tuple(PREFIX + k for k in ("contract", "recipe_fingerprint", "recording_namespace", "recording_value"))
 
 
@@ -39,74 +36,36 @@ def write_detections(rows: DataFrame, path: str) -> None:
     write_rows(rows, path, ["window_start_s", "rank"])
 
 
-class ArtifactRefused(ValueError):
-    """Files whose bytes or schema are not what they should be."""
+#: Columns of the files that Spark writes, by kind.
+TABLES = {"scores": SCORES, "embeddings": EMBEDDINGS, "detections": DETECTIONS}
 
 
-#: Arrow types of the columns of each contract.
-TYPES = {"string": pa.types.is_string, "double": pa.types.is_float64, "int": pa.types.is_int32, "bigint": pa.types.is_int64, "array<float>": lambda t: pa.types.is_list(t) and pa.types.is_float32(t.value_type)}
-
-
-def _footers(declared: str):
-    """A function of batches (path, content) that gives (path, problem) from the footer of each file."""
-    wanted = [column.strip().split(" ", 1) for column in declared.split(",")]
-
-    def problem(content: bytes) -> str | None:
-        try:
-            schema = pq.read_schema(pa.BufferReader(content))
-        except (pa.ArrowInvalid, OSError):
-            return "artifact_unreadable"
-        for name, kind in wanted:
-            places = schema.get_all_field_indices(name)
-            if len(places) != 1 or not TYPES[kind](schema.field(places[0]).type):
-                return "artifact_schema_invalid"
-        return None
-
-    def run(batches):
-        for batch in batches:
-            found = [problem(content.as_buffer()) for content in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["path", "problem"])
-
-    return run
+def _read_table(spark: SparkSession, path: str, kind: str, expected: DataFrame | None, refuse: bool) -> DataFrame:
+    verdicts = verified_files(spark, path, kind, expected, form="table")
+    if refuse:
+        refuse_bad(verdicts)
+        return spark.read.schema(TABLES[kind]).option("recursiveFileLookup", True).parquet(path)
+    fine = [r["path"] for r in verdicts.where("code is null").select("path").collect()]  # names, as Spark lists them to read a folder
+    return spark.read.schema(TABLES[kind]).parquet(*fine) if fine else spark.createDataFrame([], TABLES[kind])
 
 
-def verified_files(spark: SparkSession, path: str, declared: str, expected: DataFrame | None = None) -> DataFrame:
-    """(path, code) of each Parquet file below ``path``: whether its bytes and its schema are right, null if so.
+def read_scores(spark: SparkSession, path: str, expected: DataFrame | None = None, refuse: bool = True, form: str = "file") -> DataFrame:
+    """Rows of score files whose bytes, schema and header are right; others are refused, or left out if not ``refuse``.
 
-    Declared columns are found by name: each must be there once with its type; other columns and any order are fine.
-    ``expected`` has the checksums (path, checksum) that files must have; a file of it that is missing has a code too.
-    Each file is read whole in one task, so this is for files under 2 GB.
+    The form "file" is one recording with its header, "table" what Spark wrote (``write_scores``); see ``verified_files``.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
-    found = files.select("path", "content").mapInArrow(_footers(declared), "path string, problem string")
-    if expected is None:
-        return found.select("path", F.col("problem").alias("code"))
-    sums = files.select("path", F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("actual"))
-    wanted = expected.select("path", F.col("checksum").alias("wanted"))
-    code = F.when(F.col("actual").isNull(), "artifact_unavailable").when(~F.col("actual").eqNullSafe(F.col("wanted")), "artifact_checksum_mismatch").otherwise(F.col("problem"))
-    return sums.join(wanted, "path", "full").join(found, "path", "left").select("path", code.alias("code"))
-
-
-def _read_verified(spark: SparkSession, path: str, declared: str, expected: DataFrame | None, refuse: bool) -> DataFrame:
-    verdicts = verified_files(spark, path, declared, expected)
-    bad = verdicts.where("code is not null")
-    shown = bad.orderBy("path").limit(20).collect()  # a report
-    if shown and refuse:
-        raise ArtifactRefused("; ".join(f"{r['path']}: {r['code']}" for r in shown))
-    if not shown:
-        return spark.read.schema(declared).parquet(path)
-    fine = [r["path"] for r in verdicts.where("code is null").select("path").collect()]  # names, as Spark lists them to read a folder
-    return spark.read.schema(declared).parquet(*fine) if fine else spark.createDataFrame([], declared)
+    return read_artifacts(spark, path, "scores", expected, refuse) if form == "file" else _read_table(spark, path, "scores", expected, refuse)
 
 
-def read_scores(spark: SparkSession, path: str, expected: DataFrame | None = None, refuse: bool = True) -> DataFrame:
-    """Rows of score files whose bytes and schema are right; others are refused, or left out if not ``refuse``."""
-    return _read_verified(spark, path, SCORES, expected, refuse)
+def read_embeddings(spark: SparkSession, path: str, dim: int | None = None, expected: DataFrame | None = None, refuse: bool = True, form: str = "file") -> DataFrame:
+    """Vectors of files that are right as in ``read_scores``.
 
-
-def read_embeddings(spark: SparkSession, path: str, dim: int, expected: DataFrame | None = None, refuse: bool = True) -> DataFrame:
-    """Vectors with a ``code`` where the width is not that of the header, from files that are right as in ``read_scores``."""
-    rows = _read_verified(spark, path, EMBEDDINGS, expected, refuse)
+    In the form "file" width and storage type are the header's, and the columns' types must agree. A "table" has no
+    header, so there vectors get a ``code`` where their width is not ``dim``.
+    """
+    if form == "file":
+        return read_artifacts(spark, path, "embeddings", expected, refuse)
+    rows = _read_table(spark, path, "embeddings", expected, refuse)
     return rows.withColumn("code", F.when(F.size("embedding") != dim, "embedding_width_differs"))
 
 
@@ -142,10 +101,9 @@ def publish_or_replay(incoming: DataFrame, published: DataFrame) -> DataFrame:
     return incoming.join(known, ["kind", *KEY], "left").select("kind", *KEY, "checksum", outcome.alias("outcome"))
 
 
-def artifact_records(rows: DataFrame, kind: str) -> DataFrame:
-    """A catalog row for each recording's file of a kind."""
-    counts = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.select(F.lit(kind).alias("kind"), F.lit(f"{kind}.parquet/1").alias("contract_id"), *KEY, "rows")
+def artifact_records(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """A catalog row for each good file of a kind below ``path``: contract, recording, uri, checksum, size and rows, as they are in the file."""
+    return file_records(verified_files(spark, path, kind, hashed=True), kind)
 
 
 RESULT = (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..functions.text import checksum
+from .ranged import file_checksums
 
 
 class CatalogRefused(ValueError):
@@ -100,12 +100,6 @@ def registry_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("problem", problem)
 
 
-def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, checksum) of files; each is read whole in one task, so for files under 2 GB."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "length", checksum(F.col("content")).alias("checksum"))
-
-
 def verify_pinned(pins: DataFrame, found: DataFrame) -> DataFrame:
     """Pins (role, path, size_bytes, digest) with a ``code`` where the file is missing or differs."""
     joined = pins.join(found, "path", "left")
