@@ -49,6 +49,8 @@ VIEWS = {
     "kept_windows": """SELECT namespace, value, window_start_s, window_end_s, vec_id AS arrival, vec_id % 26 AS kept,
   CASE WHEN vec_id % 5 = 0 THEN NULL ELSE embedding END AS embedding FROM windows WHERE vec_id % 60 < 40""",
     "window_recordings": """SELECT DISTINCT namespace, value FROM windows""",
+    "recording_ends": """SELECT namespace, value, CAST(value AS BIGINT) % 5 AS detection_rows, CASE WHEN CAST(value AS BIGINT) % 3 = 2 THEN 'shorter_than_window' END AS zero_window_reason,
+  CASE WHEN CAST(value AS BIGINT) % 4 > 0 THEN concat('sha256:', value) END AS input_checksum FROM window_recordings""",
     "coverage_rows": """SELECT namespace, value, CAST(value AS BIGINT) AS d, CAST(value AS BIGINT) % 7 AS windows_completed, CAST(value AS BIGINT) % 5 AS score_rows,
   CAST(value AS BIGINT) % 9 AS embedding_rows, CAST(value AS BIGINT) % 6 AS detection_rows,
   CASE WHEN CAST(value AS BIGINT) % 11 = 0 THEN NULL ELSE CAST(value AS BIGINT) % 13 - 1.0e0 END AS first_window_start_s,

@@ -12,7 +12,11 @@ ACTIVE_TASKS = ("submitting", "submitted", "running", "finalizing")
 
 
 def coverage(recordings: DataFrame, windows: DataFrame) -> DataFrame:
-    """Counts and bounds of every recording from accepted windows (arrival, window_start_s, window_end_s, kept, embedding)."""
+    """Counts and bounds of every recording from accepted windows (arrival, window_start_s, window_end_s, kept, embedding).
+
+    What is known at a recording's end comes with ``recordings``: detection_rows, zero_window_reason, input_checksum; a
+    column that is not there is 0 or null.
+    """
     done = windows.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("windows_completed"),
         F.sum("kept").alias("score_rows"),
@@ -20,8 +24,11 @@ def coverage(recordings: DataFrame, windows: DataFrame) -> DataFrame:
         F.min_by("window_start_s", "arrival").alias("first_window_start_s"),
         F.max("window_end_s").alias("last_window_end_s"),
     )
-    counts = ["windows_completed", "score_rows", "embedding_rows"]
-    return recordings.select(*KEY).join(done, KEY, "left").withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in counts})
+    counts = ["windows_completed", "score_rows", "embedding_rows", "detection_rows"]
+    known = {"detection_rows": "long", "zero_window_reason": "string", "input_checksum": "string"}
+    ends = recordings.select(*KEY, *(F.col(c).cast(t).alias(c) if c in recordings.columns else F.lit(None).cast(t).alias(c) for c, t in known.items()))
+    covered = ends.join(done, KEY, "left").withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in counts})
+    return covered.select(*KEY, *counts, "first_window_start_s", "last_window_end_s", "zero_window_reason", "input_checksum")
 
 
 def zero_window_problem(windows: Column, reason: Column) -> Column:

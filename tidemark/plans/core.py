@@ -213,11 +213,14 @@ def _(spark, f, d):
 # coverage and checks
 
 
-@query("coverage", """SELECT r.namespace, r.value, coalesce(count(w.arrival), 0) AS windows_completed, CAST(coalesce(sum(w.kept), 0) AS BIGINT) AS score_rows, count(w.embedding) AS embedding_rows,
-  arg_min(w.window_start_s, w.arrival) AS first_window_start_s, max(w.window_end_s) AS last_window_end_s
-  FROM window_recordings r LEFT JOIN kept_windows w ON r.namespace = w.namespace AND r.value = w.value GROUP BY r.namespace, r.value""")
+COVERAGE_SQL = """SELECT r.namespace, r.value, coalesce(count(w.arrival), 0) AS windows_completed, CAST(coalesce(sum(w.kept), 0) AS BIGINT) AS score_rows, count(w.embedding) AS embedding_rows, r.detection_rows,
+  arg_min(w.window_start_s, w.arrival) AS first_window_start_s, max(w.window_end_s) AS last_window_end_s, r.zero_window_reason, r.input_checksum
+  FROM recording_ends r LEFT JOIN kept_windows w ON r.namespace = w.namespace AND r.value = w.value GROUP BY r.namespace, r.value, r.detection_rows, r.zero_window_reason, r.input_checksum"""
+
+
+@query("coverage", COVERAGE_SQL)
 def _(spark, f, d):
-    return V.coverage(f["window_recordings"], f["kept_windows"])
+    return V.coverage(f["recording_ends"], f["kept_windows"])
 
 
 @query("zero_window_check", "SELECT namespace, value, CASE WHEN windows_completed = 0 AND reason IS NULL THEN 'unexplained_zero_windows' WHEN windows_completed > 0 AND reason IS NOT NULL THEN 'reason_with_windows' END AS problem FROM coverage_rows")

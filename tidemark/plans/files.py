@@ -365,36 +365,53 @@ def _streamed(spark: SparkSession, rows: DataFrame, middle: int, name: str) -> D
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
 
 
-def _run(spark: SparkSession, stream: DataFrame, mode: str, name: str) -> DataFrame:
+def _run(spark: SparkSession, stream: DataFrame, mode: str, name: str, rocks: bool = False) -> DataFrame:
     """Run a stream over what is there now; each batch goes to the shared folder and the results come back with its number."""
     out, state = shared_folder(spark, name), shared_folder(spark, f"{name}-state")
     write = lambda batch, number: batch.withColumn("batch", F.lit(number).cast("long")).write.mode("append").parquet(out)
-    started = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
-    started.awaitTermination()
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    if rocks:  # what transformWithState needs
+        spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        started = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
+        started.awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    progress = started.lastProgress
+    if rocks and progress and sum(o["numRowsTotal"] for o in progress["stateOperators"]):
+        raise RuntimeError("recordings that ended have left state")
     return spark.read.parquet(out)
 
 
 @query("accept_window_stream", """SELECT r.namespace, r.value, CAST(coalesce((SELECT count(*) FROM coded c WHERE c.namespace = r.namespace AND c.value = r.value AND c.arrival < coalesce(x.arrival, 1000000000)), 0) AS BIGINT) AS accepted, x.code, x.window_start_s
-  FROM (SELECT DISTINCT namespace, value FROM bad_windows) r LEFT JOIN failed x ON x.namespace = r.namespace AND x.value = r.value""", core.CODED_SQL, core.FAILED_SQL)
+  FROM (SELECT DISTINCT namespace, value FROM bad_windows) r LEFT JOIN failed x ON x.namespace = r.namespace AND x.value = r.value
+  UNION ALL SELECT 'head', r.value, CAST(coalesce(p.i - 1, r.n) AS BIGINT), CASE WHEN p.i IS NOT NULL THEN 'head_windows_disagree_with_input' END, p.s FROM
+  (SELECT value, count(*) FILTER (WHERE arrival % 131 > 0) AS n FROM bad_windows GROUP BY value) r LEFT JOIN
+  (SELECT value, min(i) AS i, arg_min(s, i) AS s FROM (SELECT coalesce(g.value, w.value) AS value, coalesce(g.i, w.i) AS i, coalesce(g.window_start_s, w.window_start_s) AS s FROM
+    (SELECT *, row_number() OVER (PARTITION BY value ORDER BY arrival) AS i FROM bad_windows WHERE arrival % 131 > 0) g
+    FULL JOIN (SELECT *, row_number() OVER (PARTITION BY value ORDER BY vec_id) AS i FROM windows) w ON g.value = w.value AND g.i = w.i
+    WHERE (g.window_start_s, g.window_end_s) IS DISTINCT FROM (w.window_start_s, w.window_end_s)) y GROUP BY value) p ON p.value = r.value""", core.CODED_SQL, core.FAILED_SQL)
 def _(spark, f, d):
     rows = core._returned(f)
     start, end = F.col("window_start_s"), F.col("window_end_s")
     own = F.coalesce(A.bounds_code(start, end), A.geometry_code(start, end, 3.0, 3.0), A.within_code(start, end, F.col("duration_seconds"), True), A.scores_code(F.col("scores"), 25), A.embedding_code(F.col("embedding"), 64))
-    stream = _streamed(spark, rows.select("namespace", "value", "arrival", "window_start_s", own.alias("row_code")), 250, "windows")
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        states = _run(spark, W.accept_window_stream(stream), "update", "accepted")
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
-    last = states.groupBy("namespace", "value").agg(F.max_by(F.struct("accepted", "code", "window_start_s"), "batch").alias("s"))
-    return last.select("namespace", "value", "s.*")
-
-
-@query("coverage_stream", "SELECT namespace, value, count(*) AS windows_completed, min(window_start_s) AS first_window_start_s, max(window_end_s) AS last_window_end_s, CAST(sum(kept) AS BIGINT) AS score_rows FROM kept_windows GROUP BY namespace, value")
+    bounds = ["namespace", "value", "arrival", "window_start_s", "window_end_s"]
+    returned = rows.select(*bounds, F.lit(W.WINDOW).alias("kind"), own.alias("row_code"))
+    # windows of a head, which must be those of its input
+    head = f["bad_windows"].where("arrival % 131 > 0").select(*bounds, F.lit(W.WINDOW).alias("kind")).withColumn("namespace", F.lit("head"))
+    expected = f["windows"].select("namespace", "value", (F.col("vec_id") - 1_000_000_000).alias("arrival"), "window_start_s", "window_end_s", F.lit(W.EXPECTED).alias("kind")).withColumn("namespace", F.lit("head"))
+    begins = f["window_recordings"].select(F.lit("head").alias("namespace"), "value", F.lit(-1_000_000_001).cast("long").alias("arrival"), F.lit(W.BEGIN).alias("kind"))
+    ends = f["window_recordings"].select("namespace", "value", F.lit(1_000_000_000).cast("long").alias("arrival"), F.lit(W.END).alias("kind"))
+    parts = [returned, head, expected, begins, ends, ends.withColumn("namespace", F.lit("head"))]
+    stream = _streamed(spark, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), 250, "windows")
+    states = _run(spark, W.accept_window_stream(stream), "update", "accepted", rocks=True)
+    return states.where("closed").select("namespace", "value", "accepted", "code", "window_start_s")
+
+
+@query("coverage_stream", core.COVERAGE_SQL)
 def _(spark, f, d):
-    stream = _streamed(spark, f["kept_windows"].drop("embedding"), 250, "kept")
-    states = _run(spark, W.coverage_stream(stream), "update", "coverage")
-    values = ["windows_completed", "first_window_start_s", "last_window_end_s", "score_rows"]
-    last = states.groupBy("namespace", "value").agg(F.max_by(F.struct(*values), "batch").alias("s"))
-    return last.select("namespace", "value", "s.*")
+    windows = f["kept_windows"].withColumns({"kind": F.lit(W.WINDOW), "has_embedding": F.col("embedding").isNotNull()}).drop("embedding")
+    ends = f["recording_ends"].withColumns({"kind": F.lit(W.END), "arrival": F.lit(1_000_000_000).cast("long")})
+    stream = _streamed(spark, windows.unionByName(ends, allowMissingColumns=True), 250, "kept")
+    return _run(spark, W.coverage_stream(stream), "append", "coverage", rocks=True).drop("batch")
