@@ -211,8 +211,8 @@ def test_catalog_headers(spark, tmp_path):
     with pytest.raises(catalogs.CatalogRefused):
         catalogs.csv_catalog(spark, str(tmp_path / "a.csv"), "n", "id", "audio")
     (tmp_path / "b.csv").write_text("﻿id,audio,secs\n1,x,\n2,y,1.5\n3\n")
-    got = [(r.value, r.audio_uri, r.duration_seconds, r.problem) for r in catalogs.csv_catalog(spark, str(tmp_path / "b.csv"), "n", "id", "audio", "secs").collect()]
-    assert got == [("1", "x", None, None), ("2", "y", 1.5, None), ("3", "", None, "blank_audio")]
+    got = [(r.row, r.value, r.audio_uri, r.duration_seconds, r.problem) for r in catalogs.csv_catalog(spark, str(tmp_path / "b.csv"), "n", "id", "audio", "secs").collect()]
+    assert got == [(2, "1", f"file://{tmp_path}/x", None, None), (3, "2", f"file://{tmp_path}/y", 1.5, None), (4, "3", "", None, "blank_audio")]
 
 
 def test_line_numbers_hold_over_splits(spark, tmp_path):

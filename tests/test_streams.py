@@ -113,3 +113,61 @@ def test_coverage_without_what_the_end_knows(spark):
     windows = spark.createDataFrame([("n", "a", 0, 1.0, 2.0, 3, [1.0])], "namespace string, value string, arrival long, window_start_s double, window_end_s double, kept long, embedding array<double>")
     got = {r.value: tuple(r)[2:] for r in coverage.coverage(recordings, windows).collect()}
     assert got == {"a": (1, 3, 1, 0, 1.0, 2.0, None, None), "b": (0, 0, 0, 0, None, None, None, None)}
+
+
+def result(task, **more):
+    import json
+
+    return json.dumps({"task_id": task, "run_id": task * 10, "outcome": "completed", "coverage": [{"namespace": "n", "value": f"v{task}", "windows_completed": 2, "first_window_start_s": 0.0, "last_window_end_s": 6.0, "input_checksum": "sha256:i"}], "failed": [{"namespace": "n", "value": f"w{task}", "code": "c", "stage": "infer", "detail": "why"}], "artifacts": [{"kind": "scores", "contract_id": "k", "namespace": "n", "value": f"v{task}", "uri": "u", "checksum": "x", "size_bytes": 5, "rows": 2}]} | more)
+
+
+def test_results_are_taken_once(spark, tmp_path):
+    from tidemark.sources import artifacts
+    from tidemark.streaming import results
+
+    source, store = tmp_path / "in", str(tmp_path / "store")
+    source.mkdir()
+    whole = result(3, outcome="failed", coverage=None, failed=None, artifacts=None, failure={"code": "gone", "stage": "acquire_model", "detail": "d"})
+    outcomes = spark.createDataFrame([(t * 10, t, "n", f"{x}{t}", "pending") for t in (1, 2, 3) for x in "vw"] + [(10, 1, "n", "z1", "pending"), (30, 3, "n", "done", "covered")], "run_id long, task_id long, namespace string, value string, state string")
+
+    def state():
+        changed, files = artifacts.ingest_results(results.accepted_results(spark, store), outcomes)
+        return sorted(map(tuple, changed.collect()), key=str), sorted(map(tuple, files.collect()))
+
+    (source / "a.json").write_text(result(1) + "\n" + result(1) + "\n\n")
+    results.ingest_stream(spark, str(source), store)
+    assert len(state()[1]) == 1
+    (source / "b.json").write_text(result(1) + "\n" + whole + "\n{broken\n" + result(2, outcome="odd"))
+    results.ingest_stream(spark, str(source), store)
+    before = state()
+    assert before[0] == sorted(
+        [
+            (10, 1, "n", "v1", "covered", 2, 0.0, 6.0, "sha256:i", None, None, None, None), (10, 1, "n", "w1", "failed", None, None, None, None, "recording", "c", "infer", "why"),
+            (10, 1, "n", "z1", "pending", *[None] * 8), (20, 2, "n", "v2", "pending", *[None] * 8), (20, 2, "n", "w2", "pending", *[None] * 8), (30, 3, "n", "done", "covered", *[None] * 8),
+            *[(30, 3, "n", f"{x}3", "failed", None, None, None, None, "task", "gone", "acquire_model", "the work failed at the stage acquire_model before its first recording") for x in "vw"],
+        ],
+        key=str,
+    )
+    assert before[1] == [(10, 1, "n", "v1", "scores", "k", "u", "x", 5, 2)]
+    # the same files again, and another result of a task that has one
+    (source / "c.json").write_text((source / "b.json").read_text())
+    (source / "d.json").write_text(result(1, failed=[]))
+    results.ingest_stream(spark, str(source), store)
+    results.ingest_stream(spark, str(source), store)
+    assert state() == before
+    assert sorted((str(r.task_id), r.code) for r in results.refused_results(spark, store).collect()) == [("1", "task_has_a_result"), ("2", "result_unreadable"), ("None", "result_unreadable")]
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
+    from tidemark.streaming import results
+
+    store = str(tmp_path / "store")
+    take = results._take(store)
+    lines = lambda *texts: spark.createDataFrame([(t,) for t in texts], "value string")
+    for _ in range(2):
+        take(lines(result(1)), 0)
+    for _ in range(2):
+        take(lines(result(1), result(2), result(2)), 1)
+    assert sorted(r.task_id for r in results.accepted_results(spark, store).collect()) == [1, 2] and results.refused_results(spark, store).count() == 0
+    take(lines(result(4), result(4, failed=[])), 2)  # two at once: one of them, always the same
+    assert results.accepted_results(spark, store).where("task_id = 4").count() == 1 and results.refused_results(spark, store).count() == 1

@@ -39,7 +39,9 @@ class Cursor:
     def write(self, key: list) -> str:
         body = b""
         for value in key:
-            letter = next(k for k, (kind, _) in self.TYPES.items() if isinstance(value, kind))
+            letter = next((k for k, (kind, _) in self.TYPES.items() if isinstance(value, kind)), None)
+            if letter is None:
+                raise PageRefused(f"no cursor for keys of the type {type(value).__name__}")
             text = ("" if value is None else value.hex() if letter == "f" else value.isoformat() if letter in "td" else str(value)).encode()
             body += letter.encode() + len(text).to_bytes(4) + text
         return (bytes([self.VERSION]) + self._bound + self._check(body) + body).hex()

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixtures
 from ..functions import text as T
-from ..operators import accept as A, coverage as V, embeddings as I, geometry as G, lineage as L, paging as P, retention as R
+from ..operators import accept as A, coverage as V, embeddings as I, geometry as G, lineage as L, lists as Q, paging as P, retention as R
+from ..sources.shared import shared_folder
 
 QUERIES: dict[str, object] = {}
 SQL: dict[str, str] = {}
@@ -407,30 +408,34 @@ def _(spark, f, d):
     return P.recordings_filter(f["recording_outcomes"], "skipped", "in_progress").select("run_id", "namespace", "value", "state", "skip_reason")
 
 
+def _kept(spark: SparkSession, rows: DataFrame, keys: list[str]) -> Q.KeptList:
+    return Q.keep_list(rows, keys, shared_folder(spark, "list"), 2_000)
+
+
 @query("keyset_page", "SELECT event_id, ts, event_type FROM events WHERE (ts, event_id) > (SELECT ts, event_id FROM events ORDER BY ts, event_id LIMIT 1 OFFSET 100) ORDER BY ts, event_id LIMIT 101".replace("(ts, event_id) > (SELECT ts, event_id FROM events ORDER BY ts, event_id LIMIT 1 OFFSET 100)", "ts > (SELECT ts FROM (SELECT ts, event_id FROM events ORDER BY ts, event_id LIMIT 1 OFFSET 99) a) OR (ts = (SELECT ts FROM (SELECT ts, event_id FROM events ORDER BY ts, event_id LIMIT 1 OFFSET 99) b) AND event_id > (SELECT event_id FROM (SELECT ts, event_id FROM events ORDER BY ts, event_id LIMIT 1 OFFSET 99) c))"))
 def _(spark, f, d):
-    keys = ["ts", "event_id"]
-    events = f["events"].select("event_id", "ts", "event_type")
-    _, cursor = P.next_page(events, keys, "events", {}, 100)
-    return P.keyset_page(events, keys, 100, P.Cursor("events", {}).read(cursor, 2))
+    kept = _kept(spark, f["events"].select("event_id", "ts", "event_type"), ["ts", "event_id"])
+    _, cursor = Q.next_kept_page(kept, "events", {}, 100)
+    return Q.kept_page(kept, 100, P.Cursor("events", {}).read(cursor, 2))
 
 
 @query("newest_runs_page", "SELECT run_id, submitted_by FROM runs WHERE submitted_by < 'actor2' OR (submitted_by = 'actor2' AND run_id < 40) ORDER BY submitted_by DESC, run_id DESC LIMIT 21")
 def _(spark, f, d):
-    return P.keyset_page(f["runs"].select("run_id", "submitted_by"), ["submitted_by", "run_id"], 20, ["actor2", 40], descending=True)
+    return Q.kept_page(_kept(spark, f["runs"].select("run_id", "submitted_by"), ["submitted_by", "run_id"]), 20, ["actor2", 40], descending=True)
 
 
 @query("recordings_page", "SELECT r.namespace, r.value, o.state FROM run_recordings r LEFT JOIN (SELECT * FROM recording_outcomes WHERE state <> 'released') o ON o.run_id = r.run_id AND o.namespace = r.namespace AND o.value = r.value WHERE r.run_id = 1 AND r.value > '2' ORDER BY r.namespace, r.value LIMIT 51")
 def _(spark, f, d):
     outcomes = f["recording_outcomes"].where("state <> 'released'").select("run_id", "namespace", "value", "state")
-    rows = f["run_recordings"].where("run_id = 1").join(outcomes, ["run_id", "namespace", "value"], "left").select("namespace", "value", "state")
-    return P.keyset_page(rows, ["namespace", "value"], 50, ["survey", "2"])
+    rows = f["run_recordings"].join(outcomes, ["run_id", "namespace", "value"], "left")  # of all runs
+    kept = _kept(spark, rows.select("run_id", "namespace", "value", "state"), ["run_id", "namespace", "value"])
+    return Q.kept_page(kept, 50, [1, "survey", "2"], within=[1]).drop("run_id")
 
 
 @query("tasks_page", "SELECT run_id, task FROM (SELECT DISTINCT run_id, (row_number() OVER (PARTITION BY run_id ORDER BY namespace, value) - 1) // 5 AS task FROM recording_outcomes WHERE state = 'pending') x WHERE run_id > 3 OR (run_id = 3 AND task > 1) ORDER BY run_id, task LIMIT 31")
 def _(spark, f, d):
     tasks = L.task_chunks(f["recording_outcomes"].where("state = 'pending'").select("run_id", "namespace", "value"), 5).select("run_id", "task").distinct()
-    return P.keyset_page(tasks, ["run_id", "task"], 30, [3, 1])
+    return Q.kept_page(_kept(spark, tasks, ["run_id", "task"]), 30, [3, 1])
 
 
 # embeddings and heads

@@ -10,7 +10,7 @@ from ..functions import text as T
 from ..operators import accept as A, lineage as L, retention as R
 from ..sources import artifact_files as AF, artifacts as S, catalogs as C, manifests as M
 from ..sources.shared import shared_folder
-from ..streaming import windows as W
+from ..streaming import results as N, windows as W
 from . import core
 from .core import query
 
@@ -79,14 +79,19 @@ def _(spark, f, d):
     return M.uri_list(spark, _write_lines(spark, f["recordings"].select(v.alias("id"), location.alias("value")), "uris"), "list")
 
 
-@query("csv_catalog", """SELECT 'csv' AS namespace, CASE WHEN CAST(value AS BIGINT) % 40 = 3 THEN '' ELSE value END AS value, audio_uri, CASE WHEN CAST(value AS BIGINT) % 40 <> 5 THEN duration_seconds END AS duration_seconds,
-  CASE WHEN CAST(value AS BIGINT) % 40 = 3 THEN 'blank_id' WHEN CAST(value AS BIGINT) % 40 = 5 THEN 'bad_duration' END AS problem FROM recordings""")
+@query("csv_catalog", """SELECT 'csv' AS namespace, CASE WHEN v % 40 = 3 THEN '' ELSE value END AS value, 1 + row_number() OVER (PARTITION BY v // 200 ORDER BY v) AS row, v // 200 AS day,
+  CASE v % 40 WHEN 7 THEN ':// no place' WHEN 9 THEN 'in folder/x.wav' ELSE audio_uri END AS audio_uri, CASE WHEN v % 40 <> 5 THEN duration_seconds END AS duration_seconds,
+  CASE v % 40 WHEN 3 THEN 'blank_id' WHEN 5 THEN 'bad_duration' WHEN 7 THEN 'bad_uri' END AS problem FROM (SELECT *, CAST(value AS BIGINT) AS v FROM recordings) r""")
 def _(spark, f, d):
-    v = F.col("value").cast("long") % 40
-    rows = f["recordings"].select(F.lit("x,\"y\"").alias("note"), F.when(v != 3, F.col("value")).alias("id"), F.col("audio_uri").alias("file"), F.when(v == 5, "ten").otherwise(F.col("duration_seconds").cast("string")).alias("seconds"))
+    v = F.col("value").cast("long")
+    audio = F.when(v % 40 == 7, "file:no place").when(v % 40 == 9, "in folder/x.wav").otherwise(F.col("audio_uri"))
+    note = F.when(v % 3 == 0, 'x,"y"\nand, "z\n').when(v % 3 == 1, "\n")  # line breaks inside quotes
+    rows = f["recordings"].select(F.floor(v / 200).alias("day"), v.alias("place"), note.alias("note"), F.when(v % 40 != 3, F.col("value")).alias("id"), audio.alias("file"), F.when(v % 40 == 5, "ten").otherwise(F.col("duration_seconds").cast("string")).alias("seconds"))
     path = shared_folder(spark, "csv")
-    rows.write.option("header", True).option("escape", '"').csv(path)
-    return C.csv_catalog(spark, path, "csv", "id", "file", "seconds")
+    rows.repartition("day").sortWithinPartitions("day", "place").write.option("header", True).option("escape", '"').partitionBy("day").csv(path)  # 200 ids in one file
+    found = C.csv_catalog(spark, path, "csv", "id", "file", "seconds")
+    place = F.when(F.col("problem") == "bad_uri", ":// no place").otherwise(F.regexp_replace("audio_uri", "^file:///.*/day(=|%3D)[0-9]+/in%20folder/x.wav$", "in folder/x.wav"))
+    return found.select("namespace", "value", "row", F.regexp_extract("file", "day=([0-9]+)/", 1).cast("long").alias("day"), place.alias("audio_uri"), "duration_seconds", "problem")
 
 
 @query("catalog_udtf", "SELECT 'csv' AS namespace, value, audio_uri, 'list of the survey' AS source FROM recordings")
@@ -313,25 +318,44 @@ def _(spark, f, d):
     return catalog.unionByName(files).select("form", "kind", "namespace", "value", "outcome")
 
 
-@query("ingest_results", """SELECT run_id, namespace, value, CASE WHEN state <> 'pending' THEN state WHEN run_id % 5 = 0 THEN 'failed' WHEN CAST(value AS BIGINT) % 4 = 0 THEN 'failed' ELSE 'covered' END AS state,
-  CASE WHEN state = 'pending' AND run_id % 5 <> 0 AND CAST(value AS BIGINT) % 4 = 0 THEN 'score_out_of_domain' END AS code FROM recording_outcomes""")
+INGEST_SQL = """due AS (SELECT o.*, CAST(value AS BIGINT) AS v, CAST(value AS BIGINT) % 4 = 0 AS bad, CAST(value AS BIGINT) % 7 AS n FROM recording_outcomes o)"""
+
+
+@query("ingest_results", """SELECT 'outcome' AS form, run_id, namespace, value, CASE WHEN state <> 'pending' THEN state WHEN run_id % 5 = 0 OR bad THEN 'failed' ELSE 'covered' END AS state,
+  CASE WHEN state = 'pending' AND run_id % 5 = 0 THEN 'task' WHEN state = 'pending' AND bad THEN 'recording' END AS scope,
+  CASE WHEN state = 'pending' AND run_id % 5 = 0 THEN 'model_file_unavailable' WHEN state = 'pending' AND bad THEN 'score_out_of_domain' END AS code,
+  CASE WHEN state = 'pending' AND run_id % 5 = 0 THEN 'acquire_model' WHEN state = 'pending' AND bad THEN 'accept_window' END AS stage,
+  CASE WHEN state = 'pending' AND run_id % 5 = 0 THEN 'the work failed at the stage acquire_model before its first recording' WHEN state = 'pending' AND bad THEN 'score of ' || value END AS message,
+  CASE WHEN state = 'pending' AND run_id % 5 > 0 AND NOT bad THEN n END AS windows_completed, CASE WHEN state = 'pending' AND run_id % 5 > 0 AND NOT bad AND n > 0 THEN 1.5e0 END AS first_window_start_s,
+  CASE WHEN state = 'pending' AND run_id % 5 > 0 AND NOT bad AND n > 0 THEN 1.5e0 + n END AS last_window_end_s, CASE WHEN state = 'pending' AND run_id % 5 > 0 AND NOT bad THEN 'sha256:' || value END AS input_checksum,
+  NULL AS kind, NULL AS contract_id, NULL AS uri, NULL AS checksum, CAST(NULL AS BIGINT) AS size_bytes, CAST(NULL AS BIGINT) AS rows FROM due
+  UNION ALL SELECT 'file', run_id, namespace, value, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'scores', 'scores.parquet/1', 's3://out/' || value, 'sha256:f' || value, v * 10, n FROM due WHERE run_id % 5 > 0 AND NOT bad AND n > 0
+  UNION ALL SELECT 'refused', run_id, NULL, NULL, NULL, NULL, 'task_has_a_result', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM (SELECT DISTINCT run_id FROM due WHERE run_id % 3 = 0) x""", INGEST_SQL)
 def _(spark, f, d):
-    outcomes = f["recording_outcomes"].withColumn("task_id", F.col("run_id").cast("long")).withColumn("run_id", F.col("run_id").cast("long"))
-    bad = F.col("value").cast("long") % 4 == 0
-    pick = lambda c, s: F.collect_list(F.when(c, s))
+    v = F.col("value").cast("long")
+    outcomes = f["recording_outcomes"].withColumns({"task_id": F.col("run_id").cast("long") * 10, "run_id": F.col("run_id").cast("long")})
+    bad, n = v % 4 == 0, v % 7
+    pick = lambda c, **s: F.collect_list(F.when(c, F.struct("namespace", "value", *(x.alias(k) for k, x in s.items()))))
     results = (
         outcomes.groupBy("run_id", "task_id")
         .agg(
-            pick(~bad, F.struct("namespace", "value", F.lit(3).cast("long").alias("windows_completed"))).alias("coverage"),
-            pick(bad, F.struct("namespace", "value", F.lit("score_out_of_domain").alias("code"), F.lit("accept_window").alias("stage"))).alias("failed"),
-            pick(~bad, F.struct(F.lit("scores").alias("kind"), "namespace", "value", F.lit("s3://x").alias("uri"))).alias("artifacts"),
+            pick(~bad, windows_completed=n, first_window_start_s=F.when(n > 0, 1.5), last_window_end_s=F.when(n > 0, 1.5 + n), input_checksum=F.concat(F.lit("sha256:"), "value")).alias("coverage"),
+            pick(bad, code=F.lit("score_out_of_domain"), stage=F.lit("accept_window"), detail=F.concat(F.lit("score of "), "value")).alias("failed"),
+            pick(~bad & (n > 0), kind=F.lit("scores"), contract_id=F.lit("scores.parquet/1"), uri=F.concat(F.lit("s3://out/"), "value"), checksum=F.concat(F.lit("sha256:f"), "value"), size_bytes=v * 10, rows=n).alias("artifacts"),
         )
+        .withColumn("failure", F.when(F.col("run_id") % 5 == 0, F.struct(F.lit("model_file_unavailable").alias("code"), F.lit("acquire_model").alias("stage"), F.lit("gone").alias("detail"))))
         .withColumn("outcome", F.when(F.col("run_id") % 5 == 0, "failed").otherwise("completed"))
     )
-    path = shared_folder(spark, "results")
-    results.write.json(path)
-    changed, _ = S.ingest_results(spark.read.schema(S.RESULT).json(path), outcomes.drop("skip_reason"))
-    return changed
+    source, store = shared_folder(spark, "results"), shared_folder(spark, "ingested")
+    # every result comes three times; then some tasks report once more, and otherwise
+    results.write.json(source)
+    results.unionByName(results).write.mode("append").json(source)
+    N.ingest_stream(spark, source, store)
+    results.where("run_id % 3 = 0").withColumn("failure", F.struct(F.lit("late").alias("code"), F.lit("infer").alias("stage"), F.lit("x").alias("detail"))).withColumn("outcome", F.lit("failed")).write.mode("append").json(source)
+    N.ingest_stream(spark, source, store)
+    changed, files = S.ingest_results(N.accepted_results(spark, store), outcomes)
+    refused = N.refused_results(spark, store).select("run_id", "code", F.lit("refused").alias("form"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [changed.drop("task_id").withColumn("form", F.lit("outcome")), files.drop("task_id").withColumn("form", F.lit("file")), refused])
 
 
 INDEX_SQL = "facts AS (SELECT run_id, kind, namespace, value, length(uri) AS size_bytes FROM output_files)"

@@ -107,27 +107,37 @@ def artifact_records(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 
 RESULT = (
-    "task_id long, run_id long, outcome string, "
-    "coverage array<struct<namespace:string,value:string,windows_completed:bigint>>, "
-    "failed array<struct<namespace:string,value:string,code:string,stage:string>>, "
-    "artifacts array<struct<kind:string,namespace:string,value:string,uri:string>>"
+    "task_id long, run_id long, outcome string, failure struct<code:string,stage:string,detail:string>, "
+    "coverage array<struct<namespace:string,value:string,windows_completed:bigint,first_window_start_s:double,last_window_end_s:double,input_checksum:string>>, "
+    "failed array<struct<namespace:string,value:string,code:string,stage:string,detail:string>>, "
+    "artifacts array<struct<kind:string,contract_id:string,namespace:string,value:string,uri:string,checksum:string,size_bytes:bigint,rows:bigint>>"
 )
+COVERED = ["windows_completed", "first_window_start_s", "last_window_end_s", "input_checksum"]
+FAILED = ["scope", "code", "stage", "message"]
 
 
 def ingest_results(results: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(outcomes after the results, files that the results add); only pending recordings change.
 
-    A result that failed as a whole fails every pending recording of its task (outcomes have ``task_id``).
+    A covered recording has its windows, bounds and input checksum; a failed one the scope, code, stage and message of
+    its failure. A result that failed as a whole fails every pending recording of its task (outcomes have ``task_id``).
+    Each task has one result; each artifact of a completed one is a row of the files.
     """
-    covered = results.where("outcome = 'completed'").select("run_id", F.inline("coverage")).select("run_id", *KEY, F.lit("covered").alias("new"), F.lit(None).cast("string").alias("code"))
-    failed = results.where("outcome = 'completed'").select("run_id", F.inline("failed")).select("run_id", *KEY, F.lit("failed").alias("new"), "code")
-    changes = covered.unionByName(failed)
-    whole = results.where("outcome = 'failed'").select("run_id", "task_id", F.lit(True).alias("whole"))
-    joined = outcomes.join(changes, ["run_id", *KEY], "left").join(whole, ["run_id", "task_id"], "left")
+    null = lambda names, kinds: [F.lit(None).cast(t).alias(n) for n, t in zip(names, kinds)]
+    done = results.where("outcome = 'completed'")
+    covered = done.select("run_id", "task_id", F.inline("coverage")).select("run_id", "task_id", *KEY, F.lit("covered").alias("new"), *COVERED, *null(FAILED, ["string"] * 4))
+    failed = done.select("run_id", "task_id", F.inline("failed")).select(
+        "run_id", "task_id", *KEY, F.lit("failed").alias("new"), *null(COVERED, ["long", "double", "double", "string"]), F.lit("recording").alias("scope"), "code", "stage", F.col("detail").alias("message")
+    )
+    message = F.concat(F.lit("the work failed at the stage "), F.col("failure.stage"), F.lit(" before its first recording"))
+    whole = results.where("outcome = 'failed'").select("run_id", "task_id", F.struct(F.lit("task").alias("scope"), F.col("failure.code").alias("code"), F.col("failure.stage").alias("stage"), message.alias("message")).alias("whole"))
+    joined = outcomes.select("run_id", "task_id", *KEY, "state").join(covered.unionByName(failed), ["run_id", "task_id", *KEY], "left").join(whole, ["run_id", "task_id"], "left")
     pending = F.col("state") == "pending"
-    state = F.when(pending & F.coalesce("whole", F.lit(False)), "failed").when(pending, F.coalesce("new", "state")).otherwise(F.col("state"))
-    files = results.where("outcome = 'completed'").select("run_id", F.inline("artifacts")).select("run_id", "kind", *KEY, "uri")
-    return joined.select("run_id", *KEY, state.alias("state"), F.when(pending, F.col("code")).alias("code")), files
+    own = F.col("whole").isNotNull()
+    state = F.when(pending & own, "failed").when(pending, F.coalesce("new", "state")).otherwise(F.col("state"))
+    values = [F.when(pending & ~own, F.col(c)).alias(c) for c in COVERED] + [F.when(pending & own, F.col(f"whole.{c}")).when(pending, F.col(c)).alias(c) for c in FAILED]
+    files = done.select("run_id", "task_id", F.inline("artifacts")).select("run_id", "task_id", *KEY, "kind", "contract_id", "uri", "checksum", "size_bytes", "rows")
+    return joined.select("run_id", "task_id", *KEY, state.alias("state"), *values), files
 
 
 def current_files_index(current: DataFrame, facts: DataFrame, presets: DataFrame) -> DataFrame:

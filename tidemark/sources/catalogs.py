@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..functions.text import audio_uri
 from .ranged import file_checksums
+from .records import csv_records
 
 
 class CatalogRefused(ValueError):
@@ -19,23 +23,49 @@ def _header(spark: SparkSession, path: str) -> list[str]:
     return [str(x or "").lstrip("﻿") for x in first[0]] if first else []
 
 
+def _located(cell: Column, file: Column) -> Column:
+    """The stored URI of an audio cell; a relative place is read from the folder of its file."""
+    folder = F.regexp_replace(file, "/[^/]*$", "")
+    local = F.try_url_decode(F.regexp_replace(F.regexp_replace(folder, "^file:/+", "/"), "[+]", "%2B"))
+    relative = ~cell.startswith("/") & ~cell.rlike("^[A-Za-z][A-Za-z0-9+.-]*:")
+    away = ~folder.rlike("^(file:)?/")
+    return F.when(F.trim(cell) == "", cell).when(relative & away, F.concat(folder, F.lit("/"), cell)).otherwise(audio_uri(cell, local))
+
+
 def csv_catalog(spark: SparkSession, path: str, namespace: str, id_column: str, audio_column: str, duration_column: str | None = None) -> DataFrame:
-    """(namespace, value, audio_uri, duration_seconds, problem) of each row; blank ids and places are problems, blank durations unknown."""
-    header = _header(spark, path)
+    """(file, row, namespace, value, audio_uri, duration_seconds, problem) of each record; the header is row 1 of its file.
+
+    Cells may hold line breaks in quotes, also over splits of a file; empty records have a number and no row here, short
+    ones have empty cells. Blank ids and places are problems, blank durations unknown. Files must have one header.
+    """
+    records = csv_records(spark, path)
+    heads = records.where("record = 1").select("text").distinct().limit(2).collect()  # one, unless headers differ
+    if not heads:
+        raise CatalogRefused("there is no header row")
+    if len(heads) > 1:
+        raise CatalogRefused("the files have different headers")
+    header = next(csv.reader(io.StringIO(heads[0]["text"], newline="")), [])
     for name in filter(None, (id_column, audio_column, duration_column)):
         if header.count(name) != 1:
             raise CatalogRefused(f"the header must have {name} once")
     schema = ", ".join(f"c{i} string" for i in range(len(header)))
-    rows = spark.read.option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE").schema(schema).csv(path)
-    at = lambda name: F.coalesce(F.col(f"c{header.index(name)}"), F.lit(""))
-    duration = at(duration_column).try_cast("double") if duration_column else F.lit(None).cast("double")
+    cells = F.from_csv("text", schema, {"mode": "PERMISSIVE", "quote": '"', "escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"})
+    rows = records.where("record > 1 AND text <> ''").withColumn("cells", cells)
+    at = lambda name: F.coalesce(F.col(f"cells.c{header.index(name)}"), F.lit(""))
+    duration = F.trim(at(duration_column)).try_cast("double") if duration_column else F.lit(None).cast("double")
     given = (F.trim(at(duration_column)) != "") if duration_column else F.lit(False)
+    uri = _located(at(audio_column), F.col("file"))
     problem = (
-        F.when(F.trim(at(id_column)) == "", "blank_id")
+        F.when(~F.is_valid_utf8("text"), "not_utf8")
+        .when(F.trim(at(id_column)) == "", "blank_id")
         .when(F.trim(at(audio_column)) == "", "blank_audio")
+        .when(uri.isNull(), "bad_uri")
         .when(given & (duration.isNull() | F.isnan(duration) | (duration <= 0) | (duration == float("inf"))), "bad_duration")
     )
-    return rows.select(F.lit(namespace).alias("namespace"), at(id_column).alias("value"), at(audio_column).alias("audio_uri"), F.when(given, duration).alias("duration_seconds"), problem.alias("problem"))
+    return rows.select(
+        "file", F.col("record").alias("row"), F.lit(namespace).alias("namespace"), at(id_column).alias("value"), F.coalesce(uri, at(audio_column)).alias("audio_uri"),
+        F.when(given, duration).alias("duration_seconds"), problem.alias("problem"),
+    )
 
 
 def template_regex(template: str) -> tuple[str, list[str]]:
