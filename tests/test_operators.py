@@ -151,6 +151,34 @@ def test_empty_registries_are_refused(spark, tmp_path):
             catalogs.registry_csv(spark, str(tmp_path / f"{name}.csv"))
 
 
+def test_empty_lists_are_refused(spark, tmp_path):
+    (tmp_path / "none.jsonl").write_text("\n\n")
+    with pytest.raises(manifests.ManifestRefused):
+        manifests.manifest_problems(manifests.recordings_jsonl(spark, str(tmp_path / "none.jsonl")))
+    with pytest.raises(manifests.ManifestRefused):
+        manifests.manifest_problems(manifests.uri_list(spark, str(tmp_path / "none.jsonl"), "n"))
+    (tmp_path / "blank.jsonl").write_text("  \n")
+    assert [r.problem for r in manifests.manifest_problems(manifests.recordings_jsonl(spark, str(tmp_path / "blank.jsonl"))).collect()] == ["blank_line"]
+
+
+def test_registries_have_the_fingerprint_of_their_bytes(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "r.csv").write_text("class_index,label,label_kind\n0,x,non_taxonomic\n1,é,non_taxonomic\n")
+    got = {r.fingerprint for r in catalogs.registry_csv(spark, str(tmp_path / "r.csv")).collect()}
+    assert got == {"sha256:" + hashlib.sha256((tmp_path / "r.csv").read_bytes()).hexdigest()}
+    (tmp_path / "s.csv").write_text("class_index,label,label_kind\n0,x,non_taxonomic\n")
+    with pytest.raises(catalogs.CatalogRefused):
+        catalogs.registry_csv(spark, str(tmp_path))
+
+
+def test_results_need_their_requests(spark):
+    results = spark.createDataFrame([(1, "u", "f", "s", "d"), (2, "u", None, None, None), (3, None, None, None, None), (4, None, "f", "s", None), (5, None, None, None, None)], "task_id long, registry_uri string, registry_fingerprint string, resolved_scores_request string, resolved_detection_policy string")
+    artifacts_ = spark.createDataFrame([(1, "scores"), (1, "detections"), (2, "embeddings"), (3, "scores"), (3, "scores"), (4, "detections")], "task_id long, kind string")
+    got = sorted(map(tuple, coverage.request_problems(results, artifacts_).collect()))
+    assert got == [(2, "half_registry_binding"), (3, "scores_without_request"), (4, "detections_without_policy"), (4, "half_registry_binding")]
+
+
 def test_versions_meet_in_a_map_or_in_a_join(spark, monkeypatch):
     results = spark.createDataFrame([(1, "n", "a", {"m": 1, "h": 2}), (2, "n", "b", {"m": 2}), (3, "n", "c", {})], "run_id long, namespace string, value string, output_versions map<string,bigint>")
     highest = spark.createDataFrame([("m", 2)], "version_id string, highest bigint")

@@ -62,6 +62,22 @@ def result_problems(covered: DataFrame, failed: DataFrame, artifacts: DataFrame)
     return named.unionByName(doubled).unionByName(differ)
 
 
+def request_problems(results: DataFrame, artifacts: DataFrame, by: str = "task_id") -> DataFrame:
+    """What is wrong with each result as a whole: half a registry binding, or artifacts whose request it does not give.
+
+    Results have registry_uri, registry_fingerprint, resolved_scores_request and resolved_detection_policy, null where
+    absent; artifacts have the kind and the result they belong to. A request without artifacts is fine.
+    """
+    kinds = artifacts.groupBy(by).agg(F.max((F.col("kind") == "scores").cast("int")).alias("scores"), F.max((F.col("kind") == "detections").cast("int")).alias("detections"))
+    rules = [
+        (F.col("registry_uri").isNull() != F.col("registry_fingerprint").isNull(), "half_registry_binding"),
+        ((F.col("scores") == 1) & F.col("resolved_scores_request").isNull(), "scores_without_request"),
+        ((F.col("detections") == 1) & F.col("resolved_detection_policy").isNull(), "detections_without_policy"),
+    ]
+    broken = F.array_compact(F.array(*(F.when(rule, F.lit(name)) for rule, name in rules)))
+    return results.join(kinds, by, "left").select(by, F.explode(broken).alias("problem"))
+
+
 def stage_problems(reports: DataFrame) -> DataFrame:
     """Failure reports whose stage is not one of their scope."""
     allowed = F.when(F.col("scope") == "recording", F.col("stage").isin(*RECORDING_STAGES)).otherwise(F.col("stage").isin(*WORK_STAGES))

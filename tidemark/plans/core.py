@@ -245,9 +245,18 @@ def _(spark, f, d):
   UNION ALL SELECT coalesce(e.namespace, a.namespace), coalesce(e.value, a.value), 'rows_differ_' || coalesce(e.kind, a.kind) FROM
    (SELECT 'scores' AS kind, namespace, value, score_rows AS n FROM coverage_rows WHERE score_rows > 0 UNION ALL SELECT 'embeddings', namespace, value, embedding_rows FROM coverage_rows WHERE embedding_rows > 0
     UNION ALL SELECT 'detections', namespace, value, detection_rows FROM coverage_rows WHERE detection_rows > 0) e
-   FULL JOIN (SELECT kind, namespace, value, max(rows) AS n FROM artifact_rows GROUP BY ALL) a ON e.kind = a.kind AND e.namespace = a.namespace AND e.value = a.value WHERE e.n IS DISTINCT FROM a.n""")
-def _(spark, f, d):
-    return V.result_problems(f["coverage_rows"], f["coverage_rows"].where("d % 41 = 0"), f["artifact_rows"])
+   FULL JOIN (SELECT kind, namespace, value, max(rows) AS n FROM artifact_rows GROUP BY ALL) a ON e.kind = a.kind AND e.namespace = a.namespace AND e.value = a.value WHERE e.n IS DISTINCT FROM a.n
+  UNION ALL SELECT 'result', CAST(run_id AS VARCHAR), 'half_registry_binding' FROM runs WHERE (run_id % 4 = 0) <> (run_id % 6 = 0)
+  UNION ALL SELECT DISTINCT 'result', CAST(run_id AS VARCHAR), 'scores_without_request' FROM output_files WHERE kind = 'scores' AND run_id % 3 = 1
+  UNION ALL SELECT DISTINCT 'result', CAST(run_id AS VARCHAR), 'detections_without_policy' FROM output_files WHERE kind = 'embeddings' AND run_id % 5 = 2 AND run_id % 7 > 0""")
+def _(spark, f, d):
+    named = V.result_problems(f["coverage_rows"], f["coverage_rows"].where("d % 41 = 0"), f["artifact_rows"])
+    r = F.col("run_id")
+    given = lambda rule: F.when(rule, "given")
+    results = f["runs"].select("run_id", given(r % 4 != 0).alias("registry_uri"), given(r % 6 != 0).alias("registry_fingerprint"), given(r % 3 != 1).alias("resolved_scores_request"), given(r % 5 != 2).alias("resolved_detection_policy"))
+    more = f["output_files"].where("kind = 'embeddings' AND run_id % 7 > 0").select("run_id", F.lit("detections").alias("kind"))
+    problems = V.request_problems(results, f["output_files"].select("run_id", "kind").unionByName(more), "run_id")
+    return named.unionByName(problems.select(F.lit("result").alias("namespace"), r.cast("string").alias("value"), "problem"))
 
 
 @query("failure_stage_check", f"SELECT run_id, namespace, value, scope, code, stage FROM failures WHERE NOT CASE WHEN scope = 'recording' THEN stage IN {V.RECORDING_STAGES} ELSE stage IN {V.WORK_STAGES} END")

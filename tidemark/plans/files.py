@@ -136,11 +136,13 @@ def _(spark, f, d):
     return C.verify_pinned(pins.unionByName(gone), found).select("role", "code")
 
 
-@query("registry_csv", "SELECT CAST(class_index AS INTEGER) AS class_index, label, label_kind, scientific_name, common_name, gbif_taxon_key, CASE WHEN class_index = 7 THEN 'kind_obligations' END AS problem FROM (SELECT class_index, label, label_kind, CASE WHEN class_index = 7 THEN NULL ELSE scientific_name END AS scientific_name, common_name, gbif_taxon_key FROM registry) x")
+@query("registry_csv", """SELECT CAST(class_index AS INTEGER) AS class_index, label, label_kind, scientific_name, common_name, gbif_taxon_key, CASE WHEN class_index = 7 THEN 'kind_obligations' END AS problem,
+  (SELECT 'sha256:' || sha256('class_index,label,label_kind,scientific_name,common_name,gbif_taxon_key,rank' || chr(10) || string_agg(class_index || ',' || label || ',' || label_kind || ',' || coalesce(scientific_name, '') || ',' || common_name || ',' || coalesce(CAST(gbif_taxon_key AS VARCHAR), '') || ',species' || chr(10), '' ORDER BY class_index)) FROM changed) AS fingerprint FROM changed""",
+  "changed AS (SELECT class_index, label, label_kind, CASE WHEN class_index = 7 THEN NULL ELSE scientific_name END AS scientific_name, common_name, gbif_taxon_key FROM registry)")
 def _(spark, f, d):
     path = shared_folder(spark, "registry")
     rows = f["registry"].withColumn("scientific_name", F.when(F.col("class_index") != 7, F.col("scientific_name"))).withColumn("rank", F.lit("species"))
-    rows.coalesce(1).write.option("header", True).csv(path)
+    rows.coalesce(1).sortWithinPartitions("class_index").write.option("header", True).csv(path)
     return C.registry_csv(spark, path)
 
 

@@ -102,8 +102,12 @@ REGISTRY_COLUMNS = ("class_index", "label", "label_kind", "scientific_name", "co
 def registry_csv(spark: SparkSession, path: str) -> DataFrame:
     """A label registry with a ``problem`` per row: kind obligations, repeated labels, class indexes that are not dense.
 
-    A registry without rows, with a repeated column or without a required one is refused.
+    ``fingerprint`` is the checksum of the file's bytes. A registry of several files, without rows, with a repeated
+    column or without a required one is refused.
     """
+    files = file_checksums(spark, path, "*.csv").limit(2).collect()  # one
+    if len(files) != 1:
+        raise CatalogRefused("a registry is one CSV file")
     header = _header(spark, path)
     repeated = [c for c in REGISTRY_COLUMNS if header.count(c) > 1]
     if repeated:
@@ -127,7 +131,7 @@ def registry_csv(spark: SparkSession, path: str) -> DataFrame:
     problem = (
         F.when(F.col("label").isNull(), "blank_label").when(~F.coalesce(obligations, F.lit(False)), "kind_obligations").when(same > 1, "repeated_label").when(~place.eqNullSafe(F.col("class_index")), "class_index_not_dense")
     )
-    return rows.withColumn("problem", problem)
+    return rows.withColumns({"problem": problem, "fingerprint": F.lit(files[0]["checksum"])})
 
 
 def verify_pinned(pins: DataFrame, found: DataFrame) -> DataFrame:

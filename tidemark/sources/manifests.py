@@ -101,11 +101,17 @@ def uri_list(spark: SparkSession, path: str, namespace: str) -> DataFrame:
     )
 
 
+class ManifestRefused(ValueError):
+    """A list that holds no recordings."""
+
+
 def manifest_problems(lines: DataFrame, most: int = MAX_PROBLEMS) -> DataFrame:
     """Line problems and repeated identities by line, the first ``most``, and whether there are more.
 
-    Every occurrence of an identity after the first names the first one's line.
+    Every occurrence of an identity after the first names the first one's line. A list without a line is refused.
     """
+    if lines.isEmpty():
+        raise ManifestRefused("the list holds no recordings; give at least one")
     order = Window.partitionBy("namespace", "value").orderBy("line")
     fine = lines.where("problem is null").select("line", F.row_number().over(order).alias("nth"), F.first("line").over(order).alias("first_line"))
     repeated = fine.where("nth > 1").select("line", F.lit("repeated_identity").alias("problem"), "first_line")
