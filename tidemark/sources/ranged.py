@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .shared import shared_folder
+
 #: Bytes that are read at a time when a whole file goes by.
 STEP = 1 << 22
 _SAME = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
@@ -93,10 +95,20 @@ def stream_sha256(file: Ranged) -> str:
     return "sha256:" + digest.hexdigest()
 
 
+_OPEN_COST = "spark.sql.files.openCostInBytes"
+
+
 def listed(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """(path, length) of the files below ``path``; nothing of them is read. Spark lists no empty files."""
+    """(path, length) of the files below ``path``, written to the shared folder; nothing of them is read. Spark lists no empty files."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path).select("path", "length")
+    files = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path).select("path", "length")
+    found, before = shared_folder(spark, "files"), spark.conf.get(_OPEN_COST)
+    spark.conf.set(_OPEN_COST, "16k")  # files that are not opened cost little, so a task lists many
+    try:
+        files.write.parquet(found)
+    finally:
+        spark.conf.set(_OPEN_COST, before)
+    return spark.read.schema("path string, length long").parquet(found)
 
 
 def dealt(files: DataFrame, tasks: int | None = None) -> DataFrame:
