@@ -36,3 +36,30 @@ def test_round_trip_of_documents(spark, docs_of):
         start += len(ids)
     assert got == want
     assert read_token_files(write_token_files(docs_of([]), Scratch(spark, "e"))).count() == 0
+
+
+def test_any_token_and_any_stretch_of_the_files(spark, docs_of):
+    from tokenizers import Tokenizer
+
+    from tidemark.llm.token_files import document_tokens, tokens_at
+
+    tokenizer = Tokenizer.from_str(tokenizer_json())
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(["alpha", "of", "Zq9é"]) for _ in range(rng.randint(0, 200)))) for i in range(120)] + [(500, "of " * 40_000), (7, "twice")]
+    files = write_token_files(docs_of(rows, 6), Scratch(spark, "t"), segment_tokens=3000)
+    assert files.count() > 5
+    everything, by_doc = [], {}
+    for row in sorted(read_token_files(files).collect(), key=lambda r: r.start):
+        texts = [t for i, t in rows if i == row.doc_id]
+        ids = next(x for t in texts if len(x := tokenizer.encode(t, add_special_tokens=False).ids + [2]) == row.n_tokens)
+        everything += ids
+        by_doc.setdefault(row.doc_id, []).append(ids)
+    wanted = [rng.randrange(len(everything)) for _ in range(300)] + [0, len(everything) - 1]
+    frame = spark.createDataFrame([(p,) for p in [*wanted, wanted[0], len(everything), -1, 10**15]] + [(None,)], "position long")
+    assert {r.position: r.token for r in tokens_at(files, frame).collect()} == {p: everything[p] for p in wanted}
+    stretches = [(i, a, a + rng.randint(0, 50)) for i in (0, 5, 7, 60, 119) for a in (0, 1, 17, 190)] + [(500, 39_000, 39_900), (500, 79_990, 10**6), (999, 0, 5), (None, 0, 1), (3, None, 4), (3, -1, 4), (3, 5, 2)]
+    got = sorted((r.doc_id, r.start, r.stop, r.tokens) for r in document_tokens(files, spark.createDataFrame(stretches, "doc_id long, start long, stop long")).collect())
+    want = sorted((i, a, b, ids[a:b]) for i, a, b in stretches if i is not None and a is not None and a >= 0 for ids in by_doc.get(i, []))
+    assert got == want
+    none = write_token_files(docs_of([]), Scratch(spark, "e"))
+    assert tokens_at(none, frame).count() == 0 and document_tokens(none, spark.createDataFrame(stretches, "doc_id long, start long, stop long")).count() == 0

@@ -258,7 +258,7 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
 def _encode(batches, shared):
     model = shared.value
     for batch in batches:
-        for start, texts in text_groups(batch.column(1)):
+        for start, texts in text_groups(batch.column(1), 1 << 20):
             ids = model.encode(texts)
             decoded = [model.decode(x) for x in ids]
             offsets = np.r_[0, np.cumsum([len(x) // 4 for x in ids])].astype(np.int32)

@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 #: Distinct stretches and split parts whose ids a task keeps at a time.
 STRETCHES, PARTS = 600_000, 100_000
 #: New words that are encoded as one text.
-TOGETHER = 200
+TOGETHER = 1000
 #: Ids that the operators put at the end of a document are at most this.
 END_IDS = 2
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -78,19 +78,23 @@ class _Stretches(dict):
         A word of letters after a space is one split part, and so is one after a line feed, so each word of the text has
         tokens of its own, which the bytes of the tokens tell.
         """
-        stems = dict.fromkeys(m.group() for s in stretches if s not in self and (m := _STEM.match(s)))
-        self._ask([w for w in stems if w[0] != "\n" and w not in self], " ", self)
+        fresh = [s for s in stretches if s not in self]
+        words = dict.fromkeys(s for s in fresh if s.isalpha())
+        stems = dict.fromkeys(m.group() for s in fresh if not s.isalpha() and (m := _STEM.match(s)))
+        words.update(dict.fromkeys(w for w in stems if w[0] != "\n" and w not in self))
+        self._ask(list(words), " ", self)
         parts = self._parts
         self._ask([w[1:] for w in stems if w[0] == "\n" and w[1:] not in parts], "\n", parts)
 
     def _ask(self, words: list[str], before: str, known: dict) -> None:
         skipped = len(before.lstrip(" "))  # a line feed is a part of its own, a space belongs to its word
+        lengths = pc.binary_length(pa.array(words, pa.string())).to_numpy(zero_copy_only=False).astype(np.int64) + 1
         for at in range(0, len(words), TOGETHER):
             some = words[at : at + TOGETHER]
             ids = self._batch([before + before.join(some)], add_special_tokens=False)[0].ids
             raw = array("I", ids).tobytes()
             ends = np.cumsum(self._bytes[np.frombuffer(raw, dtype="<u4")])
-            stops = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in some), dtype=np.int64, count=len(some)))
+            stops = np.cumsum(lengths[at : at + TOGETHER])
             starts = np.r_[0, stops[:-1]] + skipped
             first, last = (np.searchsorted(ends, x, side="right") for x in (starts, stops))
             whole = np.r_[0, ends]
@@ -184,15 +188,9 @@ class Encoder:
         found = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         self._inner.learn(found)
         ids = list(map(self._inner.__getitem__, found))
-        index = coded.indices.to_numpy()
-        lengths = np.fromiter((len(x) // 4 for x in ids), dtype=np.int64, count=len(ids))
-        known = np.frombuffer(b"".join(ids), dtype="<u4")
-        n = lengths[index]
-        ends = np.cumsum(n)
-        first = (np.cumsum(lengths) - lengths)[index]
-        tokens = known[np.arange(int(n.sum())) + np.repeat(first - (ends - n), n)]
-        cuts = np.r_[0, ends][np.r_[0, np.cumsum(counts)]].tolist()
-        return [self._parts[head] + tokens[a:b].tobytes() for head, a, b in zip(heads, cuts, cuts[1:])]
+        pieces = list(map(ids.__getitem__, coded.indices.to_numpy().tolist()))
+        cuts = np.r_[0, np.cumsum(counts)].tolist()
+        return [self._parts[head] + b"".join(pieces[a:b]) for head, a, b in zip(heads, cuts, cuts[1:])]
 
 
 _encoders: dict[int, Encoder] = {}
@@ -207,7 +205,7 @@ def encoder(json_text: str) -> Encoder:
     return found
 
 
-def text_groups(texts: pa.Array, size: int = 1 << 20):
+def text_groups(texts: pa.Array, size: int = 1 << 22):
     """(from, texts) for runs of rows of about ``size`` characters; null is empty."""
     start, held, n = 0, [], 0
     for i, text in enumerate(texts):
