@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter, defaultdict
 from functools import cache
 from pathlib import Path
@@ -114,3 +115,36 @@ def test_held_out_accuracy(spark):
     assert all(r.held_out == (crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)
     held = [r for r in got if r.held_out and r.lang_pred != "und"]
     assert len(held) > 200 and sum(r.lang_pred == r.lang for r in held) / len(held) > 0.98
+
+
+def test_no_language_is_lost_by_the_sample(spark, docs_of):
+    """A language whose few texts are each larger than the sample is learned from one of them at least."""
+    books = [(i, "the house and garden " * 300, "en") for i in range(40)] + [(100 + i, f"das haus {i} und der garten " * 250, "de") for i in range(3)] + [(200, "la maison et le jardin " * 300, "fr")]
+    for sample in (1, 600, 1200, 3000):
+        found = {r.lang for r in learn_counts(docs_of(books).select("doc_id", "lang", "text"), sample).select("lang").distinct().collect()}
+        assert found == {"en", "de", "fr"}
+
+
+def test_the_draw_holds_for_any_size(spark):
+    """Shares of a language with 2**40 bytes and more, where products of longs would overflow."""
+    rows = spark.range(4000).select((F.col("id") * (1 << 50)).alias("draw"))
+    for size in (2.0**20, 2.0**40, 2.0**60):
+        share = rows.where(language_id.drawn(F.col("draw"), F.lit(size), F.lit(-1), int(size / 4))).count() / 4000
+        assert abs(share - 1 / 4 * (1 << 62) / (4000 << 50)) < 0.01
+    assert rows.where(language_id.drawn(F.col("draw"), F.lit(2.0**60), F.lit(0), 1)).count() == 1
+
+
+def test_many_languages_in_one_scan(spark, docs_of):
+    """Blocks of any size give the same predictions, and the texts are read once."""
+    rng = random.Random(3)
+    names = [f"l{i:02}" for i in range(12)]
+    docs = docs_of([(i, " ".join("".join(rng.choice("abcdefgh"[k % 5 : k % 5 + 4]) + name[1:] for k in range(4)) for _ in range(20)), name) for i, name in enumerate(names * 5)])
+    tables = train(docs).cache()
+    key = lambda r: (r.doc_id, r.lang_pred, round(r.score, 9))
+    whole = sorted(map(key, identify(docs, tables).collect()))
+    for cells in (1, 2000):
+        assert len(language_id.blocks_of(tables, cells)) > 1
+        found = identify(docs, tables, cells)
+        assert sorted(map(key, found.collect())) == whole
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert len(language_id.blocks_of(tables, 1 << 24, 10)) == 12

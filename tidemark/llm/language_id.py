@@ -9,12 +9,14 @@ with the cost of the escape for every context, and scoring sums table entries ov
 with the shortest code wins.
 
 No context, byte or language is left out of the trees. What is bounded is the training text: ``SAMPLE_BYTES`` of each
-language, whole texts drawn by a hash, so the tables of a language have at most that many entries. Languages are scored
-in blocks whose joint table has at most ``MAX_CELLS`` cells (or one language), and the blocks' results are merged.
+language or one text if it is longer, whole texts drawn by a hash, which bounds the tables of a language. Languages are
+held in blocks with a joint table each; all blocks score a text in one pass, and their results are merged exactly.
 """
 
 from __future__ import annotations
 
+from typing import Any
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -24,8 +26,8 @@ from ._scratch import Scratch
 from ._skew import join_counted
 
 ORDER = 3
-#: Bytes of training text expected of each language, and cells of a joint table.
-SAMPLE_BYTES, MAX_CELLS = 32 << 20, 1 << 24
+#: Bytes of training text expected of each language, cells of a joint table, and of all tables unless each has one language.
+SAMPLE_BYTES, MAX_CELLS, ALL_CELLS = 32 << 20, 1 << 24, 1 << 26
 #: Languages whose sizes are broadcast.
 MOST_BROADCAST = 10_000
 _PAD = b"\n" * ORDER
@@ -81,16 +83,21 @@ def _count(batches):
 def learn_counts(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """(lang, gram, n): the four-byte strings of each language over a sample of ``docs`` (doc_id, lang, text).
 
-    A text is drawn if its hash is below the share of its language's bytes that ``sample_bytes`` makes up.
+    A text is drawn if its hash is below the share of its language's bytes that ``sample_bytes`` makes up, or is the
+    least of its language, so no language is without a text, however large its texts are.
     """
-    known = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("n"))
+    known = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 62)).alias("draw"))
+    sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text").cast("double")).alias("bytes"), F.count(F.lit(1)).alias("n"), F.min("draw").alias("least"))
     sizes = Scratch(docs.sparkSession, "languages").save("sizes", sizes)  # a row for each language
     n_languages, n_rows = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     # texts never meet by their language: there are few, and one may have most of the rows
     sized = known.join(F.broadcast(sizes.drop("n")), "lang") if n_languages <= MOST_BROADCAST else join_counted(known, sizes, ["lang"], n_rows, ["doc_id"])
-    drawn = sized.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) * F.col("bytes") < F.lit(float(sample_bytes) * (1 << 30)))
-    return drawn.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return sized.where(drawn(F.col("draw"), F.col("bytes"), F.col("least"), sample_bytes)).select("lang", "text").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def drawn(draw: Column, bytes_: Column, least: Column, sample_bytes: int) -> Column:
+    """Whether a text with the hash ``draw`` (below 2**62) is in the sample of its language; in doubles, for any size."""
+    return (draw.cast("double") / float(1 << 62) * bytes_ < F.lit(float(sample_bytes))) | (draw == least)
 
 
 def _mixed(counts: np.ndarray, shorter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +150,7 @@ def tabulate(gram: np.ndarray, n: np.ndarray) -> list[tuple[int, np.ndarray, np.
     return out
 
 
-def _tabulate(key, counts: pd.DataFrame) -> pd.DataFrame:
+def _tabulate(key: tuple[Any, ...], counts: pd.DataFrame) -> pd.DataFrame:
     tables = tabulate(counts["gram"].to_numpy(np.int64), counts["n"].to_numpy(np.float64))
     kind = np.repeat([k for k, _, _ in tables], [len(c) for _, c, _ in tables])
     return pd.DataFrame({"lang": key[0], "kind": kind.astype(np.int32), "code": np.concatenate([c for _, c, _ in tables]), "bits": np.concatenate([b for _, _, b in tables]).astype(np.float32)})
@@ -254,7 +261,7 @@ def has_letter(text: str) -> bool:
 def _predict(batches, shared):
     """The columns of a batch before its last, the text, with lang_pred, bits, and ``mass``: the sum of 2**(bits - bits of a language)."""
     for batch in batches:
-        model = shared.value
+        models = [block.value for block in shared]
         lang = np.full(batch.num_rows, None, dtype=object)
         least, mass = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
         for rows, parts in _runs(batch.column(batch.num_columns - 1)):
@@ -262,11 +269,15 @@ def _predict(batches, shared):
             rows, parts = [r for r, ok in zip(rows, letters) if ok], [p for raw, ok in zip(parts[1::2], letters) if ok for p in (_PAD, raw)]
             if not rows:
                 continue
-            bits = model.code_lengths(parts)
-            best = bits.argmin(axis=1)
-            least[rows] = bits.min(axis=1)
-            mass[rows] = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
-            lang[rows] = [model.languages[b] for b in best.tolist()]
+            best, own, sums = np.full(len(rows), None, dtype=object), np.full(len(rows), np.inf), np.zeros(len(rows))
+            for model in models:  # in order of the languages, so a tie stays with the first
+                bits = model.code_lengths(parts)
+                found = bits.min(axis=1)
+                names = np.array(model.languages, dtype=object)[bits.argmin(axis=1)]
+                lower = np.minimum(own, found)
+                sums = sums * np.exp2(np.maximum(lower - own, -1000)) + np.exp2(np.maximum(lower[:, None] - bits, -1000)).sum(axis=1)
+                best, own = np.where(found < own, names, best), lower
+            least[rows], mass[rows], lang[rows] = own, sums, best
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(least), pa.array(mass)], names=[*batch.schema.names[:-1], "lang_pred", "bits", "mass"]
         )
@@ -281,18 +292,27 @@ def train(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
     return Scratch(docs.sparkSession, "languages").save("tables", counts.groupBy("lang").applyInPandas(_tabulate, "lang string, kind int, code long, bits float"))
 
 
-def blocks_of(tables: DataFrame, max_cells: int = MAX_CELLS) -> list[list[str]]:
-    """Languages in blocks: strings of a block's languages times their number is at most ``max_cells``, or it has one language."""
+def blocks_of(tables: DataFrame, max_cells: int = MAX_CELLS, all_cells: int = ALL_CELLS) -> list[list[str]]:
+    """Languages in blocks: strings of a block's languages times their number is at most ``max_cells``, or it has one language.
+
+    Where the blocks together have more than ``all_cells``, smaller blocks are made, down to a language each; so what a
+    task holds grows with the strings of all languages and no faster.
+    """
     sizes = {r["lang"]: r["count"] for r in tables.where(F.col("kind") == AFTER_3).groupBy("lang").count().collect()}  # a row for each language
-    blocks, strings = [], 0
-    for lang in sorted(sizes):
-        if blocks and (strings + sizes[lang]) * (len(blocks[-1]) + 1) <= max_cells:
-            blocks[-1].append(lang)
-            strings += sizes[lang]
-        else:
-            blocks.append([lang])
-            strings = sizes[lang]
-    return blocks
+    while True:
+        blocks, cells, strings = [], 0, 0
+        for lang in sorted(sizes):
+            if blocks and (strings + sizes[lang]) * (len(blocks[-1]) + 1) <= max_cells:
+                cells += (strings + sizes[lang]) * (len(blocks[-1]) + 1) - strings * len(blocks[-1])
+                blocks[-1].append(lang)
+                strings += sizes[lang]
+            else:
+                blocks.append([lang])
+                strings = sizes[lang]
+                cells += strings
+        if cells <= all_cells or len(blocks) == len(sizes):
+            return blocks
+        max_cells //= 2
 
 
 def _model(tables: DataFrame, languages: list[str]) -> Model:
@@ -309,34 +329,19 @@ def identify(docs: DataFrame, tables: DataFrame, max_cells: int = MAX_CELLS) ->
     """One row per input row: doc_id, lang_pred, score (the posterior share of that language, all equally likely before).
 
     ``und`` with score 0 for a null or empty text, one without a letter (Unicode categories L*), or tables without
-    languages. Ties go to the first language by name. Whole texts are scored. Repeated rows and rows without doc_id are
-    predicted like others; other columns are ignored; an empty table gives an empty result.
+    languages. Ties go to the first language by name. Whole texts are scored, in one pass under all languages; a long
+    text is scored in one run of its own. Repeated rows and rows without doc_id are predicted like others; other columns
+    are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    blocks = blocks_of(tables, max_cells)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lang, score = F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"), F.when(F.col("lang_pred").isNotNull(), 1 / F.col("mass")).otherwise(0.0).alias("score")
+    blocks = blocks_of(tables, max_cells)
     if not blocks:
         return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-
-    def scored(block, known):
-        shared = spark.sparkContext.broadcast(_model(tables, block))
-        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in known.schema if f.name != "text")
-        return known.mapInArrow(lambda it: _predict(it, shared), f"{schema}, lang_pred string, bits double, mass double")
-
-    if len(blocks) == 1:
-        return scored(blocks[0], rows).select("doc_id", lang, score)
-    # each distinct text against each block; what a text has in another block weighs by the difference of the code lengths
-    scratch = Scratch(spark, "identify")
-    texts = docs.select(F.sha2("text", 256).alias("sha"), "text")
-    found = None
-    for i, block in enumerate(blocks):
-        part = scratch.save(f"block-{i}", scored(block, texts).where("lang_pred is not null").dropDuplicates(["sha"]))
-        found = part if found is None else found.unionByName(part)
-    best = found.groupBy("sha").agg(F.min(F.struct("bits", "lang_pred")).alias("best"), F.collect_list(F.struct("bits", "mass")).alias("blocks"))  # an entry for each block
-    mass = F.aggregate("blocks", F.lit(0.0), lambda total, b: total + b["mass"] * F.pow(F.lit(2.0), F.greatest(F.col("best.bits") - b["bits"], F.lit(-1000.0))))
-    best = best.select("sha", F.col("best.lang_pred").alias("lang_pred"), mass.alias("mass"))
-    return rows.select("doc_id", F.sha2("text", 256).alias("sha")).join(best, "sha", "left").select("doc_id", lang, score)
+    shared = [spark.sparkContext.broadcast(_model(tables, block)) for block in blocks]
+    found = rows.mapInArrow(lambda it: _predict(it, shared), "doc_id long, lang_pred string, bits double, mass double")
+    score = F.when(F.col("lang_pred").isNotNull(), 1 / F.col("mass")).otherwise(0.0).alias("score")
+    return found.select("doc_id", F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"), score)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
