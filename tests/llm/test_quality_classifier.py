@@ -100,3 +100,60 @@ def test_toxic_words_of_every_language(spark, docs_of):
         toxic = [kept for kept, bad in own if bad]
         assert len(toxic) > 3 and sum(not k for k in toxic) / len(toxic) > 0.9
         assert sum(kept for kept, bad in own if not bad) / sum(not bad for _, bad in own) > 0.97
+
+
+def test_sites_of_any_size(spark):
+    """Sums of squares of ten thousand million documents are beyond 64 bits."""
+    from tidemark.llm.quality_classifier import _strength
+
+    def plain(groups, rate):
+        n = sum(g[0] for g in groups)
+        within = rate * (1 - rate)
+        q = sum(g[0] * (g[1] / g[0] - rate) ** 2 for g in groups)
+        between = (q - (len(groups) - 1) * within) / (n - sum(g[0] ** 2 for g in groups) / n)
+        return min(1e6, max(1.0, within / between))
+
+    groups = [(10**10, 4e9), (3 * 10**9, 1e9), (5, 2.0)]
+    rows = spark.createDataFrame([(f"h{i}", n, s) for i, (n, s) in enumerate(groups)], "host string, docs long, toxic double")
+    assert math.isclose(_strength(rows, ["host"], "toxic", F.lit(0.37)), plain(groups, 0.37), rel_tol=1e-9)
+
+
+def test_chosen_words_against_plain_counts(spark, docs_of):
+    """Which words speak for a class, and how much, from a count of some hundred documents."""
+    rng = random.Random(11)
+    rows, labels = [], []
+    for i in range(700):
+        bad = rng.random() < 0.2
+        words = [f"w{rng.randint(0, 60)}" for _ in range(30)] + ["scum"] * (bad and rng.random() < 0.8) + ["odd"] * (rng.random() < 0.1) + ["vile"] * (bad and rng.random() < 0.3)
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), rng.choice(["a", "b"]), "s"))
+        labels.append((i, 1, int(bad)))
+    rows += [(1000 + i, rows[i][1], "a", "s") for i in range(40)]  # copies count once
+    labels += [(1000 + i, 1, labels[i][2]) for i in range(40)]
+    model = fit(docs_of(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    import zlib
+
+    fitting = [(r, lab) for r, lab in zip(rows, labels) if zlib.crc32(str(r[0]).encode()) % 5 != 0]
+    seen, kept = set(), []
+    for r, lab in sorted(fitting, key=lambda x: x[0][0]):
+        if r[1] not in seen:
+            seen.add(r[1])
+            kept.append((set(r[1].split()), lab[2]))
+    total, yes = len(kept), sum(b for _, b in kept)
+    want = {}
+    for word in {w for ws, _ in kept for w in ws}:
+        n, k = sum(word in ws for ws, _ in kept), sum(b for ws, b in kept if word in ws)
+        pooled = n / total
+        z = abs(k / yes - (n - k) / (total - yes)) / math.sqrt(max(pooled * (1 - pooled), 1e-9) * (1 / yes + 1 / (total - yes)))
+        ratio = math.log((k + 0.5) / (yes + 1)) - math.log((n - k + 0.5) / (total - yes + 1))
+        share = k / n
+        bound = (share + 4 / (2 * n) - 2 * math.sqrt(share * (1 - share) / n + 4 / (4 * n * n))) / (1 + 4 / n)
+        if z >= 6 and ratio > 0 and bound >= 0.5:
+            want[word] = ratio
+    assert set(want) == {"scum", "vile"}
+    from tidemark.llm._words import Words
+
+    hashes = {w: int(Words(np.frombuffer(w.encode(), dtype=np.uint8), np.array([0, len(w)])).hash[0]) for w in {w for ws, _ in kept for w in ws}}
+    place = {int(f): i for i, f in enumerate(model.features)}
+    got = {w: model.weights[place[h], 1] for w, h in hashes.items() if h in place and model.weights[place[h], 1] != 0}
+    assert set(got) == set(want) and all(math.isclose(got[w], want[w], rel_tol=1e-9) for w in want)

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ._scratch import Scratch
+from ._skew import join_counted
 from ._words import Words, mix
 
 #: Labelled documents that the classifier is fitted on, at most; those with the least hash of their id.
@@ -244,10 +245,10 @@ def _evidence(batches, shared):
 
 def _strength(rows: DataFrame, keys: list[str], target: str, rate: Column, floor: float = 1.0, most: float = 1e6) -> float:
     """Documents that a site's parent counts for: the within-site variance over the variance of the true rates."""
-    groups = rows.groupBy(*keys).agg(F.sum("docs").alias("n"), F.sum(target).alias("s"), F.first(rate).alias("m"))
+    groups = rows.groupBy(*keys).agg(F.sum(F.col("docs").cast("double")).alias("n"), F.sum(target).alias("s"), F.first(rate).alias("m"))
     spread = groups.agg(
         F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("m"), 2)).alias("q"), F.count(F.lit(1)).alias("k"),
-        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.sum(F.col("n") * F.col("m") * (1 - F.col("m"))).alias("v"),
+        F.sum("n").alias("n"), F.sum(F.pow(F.col("n").cast("double"), 2)).alias("nn"), F.sum(F.col("n") * F.col("m") * (1 - F.col("m"))).alias("v"),
     ).first()
     if not spread["n"] or spread["k"] < 2:
         return most
@@ -261,7 +262,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
 
     ``kept`` holds for quality at least 0.5 and toxicity under 0.5. ``host`` and ``path`` are columns of ``docs``; by
     default the source, and the language as its section. Null hosts and paths are sites of their own. A null or empty
-    text has the features of a text without words. Without labels every document has the same evidence. Repeated rows
+    text has the features of a text without words; long texts are read whole, in a run of their own. Without labels every document has the same evidence. Repeated rows
     and rows without doc_id are treated like others; other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -284,7 +285,8 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
         overall = F.lit((totals[t] or 0.0) / (totals["n"] or 1))
         strengths[t] = (_strength(joined, ["host"], t, overall), _strength(joined, ["host", "path"], t, F.col(f"host_{t}") / F.col("host_docs")))
     joined = scratch.save("sites", joined)
-    found = scored.join(joined, ["host", "path"])
+    # a site may have most documents, so its rows are dealt over salts
+    found = join_counted(scored, joined.withColumn("n", F.col("docs")), ["host", "path"], totals["n"] or 0, ["doc_id", "quality_odds", "toxic_odds"])
     out = {}
     for t in TARGETS:
         by_host, by_path = strengths[t]
