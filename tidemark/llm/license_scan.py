@@ -21,6 +21,7 @@ from importlib import resources
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ._scratch import Scratch
+from ._skew import join_counted
 
 SHINGLE, CONTAINMENT, MISS = 5, 0.8, 1e-6
 #: Public notices by the licenses' short names.
@@ -79,6 +80,15 @@ _SIGNED_BY = "transform(sequence(0, bands - 1), b -> array_min(transform(part, x
 _SPELLED = "array_distinct(transform(sequence(0, size(w) - 5), i -> concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4])))"
 
 
+def _by_value(found) -> dict[int, set[tuple[int, str]]]:
+    """(step, name) of the templates with each value of a signature."""
+    out: dict[int, set[tuple[int, str]]] = {}
+    for row in found:
+        for x in row["signature"]:
+            out.setdefault(x["value"], set()).add((row["step"], row["license"]))
+    return out
+
+
 def _longs(values) -> Column:
     return F.array(*map(F.lit, sorted(values))) if values else F.array().cast("array<bigint>")
 
@@ -87,8 +97,8 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     """One row per input row: doc_id, n_licenses, licenses (names in order, joined by commas), containment (the best).
 
     A document has a license if a window holds at least 0.8 of the template's distinct 5-word shingles, case and
-    punctuation aside. Null, empty and short texts have none; containment is then 0. Templates under five words are
-    refused. Repeated rows and rows without doc_id are scanned like others; other columns are ignored; an empty table
+    punctuation aside. Null, empty and short texts have none; containment is then 0. Whole texts are scanned; a long one
+    takes about 100 bytes a word in its task. Templates under five words are refused. Repeated rows and rows without doc_id are scanned like others; other columns are ignored; an empty table
     gives an empty result.
     """
     spark = docs.sparkSession
@@ -103,7 +113,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     known = spark.createDataFrame(rows, "license string, w array<string>, step int, bands int")
     known = known.select("license", "step", F.max("bands").over(Window.partitionBy("step")).alias("bands"), F.array_distinct(F.expr(_SHINGLES)).alias("part"), F.expr(_SPELLED).alias("template"))
     known = known.select("license", "step", "bands", "template", F.expr(_SIGNED_BY).alias("signature"))
-    found = known.select("step", "bands", "signature").collect()  # a row for each template
+    found = known.select("license", "step", "bands", "signature").collect()  # a row for each template
     values = _longs({x["value"] for r in found for x in r["signature"]})
     # of each class of templates the shingles that can collide
     minimal = {(r["step"], r["bands"]): set() for r in found}
@@ -123,19 +133,23 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     windows = by_class.select("sha", "step", "bands", "minimal", "w", F.posexplode(cut).alias("window", "part"))
     spoken = F.expr("slice(w, cast(window * step + 1 as int), 2 * step)").alias("w")
     signed = windows.where(F.arrays_overlap("part", "minimal")).select("sha", "step", "window", spoken, F.explode(F.array(F.expr(_SIGNATURE))).alias("signature"))
-    met = F.filter(F.transform("signature", lambda v, b: F.struct(b.alias("band"), v.alias("value"))), lambda x: F.array_contains(values, x["value"]))
-    bands = signed.select("sha", "step", "window", "w", F.inline(met))
-    template_bands = known.select("license", "step", "template", F.posexplode("signature").alias("band", "of")).select("license", "step", "template", "band", F.col("of.value").alias("value"))
-    retrieved = bands.join(F.broadcast(template_bands), ["step", "band", "value"])  # bounded by the list of templates
-    retrieved = retrieved.dropDuplicates(["sha", "step", "window", "license"])
-    spelled = retrieved.select("sha", "license", "template", F.explode(F.array(F.expr(_SPELLED))).alias("part"))
+    # a window's candidates are names, found within its row; the words of templates come once for each candidate
+    named = [x for value, found_by in sorted(_by_value(found).items()) for x in (F.lit(value), F.array(*(F.struct(F.lit(step).alias("step"), F.lit(license).alias("license")) for step, license in sorted(found_by))))]
+    met = F.array_distinct(F.flatten(F.transform(F.filter("signature", lambda v: F.array_contains(values, v)), lambda v: F.create_map(*named)[v]))) if named else F.array().cast("array<struct<step:int,license:string>>")
+    own = F.transform(F.filter(met, lambda x: x["step"] == F.col("step")), lambda x: x["license"])
+    retrieved = signed.select("sha", "w", F.explode(own).alias("license"))
+    spelled = retrieved.join(F.broadcast(known.select("license", "template")), "license").select("sha", "license", "template", F.explode(F.array(F.expr(_SPELLED))).alias("part"))  # each template once
     containment = F.size(F.array_intersect("template", "part")) / F.size("template")
-    best = spelled.select("sha", "license", containment.alias("containment")).where(F.col("containment") >= CONTAINMENT).groupBy("sha", "license").agg(F.max("containment").alias("containment"))
+    passed = spelled.select("sha", "license", containment.alias("containment")).where(F.col("containment") >= CONTAINMENT)
+    best = passed.groupBy("sha", "license").agg(F.max("containment").alias("containment"), F.count(F.lit(1)).alias("n"))
     by_text = best.groupBy("sha").agg(
-        F.count(F.lit(1)).alias("n_licenses"), F.array_join(F.array_sort(F.collect_list("license")), ",").alias("licenses"), F.max("containment").alias("containment")
+        F.count(F.lit(1)).alias("n_licenses"), F.array_join(F.array_sort(F.collect_list("license")), ",").alias("licenses"), F.max("containment").alias("containment"), F.max("n").alias("n")
     )
     by_text = Scratch(spark, "licenses").save("matches", by_text)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), sha).join(by_text, "sha", "left").select(
+    # a license file may be copied often; texts that are null meet nothing, so they are dealt out
+    total = by_text.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(sha, F.concat(F.lit("null "), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)))).alias("sha"))
+    return join_counted(rows, by_text, ["sha"], total, ["doc_id"], "left").select(
         "doc_id", F.coalesce("n_licenses", F.lit(0)).cast("long").alias("n_licenses"), F.coalesce("licenses", F.lit("")).alias("licenses"), F.coalesce("containment", F.lit(0.0)).alias("containment")
     )
 
