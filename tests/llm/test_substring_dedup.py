@@ -121,15 +121,66 @@ def test_window_of_an_unrelated_earlier_document_hides_no_repeat(docs_of, monkey
 
 
 def test_paths_follow_unbranched_nodes(docs_of, spark):
-    """One passage in two documents is one path, across blocks; a fork in the graph ends it."""
+    """Edges that occur together in all documents are one path, across blocks; a document that begins, ends or forks there ends it."""
     text = [f"w{i}" for i in range(300)]
     rows = [(1, " ".join(text)), (2, "x " + " ".join(text)), (3, " ".join(text[100:140]) + " fork " + " ".join(f"f{i}" for i in range(20))), (4, " ".join(text[120:140]) + " fork " + " ".join(f"f{i}" for i in range(20)))]
     docs = docs_of(rows).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rid"))
     spans, copies = repeated_spans(docs, Scratch(spark, "test"))
     found = sorted((r.doc_id, r.start, r.stop, r.src, r.shift) for r in spans.collect())
     assert copies.count() == 0
-    assert [f for f in found if f[0] == 2] == [(2, 1, 141, 1, -1), (2, 129, 301, 1, -1)]
-    assert [f for f in found if f[0] == 3] == [(3, 0, 40, 1, 100)]
+    assert [f for f in found if f[0] == 2] == [(2, 1, 113, 1, -1), (2, 101, 133, 1, -1), (2, 121, 141, 1, -1), (2, 129, 301, 1, -1)]
+    assert [f for f in found if f[0] == 3] == [(3, 0, 32, 1, 100), (3, 20, 40, 1, 100)]
+    assert [f for f in found if f[0] == 4] == [(4, 0, 20, 1, 120), (4, 8, 41, 3, 20)]
+
+
+def single_edges(edges, scratch):
+    return edges.select("h", "src", "srid", "srcpos", F.lit(1).alias("edges"), "n")
+
+
+def test_documents_meet_paths_and_not_edges(spark, docs_of, monkeypatch):
+    """The rows are the same if every edge is a path of its own, but many times as many rows are met."""
+    rng = random.Random(2)
+    passages = [" ".join(f"p{k}x{i}" for i in range(60 + 40 * k)) for k in range(5)]
+    rows = [(i, f"a{i} {rng.choice(passages)} b{i} {rng.choice(passages)}") for i in range(60)]
+    met = []
+    real = substring_dedup._met
+
+    def counted(*a):
+        found = real(*a)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(substring_dedup, "_met", counted)
+    assert digest(dedup_substrings(docs_of(rows))) == plain(rows)
+    monkeypatch.setattr(substring_dedup, "compact_paths", single_edges)
+    assert digest(dedup_substrings(docs_of(rows))) == plain(rows)
+    assert met[1] > 40 * met[0] > 0
+
+
+def test_paths_against_a_plain_walk(spark):
+    """Paths of random texts with few words, whose graph branches often."""
+    rng = random.Random(6)
+    texts = {i: [rng.choice("ab") for _ in range(rng.randint(10, 60))] for i in range(1, 30)}
+    base = [rng.choice("abcdefgh") for _ in range(900)]
+    texts |= {100 + i: base[a : a + rng.randint(150, 300)] for i, a in enumerate(rng.sample(range(700), 7))}
+    at = {}
+    for i, w in texts.items():
+        for p in range(len(w) - 12):
+            at.setdefault(tuple(w[p : p + 13]), []).append((i, p))
+    one = lambda k, d: (lambda s: s.pop() if len(s) == 1 else None)({tuple(texts[i][p + d : p + d + 13]) if 0 <= p + d <= len(texts[i]) - 13 else None for i, p in at[k]})
+    repeated = {k for k, places in at.items() if len({i for i, _ in places}) > 1}
+    number = {k: n for n, k in enumerate(at)}
+    rows = [(number[k], min(at[k])[0], 0, min(at[k])[1], number.get(one(k, -1)), number.get(one(k, 1)), len(at[k])) for k in repeated]
+    edges = spark.createDataFrame(rows, "h long, src long, srid long, srcpos int, prev long, next long, n long").repartition(3)
+    got = sorted((r.h, r.src, r.srcpos, r.edges, r.n) for r in substring_dedup.compact_paths(edges, Scratch(spark, "t")).collect())
+    follows = {k: one(k, 1) for k in repeated if one(k, 1) in repeated and one(one(k, 1), -1) == k}
+    want = []
+    for k in repeated - set(follows.values()):
+        n, end = 1, k
+        while end in follows:
+            n, end = n + 1, follows[end]
+        want.append((number[k], *min(at[k]), n, len(at[k])))
+    assert got == sorted(want) and max(w[3] for w in want) > 64
 
 
 def test_empty_table(docs_of):

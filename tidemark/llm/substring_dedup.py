@@ -1,17 +1,19 @@
 """Removal of passages that an earlier document has, by compacting the repeated part of a De Bruijn graph.
 
-Edges of the graph are windows of 13 words; its nodes are the 12 words that two successive windows share. Only edges
-that occur in documents with different ids matter, so they are found in passes whose tables stay small:
+Edges of the graph are windows of 13 words. Only edges that occur in documents with different ids matter, so they are
+found in passes whose tables stay small:
 
 1. Whole texts that an earlier document has are set aside by their SHA-256. Each window of the others has a minimizer,
    the least hash of its 6-word pieces. Equal windows have equal minimizers, and a minimizer that only one document has
    cannot belong to a repeated edge.
-2. Windows whose minimizer is left are the edge table: hash, document, place, and the hashes of both nodes. Grouping it
-   gives the repeated edges with their source (the earliest document and a place there).
-3. The node table tells how many repeated edges enter and leave each node. Where one enters and one leaves, and they
-   follow each other in their source, they are linked. Links compact into paths by joins: first within blocks of
-   places, then from block to block by pointer jumping.
-4. Joining the edge table with the paths gives, for each document, spans that run along a path.
+2. Windows whose minimizer is left are the edge table: hash, document, place, and the hashes of the edges before and
+   after it. Grouping it gives the repeated edges with their source (the least document, and its least place there) and
+   the one edge that comes before, and after, all their occurrences, if it is one.
+3. An edge follows another without a branch if each is the other's only neighbour at their node, in all documents. Such
+   edges occur together everywhere, so they follow each other in their source too, and a run of them compacts into a
+   path: first within blocks of source places, then from block to block by joins and pointer jumping. A path is known by
+   its first edge and its length.
+4. Documents meet paths by their first edges alone: where one occurs, all of its path does, and that is a span.
 5. The words of every span are compared with those at its source place, in pieces that end at the same places of the
    source for all documents, by SHA-256. Where one differs, two windows share a hash: all windows with the hashes of
    that span are then told apart by the SHA-256 of their words.
@@ -20,8 +22,6 @@ that occur in documents with different ids matter, so they are found in passes w
 from __future__ import annotations
 
 import hashlib
-import operator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -104,17 +104,20 @@ def _edge_rows(batches):
                     keep[first : first + len(mine)] = have[place] == mine
             at = np.flatnonzero(keep & inside)
             row = words.row[at]
-            nodes = words.windows(WINDOW - 1).view(np.int64)
+            own = words.windows(WINDOW).view(np.int64)
+            pos = at - words.first[row]
+            # the windows beside it, where its row has them
+            ends = pos == words.count[row] - WINDOW
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(words.windows(WINDOW)[at].view(np.int64)),
+                    pa.array(own[at]),
                     pa.array(ids[start + row]),
                     pa.array(rids[start + row]),
-                    pa.array((at - words.first[row]).astype(np.int32)),
-                    pa.array(nodes[at]),
-                    pa.array(nodes[at + 1]),
+                    pa.array(pos.astype(np.int32)),
+                    pa.array(own[np.maximum(at - 1, 0)], mask=pos == 0),
+                    pa.array(own[np.minimum(at + 1, len(own) - 1)], mask=ends),
                 ],
-                names=["h", *ROW, "pos", "left", "right"],
+                names=["h", *ROW, "pos", "prev", "next"],
             )
 
 
@@ -165,25 +168,24 @@ def _cut(batches):
 
 
 def compact_paths(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """Repeated edges (h, src, srid, srcpos, left, right, n) with ``path``, the place in the source where their path begins.
+    """Paths (h of the first edge, src, srid, srcpos, edges, n) of repeated edges (h, src, srid, srcpos, prev, next, n).
 
-    Two edges are linked at a node that one repeated edge enters and one leaves, if they follow each other in the
-    source; places there rise along a path, so it has a beginning.
+    ``prev`` and ``next`` are the only edges before and after all occurrences of an edge, else null. Two edges are linked
+    if each is the other's; they then have neighbouring places in one source, so a path rises along its places there.
     """
-    into = edges.groupBy(F.col("right").alias("node")).agg(F.count(F.lit(1)).alias("n_in"), *(F.min(c).alias(f"a_{c}") for c in (*SOURCE, "srcpos")))
-    out = edges.groupBy(F.col("left").alias("node")).agg(F.count(F.lit(1)).alias("n_out"), F.min("h").alias("h"), *(F.min(c).alias(c) for c in (*SOURCE, "srcpos")))
-    alone = into.where("n_in = 1").join(out.where("n_out = 1"), "node")
-    links = alone.where("a_src = src and a_srid = srid and a_srcpos + 1 = srcpos").select("h", F.lit(True).alias("linked"))
-    linked = edges.join(links, "h", "left").select("h", *SOURCE, "srcpos", "n", F.coalesce("linked", F.lit(False)).alias("linked"))
     # within a block: the part of a path that lies in it, named by its first place
-    block = Window.partitionBy(*SOURCE, F.floor(F.col("srcpos") / BLOCK)).orderBy("srcpos", "h")
-    begins = ~F.col("linked") | (F.col("srcpos") % BLOCK == 0)
-    placed = scratch.save("placed", linked.withColumn("part", F.max(F.when(begins, F.col("srcpos"))).over(block)))
-    parts = placed.groupBy(*SOURCE, "part").agg(F.max("srcpos").alias("last"), F.max(F.when(F.col("srcpos") == F.col("part"), F.col("linked"))).alias("goes_on"))
+    block = Window.partitionBy(*SOURCE, F.floor(F.col("srcpos") / BLOCK)).orderBy("srcpos")
+    before = {c: F.lag(c).over(block) for c in ("h", "next", "srcpos")}
+    linked = F.coalesce((before["h"] == F.col("prev")) & (before["next"] == F.col("h")) & (before["srcpos"] + 1 == F.col("srcpos")), F.lit(False))
+    placed = edges.withColumn("begins", ~linked).withColumn("part", F.max(F.when(F.col("begins"), F.col("srcpos"))).over(block))
+    parts = placed.groupBy(*SOURCE, "part").agg(
+        F.max("srcpos").alias("last"), F.max_by(F.struct("h", "next"), "srcpos").alias("tail"), F.min_by(F.struct("h", "prev", "n"), "srcpos").alias("head")
+    )
     parts = scratch.save("parts", parts)
-    # from block to block: a part that goes on points to the part that ends just before it
-    ends = parts.select(*SOURCE, F.col("part").alias("head"), (F.col("last") + 1).alias("part"))
-    heads = scratch.save("heads-0", parts.where("goes_on").join(ends, [*SOURCE, "part"]).select(*SOURCE, "part", "head"))
+    # from block to block: a part that is linked to the one that ends just before it points to that one
+    ends = parts.select(*SOURCE, F.col("part").alias("before"), (F.col("last") + 1).alias("part"), F.col("tail").alias("end"))
+    goes_on = (F.col("head.prev") == F.col("end.h")) & (F.col("end.next") == F.col("head.h"))
+    heads = scratch.save("heads-0", parts.where(F.col("part") % BLOCK == 0).join(ends, [*SOURCE, "part"]).where(goes_on).select(*SOURCE, "part", F.col("before").alias("head")))
     n = 0
     while True:
         further = heads.select(*SOURCE, F.col("part").alias("head"), F.col("head").alias("next"))
@@ -194,17 +196,16 @@ def compact_paths(edges: DataFrame, scratch: Scratch) -> DataFrame:
         if heads.where("moved").limit(1).isEmpty():
             break
         heads = heads.drop("moved")
-    heads = heads.select(*SOURCE, "part", "head")
-    return placed.join(heads, [*SOURCE, "part"], "left").select("h", *SOURCE, "srcpos", F.coalesce("head", "part").alias("path"), "n")
+    first = heads.select(*SOURCE, "part", F.col("head").alias("first"))
+    whole = parts.join(first, [*SOURCE, "part"], "left").withColumn("first", F.coalesce("first", "part"))
+    paths = whole.groupBy(*SOURCE, "first").agg(F.max("last").alias("last"), F.min_by("head", "part").alias("head"))
+    return paths.select("head.h", *SOURCE, F.col("first").alias("srcpos"), (F.col("last") - F.col("first") + 1).cast("int").alias("edges"), "head.n")
 
 
-def _along(later: DataFrame) -> DataFrame:
-    """Spans (doc_id, rid, start, stop, src, srid, shift) of occurrences that follow each other and run along one path."""
-    row = Window.partitionBy(*ROW).orderBy("pos")  # bounded by the words of a row
-    same = [F.lag(c).over(row) == F.col(c) for c in (*SOURCE, "path", "shift")]
-    goes_on = reduce(operator.and_, same, F.col("pos") - F.lag("pos").over(row) <= 1)  # a repeated row has each place twice
-    runs = later.withColumn("shift", F.col("srcpos") - F.col("pos")).withColumn("run", F.sum(F.when(goes_on, 0).otherwise(1)).over(row))
-    return runs.groupBy(*ROW, "run", *SOURCE, "shift").agg(F.min("pos").alias("start"), (F.max("pos") + WINDOW).alias("stop")).drop("run")
+def _met(edges: DataFrame, paths: DataFrame, total: int) -> DataFrame:
+    """Spans (doc_id, rid, start, stop, src, srid, shift): occurrences of the first edges of paths in later documents than their source."""
+    found = join_counted(edges.select("h", *ROW, "pos"), paths, ["h"], total, [*ROW, "pos"]).where("doc_id > src")
+    return found.select(*ROW, F.col("pos").alias("start"), (F.col("pos") + F.col("edges") - 1 + WINDOW).alias("stop"), *SOURCE, (F.col("srcpos") - F.col("pos")).alias("shift"))
 
 
 def _pieces(spans: DataFrame) -> DataFrame:
@@ -264,23 +265,19 @@ def repeated_spans(known: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
     scratch.drop("minimizers", "shared")
 
     marked = known.join(marks, ROW).select(*ROW, "text", "marks")
-    edges = scratch.save("edges", marked.mapInArrow(_edge_rows, "h long, doc_id long, rid long, pos int, left long, right long"))
+    edges = scratch.save("edges", marked.mapInArrow(_edge_rows, "h long, doc_id long, rid long, pos int, prev long, next long"))
     scratch.drop("marks")
+    only = lambda c: F.when((F.count(c) == F.count(F.lit(1))) & (F.min(c) == F.max(c)), F.min(c)).alias(c)
     repeated = (
         edges.groupBy("h")
-        .agg(
-            F.min("doc_id").alias("src"), F.max("doc_id").alias("last"), F.min_by("rid", "doc_id").alias("srid"), F.min_by("pos", "doc_id").alias("srcpos"),
-            F.min("left").alias("left"), F.min("right").alias("right"), F.count(F.lit(1)).alias("n"),
-        )
-        .where("src < last")
-        .drop("last")
-    )
+        .agg(F.min(F.struct(*ROW, "pos")).alias("place"), F.max("doc_id").alias("last"), only("prev"), only("next"), F.count(F.lit(1)).alias("n"))
+        .where("place.doc_id < last")
+        .select("h", F.col("place.doc_id").alias("src"), F.col("place.rid").alias("srid"), F.col("place.pos").alias("srcpos"), "prev", "next", "n")
+    )
     repeated = scratch.save("repeated", repeated)
     paths = scratch.save("paths", compact_paths(repeated, scratch))
-    scratch.drop("repeated", "placed", "parts")
-
-    later = join_counted(edges.select("h", *ROW, "pos"), paths, ["h"], edges.count(), [*ROW, "pos"]).where("doc_id > src")
-    spans = scratch.save("spans", _along(later))
+    scratch.drop("repeated", "parts")
+    spans = scratch.save("spans", _met(edges, paths, edges.count()))
     scratch.drop("paths")
     spans = scratch.save("verified", _verified(known, spans, edges, scratch))
     scratch.drop("edges", "spans")
