@@ -257,7 +257,8 @@ def dedup_exact(docs: DataFrame, key: Column | None = None, capacity: int | None
     Texts are equal when identical after each run of ASCII white space is replaced by one space; a null text counts
     as empty. Of equal texts the smallest doc_id stays. A row without doc_id belongs to its group and its size but is
     kept only if no row of the group has an id, and then keep_id is null; repeated rows with the kept doc_id are kept
-    all alike. Other columns are ignored; an empty table gives an empty result. ``key`` replaces the 64-bit hash of
+    all alike. Long texts are compared whole, as they stand in one row. Other columns are ignored; an empty table gives
+    an empty result. ``key`` replaces the 64-bit hash of
     the column ``norm`` (tests use a weak one to force chains); ``capacity`` is the rows a bucket may hold.
     """
     scratch = Scratch(docs.sparkSession, "exact")
@@ -272,11 +273,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row of each group that stays, with all its columns; of repeated rows (same doc_id and text) one.
 
-    Null texts count as empty. Columns of any name are kept; an empty table gives an empty result.
+    Null texts count as empty, long ones are compared whole. Columns of any name are kept; an empty table gives an empty
+    result.
     """
-    result = dedup_exact(docs)
+    scratch = Scratch(docs.sparkSession, "exact")
+    found = groups_of(build_index(docs, scratch), scratch).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
     same = [F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none")]
-    kept = result.where(F.col("kept")).select(*same, F.col("text_sha256").alias("sha")).distinct()
+    kept = scratch.save("kept", found.select(*same, "sha").distinct())
+    scratch.drop("index", "met", "keys")  # the texts in the index are not needed any more
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(normalised(docs["text"]), 256).alias("sha"), F.struct("*").alias("row")).select(*same, "sha", "row")
     return rows.join(kept, ["id", "none", "sha"], "left_semi").dropDuplicates(["id", "none", "sha"]).select("row.*")
 

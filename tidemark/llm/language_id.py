@@ -286,7 +286,8 @@ def _predict(batches, shared):
 def train(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """The tables (lang, kind, code, bits) of the languages of ``docs`` (doc_id, lang, text), written to the shared folder.
 
-    A task tabulates one language, whose distinct strings ``sample_bytes`` bounds.
+    A task tabulates one language, whose distinct strings ``sample_bytes`` bounds, or its one text if that is longer. Rows
+    with a null lang or text teach nothing; without others there are no tables.
     """
     counts = learn_counts(docs, sample_bytes)
     return Scratch(docs.sparkSession, "languages").save("tables", counts.groupBy("lang").applyInPandas(_tabulate, "lang string, kind int, code long, bits float"))

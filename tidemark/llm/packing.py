@@ -232,7 +232,8 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
 def sequences(packed: DataFrame) -> DataFrame:
     """One row per sequence of ``packed``: sequence_id, pieces (offset, doc_id, piece, start, length) in order, ids.
 
-    A sequence has at most as many pieces as it has ids, so a group is bounded by the capacity.
+    A sequence has at most as many pieces as it has ids, so a group is bounded by the capacity. ``packed`` has no nulls;
+    without rows there are no sequences.
     """
     place = F.struct("offset", "doc_id", "piece", "start", "length", "ids")
     groups = packed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(place)).alias("pieces"))

@@ -163,7 +163,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of ``docs`` that the rules keep; rows that repeat a doc_id stay only if all of them are kept.
 
-    Null, empty and short texts go. Columns of any name are kept; an empty table gives an empty result.
+    Null, empty and short texts go; long ones are measured whole. Columns of any name are kept; an empty table gives an empty result.
     """
     found = apply_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     same = [F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none")]

@@ -282,7 +282,7 @@ def encode_pieces(docs: DataFrame, model: PieceModel | None = None) -> DataFrame
 
 
 def decode_pieces(encoded: DataFrame, model: PieceModel | None = None) -> DataFrame:
-    """doc_id and text of rows (doc_id, ids)."""
+    """doc_id and text of rows (doc_id, ids), in their number; null ids are none and give an empty text, and no rows give none."""
     shared = encoded.sparkSession.sparkContext.broadcast(model or PieceModel.read(model_path()))
 
     def run(batches):

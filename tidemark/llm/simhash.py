@@ -174,7 +174,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     A null or empty text has the fingerprint zero and links like any other. Components join fingerprints at 4 or
     fewer differing bits; component_id is the smallest doc_id of the component. A row without doc_id takes part and
-    gets the component's id, which is null only if no row there has one. Repeated rows give repeated results, other
+    gets the component's id, which is null only if no row there has one. Long texts count with all their shingles. Repeated rows give repeated results, other
     columns are ignored, and an empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
@@ -200,7 +200,7 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays, the one with the smallest doc_id; a row without doc_id stays if its component has no id.
 
-    Null and empty texts have one fingerprint, so one of them stays. Columns of any name are kept; an empty table gives
+    Null and empty texts have one fingerprint, so one of them stays; long texts count whole. Columns of any name are kept; an empty table gives
     an empty result.
     """
     found = near_duplicates(docs)

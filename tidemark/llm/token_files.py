@@ -151,7 +151,7 @@ def _placed(files: DataFrame) -> DataFrame:
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
-    """One row per document: doc_id, start (ids of all documents before it), n_tokens, ids_crc32. No files, no rows."""
+    """One row per document: doc_id, start (ids of all documents before it), n_tokens, ids_crc32; without segments no rows."""
     return _placed(files).mapInArrow(_read_segments, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
