@@ -58,3 +58,9 @@ class Scratch:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt over all cores if they are read in fewer than half as many parts, as from a file of one row group."""
+    parts, cores = rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if 2 * parts <= cores else rows

@@ -16,7 +16,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
-from ._scratch import Scratch
+from ._scratch import Scratch, spread
 from ._words import raw_slices
 
 #: Bytes of text in a frame, at most.
@@ -95,7 +95,7 @@ def store_frames(docs: DataFrame, scratch: Scratch, frame: int = FRAME) -> DataF
             ids = batch.column(0).to_pylist()
             yield from _batches((_stored(i, text, press, frame) for i, text in zip(ids, raw_slices(batch.column(1)))), STORED)
 
-    return scratch.save("frames", docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text").mapInArrow(run, STORED))
+    return scratch.save("frames", spread(docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text")).mapInArrow(run, STORED))
 
 
 def draws(doc_id: int | None, seed: int = SEED) -> list[int]:

@@ -90,7 +90,9 @@ def _by_value(found) -> dict[int, set[tuple[int, str]]]:
 
 
 def _longs(values) -> Column:
-    return F.array(*map(F.lit, sorted(values))) if values else F.array().cast("array<bigint>")
+    """An array of numbers in ascending order as one literal, which the optimizer folds."""
+    values = sorted(values)
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
 
 
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -111,7 +113,8 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
         shingles = len({tuple(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)})
         rows.append((name, words, step, bands_for(shingles, step)))
     known = spark.createDataFrame(rows, "license string, w array<string>, step int, bands int")
-    known = known.select("license", "step", F.max("bands").over(Window.partitionBy("step")).alias("bands"), F.array_distinct(F.expr(_SHINGLES)).alias("part"), F.expr(_SPELLED).alias("template"))
+    known = known.select("license", "step", "w", F.max("bands").over(Window.partitionBy("step")).alias("bands")).repartition(max(1, len(rows)), "license")  # long ones are of few steps
+    known = known.select("license", "step", "bands", F.array_distinct(F.expr(_SHINGLES)).alias("part"), F.expr(_SPELLED).alias("template"))
     known = known.select("license", "step", "bands", "template", F.expr(_SIGNED_BY).alias("signature"))
     found = known.select("license", "step", "bands", "signature").collect()  # a row for each template
     values = _longs({x["value"] for r in found for x in r["signature"]})
@@ -134,9 +137,12 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     spoken = F.expr("slice(w, cast(window * step + 1 as int), 2 * step)").alias("w")
     signed = windows.where(F.arrays_overlap("part", "minimal")).select("sha", "step", "window", spoken, F.explode(F.array(F.expr(_SIGNATURE))).alias("signature"))
     # a window's candidates are names, found within its row; the words of templates come once for each candidate
-    named = [x for value, found_by in sorted(_by_value(found).items()) for x in (F.lit(value), F.array(*(F.struct(F.lit(step).alias("step"), F.lit(license).alias("license")) for step, license in sorted(found_by))))]
-    met = F.array_distinct(F.flatten(F.transform(F.filter("signature", lambda v: F.array_contains(values, v)), lambda v: F.create_map(*named)[v]))) if named else F.array().cast("array<struct<step:int,license:string>>")
-    own = F.transform(F.filter(met, lambda x: x["step"] == F.col("step")), lambda x: x["license"])
+    by_value = sorted(_by_value(found).items())
+    names = F.split(F.lit("|".join(",".join(f"{step}:{license}" for step, license in sorted(found_by)) for _, found_by in by_value)), "[|]")  # of each value in turn
+    held = _longs(value for value, _ in by_value)
+    met = F.transform(F.filter("signature", lambda v: F.array_contains(values, v)), lambda v: F.split(F.element_at(names, F.array_position(held, v).cast("int")), ","))
+    prefix = F.concat(F.col("step").cast("string"), F.lit(":"))
+    own = F.transform(F.filter(F.array_distinct(F.flatten(met)), lambda x: x.startswith(prefix)), lambda x: F.substr(x, F.length(prefix) + 1))
     retrieved = signed.select("sha", "w", F.explode(own).alias("license"))
     spelled = retrieved.join(F.broadcast(known.select("license", "template")), "license").select("sha", "license", "template", F.explode(F.array(F.expr(_SPELLED))).alias("part"))  # each template once
     containment = F.size(F.array_intersect("template", "part")) / F.size("template")

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ._scratch import Scratch
+from ._scratch import Scratch, spread
 from ._words import Words
 from .quality_classifier import _FOLD, _curve
 
@@ -142,7 +142,7 @@ def _count_grams(batches):
 
 def gram_counts(docs: DataFrame) -> DataFrame:
     """(gram, n) over all documents; a task gives each gram once."""
-    return docs.select("text").mapInArrow(_count_grams, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return spread(docs.select("text")).mapInArrow(_count_grams, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def gram_costs(grams: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -411,7 +411,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     sample = scratch.save("sample", sample.withColumn("curve", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # at most ``sample_rows`` rows
-    texts = scratch.save("texts", texts)  # bounded by the sample
+    texts = spread(scratch.save("texts", texts))  # bounded by the sample
     firsts = texts.where("not curve").groupBy(F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     fitting = texts.where("not curve").join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     shared = spark.sparkContext.broadcast(costs)
@@ -457,7 +457,7 @@ def score_toxicity(docs: DataFrame, model: Toxicity) -> DataFrame:
     """
     context = docs.sparkSession.sparkContext
     shared, sent = context.broadcast(model.costs), context.broadcast(model)  # 810,000 costs, and words of the sample
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_score(shared, sent), SCORED)
+    return spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(_score(shared, sent), SCORED)
 
 
 def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
