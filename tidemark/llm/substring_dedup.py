@@ -13,7 +13,8 @@ found in passes whose tables stay small:
    edges occur together everywhere, so they follow each other in their source too, and a run of them compacts into a
    path: first within blocks of source places, then from block to block by joins and pointer jumping. A path is known by
    its first edge and its length.
-4. Documents meet paths by their first edges alone: where one occurs, all of its path does, and that is a span.
+4. Documents meet paths by their first edges alone: where one occurs, all of its path does, and that is a span. Spans
+   that follow each other along one source are one.
 5. The words of every span are compared with those at its source place, in pieces that end at the same places of the
    source for all documents, by SHA-256. Where one differs, two windows share a hash: all windows with the hashes of
    that span are then told apart by the SHA-256 of their words.
@@ -22,6 +23,8 @@ found in passes whose tables stay small:
 from __future__ import annotations
 
 import hashlib
+import operator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -208,6 +211,18 @@ def _met(edges: DataFrame, paths: DataFrame, total: int) -> DataFrame:
     return found.select(*ROW, F.col("pos").alias("start"), (F.col("pos") + F.col("edges") - 1 + WINDOW).alias("stop"), *SOURCE, (F.col("srcpos") - F.col("pos")).alias("shift"))
 
 
+def _merged(spans: DataFrame) -> DataFrame:
+    """Spans of one row that follow each other along one source become one.
+
+    Where many documents differ in many places paths are short, and a document meets most of them in turn.
+    """
+    row = Window.partitionBy(*ROW).orderBy("start", "stop")  # bounded by the words of a row
+    same = [F.lag(c).over(row) == F.col(c) for c in (*SOURCE, "shift")]
+    goes_on = reduce(operator.and_, same, F.col("start") + WINDOW - 1 <= F.lag("stop").over(row))  # a repeated row has each span twice
+    runs = spans.withColumn("run", F.sum(F.when(goes_on, 0).otherwise(1)).over(row))
+    return runs.groupBy(*ROW, "run", *SOURCE, "shift").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("run")
+
+
 def _pieces(spans: DataFrame) -> DataFrame:
     """Spans with the stretches of their source, which end at the same places for all spans: ``at`` and ``len``."""
     a, b = F.col("start") + F.col("shift"), F.col("stop") + F.col("shift")
@@ -277,7 +292,7 @@ def repeated_spans(known: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
     repeated = scratch.save("repeated", repeated)
     paths = scratch.save("paths", compact_paths(repeated, scratch))
     scratch.drop("repeated", "parts")
-    spans = scratch.save("spans", _met(edges, paths, edges.count()))
+    spans = scratch.save("spans", _merged(_met(edges, paths, edges.count())))
     scratch.drop("paths")
     spans = scratch.save("verified", _verified(known, spans, edges, scratch))
     scratch.drop("edges", "spans")

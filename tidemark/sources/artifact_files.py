@@ -351,7 +351,7 @@ class _OneFile:
         if self._held >= self.limit:
             table = pa.concat_tables(self._pending).combine_chunks()
             starts = table.column("window_start_s").to_numpy()
-            ends = np.r_[np.flatnonzero(starts[1:] != starts[:-1]) + 1]  # places where a window begins
+            ends = np.flatnonzero(starts[1:] != starts[:-1]) + 1  # places where a window begins
             at = 0
             while len(table) - at >= self.limit:
                 later = ends[np.searchsorted(ends, at + self.limit) :]
