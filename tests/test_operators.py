@@ -269,3 +269,23 @@ def test_unknown_models_are_named(spark):
 def test_detail_is_cut(spark):
     rows = spark.createDataFrame([("n", "v", "c", "infer", 0.0, "x" * 5000)], "namespace string, value string, code string, stage string, window_start_s double, detail string")
     assert len(coverage.failure_rows(rows).first().detail) == 2000
+
+
+def test_recordings_of_a_large_task_are_not_compared_pair_by_pair(spark):
+    import time
+
+    kind = "array<struct<namespace:string,value:string>>"
+    n = 60_000
+    ids = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(F.lit("n").alias("namespace"), i.cast("string").alias("value")))
+    odd = [("n", None), (None, None), ("n", 'a"b\\'), ("é\n", "\u2028 "), None]
+    more = F.array(*(F.lit(None).cast(kind[6:-1]) if r is None else F.struct(F.lit(r[0]).cast("string").alias("namespace"), F.lit(r[1]).cast("string").alias("value")) for r in odd))
+    row = lambda recordings: spark.range(1).select(F.col("id").alias("task_id"), F.lit("f").alias("work_file_digest"), F.lit("w").alias("work_digest"), recordings.cast(kind).alias("recordings"), F.lit(True).alias("under_root"))
+    began = time.monotonic()
+    tasks, results = row(F.concat(ids, more, more)), row(F.filter(ids, lambda r: r["value"] != "7"))
+    (found,) = coverage.task_result_problem(results, tasks).collect()
+    (other,) = coverage.task_result_problem(tasks, results.drop("under_root")).collect()
+    assert time.monotonic() - began < 25  # pairs take minutes
+    text = lambda rows: sorted(str(None if r is None else tuple(r)) for r in rows)
+    want = sorted(str(r) for r in [("n", "7"), *odd])
+    assert (found.problem, text(found.missing), found.extra) == ("other_recordings", want, []) and (other.missing, text(other.extra)) == ([], want)
+    assert coverage.task_result_problem(tasks, tasks.drop("under_root")).count() == 0
