@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import audio_uri
-from .ranged import file_checksums
+from .ranged import file_checksums, listed
 from .records import csv_records
 
 
@@ -87,7 +87,7 @@ def folder_catalog(spark: SparkSession, root: str, namespace: str, layout: str,
     unknown = [f for f in re.findall(r"\{(\w+)\}", identity) if f not in fields]
     if unknown:
         raise CatalogRefused(f"fields that the layout lacks: {unknown}")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
+    files = listed(spark, root)
     base = re.sub(r"^file:/+", "/", root).rstrip("/")
     relative = F.substring_index(F.regexp_replace(F.col("path"), "^[a-z]+:/+", "/"), base + "/", -1)
     matched = files.withColumn("relative", relative).where(F.col("relative").rlike(regex))
