@@ -67,3 +67,21 @@ def test_empty_lists_and_refusals(spark, tmp_path):
 
     with pytest.raises(paging.PageRefused, match="Decimal"):
         paging.Cursor("l", {}).write([decimal.Decimal(1)])
+
+
+def test_a_long_list_is_made_once_and_has_a_bounded_number_of_files(spark, tmp_path, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(lists, "MOST_FILES", 5, raising=False)
+    kept = lists.keep_list(spark.range(12_000).mapInArrow(counted, "id long"), ["id"], f"{tmp_path}/long", 1001)
+    assert made.value == 12_000
+    fences = kept.fences.orderBy("least").collect()
+    assert len(fences) == 5 and sum(f.rows for f in fences) == 12_000 and all(a.greatest < b.least for a, b in zip(fences, fences[1:]))
+    for at in (-1, 4_000, 11_950):
+        page = lists.kept_page(kept, 100, [at])
+        assert [r.id for r in page.collect()] == list(range(at + 1, min(at + 102, 12_000))) and len(page.inputFiles()) <= 2
