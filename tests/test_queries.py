@@ -33,3 +33,22 @@ def test_query(spark, tables, name):
     assert sorted(names) == columns
     places = [names.index(c) for c in columns]
     assert got == sorted(tuple(text(row[i]) for i in places) for row in found.fetchall())
+
+
+def test_the_index_of_current_files_makes_its_outcomes_once(spark, monkeypatch):
+    from tidemark import fixtures
+
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    views = fixtures.load(spark, SF)
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    views["lineitem"] = lines.mapInArrow(counted, lines.schema)
+    views["lineitem"].createOrReplaceTempView("lineitem")
+    monkeypatch.setattr(fixtures, "load", lambda *_: views)
+    assert plans.queries()["current_files_index"](spark, SF).count() > 0
+    assert made.value == lines.count()

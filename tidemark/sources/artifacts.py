@@ -154,5 +154,5 @@ def current_files_index(current: DataFrame, facts: DataFrame, presets: DataFrame
 def export_index(index: DataFrame, dated: str, current: str) -> None:
     """Write the dated copy, which must be new, then replace the current one."""
     ordered = index.orderBy(*KEY, "configuration_digest", "kind")
-    ordered.write.mode("errorifexists").parquet(dated)
-    index.sparkSession.read.schema(index.schema).parquet(dated).write.mode("overwrite").parquet(current)
+    ordered.write.option("compression", "zstd").mode("errorifexists").parquet(dated)
+    index.sparkSession.read.schema(index.schema).parquet(dated).write.option("compression", "zstd").mode("overwrite").parquet(current)
