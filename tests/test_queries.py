@@ -52,3 +52,12 @@ def test_the_index_of_current_files_makes_its_outcomes_once(spark, monkeypatch):
     monkeypatch.setattr(fixtures, "load", lambda *_: views)
     assert plans.queries()["current_files_index"](spark, SF).count() > 0
     assert made.value == lines.count()
+
+
+def test_results_take_less_room_than_their_texts(spark, tmp_path, monkeypatch):
+    from tidemark.plans import files
+
+    monkeypatch.setattr(files, "shared_folder", lambda _, name: str(tmp_path / name))
+    assert plans.queries()["ingest_results"](spark, SF).count() > 0
+    room = sum(p.stat().st_size for p in (tmp_path / "results").rglob("part-*"))
+    assert room < spark.read.text(str(tmp_path / "results")).selectExpr("sum(length(value))").first()[0] / 5

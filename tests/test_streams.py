@@ -179,3 +179,40 @@ def test_a_result_is_the_same_text_whatever_order_its_recordings_come_in(spark):
     rows = spark.range(300).coalesce(1).select(F.lit(1).cast("long").alias("run_id"), F.lit(10).cast("long").alias("task_id"), F.lit("n").alias("namespace"), F.col("id").cast("string").alias("value"))
     texts = {order: [r[0] for r in _results(rows.sortWithinPartitions(getattr(F.col("value"), order)())).select(F.to_json(F.struct("*"))).collect()] for order in ("asc", "desc")}
     assert len(texts["asc"]) == 1 and texts["asc"] == texts["desc"]
+
+
+def shuffled(spark, after=-1):
+    """(bytes that stages after one wrote to shuffles, number of the last stage)."""
+    context, gateway = spark.sparkContext._jsc.sc(), spark.sparkContext._gateway
+    context.listenerBus().waitUntilEmpty()
+    found = context.statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    stages = [found.apply(i) for i in range(found.size())]
+    return sum(s.shuffleWriteBytes() for s in stages if s.stageId() > after), max((s.stageId() for s in stages), default=-1)
+
+
+def test_results_are_judged_without_moving_their_texts(spark, tmp_path):
+    from tidemark.streaming import results
+
+    source, store, rng = tmp_path / "in", str(tmp_path / "store"), random.Random(3)
+    source.mkdir()
+    texts = [result(t, failed=[{"namespace": "n", "value": f"w{t}", "code": "c", "stage": "infer", "detail": f"{rng.getrandbits(400_000):x}"}]) for t in range(12)]
+    for name in "abc":
+        (source / f"{name}.json").write_text("\n".join(texts))
+    last = shuffled(spark)[1]
+    results.ingest_stream(spark, str(source), store)
+    (source / "late.json").write_text(result(1, failed=[]))
+    results.ingest_stream(spark, str(source), store)
+    assert 0 < shuffled(spark, last)[0] < len(texts[0])  # of 36 texts
+    taken = results.accepted_results(spark, store).collect()
+    assert sorted((r.task_id, r.failed[0].detail) for r in taken) == sorted((t, texts[t].split('"detail": "')[1].split('"')[0]) for t in range(12))
+    assert [(r.task_id, r.code) for r in results.refused_results(spark, store).collect()] == [(1, "task_has_a_result")]
+
+
+def test_only_pending_recordings_meet_results(spark):
+    from tidemark.sources import artifacts
+
+    results = spark.createDataFrame([(1, 10, "completed", None, [("n", x, 2, 0.0, 6.0, "i") for x in "abc"], [], [])], artifacts.RESULT)
+    outcomes = spark.createDataFrame([(10, 1, "n", x, s) for x, s in (("a", "pending"), ("b", "covered"), ("c", None), ("d", "pending"))], "run_id long, task_id long, namespace string, value string, state string")
+    rows = artifacts.ingest_results(results, outcomes)[0]
+    assert sorted((r.value, r.state, r.windows_completed) for r in rows.collect()) == [("a", "covered", 2), ("b", "covered", None), ("c", None, None), ("d", "pending", None)]
+    assert rows.columns == ["run_id", "task_id", "namespace", "value", "state", *artifacts.COVERED, *artifacts.FAILED]

@@ -121,7 +121,8 @@ def ingest_results(results: DataFrame, outcomes: DataFrame) -> tuple[DataFrame,
 
     A covered recording has its windows, bounds and input checksum; a failed one the scope, code, stage and message of
     its failure. A result that failed as a whole fails every pending recording of its task (outcomes have ``task_id``).
-    Each task has one result; each artifact of a completed one is a row of the files.
+    Each task has one result; each artifact of a completed one is a row of the files. Only pending recordings meet the
+    results; the others are passed on as they are.
     """
     null = lambda names, kinds: [F.lit(None).cast(t).alias(n) for n, t in zip(names, kinds)]
     done = results.where("outcome = 'completed'")
@@ -131,13 +132,15 @@ def ingest_results(results: DataFrame, outcomes: DataFrame) -> tuple[DataFrame,
     )
     message = F.concat(F.lit("the work failed at the stage "), F.col("failure.stage"), F.lit(" before its first recording"))
     whole = results.where("outcome = 'failed'").select("run_id", "task_id", F.struct(F.lit("task").alias("scope"), F.col("failure.code").alias("code"), F.col("failure.stage").alias("stage"), message.alias("message")).alias("whole"))
-    joined = outcomes.select("run_id", "task_id", *KEY, "state").join(covered.unionByName(failed), ["run_id", "task_id", *KEY], "left").join(whole, ["run_id", "task_id"], "left")
-    pending = F.col("state") == "pending"
+    outcomes = outcomes.select("run_id", "task_id", *KEY, "state")
+    joined = outcomes.where("state = 'pending'").join(covered.unionByName(failed), ["run_id", "task_id", *KEY], "left").join(whole, ["run_id", "task_id"], "left")
     own = F.col("whole").isNotNull()
-    state = F.when(pending & own, "failed").when(pending, F.coalesce("new", "state")).otherwise(F.col("state"))
-    values = [F.when(pending & ~own, F.col(c)).alias(c) for c in COVERED] + [F.when(pending & own, F.col(f"whole.{c}")).when(pending, F.col(c)).alias(c) for c in FAILED]
+    state = F.when(own, "failed").otherwise(F.coalesce("new", "state"))
+    values = [F.when(~own, F.col(c)).alias(c) for c in COVERED] + [F.when(own, F.col(f"whole.{c}")).otherwise(F.col(c)).alias(c) for c in FAILED]
+    changed = joined.select("run_id", "task_id", *KEY, state.alias("state"), *values)
+    others = outcomes.where("state IS DISTINCT FROM 'pending'")
     files = done.select("run_id", "task_id", F.inline("artifacts")).select("run_id", "task_id", *KEY, "kind", "contract_id", "uri", "checksum", "size_bytes", "rows")
-    return joined.select("run_id", "task_id", *KEY, state.alias("state"), *values), files
+    return changed.unionByName(others, allowMissingColumns=True), files
 
 
 def current_files_index(current: DataFrame, facts: DataFrame, presets: DataFrame) -> DataFrame:

@@ -2,37 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..operators.lineage import small
 from ..sources.artifacts import RESULT
 
 TAKEN = f"{RESULT}, result_checksum string"
 REFUSED = "run_id long, task_id long, result_checksum string, code string"
+KEYS = "task_id long, run_id long, outcome string"
 
 
 def _take(store: str):
     """A function of (batch, number) that files the batch's results below ``store``, in folders of its own.
 
     A batch that runs again replaces what it wrote. A result with the checksum of one that its task has is the same
-    result and changes nothing; one with another checksum is refused, as is one that cannot be read.
+    result and changes nothing; one with another checksum is refused, as is one that cannot be read. Results are judged
+    by their keys and checksums; only those that are taken are read whole, each in the task that has its text.
     """
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        parsed = batch.select(F.sha2("value", 256).alias("result_checksum"), F.from_json("value", RESULT).alias("r")).select("r.*", "result_checksum")
-        readable = parsed.where("task_id IS NOT NULL AND run_id IS NOT NULL AND outcome IN ('completed', 'failed')").dropDuplicates(["task_id", "result_checksum"])
-        # a task has few results, so whole ones are compared by checksum
+        # a batch is a fixed list of file parts, so a line has the same place whenever it is read
+        lines = batch.select(F.monotonically_increasing_id().alias("at"), "value")
+        keyed = lines.select("at", F.sha2("value", 256).alias("result_checksum"), F.from_json("value", KEYS).alias("r")).select("at", "r.*", "result_checksum")
+        once = keyed.groupBy("task_id", "run_id", "outcome", "result_checksum").agg(F.min("at").alias("at"))
         known = accepted_results(spark, store, before=number).select("task_id", F.col("result_checksum").alias("known"))
-        joined = readable.join(known, "task_id", "left")
-        first = joined.where("known IS NULL").groupBy("task_id").agg(F.min("result_checksum").alias("first"))
-        placed = joined.join(first, "task_id", "left")
-        mine = F.coalesce("known", "first")
-        fresh = F.col("known").isNull() & (F.col("result_checksum") == F.col("first"))
-        columns = [c.split()[0] for c in ("task_id", "run_id", "outcome", "failure", "coverage", "failed", "artifacts", "result_checksum")]
-        placed.where(fresh).select(*columns).write.mode("overwrite").parquet(f"{store}/results/batch={number}")
-        other = placed.where(F.col("result_checksum") != mine).select("run_id", "task_id", "result_checksum", F.lit("task_has_a_result").alias("code"))
-        broken = parsed.where("task_id IS NULL OR run_id IS NULL OR outcome IS NULL OR outcome NOT IN ('completed', 'failed')").select("run_id", "task_id", "result_checksum", F.lit("result_unreadable").alias("code"))
-        other.unionByName(broken).dropDuplicates(["result_checksum"]).write.mode("overwrite").parquet(f"{store}/refused/batch={number}")
+        readable = F.col("task_id").isNotNull() & F.col("run_id").isNotNull() & F.coalesce(F.col("outcome").isin("completed", "failed"), F.lit(False))
+        # a task has few different results; those that cannot be read have a group each
+        task = Window.partitionBy("task_id", F.when(~readable, F.col("result_checksum")))
+        first = F.min(F.when(F.col("known").isNull(), F.col("result_checksum"))).over(task)
+        code = F.when(~readable, "result_unreadable").when(F.col("result_checksum") != F.coalesce("known", first), "task_has_a_result")
+        judged = once.join(known, "task_id", "left").withColumn("code", code).where("code IS NOT NULL OR known IS NULL")
+        judged.select("at", "run_id", "task_id", "result_checksum", "code").write.mode("overwrite").parquet(f"{store}/judged/batch={number}")
+        judged = spark.read.schema(f"at long, {REFUSED}").parquet(f"{store}/judged/batch={number}")
+        fresh = lines.join(small(judged.where("code IS NULL").select("at", "result_checksum")), "at")
+        columns = ["task_id", "run_id", "outcome", "failure", "coverage", "failed", "artifacts", "result_checksum"]
+        taken = fresh.select(F.from_json("value", RESULT).alias("r"), "result_checksum").select("r.*", "result_checksum").select(*columns)
+        taken.write.mode("overwrite").option("compression", "zstd").parquet(f"{store}/results/batch={number}")
+        judged.where("code IS NOT NULL").drop("at").write.mode("overwrite").parquet(f"{store}/refused/batch={number}")
 
     return run
 
