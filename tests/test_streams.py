@@ -216,3 +216,16 @@ def test_only_pending_recordings_meet_results(spark):
     rows = artifacts.ingest_results(results, outcomes)[0]
     assert sorted((r.value, r.state, r.windows_completed) for r in rows.collect()) == [("a", "covered", 2), ("b", "covered", None), ("c", None, None), ("d", "pending", None)]
     assert rows.columns == ["run_id", "task_id", "namespace", "value", "state", *artifacts.COVERED, *artifacts.FAILED]
+
+
+def test_more_results_than_are_broadcast_are_taken_too(spark, tmp_path, monkeypatch):
+    from tidemark.streaming import results
+
+    texts = [result(t) for t in range(30)]
+    batch = spark.createDataFrame([(t,) for t in texts + texts], "value string").repartition(3).localCheckpoint()
+    found = {}
+    for most in (1_000_000, 29):
+        monkeypatch.setattr(results, "MOST_TAKEN", most)
+        results._take(str(tmp_path / str(most)))(batch, 0)
+        found[most] = sorted(map(str, results.accepted_results(spark, str(tmp_path / str(most))).collect()))
+    assert len(found[29]) == 30 and found[29] == found[1_000_000]
